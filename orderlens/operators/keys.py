@@ -16,6 +16,12 @@ Instead:
 
 The order columns must define a total order (append a unique tie-break
 such as the line order key), otherwise equal keys get arbitrary ids.
+
+Small inputs skip the machinery behind a run-time size check: a bounded
+count (``limit(k + 1).count()``) proves the input has at most ``k`` rows,
+and only then is a plain ``row_number()`` window (one task) used.  Beyond
+``k`` the distributed path above runs.  With a total order the window
+result is deterministic, so it needs no checkpoint.
 """
 
 from __future__ import annotations
@@ -34,11 +40,23 @@ def _n_buckets(df: DataFrame, n: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+# Inputs proven (by a bounded count) to hold at most this many rows are
+# numbered by a single-task window.
+SMALL_ROWS = 100_000
+
+
 def dense_ids(df: DataFrame, order_by: Sequence[Column | str], id_col: str,
-              buckets: int | None = None) -> DataFrame:
+              buckets: int | None = None, small_limit: int = SMALL_ROWS) -> DataFrame:
     """Add ``id_col`` = 1..n following ``order_by`` (ascending unless the
     Column says otherwise)."""
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    if small_limit > 0 and df.limit(small_limit + 1).count() <= small_limit:
+        return df.withColumn(id_col, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    return _dense_ids_distributed(df, order, id_col, buckets)
+
+
+def _dense_ids_distributed(df: DataFrame, order: list[Column], id_col: str,
+                           buckets: int | None) -> DataFrame:
     n = _n_buckets(df, buckets)
     cols = df.columns
     tagged = (df.repartitionByRange(n, *order)
