@@ -125,7 +125,7 @@ def product_table(lines: DataFrame, categories: DataFrame, strict: bool = True)
     if strict:
         priced = linked.withColumn("ProductUnitPrice", F.col("PriceText").cast("double"))
     else:
-        priced = (linked.withColumn("ProductUnitPrice", F.col("PriceText").try_cast("double"))
+        priced = (linked.withColumn("ProductUnitPrice", F.expr("try_cast(PriceText AS double)"))
                   .filter(F.col("ProductUnitPrice").isNotNull()))
     ided = dense_ids(priced,
                      ["ProductName", "__first"], "ProductID")

@@ -47,7 +47,7 @@ def order_detail_table(lines: DataFrame, customers: DataFrame, products: DataFra
     if strict:
         qty = F.transform("QuantityOrdered", lambda q: q.cast("bigint"))
     else:
-        qty = F.transform("QuantityOrdered", lambda q: q.try_cast("bigint"))
+        qty = F.expr("transform(QuantityOrdered, q -> try_cast(q AS bigint))")
     parsed = matched.select(*ORDER_KEY, "CustomerID", "ProductName",
                             qty.alias("__qty"), F.col("OrderDate").alias("__dates"))
     entries = parsed.select(

@@ -1,0 +1,42 @@
+"""Every registered query against its DuckDB oracle (the driver's gate),
+on the smallest driver fixture; a few also at sf0.01."""
+
+import pytest
+
+import __spark_entry__ as E
+from orderlens.plans.oracle_check import compare, duckdb_connection
+
+from .conftest import SF_MID, SF_SMALL
+
+NAMES = sorted(E.queries())
+
+
+@pytest.fixture(scope="module")
+def duck_small():
+    return duckdb_connection(SF_SMALL)
+
+
+@pytest.mark.parametrize("name", NAMES)
+def test_query_matches_oracle(spark, duck_small, name):
+    oracles = E.oracle_sql()
+    assert name in oracles, f"{name} has no oracle"
+    rep = compare(E.queries()[name](spark, SF_SMALL), duck_small, oracles[name])
+    assert rep["ok"], rep
+
+
+@pytest.mark.parametrize("name", ["q06_country_rank_in_region", "q09_top5_customers_per_quarter",
+                                  "q11_longest_order_gap"])
+def test_query_matches_oracle_sf001(spark, name):
+    rep = compare(E.queries()[name](spark, SF_MID), duckdb_connection(SF_MID),
+                  E.oracle_sql()[name])
+    assert rep["ok"], rep
+
+
+def test_entry_smoke(spark):
+    df = E.entry(spark)
+    rows = df.collect()
+    assert df.columns == ["Region", "Country", "CountryTotal", "CountryRegionalRank"]
+    assert len(rows) > 0
+    # ordered by Region, then rank
+    keys = [(r.Region, r.CountryRegionalRank) for r in rows]
+    assert keys == sorted(keys)
