@@ -26,7 +26,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.functions import dates
-from orderlens.operators.ranking import first_per_group
 from orderlens.operators.replicate import replicate
 
 
@@ -35,27 +34,26 @@ def longest_gaps(day_counts: DataFrame, key: str = "CustomerID",
     """``day_counts``: rows ``(key, date, n)``, not necessarily distinct.
 
     Returns ``(key, OrderDate, PreviousOrderDate, MaxDaysWithoutOrder)``.
+
+    One aggregation and one window pass: every distinct-date row gets a
+    number of output copies (1 for the chosen gap row, n - 1 for a
+    single-date customer, else 0), then ``replicate`` emits them.
     """
     per_day = day_counts.groupBy(key, date_col).agg(F.sum(count_col).alias("__n"))
     by_key = Window.partitionBy(key)
-    ordered = by_key.orderBy(date_col)
     tagged = (per_day
-              .withColumn("PreviousOrderDate", F.lag(date_col).over(ordered))
+              .withColumn("PreviousOrderDate", F.lag(date_col).over(by_key.orderBy(date_col)))
+              .withColumn("__gap", dates.day_gap(F.col(date_col), F.col("PreviousOrderDate")))
               .withColumn("__dates", F.count(F.lit(1)).over(by_key)))
-
-    multi = (tagged.filter(F.col("PreviousOrderDate").isNotNull())
-             .withColumn("MaxDaysWithoutOrder",
-                         dates.day_gap(F.col(date_col), F.col("PreviousOrderDate"))))
-    multi = first_per_group(multi, [key],
-                            [F.col("MaxDaysWithoutOrder").desc(), F.col(date_col).asc()])
-
-    single = (tagged.filter((F.col("__dates") == 1) & (F.col("__n") >= 2))
-              .select(key, date_col, (F.col("__n") - 1).alias("__copies")))
-    single = replicate(single, "__copies", spread_cols=[key]).select(
-        key, date_col,
-        F.col(date_col).alias("PreviousOrderDate"),
-        F.lit(0.0).alias("MaxDaysWithoutOrder"))
-
-    cols = [key, F.col(date_col).alias("OrderDate"), "PreviousOrderDate",
-            "MaxDaysWithoutOrder"]
-    return multi.select(*cols).unionByName(single.select(*cols))
+    best = F.rank().over(by_key.orderBy(F.col("__gap").desc_nulls_last(), F.col(date_col).asc()))
+    single = F.col("__dates") == 1
+    copies = (F.when(single, F.col("__n") - 1)
+              .when(F.col("__gap").isNotNull() & (best == 1), F.lit(1))
+              .otherwise(F.lit(0)))
+    chosen = tagged.withColumn("__copies", copies).filter(F.col("__copies") > 0).select(
+        key, F.col(date_col).alias("OrderDate"),
+        F.when(single, F.col(date_col)).otherwise(F.col("PreviousOrderDate"))
+        .alias("PreviousOrderDate"),
+        F.when(single, F.lit(0.0)).otherwise(F.col("__gap")).alias("MaxDaysWithoutOrder"),
+        "__copies")
+    return replicate(chosen, "__copies", spread_cols=[key]).drop("__copies")
