@@ -59,13 +59,13 @@ def customer_table(lines: DataFrame, countries: DataFrame) -> DataFrame:
     order breaking ties (Python's stable sort)."""
     name = F.col("Name")
     cust = _ok(lines).select(
-        "file_path", "block_start", "line_seq",
+        "file_idx", "block_start", "line_seq",
         text.first_token(name).alias("FirstName"),
         text.rest_tokens(name).alias("LastName"),
         "Address", "City", F.col("Country").alias("CountryName"))
     linked = strict_join(cust, "CountryName", country_lookup(countries), "Country",
                          "CountryID", "country")
-    ided = dense_ids(linked, ["FirstName", "LastName", "file_path", "block_start", "line_seq"],
+    ided = dense_ids(linked, ["FirstName", "LastName", "file_idx", "block_start", "line_seq"],
                      "CustomerID")
     return ided.select("CustomerID", "FirstName", "LastName", "Address", "City", "CountryID")
 
@@ -78,20 +78,16 @@ def customer_lookup(customer: DataFrame) -> DataFrame:
 
 # -- ProductCategory ---------------------------------------------------
 
-def product_category_table(lines: DataFrame) -> DataFrame:
+def product_category_table(entries: DataFrame) -> DataFrame:
     """N7: (category, description) pairs linked by list position; the
     first pair (file order, then position) of each category; sorted by
-    category, ProductCategoryID = 1..n."""
-    pairs = (_ok(lines)
-             .select("file_path", "block_start", "line_seq",
-                     F.posexplode(F.arrays_zip(
-                         F.col("ProductCategory").alias("c"),
-                         F.col("ProductCategoryDescription").alias("d"))).alias("pos", "p"))
-             .select(F.col("p.c").alias("ProductCategory"),
-                     F.col("p.d").alias("ProductCategoryDescription"),
-                     F.struct("file_path", "block_start", "line_seq", "pos").alias("__o"))
+    category, ProductCategoryID = 1..n.  ``entries``: see
+    ``sources.wide.explode_entries``."""
+    pairs = (entries
              .filter(F.col("ProductCategory").isNotNull()
-                     & F.col("ProductCategoryDescription").isNotNull()))
+                     & F.col("ProductCategoryDescription").isNotNull())
+             .select("ProductCategory", "ProductCategoryDescription",
+                     F.struct("file_idx", "block_start", "line_seq", "pos").alias("__o")))
     first = pairs.groupBy("ProductCategory").agg(
         F.min_by("ProductCategoryDescription", "__o").alias("ProductCategoryDescription"))
     return dense_ids(first, ["ProductCategory"], "ProductCategoryID").select(
@@ -106,18 +102,14 @@ def product_category_lookup(category: DataFrame) -> DataFrame:
 
 # -- Product -----------------------------------------------------------
 
-def product_table(lines: DataFrame, categories: DataFrame, strict: bool = True) -> DataFrame:
+def product_table(entries: DataFrame, categories: DataFrame, strict: bool = True) -> DataFrame:
     """N9: positional zip of (name, category, price text), shortest list
     wins; distinct triples on the RAW price text; stable sort by name
     (first occurrence breaks ties); price -> double; category -> id."""
-    z = text.zip_shortest(n=F.col("ProductName"), c=F.col("ProductCategory"),
-                          p=F.col("ProductUnitPrice"))
-    triples = (_ok(lines)
-               .select("file_path", "block_start", "line_seq",
-                       F.posexplode(z).alias("pos", "t"))
-               .select(F.col("t.n").alias("ProductName"), F.col("t.c").alias("CategoryName"),
-                       F.col("t.p").alias("PriceText"),
-                       F.struct("file_path", "block_start", "line_seq", "pos").alias("__o")))
+    triples = (entries.filter(F.col("pos") < F.col("n_triples"))
+               .select(F.col("ProductName"), F.col("ProductCategory").alias("CategoryName"),
+                       F.col("ProductUnitPrice").alias("PriceText"),
+                       F.struct("file_idx", "block_start", "line_seq", "pos").alias("__o")))
     distinct = (triples.groupBy("ProductName", "CategoryName", "PriceText")
                 .agg(F.min("__o").alias("__first")))
     linked = strict_join(distinct, "CategoryName", product_category_lookup(categories),

@@ -1,32 +1,35 @@
 """OrderDetail builder (normalisation step 11).
 
-Per line: look the raw name up (unknown -> the whole line is dropped),
-parse every quantity of the line (strict mode fails on a bad one, as the
-reference parses them all before looking at products), explode the
-product list with its position, take the date and quantity at the same
-position, look the product up (unknown -> entry dropped), parse the
-``yyyyMMdd`` date.  Entries whose date or quantity is missing (lists
-shorter than the product list) go to the reject table.
+Per line: look the raw name up (unknown -> the whole line is dropped);
+for every entry of a matched line parse the quantity (strict mode fails
+on a bad one anywhere in the line, as the reference parses them all
+before looking at products); entries are driven by the product list:
+look the product up (unknown -> dropped), take the date and quantity at
+the same position and parse the ``yyyyMMdd`` date.  Entries whose date
+or quantity is missing (lists shorter than the product list) go to the
+reject table; positions beyond the product list are ignored.
 
-OrderID is dense 1..n in file order (line order key, then position)
-over the rows that survive, computed with ``dense_ids`` (distributed
-range sort + bucket offsets, no single-partition window).
+OrderID is dense 1..n in file order over the surviving rows:
+``offset(line) + rank of the position inside the line``, where
+``offset`` is the prefix sum of surviving rows over the lines in file
+order (``prefix_offsets``: one row per line, never one per order).  All
+inputs are written tables, so the counts and the ids see the same rows.
 
-Skew: a line is one record, so it was read by one task anyway; after
-the explode the rows are re-distributed by the product join and the
-range sort, so a customer with a huge line does not pin later stages.
+Skew: a line is one text record, so the format bounds it by what one
+task can read; the rank inside a line works on that line's rows only.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.functions import dates
-from orderlens.operators.keys import dense_ids
+from orderlens.operators.keys import prefix_offsets
 from orderlens.operators.lookup import lenient_join, missing_keys
+from orderlens.session import pin
 from orderlens.sources.wide import ORDER_KEY
 
 
@@ -36,47 +39,52 @@ class FactResult:
     rejects: DataFrame
 
 
-def order_detail_table(lines: DataFrame, customers: DataFrame, products: DataFrame,
-                       strict: bool = True) -> FactResult:
-    """N11.  ``customers`` = N6 lookup (Name, CustomerID); ``products`` =
+def order_detail_table(lines: DataFrame, entries: DataFrame, customers: DataFrame,
+                       products: DataFrame, strict: bool = True) -> FactResult:
+    """N11.  ``lines``/``entries``: staged wide lines and their exploded
+    entries; ``customers`` = N6 lookup (Name, CustomerID); ``products`` =
     N10 lookup (ProductName, ProductID)."""
-    ok = lines.filter(F.col("ok")).select(
-        *ORDER_KEY, F.col("Name").alias("RawName"), "ProductName", "QuantityOrdered",
-        "OrderDate")
-    matched = lenient_join(ok, "RawName", customers, "Name", "CustomerID")
-    if strict:
-        qty = F.transform("QuantityOrdered", lambda q: q.cast("bigint"))
-    else:
-        qty = F.expr("transform(QuantityOrdered, q -> try_cast(q AS bigint))")
-    parsed = matched.select(*ORDER_KEY, "CustomerID", "ProductName",
-                            qty.alias("__qty"), F.col("OrderDate").alias("__dates"))
-    entries = parsed.select(
-        *ORDER_KEY, "CustomerID",
-        F.posexplode("ProductName").alias("pos", "Product"),
-        "__qty", "__dates")
-    entries = entries.select(
-        *ORDER_KEY, "CustomerID", "pos", "Product",
-        F.get(F.col("__qty"), F.col("pos")).alias("QuantityOrdered"),
-        F.get(F.col("__dates"), F.col("pos")).alias("DateText"))
-    known = lenient_join(entries, "Product", products, "ProductName", "ProductID")
-    known = known.withColumn("OrderDate", dates.parse_compact_date(F.col("DateText"), strict))
-    good = known.filter(F.col("QuantityOrdered").isNotNull() & F.col("OrderDate").isNotNull())
-    bad_entries = known.filter(F.col("QuantityOrdered").isNull() | F.col("OrderDate").isNull())
+    ok = lines.filter(F.col("ok")).select("line_seq", F.col("Name").alias("RawName"))
+    line_customer = lenient_join(ok, "RawName", customers, "Name", "CustomerID").select(
+        "line_seq", "CustomerID")
+    ents = entries.select(*ORDER_KEY, "pos", F.col("ProductName").alias("Product"),
+                          F.col("QuantityOrdered").alias("QtyText"),
+                          F.col("OrderDate").alias("DateText"))
+    matched = ents.join(line_customer, "line_seq")
+    lk = products.withColumnRenamed("ProductName", "__pn")
+    known = matched.join(lk, F.col("Product") == F.col("__pn"), "left").drop("__pn")
 
-    ided = dense_ids(good.select(*ORDER_KEY, "pos", "CustomerID", "ProductID", "OrderDate",
-                                 "QuantityOrdered"),
-                     [*ORDER_KEY, "pos"], "OrderID")
-    order_detail = ided.select("OrderID", "CustomerID", "ProductID", "OrderDate",
-                               "QuantityOrdered")
+    qty = (F.col("QtyText").cast("bigint") if strict
+           else F.expr("try_cast(QtyText AS bigint)"))
+    date = F.when(F.col("ProductID").isNotNull(),
+                  dates.parse_compact_date(F.col("DateText"), strict))
+    # The quantity test comes first so every quantity of a matched line is
+    # parsed (strict mode raises on a bad one, even beyond the products).
+    status = (F.when(qty.isNull() & F.col("Product").isNotNull(),
+                     F.lit("missing or bad quantity"))
+              .when(F.col("Product").isNull(), F.lit("extra"))
+              .when(F.col("ProductID").isNull(),
+                    F.concat(F.lit("unknown product: "), F.col("Product")))
+              .when(date.isNull(), F.lit("missing or bad date"))
+              .otherwise(F.lit("ok")))
+    # Written once: the id counts, the ids and the rejects all read it.
+    flagged = pin(known.select(*ORDER_KEY, "pos", "CustomerID", "ProductID",
+                               date.alias("OrderDate"), qty.alias("QuantityOrdered"),
+                               status.alias("status")), "order_entries")
+    good = flagged.filter(F.col("status") == "ok").drop("status")
 
-    unknown_customer = missing_keys(ok, "RawName", customers, "Name").select(
+    counts = good.groupBy(*ORDER_KEY).agg(F.count(F.lit(1)).alias("__n"))
+    offsets = prefix_offsets(counts, list(ORDER_KEY), "__n", "__start").select(
+        "line_seq", "__start")
+    in_line = Window.partitionBy("line_seq").orderBy("pos")
+    order_detail = (good.join(offsets, "line_seq")
+                    .select((F.col("__start") + F.row_number().over(in_line)).alias("OrderID"),
+                            "CustomerID", "ProductID", "OrderDate", "QuantityOrdered"))
+
+    unknown_customer = missing_keys(lines.filter(F.col("ok")), "Name", customers, "Name").select(
         *ORDER_KEY, F.lit(-1).cast("int").alias("pos"),
-        F.concat(F.lit("unknown customer: "), F.col("RawName")).alias("reason"))
-    unknown_product = missing_keys(entries, "Product", products, "ProductName").select(
-        *ORDER_KEY, "pos", F.concat(F.lit("unknown product: "), F.col("Product")).alias("reason"))
-    missing = bad_entries.select(
-        *ORDER_KEY, "pos",
-        F.when(F.col("QuantityOrdered").isNull(), F.lit("missing or bad quantity"))
-        .otherwise(F.lit("missing or bad date")).alias("reason"))
-    rejects = unknown_customer.unionByName(unknown_product).unionByName(missing)
-    return FactResult(order_detail=order_detail, rejects=rejects)
+        F.concat(F.lit("unknown customer: "), F.col("Name")).alias("reason"))
+    entry_rejects = flagged.filter(~F.col("status").isin("ok", "extra")).select(
+        *ORDER_KEY, "pos", F.col("status").alias("reason"))
+    return FactResult(order_detail=order_detail,
+                      rejects=unknown_customer.unionByName(entry_rejects))

@@ -72,3 +72,30 @@ def _dense_ids_distributed(df: DataFrame, order: list[Column], id_col: str,
     out = tagged.join(F.broadcast(stats.select("__b", "__m0", "__start")), "__b")
     return out.select(
         *cols, (F.col("__start") + (F.col("__m") - F.col("__m0")) + 1).alias(id_col))
+
+
+def prefix_offsets(df: DataFrame, order_by: Sequence[Column | str], weight: str,
+                   out_col: str, buckets: int | None = None,
+                   small_limit: int = SMALL_ROWS) -> DataFrame:
+    """Add ``out_col`` = sum of ``weight`` over all rows strictly before
+    this one in ``order_by`` (a total order).
+
+    Small inputs (bounded count <= ``small_limit``) use one window; larger
+    ones are range-partitioned, pinned, summed per bucket (<= ``buckets``
+    rows, broadcast) and finished with a running sum inside each bucket.
+    """
+    order = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    before = Window.unboundedPreceding, -1
+    if small_limit > 0 and df.limit(small_limit + 1).count() <= small_limit:
+        w = Window.orderBy(*order).rowsBetween(*before)
+        return df.withColumn(out_col, F.coalesce(F.sum(weight).over(w), F.lit(0)).cast("bigint"))
+    n = _n_buckets(df, buckets)
+    cols = df.columns
+    tagged = pin(df.repartitionByRange(n, *order).withColumn("__b", F.spark_partition_id()))
+    totals = tagged.groupBy("__b").agg(F.sum(weight).alias("__tot"))
+    prior = Window.orderBy("__b").rowsBetween(*before)
+    totals = totals.select("__b", F.coalesce(F.sum("__tot").over(prior), F.lit(0)).alias("__base"))
+    inside = Window.partitionBy("__b").orderBy(*order).rowsBetween(*before)
+    out = (tagged.withColumn("__in", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+           .join(F.broadcast(totals), "__b"))
+    return out.select(*cols, (F.col("__base") + F.col("__in")).cast("bigint").alias(out_col))

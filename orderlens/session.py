@@ -85,11 +85,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def pin(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder.
+def pin(df: DataFrame, name: str = "pinned") -> DataFrame:
+    """Cut lineage by writing the rows as a Parquet table in the shared
+    checkpoint folder and reading them back.
 
     Used where a value must not change if a lost executor forces a
-    recomputation (ids derived from partition positions).
+    recomputation (ids derived from partition positions).  A columnar
+    table is cheaper to write and re-read than an RDD checkpoint of rows.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

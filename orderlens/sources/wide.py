@@ -8,10 +8,11 @@ file is a header, blank lines skipped, each line stripped)::
     8 ProductUnitPrice  9 QuantityOrdered  10 OrderDate      (5-10: ';'-lists)
 
 Line order matters (first-wins rules, OrderID), so every line carries an
-order key ``(file_path, block_start, line_seq)``: the file, the split
-inside the file, and ``monotonically_increasing_id`` which increases
-along a split.  Sorting by the key restores file order without one
-global sort at read time.
+order key ``(file_idx, block_start, line_seq)``: the file's rank among
+the input paths, the split inside the file, and
+``monotonically_increasing_id`` which increases along a split.  Sorting
+by the key restores file order without one global sort at read time,
+and the key is three numbers, so it is cheap to carry on every entry.
 
 The parsed lines are written once as Parquet in the shared scratch
 folder (``stage_lines``): the six table builders then read only the
@@ -20,7 +21,7 @@ columns they need instead of re-scanning and re-splitting the text.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderlens.functions import text
@@ -30,7 +31,7 @@ N_FIELDS = 11
 SCALAR_FIELDS = ("Name", "Address", "City", "Country", "Region")
 LIST_FIELDS = ("ProductName", "ProductCategory", "ProductCategoryDescription",
                "ProductUnitPrice", "QuantityOrdered", "OrderDate")
-ORDER_KEY = ("file_path", "block_start", "line_seq")
+ORDER_KEY = ("file_idx", "block_start", "line_seq")
 
 # A header table with one row per input file is broadcast only up to this
 # many files (the count is known on the driver from the file listing).
@@ -55,8 +56,13 @@ def read_raw_lines(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_block_start").alias("block_start"),
     ).withColumn("line_seq", F.monotonically_increasing_id())
     nonblank = raw.filter(~text.is_blank(F.col("value")))
+    # One row per input file: its header position and its rank by path.
+    # The rank is a window over the file rows only (bounded by the file
+    # listing, which the driver holds anyway).
     firsts = (nonblank.groupBy("file_path")
-              .agg(F.min(F.struct("block_start", "line_seq")).alias("__hdr")))
+              .agg(F.min(F.struct("block_start", "line_seq")).alias("__hdr"))
+              .withColumn("file_idx",
+                          F.row_number().over(Window.orderBy("file_path")).cast("int")))
     if len(src.inputFiles()) <= MAX_BROADCAST_FILES:
         firsts = F.broadcast(firsts)
     body = (nonblank.join(firsts, "file_path")
@@ -94,6 +100,32 @@ def stage_lines(parsed: DataFrame, name: str = "wide_lines") -> DataFrame:
     return spark.read.parquet(out)
 
 
+def explode_entries(lines: DataFrame) -> DataFrame:
+    """One row per list position of every ``ok`` line: the six list values
+    at that position (NULL where a list is shorter), the position, and
+    ``n_triples`` = the shortest of the name/category/price lists (the
+    product zip stops there).  The lists are zipped before exploding, so a
+    row carries only its own entry, never whole lists.
+    """
+    z = F.arrays_zip(*[F.col(c) for c in LIST_FIELDS])
+    n_triples = F.least(F.size("ProductName"), F.size("ProductCategory"),
+                        F.size("ProductUnitPrice"))
+    return (lines.filter(F.col("ok"))
+            .select(*ORDER_KEY, n_triples.alias("n_triples"),
+                    F.posexplode(z).alias("pos", "e"))
+            .select(*ORDER_KEY, "pos", "n_triples",
+                    *[F.col("e." + c).alias(c) for c in LIST_FIELDS]))
+
+
+def stage_entries(lines: DataFrame, name: str = "wide_entries") -> DataFrame:
+    """Explode once and write the entries (columnar) for the category,
+    product and order builders."""
+    spark = lines.sparkSession
+    out = scratch_path(spark, name)
+    explode_entries(lines).write.mode("overwrite").parquet(out)
+    return spark.read.parquet(out)
+
+
 def rejected_lines(parsed: DataFrame) -> DataFrame:
     """Lines with a wrong field count, as reject rows."""
     return parsed.filter(~F.col("ok")).select(
