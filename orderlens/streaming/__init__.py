@@ -1 +1,8 @@
-"""orderlens.streaming."""
+"""Streaming: intentionally empty.
+
+The source workload is batch only: it has no stream source, state,
+watermark, event-time window or late-data rule, so there is nothing to
+re-express with Structured Streaming.  The batch jobs in ``plans`` are
+idempotent overwrite writes and can be scheduled incrementally from
+outside if new wide files arrive.
+"""

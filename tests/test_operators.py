@@ -71,3 +71,35 @@ def test_quality_checks(spark):
     assert dups == [("p", "2", 2)]
     orphans = [tuple(r) for r in quality.orphan_keys([("c->p", child, "pid", parent, "id")]).collect()]
     assert orphans == [("c->p", "3", 2)]
+
+
+@pytest.mark.parametrize("small_limit", [0, 10_000])
+def test_prefix_offsets_both_paths(spark, small_limit):
+    from orderlens.operators.keys import prefix_offsets
+
+    rnd = random.Random(11)
+    rows = [(i, rnd.randint(0, 9)) for i in range(2000)]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "k long, w long")
+    got = {r.k: r.off for r in prefix_offsets(df, ["k"], "w", "off", buckets=5,
+                                              small_limit=small_limit).collect()}
+    acc, want = 0, {}
+    for k, w in sorted(rows):
+        want[k] = acc
+        acc += w
+    assert got == want
+
+
+def test_golden_csv_reader(spark, workdir):
+    import os
+
+    from orderlens.sources.tables import read_golden_csv
+
+    path = os.path.join(workdir, "golden.csv")
+    with open(path, "w", newline="") as f:
+        f.write('ProductCategoryID,ProductCategory,ProductCategoryDescription\r\n'
+                '1,Tools,"Hammers, saws, and drills"\r\n'
+                '2,Paint,"Brushes, rollers, ""quick-dry"" paint"\r\n')
+    rows = [tuple(r) for r in read_golden_csv(spark, path, "ProductCategory").collect()]
+    assert rows == [(1, "Tools", "Hammers, saws, and drills"),
+                    (2, "Paint", 'Brushes, rollers, "quick-dry" paint')]
