@@ -14,9 +14,11 @@ the input paths, the split inside the file, and
 by the key restores file order without one global sort at read time,
 and the key is three numbers, so it is cheap to carry on every entry.
 
-The parsed lines are written once as Parquet in the shared scratch
-folder (``stage_lines``): the six table builders then read only the
-columns they need instead of re-scanning and re-splitting the text.
+The text is scanned once: the parsed lines (eleven text fields) are
+written as Parquet in the shared scratch folder (``stage_lines``) and the
+six lists are split and exploded once into an entries table
+(``stage_entries``); the table builders then read only the columns they
+need instead of re-scanning and re-splitting the text.
 """
 
 from __future__ import annotations
@@ -48,56 +50,63 @@ def line_key() -> Column:
 
 
 def read_raw_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Non-blank, stripped lines with their order key; headers removed."""
-    src = spark.read.text(path)
-    raw = src.select(
+    """Non-blank, stripped lines with ``(file_path, block_start, line_seq)``
+    (headers still included; ``stage_lines`` removes them)."""
+    raw = spark.read.text(path).select(
         F.col("value"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
     ).withColumn("line_seq", F.monotonically_increasing_id())
-    nonblank = raw.filter(~text.is_blank(F.col("value")))
-    # One row per input file: its header position and its rank by path.
-    # The rank is a window over the file rows only (bounded by the file
-    # listing, which the driver holds anyway).
-    firsts = (nonblank.groupBy("file_path")
-              .agg(F.min(F.struct("block_start", "line_seq")).alias("__hdr"))
-              .withColumn("file_idx",
-                          F.row_number().over(Window.orderBy("file_path")).cast("int")))
-    if len(src.inputFiles()) <= MAX_BROADCAST_FILES:
-        firsts = F.broadcast(firsts)
-    body = (nonblank.join(firsts, "file_path")
-            .filter(F.struct("block_start", "line_seq") != F.col("__hdr"))
-            .drop("__hdr"))
-    return body.select(*ORDER_KEY, text.strip_line(F.col("value")).alias("line"))
+    return (raw.filter(~text.is_blank(F.col("value")))
+            .select("file_path", "block_start", "line_seq",
+                    text.strip_line(F.col("value")).alias("line")))
 
 
 def parse_lines(lines: DataFrame, sep: str = "\t") -> DataFrame:
-    """Split lines into the eleven named fields (lists split on ';').
+    """Split lines into the eleven named text fields.  The six list fields
+    stay unsplit here (they are split once, in ``explode_entries``).
 
     ``n_fields`` keeps the real field count; lines with a count other
     than 11 are flagged ``ok = false`` and go to the reject table.
     """
     f = text.split_fields(F.col("line"), sep)
-    cols = [F.get(F.col("__f"), i).alias(name) for i, name in enumerate(SCALAR_FIELDS)]
-    cols += [text.split_list(F.get(F.col("__f"), 5 + i)).alias(name)
-             for i, name in enumerate(LIST_FIELDS)]
+    names = SCALAR_FIELDS + LIST_FIELDS
+    cols = [F.get(F.col("__f"), i).alias(name) for i, name in enumerate(names)]
     return (lines.withColumn("__f", f)
-            .select(*ORDER_KEY, F.size("__f").alias("n_fields"),
+            .select("file_path", "block_start", "line_seq", F.size("__f").alias("n_fields"),
                     (F.size("__f") == N_FIELDS).alias("ok"), *cols))
 
 
 def read_wide(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
-    """Scan + parse (lazy)."""
+    """Scan + parse (lazy; headers still included)."""
     return parse_lines(read_raw_lines(spark, path), sep)
 
 
 def stage_lines(parsed: DataFrame, name: str = "wide_lines") -> DataFrame:
-    """Write the parsed lines once to the shared scratch folder and read
-    them back (cuts lineage; later builders prune columns)."""
+    """Write the parsed lines once to the shared scratch folder, then drop
+    each file's header (its first non-blank line) and replace the path by
+    the file's rank ``file_idx``.
+
+    The header positions are one row per input file, computed from the
+    staged table (three numeric columns) and brought to the driver: that
+    is bounded by the file listing the driver holds anyway.  Above
+    ``MAX_BROADCAST_FILES`` files they stay distributed and are joined.
+    """
     spark = parsed.sparkSession
     out = scratch_path(spark, name)
     parsed.write.mode("overwrite").parquet(out)
-    return spark.read.parquet(out)
+    staged = spark.read.parquet(out)
+    firsts = (staged.groupBy("file_path")
+              .agg(F.min(F.struct("block_start", "line_seq")).alias("__hdr"))
+              .withColumn("file_idx", F.row_number().over(Window.orderBy("file_path")).cast("int")))
+    few = firsts.limit(MAX_BROADCAST_FILES + 1).collect()
+    if len(few) <= MAX_BROADCAST_FILES:
+        firsts = F.broadcast(spark.createDataFrame(few, firsts.schema))
+    return (staged.join(firsts, "file_path")
+            .filter(F.struct("block_start", "line_seq") != F.col("__hdr"))
+            .drop("__hdr", "file_path")
+            .select(*ORDER_KEY, *[c for c in staged.columns if c not in ORDER_KEY
+                                  and c != "file_path"]))
 
 
 def explode_entries(lines: DataFrame) -> DataFrame:
@@ -107,10 +116,12 @@ def explode_entries(lines: DataFrame) -> DataFrame:
     product zip stops there).  The lists are zipped before exploding, so a
     row carries only its own entry, never whole lists.
     """
+    lists = lines.filter(F.col("ok")).select(
+        *ORDER_KEY, *[text.split_list(F.col(c)).alias(c) for c in LIST_FIELDS])
     z = F.arrays_zip(*[F.col(c) for c in LIST_FIELDS])
     n_triples = F.least(F.size("ProductName"), F.size("ProductCategory"),
                         F.size("ProductUnitPrice"))
-    return (lines.filter(F.col("ok"))
+    return (lists
             .select(*ORDER_KEY, n_triples.alias("n_triples"),
                     F.posexplode(z).alias("pos", "e"))
             .select(*ORDER_KEY, "pos", "n_triples",
