@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from orderlens.functions import dates, money
 from orderlens.operators.gaps import longest_gaps
+from orderlens.operators.lookup import bounded_broadcast
 from orderlens.operators.ranking import top_k, with_rank
 from orderlens.plans.model import RetailModel
 
@@ -22,22 +23,34 @@ def _line():
     return F.col("LineTotal")
 
 
-def _customer_id_for(model: RetailModel, customer_name: str) -> DataFrame:
-    """Name -> CustomerID with last-id-wins on duplicate names (one row, or
-    none for an unknown name)."""
-    return (model.customer.filter(F.col("Name") == F.lit(customer_name))
-            .groupBy("Name").agg(F.max("CustomerID").alias("CustomerID")))
+def _customer_id_for(model: RetailModel, customer_name: str) -> int | None:
+    """Name -> CustomerID, last id wins on duplicate names.  Exactly one
+    value comes back to the driver (or None for an unknown name), which
+    then filters the facts as a literal, so the filter reaches the scan."""
+    row = (model.customer.filter(F.col("Name") == F.lit(customer_name))
+           .agg(F.max("CustomerID").alias("id")).collect()[0])
+    return row["id"]
+
+
+def _customer_rows(model: RetailModel, customer_id: int | None) -> DataFrame:
+    """Order lines of one customer: ``OrderKey, ProductID, QuantityOrdered,
+    CustomerID, OrderDate``.  The customer's baskets are broadcast only
+    behind a bounded count; a customer with more baskets than that is
+    joined by shuffle."""
+    cid = F.lit(customer_id).cast("bigint")
+    if model.baskets is None:
+        return model.lines.filter(F.col("CustomerID") == cid)
+    baskets = bounded_broadcast(model.baskets.filter(F.col("CustomerID") == cid))
+    return model.lines.join(baskets, "OrderKey")
 
 
 def q01_customer_orders(model: RetailModel, customer_name: str) -> DataFrame:
     """All order lines of one customer with the line total (2 dp)."""
-    who = _customer_id_for(model, customer_name)
-    if model.baskets is None:
-        rows = model.lines.join(who.select("CustomerID"), "CustomerID")
-    else:
-        baskets = model.baskets.join(who.select("CustomerID"), "CustomerID")
-        rows = model.lines.join(baskets, "OrderKey")
+    cid = _customer_id_for(model, customer_name)
+    rows = _customer_rows(model, cid)
     prod = model.product.select("ProductID", "ProductName", "ProductUnitPrice")
+    who = model.customer.filter(F.col("CustomerID") == F.lit(cid).cast("bigint")).select(
+        "CustomerID", "Name")
     return (rows.join(prod, "ProductID").join(who, "CustomerID")
             .select("Name", "ProductName", "OrderDate",
                     money.to_double(F.col("ProductUnitPrice")).alias("ProductUnitPrice"),
@@ -49,15 +62,12 @@ def q01_customer_orders(model: RetailModel, customer_name: str) -> DataFrame:
 
 def q02_customer_total(model: RetailModel, customer_name: str) -> DataFrame:
     """Sum of one customer's line totals, rounded to 2 dp."""
-    who = _customer_id_for(model, customer_name)
-    if model.baskets is None:
-        rows = model.lines.join(who.select("CustomerID"), "CustomerID")
-        priced = rows.join(model.product.select("ProductID", "ProductUnitPrice"), "ProductID")
-    else:
-        baskets = model.baskets.join(who.select("CustomerID"), "CustomerID")
-        priced = (model.lines.join(baskets.select("OrderKey", "CustomerID"), "OrderKey")
-                  .join(model.product.select("ProductID", "ProductUnitPrice"), "ProductID"))
+    cid = _customer_id_for(model, customer_name)
+    priced = _customer_rows(model, cid).join(
+        model.product.select("ProductID", "ProductUnitPrice"), "ProductID")
     total = money.line_total(F.col("ProductUnitPrice"), F.col("QuantityOrdered"))
+    who = model.customer.filter(F.col("CustomerID") == F.lit(cid).cast("bigint")).select(
+        "CustomerID", "Name")
     return (priced.groupBy("CustomerID").agg(F.sum(total).alias("total"))
             .join(who, "CustomerID")
             .select("Name", money.round_to_double(F.col("total"), 2).alias("Total")))
