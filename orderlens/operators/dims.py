@@ -23,10 +23,17 @@ def _ok(lines: DataFrame) -> DataFrame:
 
 # -- Region ------------------------------------------------------------
 
-def region_table(lines: DataFrame) -> DataFrame:
-    """N1: distinct Region values, sorted, RegionID = 1..n."""
+def _bound(n_lines: int | None) -> int | None:
+    return n_lines if n_lines is not None and n_lines >= 0 else None
+
+
+def region_table(lines: DataFrame, n_lines: int | None = None) -> DataFrame:
+    """N1: distinct Region values, sorted, RegionID = 1..n.  ``n_lines``:
+    an upper bound on the line count, if known (bounds every per-line
+    table built here)."""
     regions = _ok(lines).select("Region").distinct()
-    return dense_ids(regions, ["Region"], "RegionID").select("RegionID", "Region")
+    return dense_ids(regions, ["Region"], "RegionID", known_rows=_bound(n_lines)).select(
+        "RegionID", "Region")
 
 
 def region_lookup(region: DataFrame) -> DataFrame:
@@ -36,14 +43,15 @@ def region_lookup(region: DataFrame) -> DataFrame:
 
 # -- Country -----------------------------------------------------------
 
-def country_table(lines: DataFrame, regions: DataFrame) -> DataFrame:
+def country_table(lines: DataFrame, regions: DataFrame, n_lines: int | None = None) -> DataFrame:
     """N3: each country takes the region of its FIRST line; sorted by
     country; RegionID through the strict region lookup."""
     first = (_ok(lines).groupBy("Country")
              .agg(F.min_by("Region", line_key()).alias("RegionName")))
     linked = strict_join(first, "RegionName", region_lookup(regions), "Region",
                          "RegionID", "region")
-    return dense_ids(linked, ["Country"], "CountryID").select("CountryID", "Country", "RegionID")
+    return dense_ids(linked, ["Country"], "CountryID", known_rows=_bound(n_lines)).select(
+        "CountryID", "Country", "RegionID")
 
 
 def country_lookup(country: DataFrame) -> DataFrame:
@@ -53,7 +61,8 @@ def country_lookup(country: DataFrame) -> DataFrame:
 
 # -- Customer ----------------------------------------------------------
 
-def customer_table(lines: DataFrame, countries: DataFrame) -> DataFrame:
+def customer_table(lines: DataFrame, countries: DataFrame,
+                   n_lines: int | None = None) -> DataFrame:
     """N5: one customer per line (no de-duplication).  Name split into the
     first token and the rest; sorted by (FirstName, LastName) with file
     order breaking ties (Python's stable sort)."""
@@ -66,7 +75,7 @@ def customer_table(lines: DataFrame, countries: DataFrame) -> DataFrame:
     linked = strict_join(cust, "CountryName", country_lookup(countries), "Country",
                          "CountryID", "country")
     ided = dense_ids(linked, ["FirstName", "LastName", "file_idx", "block_start", "line_seq"],
-                     "CustomerID")
+                     "CustomerID", known_rows=_bound(n_lines))
     return ided.select("CustomerID", "FirstName", "LastName", "Address", "City", "CountryID")
 
 

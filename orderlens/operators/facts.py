@@ -40,7 +40,8 @@ class FactResult:
 
 
 def order_detail_table(lines: DataFrame, entries: DataFrame, customers: DataFrame,
-                       products: DataFrame, strict: bool = True) -> FactResult:
+                       products: DataFrame, strict: bool = True,
+                       n_lines: int | None = None) -> FactResult:
     """N11.  ``lines``/``entries``: staged wide lines and their exploded
     entries; ``customers`` = N6 lookup (Name, CustomerID); ``products`` =
     N10 lookup (ProductName, ProductID)."""
@@ -74,8 +75,9 @@ def order_detail_table(lines: DataFrame, entries: DataFrame, customers: DataFram
     good = flagged.filter(F.col("status") == "ok").drop("status")
 
     counts = good.groupBy(*ORDER_KEY).agg(F.count(F.lit(1)).alias("__n"))
-    offsets = prefix_offsets(counts, list(ORDER_KEY), "__n", "__start").select(
-        "line_seq", "__start")
+    bound = n_lines if n_lines is not None and n_lines >= 0 else None
+    offsets = prefix_offsets(counts, list(ORDER_KEY), "__n", "__start",
+                             known_rows=bound).select("line_seq", "__start")
     in_line = Window.partitionBy("line_seq").orderBy("pos")
     order_detail = (good.join(offsets, "line_seq")
                     .select((F.col("__start") + F.row_number().over(in_line)).alias("OrderID"),

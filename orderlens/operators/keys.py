@@ -18,8 +18,9 @@ The order columns must define a total order (append a unique tie-break
 such as the line order key), otherwise equal keys get arbitrary ids.
 
 Small inputs skip the machinery behind a run-time size check: a bounded
-count (``limit(k + 1).count()``) proves the input has at most ``k`` rows,
-and only then is a plain ``row_number()`` window (one task) used.  Beyond
+count (``limit(k + 1).count()``), or an upper bound the caller already
+holds (e.g. the staged line count), proves the input has at most ``k``
+rows, and only then is a plain ``row_number()`` window (one task) used.  Beyond
 ``k`` the distributed path above runs.  With a total order the window
 result is deterministic, so it needs no checkpoint.
 """
@@ -45,12 +46,24 @@ def _n_buckets(df: DataFrame, n: int | None) -> int:
 SMALL_ROWS = 100_000
 
 
+def _is_small(df: DataFrame, small_limit: int, known_rows: int | None) -> bool:
+    """True when ``df`` provably has at most ``small_limit`` rows: from a
+    known upper bound if the caller has one, else from a bounded count."""
+    if small_limit <= 0:
+        return False
+    if known_rows is not None and known_rows <= small_limit:
+        return True
+    return df.limit(small_limit + 1).count() <= small_limit
+
+
 def dense_ids(df: DataFrame, order_by: Sequence[Column | str], id_col: str,
-              buckets: int | None = None, small_limit: int = SMALL_ROWS) -> DataFrame:
+              buckets: int | None = None, small_limit: int = SMALL_ROWS,
+              known_rows: int | None = None) -> DataFrame:
     """Add ``id_col`` = 1..n following ``order_by`` (ascending unless the
-    Column says otherwise)."""
+    Column says otherwise).  ``known_rows``: an upper bound on the row
+    count, if the caller knows one (saves the bounded count)."""
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    if small_limit > 0 and df.limit(small_limit + 1).count() <= small_limit:
+    if _is_small(df, small_limit, known_rows):
         return df.withColumn(id_col, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
     return _dense_ids_distributed(df, order, id_col, buckets)
 
@@ -76,7 +89,7 @@ def _dense_ids_distributed(df: DataFrame, order: list[Column], id_col: str,
 
 def prefix_offsets(df: DataFrame, order_by: Sequence[Column | str], weight: str,
                    out_col: str, buckets: int | None = None,
-                   small_limit: int = SMALL_ROWS) -> DataFrame:
+                   small_limit: int = SMALL_ROWS, known_rows: int | None = None) -> DataFrame:
     """Add ``out_col`` = sum of ``weight`` over all rows strictly before
     this one in ``order_by`` (a total order).
 
@@ -86,7 +99,7 @@ def prefix_offsets(df: DataFrame, order_by: Sequence[Column | str], weight: str,
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     before = Window.unboundedPreceding, -1
-    if small_limit > 0 and df.limit(small_limit + 1).count() <= small_limit:
+    if _is_small(df, small_limit, known_rows):
         w = Window.orderBy(*order).rowsBetween(*before)
         return df.withColumn(out_col, F.coalesce(F.sum(weight).over(w), F.lit(0)).cast("bigint"))
     n = _n_buckets(df, buckets)

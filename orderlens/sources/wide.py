@@ -83,6 +83,11 @@ def read_wide(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
 
 
 def stage_lines(parsed: DataFrame, name: str = "wide_lines") -> DataFrame:
+    """``stage_lines_bounded`` without the bound."""
+    return stage_lines_bounded(parsed, name)[0]
+
+
+def stage_lines_bounded(parsed: DataFrame, name: str = "wide_lines") -> tuple[DataFrame, int]:
     """Write the parsed lines once to the shared scratch folder, then drop
     each file's header (its first non-blank line) and replace the path by
     the file's rank ``file_idx``.
@@ -91,22 +96,30 @@ def stage_lines(parsed: DataFrame, name: str = "wide_lines") -> DataFrame:
     staged table (three numeric columns) and brought to the driver: that
     is bounded by the file listing the driver holds anyway.  Above
     ``MAX_BROADCAST_FILES`` files they stay distributed and are joined.
+
+    Also returns an upper bound on the number of lines (the per-file line
+    counts summed; -1 when not collected), which bounds every table with
+    at most one row per line.
     """
     spark = parsed.sparkSession
     out = scratch_path(spark, name)
     parsed.write.mode("overwrite").parquet(out)
     staged = spark.read.parquet(out)
     firsts = (staged.groupBy("file_path")
-              .agg(F.min(F.struct("block_start", "line_seq")).alias("__hdr"))
+              .agg(F.min(F.struct("block_start", "line_seq")).alias("__hdr"),
+                   F.count(F.lit(1)).alias("__lines"))
               .withColumn("file_idx", F.row_number().over(Window.orderBy("file_path")).cast("int")))
     few = firsts.limit(MAX_BROADCAST_FILES + 1).collect()
+    bound = -1
     if len(few) <= MAX_BROADCAST_FILES:
+        bound = sum(r["__lines"] for r in few)
         firsts = F.broadcast(spark.createDataFrame(few, firsts.schema))
-    return (staged.join(firsts, "file_path")
-            .filter(F.struct("block_start", "line_seq") != F.col("__hdr"))
-            .drop("__hdr", "file_path")
-            .select(*ORDER_KEY, *[c for c in staged.columns if c not in ORDER_KEY
-                                  and c != "file_path"]))
+    lines = (staged.join(firsts.drop("__lines"), "file_path")
+             .filter(F.struct("block_start", "line_seq") != F.col("__hdr"))
+             .drop("__hdr", "file_path")
+             .select(*ORDER_KEY, *[c for c in staged.columns if c not in ORDER_KEY
+                                   and c != "file_path"]))
+    return lines, bound
 
 
 def explode_entries(lines: DataFrame) -> DataFrame:
