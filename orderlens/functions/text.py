@@ -51,12 +51,5 @@ def full_name(first: Column, last: Column) -> Column:
     return F.concat(first, F.lit(" "), last)
 
 
-def zip_shortest(**arrays: Column) -> Column:
-    """Positional zip that stops at the shortest list (Python ``zip``);
-    struct fields are named after the keyword arguments."""
-    n = F.least(*[F.size(a) for a in arrays.values()])
-    return F.arrays_zip(*[F.slice(a, 1, n).alias(k) for k, a in arrays.items()])
-
-
 def _regex_quote(sep: str) -> str:
     return "".join("\\" + ch if not ch.isalnum() else ch for ch in sep)

@@ -1,4 +1,4 @@
-"""Ranking operators: RANK within groups, top-k per group, arg-max.
+"""Ranking operators: RANK within groups and top-k per group.
 
 All use ``rank()`` (ties share a rank and are all kept).  A filter
 ``rank <= k`` directly above the window lets Spark insert a
@@ -35,10 +35,3 @@ def top_k(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[Column]
     """Rows whose rank within their group is <= k (ties kept)."""
     ranked = df.withColumn(name, F.rank().over(_window(partition_by, order_by)))
     return ranked.filter(F.col(name) <= k).withColumn(name, F.col(name).cast("bigint"))
-
-
-def first_per_group(df: DataFrame, partition_by: Sequence[str],
-                    order_by: Sequence[Column]) -> DataFrame:
-    """All rows ranked first in their group (arg-max/arg-min with ties)."""
-    tmp = "__rank_first"
-    return top_k(df, partition_by, order_by, 1, tmp).drop(tmp)

@@ -40,10 +40,6 @@ ORDER_KEY = ("file_idx", "block_start", "line_seq")
 MAX_BROADCAST_FILES = 200_000
 
 
-def line_order(prefix: str = "") -> list[Column]:
-    return [F.col(prefix + c) for c in ORDER_KEY]
-
-
 def line_key() -> Column:
     """The line order key as one orderable struct."""
     return F.struct(*[F.col(c) for c in ORDER_KEY])

@@ -127,6 +127,17 @@ def test_longest_gap_edge_rows(spark, workdir, base_rows):
     assert (("Kai", "Berg"), 29.0, "2012-03-01") in rows
 
 
+def test_reopen_written_tables(spark, workdir, base_rows):
+    from orderlens.plans.normalize import open_normalized
+
+    n = normalize(spark, write_wide(os.path.join(workdir, "in"), base_rows),
+                  out_dir=os.path.join(workdir, "out"))
+    again = open_normalized(spark, n.out_dir)
+    for t in ("Region", "Country", "Customer", "ProductCategory", "Product", "OrderDetail"):
+        assert sorted(map(tuple, again.table(t).collect())) == \
+            sorted(map(tuple, n.table(t).collect()))
+
+
 def test_duplicate_price_text_makes_two_products(spark, workdir):
     rows = [line("A B", products="Bolt", prices="39", qtys="1", dates="20120101"),
             line("C D", products="Bolt", prices="39.0", qtys="2", dates="20120102")]
