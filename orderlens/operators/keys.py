@@ -46,9 +46,12 @@ def _n_buckets(df: DataFrame, n: int | None) -> int:
 SMALL_ROWS = 100_000
 
 
-def _is_small(df: DataFrame, small_limit: int, known_rows: int | None) -> bool:
-    """True when ``df`` provably has at most ``small_limit`` rows: from a
-    known upper bound if the caller has one, else from a bounded count."""
+def _is_small(df: DataFrame, small_limit: int | None, known_rows: int | None) -> bool:
+    """True when ``df`` provably has at most ``small_limit`` rows
+    (default ``SMALL_ROWS``): from a known upper bound if the caller has
+    one, else from a bounded count."""
+    if small_limit is None:
+        small_limit = SMALL_ROWS
     if small_limit <= 0:
         return False
     if known_rows is not None and known_rows <= small_limit:
@@ -57,7 +60,7 @@ def _is_small(df: DataFrame, small_limit: int, known_rows: int | None) -> bool:
 
 
 def dense_ids(df: DataFrame, order_by: Sequence[Column | str], id_col: str,
-              buckets: int | None = None, small_limit: int = SMALL_ROWS,
+              buckets: int | None = None, small_limit: int | None = None,
               known_rows: int | None = None) -> DataFrame:
     """Add ``id_col`` = 1..n following ``order_by`` (ascending unless the
     Column says otherwise).  ``known_rows``: an upper bound on the row
@@ -89,11 +92,11 @@ def _dense_ids_distributed(df: DataFrame, order: list[Column], id_col: str,
 
 def prefix_offsets(df: DataFrame, order_by: Sequence[Column | str], weight: str,
                    out_col: str, buckets: int | None = None,
-                   small_limit: int = SMALL_ROWS, known_rows: int | None = None) -> DataFrame:
+                   small_limit: int | None = None, known_rows: int | None = None) -> DataFrame:
     """Add ``out_col`` = sum of ``weight`` over all rows strictly before
     this one in ``order_by`` (a total order).
 
-    Small inputs (bounded count <= ``small_limit``) use one window; larger
+    Small inputs (provably <= ``small_limit`` rows) use one window; larger
     ones are range-partitioned, pinned, summed per bucket (<= ``buckets``
     rows, broadcast) and finished with a running sum inside each bucket.
     """
