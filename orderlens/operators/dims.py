@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from orderlens.functions import text
 from orderlens.operators.keys import dense_ids
 from orderlens.operators.lookup import lookup_map, strict_join
-from orderlens.sources.wide import line_key
+from orderlens.sources.wide import packed_entry_order, packed_line_order
 
 
 def _ok(lines: DataFrame) -> DataFrame:
@@ -46,8 +46,11 @@ def region_lookup(region: DataFrame) -> DataFrame:
 def country_table(lines: DataFrame, regions: DataFrame, n_lines: int | None = None) -> DataFrame:
     """N3: each country takes the region of its FIRST line; sorted by
     country; RegionID through the strict region lookup."""
-    first = (_ok(lines).groupBy("Country")
-             .agg(F.min_by("Region", line_key()).alias("RegionName")))
+    # (country, region) pairs first: a hash aggregate over all lines; the
+    # first-wins pick then runs on the small pairs table.
+    pairs = (_ok(lines).groupBy("Country", "Region")
+             .agg(F.min(packed_line_order()).alias("__o")))
+    first = pairs.groupBy("Country").agg(F.min_by("Region", "__o").alias("RegionName"))
     linked = strict_join(first, "RegionName", region_lookup(regions), "Region",
                          "RegionID", "region")
     return dense_ids(linked, ["Country"], "CountryID", known_rows=_bound(n_lines)).select(
@@ -95,8 +98,8 @@ def product_category_table(entries: DataFrame) -> DataFrame:
     pairs = (entries
              .filter(F.col("ProductCategory").isNotNull()
                      & F.col("ProductCategoryDescription").isNotNull())
-             .select("ProductCategory", "ProductCategoryDescription",
-                     F.struct("file_idx", "block_start", "line_seq", "pos").alias("__o")))
+             .groupBy("ProductCategory", "ProductCategoryDescription")
+             .agg(F.min(packed_entry_order()).alias("__o")))
     first = pairs.groupBy("ProductCategory").agg(
         F.min_by("ProductCategoryDescription", "__o").alias("ProductCategoryDescription"))
     return dense_ids(first, ["ProductCategory"], "ProductCategoryID").select(
@@ -118,7 +121,7 @@ def product_table(entries: DataFrame, categories: DataFrame, strict: bool = True
     triples = (entries.filter(F.col("pos") < F.col("n_triples"))
                .select(F.col("ProductName"), F.col("ProductCategory").alias("CategoryName"),
                        F.col("ProductUnitPrice").alias("PriceText"),
-                       F.struct("file_idx", "block_start", "line_seq", "pos").alias("__o")))
+                       packed_entry_order().alias("__o")))
     distinct = (triples.groupBy("ProductName", "CategoryName", "PriceText")
                 .agg(F.min("__o").alias("__first")))
     linked = strict_join(distinct, "CategoryName", product_category_lookup(categories),

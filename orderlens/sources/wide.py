@@ -40,9 +40,40 @@ ORDER_KEY = ("file_idx", "block_start", "line_seq")
 MAX_BROADCAST_FILES = 200_000
 
 
-def line_key() -> Column:
-    """The line order key as one orderable struct."""
-    return F.struct(*[F.col(c) for c in ORDER_KEY])
+# Fixed layout of the packed order key (bits per part, most significant
+# first): file rank, split start offset, row inside the split, list
+# position.  22 + 40 + 33 + 28 = 123 bits, inside decimal(38,0).
+FILE_BITS, BLOCK_BITS, ROW_BITS, POS_BITS = 22, 40, 33, 28
+
+
+def _checked(c: Column, bits: int, what: str) -> Column:
+    return F.when(c < F.lit(1 << bits), c).otherwise(
+        F.raise_error(F.lit(f"order key overflow: {what} needs more than {bits} bits")))
+
+
+def _dec(c: Column) -> Column:
+    return c.cast("decimal(38,0)")
+
+
+def packed_line_order() -> Column:
+    """``(file_idx, block_start, line_seq)`` order as one decimal(38,0).
+
+    Within one split every line comes from the same task, so the task
+    part of ``line_seq`` (``monotonically_increasing_id``: task << 33 |
+    row) is constant there and only its low 33 bits (the row) matter
+    once the file and split are in front.  A single decimal lets ``min``
+    run as a hash aggregate (a struct ``min`` needs a sort aggregate).
+    """
+    row = F.col("line_seq").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    f = _dec(_checked(F.col("file_idx").cast("bigint"), FILE_BITS, "file rank"))
+    b = _dec(_checked(F.col("block_start"), BLOCK_BITS, "split offset"))
+    return (f * _dec(F.lit(1 << BLOCK_BITS)) + b) * _dec(F.lit(1 << ROW_BITS)) + _dec(row)
+
+
+def packed_entry_order() -> Column:
+    """``(file_idx, block_start, line_seq, pos)`` order as one decimal(38,0)."""
+    pos = _dec(_checked(F.col("pos").cast("bigint"), POS_BITS, "list position"))
+    return packed_line_order() * _dec(F.lit(1 << POS_BITS)) + pos
 
 
 def read_raw_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -103,3 +103,27 @@ def test_golden_csv_reader(spark, workdir):
     rows = [tuple(r) for r in read_golden_csv(spark, path, "ProductCategory").collect()]
     assert rows == [(1, "Tools", "Hammers, saws, and drills"),
                     (2, "Paint", 'Brushes, rollers, "quick-dry" paint')]
+
+
+def test_packed_order_key_matches_struct_order(spark):
+    from orderlens.sources.wide import packed_entry_order
+
+    rnd = random.Random(21)
+    rows = []
+    for _ in range(400):
+        task = rnd.randint(0, 50)
+        rows.append((rnd.randint(1, 5), rnd.choice([0, 1 << 27, 1 << 39]),
+                     (task << 33) | rnd.randint(0, 1000), rnd.randint(0, (1 << 28) - 1)))
+    # lines of one split share one task id: make it so
+    task_of = {}
+    fixed = []
+    for f, b, seq, pos in rows:
+        t = task_of.setdefault((f, b), rnd.randint(0, 50))
+        fixed.append((f, b, (t << 33) | (seq & ((1 << 33) - 1)), pos))
+    df = spark.createDataFrame(fixed, "file_idx int, block_start long, line_seq long, pos int")
+    got = [tuple(r)[:4] for r in df.withColumn("k", packed_entry_order()).orderBy("k").collect()]
+    assert got == sorted(fixed)
+    bad = spark.createDataFrame([(1, 0, 0, 1 << 28)], "file_idx int, block_start long, "
+                                                      "line_seq long, pos int")
+    with pytest.raises(Exception, match="order key overflow"):
+        bad.select(packed_entry_order()).collect()
