@@ -12,8 +12,10 @@ reject table; positions beyond the product list are ignored.
 OrderID is dense 1..n in file order over the surviving rows:
 ``offset(line) + rank of the position inside the line``, where
 ``offset`` is the prefix sum of surviving rows over the lines in file
-order (``prefix_offsets``: one row per line, never one per order).  All
-inputs are written tables, so the counts and the ids see the same rows.
+order (``prefix_offsets``: one row per line, never one per order).  The
+flagged entries are written once (``pin``), so the counts, the ids and
+the reject table all read the same rows, and a lost executor cannot
+change them between those steps.
 
 Skew: a line is one text record, so the format bounds it by what one
 task can read; the rank inside a line works on that line's rows only.

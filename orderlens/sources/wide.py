@@ -35,8 +35,8 @@ LIST_FIELDS = ("ProductName", "ProductCategory", "ProductCategoryDescription",
                "ProductUnitPrice", "QuantityOrdered", "OrderDate")
 ORDER_KEY = ("file_idx", "block_start", "line_seq")
 
-# A header table with one row per input file is broadcast only up to this
-# many files (the count is known on the driver from the file listing).
+# The header table (one row per input file) is collected and broadcast
+# only up to this many files; beyond it, it stays distributed and is joined.
 MAX_BROADCAST_FILES = 200_000
 
 
