@@ -56,3 +56,21 @@ def test_month_rank_single_partition_only_after_aggregation(model):
     text = plan_text(A.q10_month_rank(model))
     # the one global window runs on the (at most 12) month rows
     assert text.count("SinglePartition") == 1
+
+
+def test_first_occurrence_aggregations_hash_over_all_entries(spark):
+    from orderlens.operators import dims
+    from orderlens.plans.wide_fixture import write_wide_fixture
+    from orderlens.sources.wide import read_wide, stage_entries, stage_lines
+
+    from .conftest import SF_SMALL
+
+    lines = stage_lines(read_wide(spark, write_wide_fixture(spark, SF_SMALL)))
+    entries = stage_entries(lines)
+    category = dims.product_category_table(entries)
+    # product triples: hash aggregates only
+    assert "SortAggregate" not in plan_text(dims.product_table(entries, category))
+    # category: the pass over all entries is a hash aggregate; the first-wins
+    # pick sorts only the (category, description) pairs
+    text = plan_text(category)
+    assert "HashAggregate" in text
