@@ -13,9 +13,11 @@ OrderID is dense 1..n in file order over the surviving rows:
 ``offset(line) + rank of the position inside the line``, where
 ``offset`` is the prefix sum of surviving rows over the lines in file
 order (``prefix_offsets``: one row per line, never one per order).  The
-flagged entries are written once (``pin``), so the counts, the ids and
-the reject table all read the same rows, and a lost executor cannot
-change them between those steps.
+flagged entries are written once, as a table bucketed by line
+(``pin_by_key``), so the counts, the ids and the reject table all read
+the same rows, a lost executor cannot change them between those steps,
+and the per-line counts, ranks and offset join reuse the bucketing
+instead of shuffling the entries again.
 
 Skew: a line is one text record, so the format bounds it by what one
 task can read; the rank inside a line works on that line's rows only.
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 from orderlens.functions import dates
 from orderlens.operators.keys import prefix_offsets
 from orderlens.operators.lookup import lenient_join, missing_keys
-from orderlens.session import pin
+from orderlens.session import pin_by_key
 from orderlens.sources.wide import ORDER_KEY
 
 
@@ -53,9 +55,12 @@ def order_detail_table(lines: DataFrame, entries: DataFrame, customers: DataFram
     ents = entries.select(*ORDER_KEY, "pos", F.col("ProductName").alias("Product"),
                           F.col("QuantityOrdered").alias("QtyText"),
                           F.col("OrderDate").alias("DateText"))
-    matched = ents.join(line_customer, "line_seq")
+    # Product lookup first (by name), then the line's customer (by line):
+    # the rows leave the second join hash-partitioned by line, which the
+    # bucketed write below keeps for the per-line counts, ranks and joins.
     lk = products.withColumnRenamed("ProductName", "__pn")
-    known = matched.join(lk, F.col("Product") == F.col("__pn"), "left").drop("__pn")
+    known = (ents.join(lk, F.col("Product") == F.col("__pn"), "left").drop("__pn")
+             .join(line_customer, "line_seq"))
 
     qty = (F.col("QtyText").cast("bigint") if strict
            else F.expr("try_cast(QtyText AS bigint)"))
@@ -70,10 +75,12 @@ def order_detail_table(lines: DataFrame, entries: DataFrame, customers: DataFram
                     F.concat(F.lit("unknown product: "), F.col("Product")))
               .when(date.isNull(), F.lit("missing or bad date"))
               .otherwise(F.lit("ok")))
-    # Written once: the id counts, the ids and the rejects all read it.
-    flagged = pin(known.select(*ORDER_KEY, "pos", "CustomerID", "ProductID",
-                               date.alias("OrderDate"), qty.alias("QuantityOrdered"),
-                               status.alias("status")), "order_entries")
+    # Written once, bucketed by line: the id counts, the ids and the
+    # rejects all read the same rows, and the per-line work needs no
+    # further shuffle of them.
+    flagged = pin_by_key(known.select(*ORDER_KEY, "pos", "CustomerID", "ProductID",
+                                      date.alias("OrderDate"), qty.alias("QuantityOrdered"),
+                                      status.alias("status")), "line_seq", "order_entries")
     good = flagged.filter(F.col("status") == "ok").drop("status")
 
     counts = good.groupBy(*ORDER_KEY).agg(F.count(F.lit(1)).alias("__n"))

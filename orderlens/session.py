@@ -97,3 +97,23 @@ def pin(df: DataFrame, name: str = "pinned") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def pin_by_key(df: DataFrame, key: str, name: str = "pinned") -> DataFrame:
+    """Like ``pin`` but written as a table bucketed by ``key`` (bucket
+    count = ``spark.sql.shuffle.partitions``) in the shared folder.
+
+    Reading it back keeps the hash partitioning on ``key``, so later
+    per-key aggregations, windows and joins need no shuffle of these
+    rows.  A catalog that cannot take the table falls back to ``pin``.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    table = f"orderlens_{name}_{uuid.uuid4().hex[:12]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    try:
+        (df.write.mode("overwrite").bucketBy(buckets, key)
+         .option("path", path).saveAsTable(table))
+    except Exception:  # noqa: BLE001 - any catalog refusal: plain written table
+        return pin(df, name)
+    return spark.table(table)
