@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from orderlens.functions import dates
 from orderlens.operators.keys import prefix_offsets
 from orderlens.operators.lookup import lenient_join, missing_keys
-from orderlens.session import pin_by_key
+from orderlens.session import bucket_count, pin_by_key
 from orderlens.sources.wide import ORDER_KEY
 
 
@@ -55,11 +55,14 @@ def order_detail_table(lines: DataFrame, entries: DataFrame, customers: DataFram
     ents = entries.select(*ORDER_KEY, "pos", F.col("ProductName").alias("Product"),
                           F.col("QuantityOrdered").alias("QtyText"),
                           F.col("OrderDate").alias("DateText"))
-    # Product lookup first (by name), then the line's customer (by line):
-    # the rows leave the second join hash-partitioned by line, which the
-    # bucketed write below keeps for the per-line counts, ranks and joins.
+    # Product lookup first (by name); then one hash partitioning by line,
+    # which the customer lookup (by line) reuses and the bucketed write
+    # below keeps (one file per bucket) for the per-line counts, ranks and
+    # joins.
+    buckets = bucket_count(entries.sparkSession)
     lk = products.withColumnRenamed("ProductName", "__pn")
     known = (ents.join(lk, F.col("Product") == F.col("__pn"), "left").drop("__pn")
+             .repartition(buckets, "line_seq")
              .join(line_customer, "line_seq"))
 
     qty = (F.col("QtyText").cast("bigint") if strict
@@ -80,7 +83,8 @@ def order_detail_table(lines: DataFrame, entries: DataFrame, customers: DataFram
     # further shuffle of them.
     flagged = pin_by_key(known.select(*ORDER_KEY, "pos", "CustomerID", "ProductID",
                                       date.alias("OrderDate"), qty.alias("QuantityOrdered"),
-                                      status.alias("status")), "line_seq", "order_entries")
+                                      status.alias("status")), "line_seq", "order_entries",
+                         buckets)
     good = flagged.filter(F.col("status") == "ok").drop("status")
 
     counts = good.groupBy(*ORDER_KEY).agg(F.count(F.lit(1)).alias("__n"))

@@ -99,18 +99,26 @@ def pin(df: DataFrame, name: str = "pinned") -> DataFrame:
     return spark.read.parquet(path)
 
 
-def pin_by_key(df: DataFrame, key: str, name: str = "pinned") -> DataFrame:
-    """Like ``pin`` but written as a table bucketed by ``key`` (bucket
-    count = ``spark.sql.shuffle.partitions``) in the shared folder.
+def bucket_count(spark: SparkSession) -> int:
+    """Buckets for ``pin_by_key`` (= ``spark.sql.shuffle.partitions``)."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def pin_by_key(df: DataFrame, key: str, name: str = "pinned",
+               buckets: int | None = None) -> DataFrame:
+    """Like ``pin`` but written as a table bucketed by ``key`` in the
+    shared folder.
 
     Reading it back keeps the hash partitioning on ``key``, so later
     per-key aggregations, windows and joins need no shuffle of these
-    rows.  A catalog that cannot take the table falls back to ``pin``.
+    rows.  Callers hash-partition ``df`` by ``key`` into ``buckets``
+    partitions first (one file per bucket).  A catalog that cannot take
+    the table falls back to ``pin``.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     table = f"orderlens_{name}_{uuid.uuid4().hex[:12]}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    buckets = buckets or bucket_count(spark)
     try:
         (df.write.mode("overwrite").bucketBy(buckets, key)
          .option("path", path).saveAsTable(table))
