@@ -127,3 +127,22 @@ def test_packed_order_key_matches_struct_order(spark):
                                                       "line_seq long, pos int")
     with pytest.raises(Exception, match="order key overflow"):
         bad.select(packed_entry_order()).collect()
+
+
+def test_bounded_broadcast_only_under_the_bound(spark):
+    import contextlib
+    import io
+
+    from orderlens.operators.lookup import bounded_broadcast
+
+    big = spark.range(0, 1000).withColumnRenamed("id", "k")
+    small = spark.range(0, 10).withColumnRenamed("id", "k")
+
+    def hinted(df):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain(mode="extended")
+        return "broadcast" in buf.getvalue().lower().split("== analyzed logical plan ==")[0]
+
+    assert hinted(bounded_broadcast(small, max_rows=10))
+    assert not hinted(bounded_broadcast(big, max_rows=10))

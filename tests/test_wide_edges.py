@@ -185,3 +185,14 @@ def test_unknown_region_fails_strict_lookup(spark, workdir):
     region = spark.createDataFrame([(1, "Elsewhere")], "RegionID long, Region string")
     with pytest.raises(Exception, match="unknown region"):
         dims.country_table(lines, region).collect()
+
+
+def test_bad_price_strict_and_lenient(spark, workdir):
+    rows = [line("A B", prices="abc"), line("C D", products="Nut", prices="2.50")]
+    path = write_wide(os.path.join(workdir, "in"), rows)
+    with pytest.raises(Exception):
+        normalize(spark, path, out_dir=os.path.join(workdir, "strict"), strict=True)
+    n = normalize(spark, path, out_dir=os.path.join(workdir, "lenient"), strict=False)
+    assert [r.ProductName for r in n.product.collect()] == ["Nut"]
+    assert n.order_detail.count() == 1
+    assert [r.reason for r in n.rejects.collect()] == ["unknown product: Bolt"]
