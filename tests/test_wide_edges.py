@@ -196,3 +196,13 @@ def test_bad_price_strict_and_lenient(spark, workdir):
     assert [r.ProductName for r in n.product.collect()] == ["Nut"]
     assert n.order_detail.count() == 1
     assert [r.reason for r in n.rejects.collect()] == ["unknown product: Bolt"]
+
+
+def test_bad_quantity_on_unmatched_line_does_not_fail_strict(spark, workdir):
+    # one-token name: its lookup key is "Solo " so the line never matches;
+    # its quantities are never parsed, as in the source workload
+    rows = [line("Solo", qtys="x"), line("C D")]
+    n = normalize(spark, write_wide(os.path.join(workdir, "in"), rows),
+                  out_dir=os.path.join(workdir, "out"), strict=True)
+    assert n.order_detail.count() == 1
+    assert [r.reason for r in n.rejects.collect()] == ["unknown customer: Solo"]
