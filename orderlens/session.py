@@ -31,14 +31,16 @@ def build_session(master: str | None = None, app_name: str = "orderlens",
                   extra: dict[str, str] | None = None) -> SparkSession:
     """Create (or get) a session with the engine's defaults.
 
-    ``master`` defaults to ``local[N]`` with N from ``BENCH_CPUS`` or 8;
-    on a cluster pass ``master=None`` through spark-submit instead.
+    ``master`` defaults to ``local[N]`` (N from ``BENCH_CPUS`` or 8), except
+    under spark-submit, where the submitted master is kept.
     """
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     builder = SparkSession.builder.appName(app_name)
-    if master is None:
+    launched_by_submit = "PYSPARK_GATEWAY_PORT" in os.environ
+    if master is None and not launched_by_submit:
         master = f"local[{cpus}]"
-    builder = builder.master(master)
+    if master:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
     conf.setdefault("spark.driver.memory", "16g")
