@@ -40,3 +40,19 @@ def test_entry_smoke(spark):
     # ordered by Region, then rank
     keys = [(r.Region, r.CountryRegionalRank) for r in rows]
     assert keys == sorted(keys)
+
+
+@pytest.mark.parametrize("conf", [{"spark.sql.session.timeZone": "America/Los_Angeles"},
+                                  {"spark.sql.ansi.enabled": "false"}])
+def test_results_do_not_depend_on_session_settings(spark, duck_small, conf):
+    saved = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        for name in ("q01_customer_orders", "q08_customer_quarter_totals", "q10_month_rank",
+                     "q11_longest_order_gap"):
+            rep = compare(E.queries()[name](spark, SF_SMALL), duck_small, E.oracle_sql()[name])
+            assert rep["ok"], (name, rep)
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
