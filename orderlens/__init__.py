@@ -5,9 +5,9 @@ Subpackages
 sources    wide delimited text scan, star-schema adapter, table sinks
 functions  column expressions (money, dates, text) kept JVM-side
 operators  dense ids, dimension/fact builders, lookups, quality checks,
-           top-k and gap operators
+           top-k, gap and replication operators
 plans      the analytics queries and the end-to-end normalisation job
-streaming  incremental ingestion of wide files (Structured Streaming)
+streaming  intentionally empty: the source workload has no streaming
 """
 
 from orderlens.session import build_session, checkpoint_dir
