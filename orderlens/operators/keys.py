@@ -7,7 +7,7 @@ Instead:
    (one distributed sort: Spark samples the key for balanced ranges);
 2. tag each row with its bucket (partition id) and its position
    (``monotonically_increasing_id`` grows along a partition);
-3. pin the tagged rows with a reliable checkpoint, so a lost executor
+3. pin the tagged rows (a Parquet table in the shared checkpoint folder), so a lost executor
    cannot move a row to another bucket or position on recomputation;
 4. count rows per bucket and prefix-sum the counts (one row per bucket,
    at most ``spark.sql.shuffle.partitions`` rows: the only broadcast, and
