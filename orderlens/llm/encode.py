@@ -13,8 +13,8 @@ import re
 
 import numpy as np
 
-#: Cached words of a worker; the cache starts anew beyond it (it changes no result).
-CACHE_WORDS = 600_000
+#: Words in each of the two generations of a worker's cache (it changes no result).
+CACHE_WORDS = 400_000
 #: The id that ends a document.
 END_ID = 0
 
@@ -28,24 +28,103 @@ def cut(text: str) -> list[str]:
     return _BLANK.split(text) if _ODD.search(text) else text.split(" ")
 
 
-class Encoder:
-    """Encodes texts to the bytes of unsigned 32-bit little-endian ids."""
+class PieceCache:
+    """Texts to the bytes of unsigned 32-bit little-endian ids, piece by piece.
 
-    def __init__(self, path: str):
+    A subclass says how new words (letters after a blank) and other pieces are encoded."""
+
+    def __init__(self):
         import public_tokenizers
         import regex
+
+        self.pieces = regex.compile(public_tokenizers.PATTERN).findall
+        self.words: dict[str, bytes] = {}  # by what follows a blank
+        self.older: dict[str, bytes] = {}  # the generation before
+        self.others: dict[str, bytes] = {}  # by other pieces, blank included
+
+    def learn_words(self, words: list[str]) -> None:
+        raise TypeError("a subclass encodes")
+
+    def encode_piece(self, piece: str) -> bytes:
+        raise TypeError("a subclass encodes")
+
+    def _other(self, piece: str) -> bytes:
+        if (ids := self.others.get(piece)) is None:
+            ids = self.encode_piece(piece)
+            if len(piece) < 64:
+                self.others[piece] = ids
+        return ids
+
+    def _learn(self, missing: set[str]) -> None:
+        """Put the ids of all these words into the cache."""
+        words, older, new, mixed = self.words, self.older, [], {}
+        stems = set()
+        for w in missing:
+            if (ids := older.get(w)) is not None:
+                words[w] = ids
+            elif w.isalpha():
+                new.append(w)
+            elif (stem := w[:-1]).isalpha() and w[-1] in ".,":
+                mixed[w] = [" " + stem, w[-1]]
+                stems.add(stem)
+            else:
+                mixed[w] = self.pieces(" " + w)
+                stems.update(x[1:] for x in mixed[w] if x[0] == " " and x[1:].isalpha())
+        stems.difference_update(words, new)
+        for w in stems:
+            if (ids := older.get(w)) is not None:
+                words[w] = ids
+            else:
+                new.append(w)
+        if new:
+            self.learn_words(new)
+        for w, found in mixed.items():
+            words[w] = b"".join(map(self._ids, found))
+
+    def _ids(self, piece: str) -> bytes:
+        found = self.words.get(piece[1:]) if piece[0] == " " else None
+        return self._other(piece) if found is None else found
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
+        if len(self.words) > CACHE_WORDS:
+            self.older, self.words = self.words, {}
+        if len(self.others) > CACHE_WORDS // 4:
+            self.others.clear()
+        first, parts, found, missing = [], [], [], set()
+        get = self.words.get
+        for text in texts:
+            head, *rest = cut(text)
+            got = list(map(get, rest))
+            if None in got:
+                missing.update([w for w, x in zip(rest, got, strict=True) if x is None])
+            first.append(head)
+            parts.append(rest)
+            found.append(got)
+        if missing:
+            self._learn(missing)
+        words = self.words
+        return [b"".join([*map(self._ids, self.pieces(head)),
+                          *(got if None not in got else
+                            [words[w] if x is None else x for w, x in zip(rest, got, strict=True)])])
+                for head, rest, got in zip(first, parts, found, strict=True)]
+
+
+class Encoder(PieceCache):
+    """Encodes with the tokenizers library."""
+
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.pieces = regex.compile(public_tokenizers.PATTERN).findall
-        self.words: dict[str, bytes] = {}  # what follows a blank, letters only
-        self.others: dict[str, bytes] = {}  # any other piece, blank included
         size = self.tokenizer.get_vocab_size()
+        #: Bytes of each token.
         self.lengths = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
 
-    def _learn_words(self, words: list[str]) -> None:
+    def learn_words(self, words: list[str]) -> None:
         """All words in one call; the ids are split again by the tokens' bytes."""
         got = self.tokenizer.encode_batch_fast(["".join([" " + w for w in words])], add_special_tokens=False)
         ids = np.array(got[0].ids, np.uint32)
@@ -56,53 +135,8 @@ class Encoder:
             self.words[word] = data[4 * start:4 * end]
             start = end
 
-    def _other(self, piece: str) -> bytes:
-        if (ids := self.others.get(piece)) is None:
-            got = self.tokenizer.encode_batch_fast([piece], add_special_tokens=False)[0].ids
-            ids = np.array(got, "<u4").tobytes()
-            if len(piece) < 64:
-                self.others[piece] = ids
-        return ids
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text."""
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        if len(self.others) > CACHE_WORDS // 6:
-            self.others.clear()
-        parts = [cut(t) for t in texts]
-        words, mixed, new = self.words, {}, set()
-        for p in parts:
-            for w in set(p[1:]).difference(words):
-                if w.isalpha():
-                    new.add(w)
-                elif w not in mixed:
-                    if (stem := w[:-1]).isalpha() and w[-1] in ".,":
-                        mixed[w] = [stem, w[-1]]
-                        if stem not in words:
-                            new.add(stem)
-                    else:
-                        mixed[w] = self.pieces(" " + w)
-                        new.update(x[1:] for x in mixed[w] if x[0] == " " and x[1:].isalpha() and x[1:] not in words)
-        if new:
-            self._learn_words(list(new))
-
-        def ids(piece: str) -> bytes:
-            return words[piece[1:]] if piece[0] == " " and piece[1:].isalpha() else self._other(piece)
-
-        for w, found in mixed.items():
-            if len(found) == 2 and found[0] in words and found[0] + found[1] == w:
-                mixed[w] = words[found[0]] + self._other(found[1])
-            else:
-                mixed[w] = b"".join(map(ids, found))
-        out = []
-        for p in parts:
-            first = b"".join(map(ids, self.pieces(p[0])))
-            try:
-                out.append(first + b"".join([words[w] if w in words else mixed[w] for w in p[1:]]))
-            except KeyError:  # pragma: no cover - a letter of one library that the other doesn't know
-                out.append(np.array(self.tokenizer.encode(" ".join(p), add_special_tokens=False).ids, "<u4").tobytes())
-        return out
+    def encode_piece(self, piece: str) -> bytes:
+        return np.array(self.tokenizer.encode_batch_fast([piece], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
 
 _made: dict[str, Encoder] = {}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, scratch, token_files
+from . import bpe, chat, exact_dedup, langid, packing, scratch, token_counts, token_files
 from .ship import ship
 
 BPE_JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -34,10 +34,40 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents")).drop("uid")
 
 
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    # A conversation whose texts look like the template itself.
+    odd = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"))
+    formatted = scratch.materialise(chat.segments(turns.unionByName(odd)), "chat")
+    return chat.read_turns(formatted).drop("valid")
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(_table(spark, sf_dir, "documents"), BPE_RANKS)
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.fit(docs.filter(~langid.held_out()))
+    return langid.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"), BPE_JSON, rule="first")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_files": op2_token_files,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_chat": op4_chat,
+    "op5_byte_bpe": op5_byte_bpe,
+    "op8_language_id": op8_language_id,
+    "op9_token_counts": op9_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -45,4 +75,24 @@ ORACLE_SQL: dict[str, str] = {
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+    "op4_chat": r"""
+WITH t AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL
+  SELECT -7, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '\### Assistant: </turn> ok'
+  FROM range(2) r(i)),
+f AS (
+  -- headings and closings add "### Role: " and "</turn>" with a line feed; escapes add one character for
+  -- each backslash, each "##" and each "</turn>".
+  SELECT *, length(text) + 4 + length(role) + 2 + 8
+    + length(text) - length(replace(text, '\', ''))
+    + len(regexp_extract_all(text, '</turn>'))
+    + len(list_filter(range(1, length(text)), lambda i: text[i:i + 2] = '###')) AS chars
+  FROM t)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id""",
 }
