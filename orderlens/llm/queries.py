@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact_dedup, langid, packing, scratch, token_counts, token_files
+from . import ann, bpe, chat, exact_dedup, langid, packing, scratch, token_counts, token_files
 from .ship import ship
 
 BPE_JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -49,6 +49,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), BPE_RANKS)
 
 
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "id % 100 = 0", k=10)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = langid.fit(docs.filter(~langid.held_out()))
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_chat": op4_chat,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_nearest_neighbours": op6_nearest_neighbours,
     "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
 }
