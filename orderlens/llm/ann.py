@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by a permutation index.
 
-Pivots are taken from a bounded, hash-ordered sample.  A vector is
+Pivots are taken, far apart, from a bounded, hash-ordered sample.  A vector is
 represented by its nearest pivots in order, and posted under each of them with the
 pivot's place in that order.  Vectors are dealt over tasks; each task keeps the
 inverted files of its own vectors.  A query adds up, list by list, the footrule
@@ -51,6 +51,17 @@ def orders(vectors: np.ndarray, pivots: np.ndarray, length: int) -> np.ndarray:
     return np.argsort(np.round(square, 9), axis=1, kind="stable")[:, :length].astype(np.int32)
 
 
+def spread(sample: np.ndarray, n: int) -> np.ndarray:
+    """n vectors of the sample that lie far apart: each next one is the farthest from those
+    before it, so a crowd of similar vectors gives few pivots."""
+    chosen = [0]
+    gap = ((sample - sample[0]) ** 2).sum(axis=1)
+    while len(chosen) < min(n, len(sample)):
+        chosen.append(int(np.argmax(np.round(gap, 9))))
+        gap = np.minimum(gap, ((sample - sample[chosen[-1]]) ** 2).sum(axis=1))
+    return sample[chosen]
+
+
 class InvertedFiles:
     """The postings of some vectors: for each pivot which of them have it in their order, and where."""
 
@@ -112,7 +123,7 @@ def search(vectors: DataFrame, id_col: str, vector_col: str, is_query: str, k: i
     # Bounded: SAMPLE vectors.
     sample = _matrix(pa.array([r["vector"] for r in entries.select("first", "vector").orderBy(
         F.xxhash64("first"), "first").limit(SAMPLE).collect()], pa.list_(pa.float64())))
-    pivots = sample[:PIVOTS]
+    pivots = spread(sample, PIVOTS)
     length = max(1, min(ORDER, len(pivots) * ORDER // PIVOTS))
     sampled, quantile = InvertedFiles(orders(sample, pivots, length), len(pivots)), share(n)
     blocks = -(-n_questions // BLOCK)

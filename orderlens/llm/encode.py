@@ -10,6 +10,9 @@ from __future__ import annotations
 
 import os
 import re
+from functools import partial
+from itertools import compress
+from operator import is_
 
 import numpy as np
 
@@ -20,6 +23,9 @@ END_ID = 0
 
 _BLANK = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?:\s|\Z)")
+#: After letters these always begin a piece of their own.
+_STOPS = (".", ",")
+_is_none = partial(is_, None)
 
 
 def cut(text: str) -> list[str]:
@@ -57,27 +63,28 @@ class PieceCache:
 
     def _learn(self, missing: set[str]) -> None:
         """Put the ids of all these words into the cache."""
-        words, older, new, mixed = self.words, self.older, [], {}
-        stems = set()
+        words, older, new, stopped, mixed, stems = self.words, self.older, [], [], {}, set()
         for w in missing:
-            if (ids := older.get(w)) is not None:
-                words[w] = ids
+            if w in older:
+                words[w] = older[w]
             elif w.isalpha():
                 new.append(w)
-            elif (stem := w[:-1]).isalpha() and w[-1] in ".,":
-                mixed[w] = [" " + stem, w[-1]]
+            elif w[-1:] in _STOPS and (stem := w[:-1]).isalpha():
+                stopped.append(w)
                 stems.add(stem)
             else:
                 mixed[w] = self.pieces(" " + w)
-                stems.update(x[1:] for x in mixed[w] if x[0] == " " and x[1:].isalpha())
-        stems.difference_update(words, new)
+                stems.update([x[1:] for x in mixed[w] if x[0] == " " and x[1:].isalpha()])
         for w in stems:
-            if (ids := older.get(w)) is not None:
-                words[w] = ids
-            else:
+            if w in older:
+                words[w] = older[w]
+            elif w not in words and w not in missing:
                 new.append(w)
         if new:
             self.learn_words(new)
+        stops = {x: self._other(x) for x in _STOPS}
+        for w in stopped:
+            words[w] = words[w[:-1]] + stops[w[-1]]
         for w, found in mixed.items():
             words[w] = b"".join(map(self._ids, found))
 
@@ -91,23 +98,23 @@ class PieceCache:
             self.older, self.words = self.words, {}
         if len(self.others) > CACHE_WORDS // 4:
             self.others.clear()
-        first, parts, found, missing = [], [], [], set()
+        parts, found, missing = [], [], set()
         get = self.words.get
         for text in texts:
-            head, *rest = cut(text)
+            rest = cut(text)
             got = list(map(get, rest))
+            got[0] = b"".join(map(self._ids, self.pieces(rest[0])))
             if None in got:
-                missing.update([w for w, x in zip(rest, got, strict=True) if x is None])
-            first.append(head)
+                missing.update(compress(rest, map(_is_none, got)))
             parts.append(rest)
             found.append(got)
         if missing:
             self._learn(missing)
         words = self.words
-        return [b"".join([*map(self._ids, self.pieces(head)),
-                          *(got if None not in got else
-                            [words[w] if x is None else x for w, x in zip(rest, got, strict=True)])])
-                for head, rest, got in zip(first, parts, found, strict=True)]
+        for rest, got in zip(parts, found, strict=True):
+            for i in compress(range(len(got)), map(_is_none, got)):
+                got[i] = words[rest[i]]
+        return list(map(b"".join, found))
 
 
 class Encoder(PieceCache):
@@ -149,7 +156,7 @@ def encoder(path: str) -> Encoder:
     return _made[path]
 
 
-def in_turn(texts: list[str], chars: int = 1 << 20):
+def in_turn(texts: list[str], chars: int = 2 << 20):
     """Index ranges of consecutive texts with about ``chars`` characters each."""
     start = held = 0
     for i, t in enumerate(texts):
