@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, exact_dedup, langid, packing, scratch, token_counts, token_files
+from . import ann, bpe, chat, exact_dedup, langid, near_dedup, packing, scratch, token_counts, token_files
 from .ship import ship
 
 BPE_JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -53,6 +53,10 @@ def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "id % 100 = 0", k=10)
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = langid.fit(docs.filter(~langid.held_out()))
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_chat": op4_chat,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_nearest_neighbours": op6_nearest_neighbours,
+    "op7_near_dedup": op7_near_dedup,
     "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
 }
