@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, exact_dedup, langid, near_dedup, packing, scratch, token_counts, token_files
+from . import ann, bpe, chat, exact_dedup, langid, near_dedup, packing, scratch, suffix_dedup, token_counts, token_files
 from .ship import ship
 
 BPE_JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -68,6 +68,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), BPE_JSON, rule="first")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_files": op2_token_files,
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_near_dedup": op7_near_dedup,
     "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
