@@ -36,7 +36,7 @@ SAMPLE_ROWS = 1_600
 #: Centroids of a language.
 CENTROIDS = 3
 #: What a distance may exceed the sample's largest by, as short texts lie farther out; at LIMIT all is rejected.
-MARGIN, LIMIT = 0.3, 0.93
+MARGIN, LIMIT = 0.4, 0.95
 #: Languages that a model can hold.
 LANGUAGES = 250
 
@@ -156,7 +156,7 @@ def _each(texts: list[str], n: int = 256) -> Iterator[tuple[int, int]]:
 def fit(labelled: DataFrame) -> Model:
     """A model of ``labelled``: rows with doc_id, text and lang."""
     rows = (labelled.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
-            .filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")))
+            .filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & has_letter()))
     languages = [r["lang"] for r in rows.select("lang").distinct().limit(LANGUAGES + 1).collect()]
     if not 0 < len(languages) <= LANGUAGES:
         raise ValueError(f"1 to {LANGUAGES} languages can be learned; there are {len(languages)}")
@@ -226,6 +226,10 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def has_letter() -> Column:
+    return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+
+
 def held_out() -> Column:
     """Whether a row is outside the training rows: the CRC-32 of its id as text leaves 2 by 4."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
