@@ -7,7 +7,6 @@ functions  column expressions (money, dates, text) kept JVM-side
 operators  dense ids, dimension/fact builders, lookups, quality checks,
            top-k, gap and replication operators
 plans      the analytics queries and the end-to-end normalisation job
-streaming  intentionally empty: the source workload has no streaming
 """
 
 from orderlens.session import build_session, checkpoint_dir

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from orderlens.functions import text
 from orderlens.operators.keys import dense_ids
 from orderlens.operators.lookup import lookup_map, strict_join
-from orderlens.sources.wide import packed_entry_order, packed_line_order
+from orderlens.session import Scratch
+from orderlens.sources.wide import ORDER_KEY, packed_entry_order, packed_line_order
 
 
 def _ok(lines: DataFrame) -> DataFrame:
@@ -23,16 +24,10 @@ def _ok(lines: DataFrame) -> DataFrame:
 
 # -- Region ------------------------------------------------------------
 
-def _bound(n_lines: int | None) -> int | None:
-    return n_lines if n_lines is not None and n_lines >= 0 else None
-
-
-def region_table(lines: DataFrame, n_lines: int | None = None) -> DataFrame:
-    """N1: distinct Region values, sorted, RegionID = 1..n.  ``n_lines``:
-    an upper bound on the line count, if known (bounds every per-line
-    table built here)."""
+def region_table(lines: DataFrame, scratch: Scratch) -> DataFrame:
+    """N1: distinct Region values, sorted, RegionID = 1..n."""
     regions = _ok(lines).select("Region").distinct()
-    return dense_ids(regions, ["Region"], "RegionID", known_rows=_bound(n_lines)).select(
+    return dense_ids(regions, ["Region"], "RegionID", scratch).select(
         "RegionID", "Region")
 
 
@@ -43,7 +38,7 @@ def region_lookup(region: DataFrame) -> DataFrame:
 
 # -- Country -----------------------------------------------------------
 
-def country_table(lines: DataFrame, regions: DataFrame, n_lines: int | None = None) -> DataFrame:
+def country_table(lines: DataFrame, regions: DataFrame, scratch: Scratch) -> DataFrame:
     """N3: each country takes the region of its FIRST line; sorted by
     country; RegionID through the strict region lookup."""
     # (country, region) pairs first: a hash aggregate over all lines; the
@@ -53,7 +48,7 @@ def country_table(lines: DataFrame, regions: DataFrame, n_lines: int | None = No
     first = pairs.groupBy("Country").agg(F.min_by("Region", "__o").alias("RegionName"))
     linked = strict_join(first, "RegionName", region_lookup(regions), "Region",
                          "RegionID", "region")
-    return dense_ids(linked, ["Country"], "CountryID", known_rows=_bound(n_lines)).select(
+    return dense_ids(linked, ["Country"], "CountryID", scratch).select(
         "CountryID", "Country", "RegionID")
 
 
@@ -64,8 +59,7 @@ def country_lookup(country: DataFrame) -> DataFrame:
 
 # -- Customer ----------------------------------------------------------
 
-def customer_table(lines: DataFrame, countries: DataFrame,
-                   n_lines: int | None = None) -> DataFrame:
+def customer_table(lines: DataFrame, countries: DataFrame, scratch: Scratch) -> DataFrame:
     """N5: one customer per line (no de-duplication).  Name split into the
     first token and the rest; sorted by (FirstName, LastName) with file
     order breaking ties (Python's stable sort)."""
@@ -78,7 +72,7 @@ def customer_table(lines: DataFrame, countries: DataFrame,
     linked = strict_join(cust, "CountryName", country_lookup(countries), "Country",
                          "CountryID", "country")
     ided = dense_ids(linked, ["FirstName", "LastName", "file_idx", "block_start", "line_seq"],
-                     "CustomerID", known_rows=_bound(n_lines))
+                     "CustomerID", scratch)
     return ided.select("CustomerID", "FirstName", "LastName", "Address", "City", "CountryID")
 
 
@@ -90,7 +84,7 @@ def customer_lookup(customer: DataFrame) -> DataFrame:
 
 # -- ProductCategory ---------------------------------------------------
 
-def product_category_table(entries: DataFrame) -> DataFrame:
+def product_category_table(entries: DataFrame, scratch: Scratch) -> DataFrame:
     """N7: (category, description) pairs linked by list position; the
     first pair (file order, then position) of each category; sorted by
     category, ProductCategoryID = 1..n.  ``entries``: see
@@ -102,7 +96,7 @@ def product_category_table(entries: DataFrame) -> DataFrame:
              .agg(F.min(packed_entry_order()).alias("__o")))
     first = pairs.groupBy("ProductCategory").agg(
         F.min_by("ProductCategoryDescription", "__o").alias("ProductCategoryDescription"))
-    return dense_ids(first, ["ProductCategory"], "ProductCategoryID").select(
+    return dense_ids(first, ["ProductCategory"], "ProductCategoryID", scratch).select(
         "ProductCategoryID", "ProductCategory", "ProductCategoryDescription")
 
 
@@ -114,11 +108,24 @@ def product_category_lookup(category: DataFrame) -> DataFrame:
 
 # -- Product -----------------------------------------------------------
 
-def product_table(entries: DataFrame, categories: DataFrame, strict: bool = True) -> DataFrame:
+def _triples(entries: DataFrame) -> DataFrame:
+    return entries.filter(F.col("pos") < F.col("n_triples"))
+
+
+def price_rejects(entries: DataFrame) -> DataFrame:
+    """Lenient mode: a reject row for every entry whose price is no number."""
+    bad = F.expr("try_cast(ProductUnitPrice AS double)").isNull()
+    return _triples(entries).filter(bad).select(
+        *ORDER_KEY, "pos", F.concat(F.lit("bad price: "), F.col("ProductUnitPrice"),
+                                    F.lit(" of "), F.col("ProductName")).alias("reason"))
+
+
+def product_table(entries: DataFrame, categories: DataFrame, scratch: Scratch,
+                  strict: bool = True) -> DataFrame:
     """N9: positional zip of (name, category, price text), shortest list
     wins; distinct triples on the RAW price text; stable sort by name
     (first occurrence breaks ties); price -> double; category -> id."""
-    triples = (entries.filter(F.col("pos") < F.col("n_triples"))
+    triples = (_triples(entries)
                .select(F.col("ProductName"), F.col("ProductCategory").alias("CategoryName"),
                        F.col("ProductUnitPrice").alias("PriceText"),
                        packed_entry_order().alias("__o")))
@@ -131,8 +138,7 @@ def product_table(entries: DataFrame, categories: DataFrame, strict: bool = True
     else:
         priced = (linked.withColumn("ProductUnitPrice", F.expr("try_cast(PriceText AS double)"))
                   .filter(F.col("ProductUnitPrice").isNotNull()))
-    ided = dense_ids(priced,
-                     ["ProductName", "__first"], "ProductID")
+    ided = dense_ids(priced, ["ProductName", "__first"], "ProductID", scratch)
     return ided.select("ProductID", "ProductName", "ProductUnitPrice", "ProductCategoryID")
 
 

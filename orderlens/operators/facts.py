@@ -9,31 +9,23 @@ the same position and parse the ``yyyyMMdd`` date.  Entries whose date
 or quantity is missing (lists shorter than the product list) go to the
 reject table; positions beyond the product list are ignored.
 
-OrderID is dense 1..n in file order over the surviving rows:
-``offset(line) + rank of the position inside the line``, where
-``offset`` is the prefix sum of surviving rows over the lines in file
-order (``prefix_offsets``: one row per line, never one per order).  The
-flagged entries are written once, as a table bucketed by line
-(``pin_by_key``), so the counts, the ids and the reject table all read
-the same rows, a lost executor cannot change them between those steps,
-and the per-line counts, ranks and offset join reuse the bucketing
-instead of shuffling the entries again.
-
-Skew: a line is one text record, so the format bounds it by what one
-task can read; the rank inside a line works on that line's rows only.
+OrderID is dense 1..n in file order over the surviving rows.  The flagged
+entries are written once, so the ids and the reject table read the same rows and
+a lost executor cannot change them in between; ``dense_ids`` then splits the
+survivors by ranges of (line, position), which divides a long line, too.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions import dates
-from orderlens.operators.keys import prefix_offsets
+from orderlens.operators.keys import dense_ids
 from orderlens.operators.lookup import lenient_join, missing_keys
-from orderlens.session import bucket_count, pin_by_key
+from orderlens.session import Scratch
 from orderlens.sources.wide import ORDER_KEY
 
 
@@ -44,8 +36,7 @@ class FactResult:
 
 
 def order_detail_table(lines: DataFrame, entries: DataFrame, customers: DataFrame,
-                       products: DataFrame, strict: bool = True,
-                       n_lines: int | None = None) -> FactResult:
+                       products: DataFrame, scratch: Scratch, strict: bool = True) -> FactResult:
     """N11.  ``lines``/``entries``: staged wide lines and their exploded
     entries; ``customers`` = N6 lookup (Name, CustomerID); ``products`` =
     N10 lookup (ProductName, ProductID)."""
@@ -55,14 +46,8 @@ def order_detail_table(lines: DataFrame, entries: DataFrame, customers: DataFram
     ents = entries.select(*ORDER_KEY, "pos", F.col("ProductName").alias("Product"),
                           F.col("QuantityOrdered").alias("QtyText"),
                           F.col("OrderDate").alias("DateText"))
-    # Product lookup first (by name); then one hash partitioning by line,
-    # which the customer lookup (by line) reuses and the bucketed write
-    # below keeps (one file per bucket) for the per-line counts, ranks and
-    # joins.
-    buckets = bucket_count(entries.sparkSession)
     lk = products.withColumnRenamed("ProductName", "__pn")
     known = (ents.join(lk, F.col("Product") == F.col("__pn"), "left").drop("__pn")
-             .repartition(buckets, "line_seq")
              .join(line_customer, "line_seq"))
 
     qty = (F.col("QtyText").cast("bigint") if strict
@@ -78,23 +63,12 @@ def order_detail_table(lines: DataFrame, entries: DataFrame, customers: DataFram
                     F.concat(F.lit("unknown product: "), F.col("Product")))
               .when(date.isNull(), F.lit("missing or bad date"))
               .otherwise(F.lit("ok")))
-    # Written once, bucketed by line: the id counts, the ids and the
-    # rejects all read the same rows, and the per-line work needs no
-    # further shuffle of them.
-    flagged = pin_by_key(known.select(*ORDER_KEY, "pos", "CustomerID", "ProductID",
-                                      date.alias("OrderDate"), qty.alias("QuantityOrdered"),
-                                      status.alias("status")), "line_seq", "order_entries",
-                         buckets)
+    flagged = scratch.pin(known.select(*ORDER_KEY, "pos", "CustomerID", "ProductID",
+                                       date.alias("OrderDate"), qty.alias("QuantityOrdered"),
+                                       status.alias("status")), "order_entries")
     good = flagged.filter(F.col("status") == "ok").drop("status")
-
-    counts = good.groupBy(*ORDER_KEY).agg(F.count(F.lit(1)).alias("__n"))
-    bound = n_lines if n_lines is not None and n_lines >= 0 else None
-    offsets = prefix_offsets(counts, list(ORDER_KEY), "__n", "__start",
-                             known_rows=bound).select("line_seq", "__start")
-    in_line = Window.partitionBy("line_seq").orderBy("pos")
-    order_detail = (good.join(offsets, "line_seq")
-                    .select((F.col("__start") + F.row_number().over(in_line)).alias("OrderID"),
-                            "CustomerID", "ProductID", "OrderDate", "QuantityOrdered"))
+    order_detail = dense_ids(good, [*ORDER_KEY, "pos"], "OrderID", scratch).select(
+        "OrderID", "CustomerID", "ProductID", "OrderDate", "QuantityOrdered")
 
     unknown_customer = missing_keys(lines.filter(F.col("ok")), "Name", customers, "Name").select(
         *ORDER_KEY, F.lit(-1).cast("int").alias("pos"),

@@ -7,7 +7,7 @@ Instead:
    (one distributed sort: Spark samples the key for balanced ranges);
 2. tag each row with its bucket (partition id) and its position
    (``monotonically_increasing_id`` grows along a partition);
-3. pin the tagged rows (a Parquet table in the shared checkpoint folder), so a lost executor
+3. pin the tagged rows (a Parquet table in the shared folder), so a lost executor
    cannot move a row to another bucket or position on recomputation;
 4. count rows per bucket and prefix-sum the counts (one row per bucket,
    at most ``spark.sql.shuffle.partitions`` rows: the only broadcast, and
@@ -16,13 +16,7 @@ Instead:
 
 The order columns must define a total order (append a unique tie-break
 such as the line order key), otherwise equal keys get arbitrary ids.
-
-Small inputs skip the machinery behind a run-time size check: a bounded
-count (``limit(k + 1).count()``), or an upper bound the caller already
-holds (e.g. the staged line count), proves the input has at most ``k``
-rows, and only then is a plain ``row_number()`` window (one task) used.  Beyond
-``k`` the distributed path above runs.  With a total order the window
-result is deterministic, so it needs no checkpoint.
+Every input takes this path, whatever its size.
 """
 
 from __future__ import annotations
@@ -32,86 +26,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.session import pin
-
-
-def _n_buckets(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-# Inputs proven (by a bounded count) to hold at most this many rows are
-# numbered by a single-task window.
-SMALL_ROWS = 100_000
-
-
-def _is_small(df: DataFrame, small_limit: int | None, known_rows: int | None) -> bool:
-    """True when ``df`` provably has at most ``small_limit`` rows
-    (default ``SMALL_ROWS``): from a known upper bound if the caller has
-    one, else from a bounded count."""
-    if small_limit is None:
-        small_limit = SMALL_ROWS
-    if small_limit <= 0:
-        return False
-    if known_rows is not None and known_rows <= small_limit:
-        return True
-    return df.limit(small_limit + 1).count() <= small_limit
+from orderlens.session import Scratch
 
 
 def dense_ids(df: DataFrame, order_by: Sequence[Column | str], id_col: str,
-              buckets: int | None = None, small_limit: int | None = None,
-              known_rows: int | None = None) -> DataFrame:
+              scratch: Scratch, buckets: int | None = None) -> DataFrame:
     """Add ``id_col`` = 1..n following ``order_by`` (ascending unless the
-    Column says otherwise).  ``known_rows``: an upper bound on the row
-    count, if the caller knows one (saves the bounded count)."""
+    Column says otherwise)."""
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    if _is_small(df, small_limit, known_rows):
-        return df.withColumn(id_col, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-    return _dense_ids_distributed(df, order, id_col, buckets)
-
-
-def _dense_ids_distributed(df: DataFrame, order: list[Column], id_col: str,
-                           buckets: int | None) -> DataFrame:
-    n = _n_buckets(df, buckets)
-    cols = df.columns
-    tagged = (df.repartitionByRange(n, *order)
-              .sortWithinPartitions(*order)
-              .withColumn("__b", F.spark_partition_id())
-              .withColumn("__m", F.monotonically_increasing_id()))
-    tagged = pin(tagged)
+    ranged = (df.repartitionByRange(buckets, *order) if buckets
+              else df.repartitionByRange(*order))
+    tagged = scratch.pin(ranged.sortWithinPartitions(*order)
+                         .withColumn("__b", F.spark_partition_id())
+                         .withColumn("__m", F.monotonically_increasing_id()), id_col)
     stats = (tagged.groupBy("__b")
              .agg(F.count(F.lit(1)).alias("__cnt"), F.min("__m").alias("__m0")))
-    # Prefix sum over the buckets: a global window over <= n rows.
+    # Prefix sum over the buckets: a global window over one row per bucket.
     prior = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     stats = stats.withColumn("__start", F.coalesce(F.sum("__cnt").over(prior), F.lit(0)))
     out = tagged.join(F.broadcast(stats.select("__b", "__m0", "__start")), "__b")
     return out.select(
-        *cols, (F.col("__start") + (F.col("__m") - F.col("__m0")) + 1).alias(id_col))
-
-
-def prefix_offsets(df: DataFrame, order_by: Sequence[Column | str], weight: str,
-                   out_col: str, buckets: int | None = None,
-                   small_limit: int | None = None, known_rows: int | None = None) -> DataFrame:
-    """Add ``out_col`` = sum of ``weight`` over all rows strictly before
-    this one in ``order_by`` (a total order).
-
-    Small inputs (provably <= ``small_limit`` rows) use one window; larger
-    ones are range-partitioned, pinned, summed per bucket (<= ``buckets``
-    rows, broadcast) and finished with a running sum inside each bucket.
-    """
-    order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    before = Window.unboundedPreceding, -1
-    if _is_small(df, small_limit, known_rows):
-        w = Window.orderBy(*order).rowsBetween(*before)
-        return df.withColumn(out_col, F.coalesce(F.sum(weight).over(w), F.lit(0)).cast("bigint"))
-    n = _n_buckets(df, buckets)
-    cols = df.columns
-    tagged = pin(df.repartitionByRange(n, *order).withColumn("__b", F.spark_partition_id()))
-    totals = tagged.groupBy("__b").agg(F.sum(weight).alias("__tot"))
-    prior = Window.orderBy("__b").rowsBetween(*before)
-    totals = totals.select("__b", F.coalesce(F.sum("__tot").over(prior), F.lit(0)).alias("__base"))
-    inside = Window.partitionBy("__b").orderBy(*order).rowsBetween(*before)
-    out = (tagged.withColumn("__in", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
-           .join(F.broadcast(totals), "__b"))
-    return out.select(*cols, (F.col("__base") + F.col("__in")).cast("bigint").alias(out_col))
+        *df.columns, (F.col("__start") + (F.col("__m") - F.col("__m0")) + 1).alias(id_col))

@@ -52,15 +52,3 @@ def missing_keys(df: DataFrame, df_key: str, lookup: DataFrame, key_name: str) -
     lk = lookup.select(F.col(key_name).alias("__lk"))
     return df.join(lk, F.col(df_key) == F.col("__lk"), "left_anti")
 
-
-# Rows a size-checked broadcast may carry (a bounded count proves it).
-BROADCAST_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` only when a bounded count proves ``df`` has at
-    most ``max_rows`` rows; otherwise ``df`` unchanged (the planner then
-    shuffles or applies its own size threshold)."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from orderlens.functions import dates, money
 from orderlens.operators.gaps import longest_gaps
-from orderlens.operators.lookup import bounded_broadcast
 from orderlens.operators.ranking import top_k, with_rank
 from orderlens.plans.model import RetailModel
 
@@ -23,34 +22,26 @@ def _line():
     return F.col("LineTotal")
 
 
-def _customer_id_for(model: RetailModel, customer_name: str) -> int | None:
-    """Name -> CustomerID, last id wins on duplicate names.  Exactly one
-    value comes back to the driver (or None for an unknown name), which
-    then filters the facts as a literal, so the filter reaches the scan."""
-    row = (model.customer.filter(F.col("Name") == F.lit(customer_name))
-           .agg(F.max("CustomerID").alias("id")).collect()[0])
-    return row["id"]
+def _customer_id(model: RetailModel, customer_name: str):
+    """Name -> CustomerID, last id wins on duplicate names, as a scalar subquery: the
+    filters on it are evaluated at run time and pushed into the scans."""
+    return (model.customer.filter(F.col("Name") == F.lit(customer_name))
+            .agg(F.max("CustomerID")).scalar())
 
 
-def _customer_rows(model: RetailModel, customer_id: int | None) -> DataFrame:
-    """Order lines of one customer: ``OrderKey, ProductID, QuantityOrdered,
-    CustomerID, OrderDate``.  The customer's baskets are broadcast only
-    behind a bounded count; a customer with more baskets than that is
-    joined by shuffle."""
-    cid = F.lit(customer_id).cast("bigint")
+def _customer_rows(model: RetailModel, customer_id) -> DataFrame:
+    """Order lines of one customer: ``ProductID, QuantityOrdered, CustomerID, OrderDate``."""
     if model.baskets is None:
-        return model.lines.filter(F.col("CustomerID") == cid)
-    baskets = bounded_broadcast(model.baskets.filter(F.col("CustomerID") == cid))
-    return model.lines.join(baskets, "OrderKey")
+        return model.lines.filter(F.col("CustomerID") == customer_id)
+    return model.lines.join(model.baskets.filter(F.col("CustomerID") == customer_id), "OrderKey")
 
 
 def q01_customer_orders(model: RetailModel, customer_name: str) -> DataFrame:
     """All order lines of one customer with the line total (2 dp)."""
-    cid = _customer_id_for(model, customer_name)
+    cid = _customer_id(model, customer_name)
     rows = _customer_rows(model, cid)
     prod = model.product.select("ProductID", "ProductName", "ProductUnitPrice")
-    who = model.customer.filter(F.col("CustomerID") == F.lit(cid).cast("bigint")).select(
-        "CustomerID", "Name")
+    who = model.customer.filter(F.col("CustomerID") == cid).select("CustomerID", "Name")
     return (rows.join(prod, "ProductID").join(who, "CustomerID")
             .select("Name", "ProductName", "OrderDate",
                     money.to_double(F.col("ProductUnitPrice")).alias("ProductUnitPrice"),
@@ -62,12 +53,11 @@ def q01_customer_orders(model: RetailModel, customer_name: str) -> DataFrame:
 
 def q02_customer_total(model: RetailModel, customer_name: str) -> DataFrame:
     """Sum of one customer's line totals, rounded to 2 dp."""
-    cid = _customer_id_for(model, customer_name)
+    cid = _customer_id(model, customer_name)
     priced = _customer_rows(model, cid).join(
         model.product.select("ProductID", "ProductUnitPrice"), "ProductID")
     total = money.line_total(F.col("ProductUnitPrice"), F.col("QuantityOrdered"))
-    who = model.customer.filter(F.col("CustomerID") == F.lit(cid).cast("bigint")).select(
-        "CustomerID", "Name")
+    who = model.customer.filter(F.col("CustomerID") == cid).select("CustomerID", "Name")
     return (priced.groupBy("CustomerID").agg(F.sum(total).alias("total"))
             .join(who, "CustomerID")
             .select("Name", money.round_to_double(F.col("total"), 2).alias("Total")))
@@ -75,7 +65,7 @@ def q02_customer_total(model: RetailModel, customer_name: str) -> DataFrame:
 
 def q03_totals_by_customer(model: RetailModel) -> DataFrame:
     """Name, Total (2 dp) per customer, Total descending."""
-    sums = model.customer_sums(total=_line())
+    sums = model.totals()
     return (sums.join(model.customer.select("CustomerID", "Name"), "CustomerID")
             .select("Name", money.round_to_double(F.col("total"), 2).alias("Total"),
                     "CustomerID")
@@ -85,7 +75,7 @@ def q03_totals_by_customer(model: RetailModel) -> DataFrame:
 
 def _geo_sums(model: RetailModel) -> DataFrame:
     """Per-customer exact totals with Country and Region attached."""
-    return model.customer_sums(total=_line()).join(model.customer_geo(), "CustomerID")
+    return model.totals().join(model.customer_geo(), "CustomerID")
 
 
 def q04_totals_by_region(model: RetailModel) -> DataFrame:
@@ -125,11 +115,8 @@ def q07_top_country_per_region(model: RetailModel) -> DataFrame:
 
 
 def _quarter_totals(model: RetailModel) -> DataFrame:
-    b = model.basket_sums(total=_line())
     d = F.col("OrderDate")
-    return (b.groupBy("CustomerID", dates.year_of(d).alias("Year"),
-                      dates.quarter_label(d).alias("Quarter"))
-            .agg(F.sum("total").alias("total"))
+    return (model.totals(Year=dates.year_of(d), Quarter=dates.quarter_label(d))
             .select("Quarter", "Year", "CustomerID",
                     money.round_to_double(F.col("total"), 0).alias("Total")))
 

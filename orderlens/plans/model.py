@@ -6,7 +6,7 @@ Six logical tables with the reference schema::
     Country(CountryID, Country, RegionID)
     Customer(CustomerID, FirstName, LastName, Name, CountryID, ...)
     ProductCategory(ProductCategoryID, ProductCategory, ...)
-    Product(ProductID, ProductName, ProductUnitPrice decimal(12,2), ...)
+    Product(ProductID, ProductName, ProductUnitPrice decimal(18,6), ...)
     OrderDetail(CustomerID, ProductID, OrderDate, QuantityOrdered)
 
 ``OrderDetail`` is held in two parts so that work can be aggregated
@@ -80,12 +80,23 @@ class RetailModel:
         return (per_basket.join(self.baskets, "OrderKey")
                 .select("CustomerID", "OrderDate", *measures.keys()))
 
-    def customer_sums(self, **measures: Column) -> DataFrame:
-        """``(CustomerID, <measures>)``: priced measures summed per customer,
-        before any customer/country/region join."""
-        b = self.basket_sums(**measures)
-        return b.groupBy("CustomerID").agg(
-            *[F.sum(k).alias(k) for k in measures.keys()])
+    def totals(self, **period: Column) -> DataFrame:
+        """``(CustomerID, <period>, total)``: line totals summed per customer and period
+        (expressions over OrderDate), before any customer join.
+
+        Where lines carry their customer, quantities are summed per product first, as a
+        product has one price: the product join then sees one row per customer, period and
+        product."""
+        keys = [e.alias(k) for k, e in period.items()]
+        if self.baskets is None:
+            sums = (self.lines.groupBy("CustomerID", *keys, "ProductID")
+                    .agg(F.sum("QuantityOrdered").alias("q")))
+            prod = self.product.select("ProductID", "ProductUnitPrice")
+            total = money.line_total(F.col("ProductUnitPrice"), F.col("q"))
+            return (sums.join(prod, "ProductID").groupBy("CustomerID", *period)
+                    .agg(F.sum(total).alias("total")))
+        return (self.basket_sums(total=F.col("LineTotal")).groupBy("CustomerID", *keys)
+                .agg(F.sum("total").alias("total")))
 
     def customer_geo(self) -> DataFrame:
         """Customer -> Country -> Region (inner joins, as in the queries)."""

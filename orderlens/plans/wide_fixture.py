@@ -1,28 +1,28 @@
-"""Pack the driver star schema into the wide one-line-per-customer format.
+"""Pack the driver star schema into the wide text format, one line per order.
 
 This produces the input the normalisation job expects, from the given
 tables, so the round trip (pack -> normalise -> compare with the star
-schema) can be checked against DuckDB.  One line per customer that has
-order lines, in ``c_custkey`` order; list entries ordered by
-``(o_orderkey, l_linenumber, l_partkey, l_quantity)``.
+schema) can be checked against DuckDB.  Lines come in ``o_orderkey`` order,
+list entries in ``(l_linenumber, l_partkey, l_quantity)`` order.  A line
+repeats its customer's name, so a customer is never gathered into one
+row, and the last-id-wins rule decides whose orders they are.
 
 Fixed value rules of the fixture (not reference values)::
 
-    Name                       replace(c_name, '#', ' ')
+    Name                       replace(c_name, '#', ' ');
+                               c_custkey % 11 = 4: replace(c_name, '#', '  ')   doubled blank
+                               c_custkey % 11 = 6: replace(c_name, '#', '-')    one token
     Address                    c_mktsegment || ', ' || c_custkey
     City                       'City ' || c_nationkey
-    Country / Region           n_name / r_name
+    Country                    n_name
+    Region                     r_name; o_orderkey % 13 = 5: 'Elsewhere'         two regions
     ProductName                p_name || ' ' || lpad(p_partkey, 8, '0')
     ProductCategory            p_type
     ProductCategoryDescription 'Parts of type ' || p_type
-    ProductUnitPrice           cast(cast(p_retailprice as decimal(12,2)) as string)
-    QuantityOrdered            cast(cast(l_quantity as bigint) as string)
+    ProductUnitPrice           p_retailprice as decimal(12,2) text;
+                               o_orderkey % 17 = 3: 1 more                      two prices
+    QuantityOrdered            l_quantity as whole number text
     OrderDate                  date_format(o_orderdate, 'yyyyMMdd')
-
-The wide format holds all of a customer's orders in one text line, so
-the packer necessarily gathers each customer's entries into one row
-(``collect_list`` after a partial sort key); a line is bounded by what
-a text record can hold, which is the format's own limit.
 """
 
 from __future__ import annotations
@@ -30,11 +30,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlens.functions import money
 from orderlens.session import scratch_path
 from orderlens.sources.star import read_table
 from orderlens.sources.wide import LIST_FIELDS, SCALAR_FIELDS
 
 HEADER = SCALAR_FIELDS + LIST_FIELDS
+INPUTS = ("region", "nation", "customer", "part", "orders", "lineitem")
+
+_LISTS = {"ProductName": "name", "ProductCategory": "cat", "ProductCategoryDescription": "descr",
+          "ProductUnitPrice": "price", "QuantityOrdered": "qty", "OrderDate": "day"}
 
 
 def packed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,47 +47,46 @@ def packed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = t("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
     od = t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
     pt = t("part").select("p_partkey", "p_name", "p_type", "p_retailprice")
+    more = F.when(F.col("o_orderkey") % 17 == 3, 1).otherwise(0)
     entries = (li.join(od, F.col("l_orderkey") == F.col("o_orderkey"))
                .join(pt, F.col("l_partkey") == F.col("p_partkey"))
-               .select("o_custkey", F.struct(
-                   F.col("o_orderkey").alias("k1"), F.col("l_linenumber").alias("k2"),
-                   F.col("l_partkey").alias("k3"), F.col("l_quantity").alias("k4"),
-                   F.concat_ws(" ", "p_name", F.lpad(F.col("p_partkey").cast("string"), 8, "0"))
-                   .alias("name"),
-                   F.col("p_type").alias("cat"),
-                   F.concat(F.lit("Parts of type "), F.col("p_type")).alias("desc"),
-                   F.col("p_retailprice").cast("decimal(12,2)").cast("string").alias("price"),
-                   F.col("l_quantity").cast("bigint").cast("string").alias("qty"),
-                   F.date_format("o_orderdate", "yyyyMMdd").alias("date")).alias("e")))
-    per_cust = entries.groupBy("o_custkey").agg(F.array_sort(F.collect_list("e")).alias("es"))
+               .select("o_orderkey", "o_custkey",
+                       F.struct("l_linenumber", "l_partkey", "l_quantity").alias("place"),
+                       F.concat_ws(" ", "p_name", F.lpad(F.col("p_partkey").cast("string"), 8, "0"))
+                       .alias("name"),
+                       F.col("p_type").alias("cat"),
+                       F.concat(F.lit("Parts of type "), F.col("p_type")).alias("descr"),
+                       (F.col("p_retailprice").cast("decimal(12,2)") + more)
+                       .cast("decimal(12,2)").cast("string").alias("price"),
+                       money.whole("l_quantity").cast("string").alias("qty"),
+                       F.date_format("o_orderdate", "yyyyMMdd").alias("day")))
+    # An order has a handful of lines, whatever the size of the data.
+    lists = [F.expr(f"listagg({c}, ';') WITHIN GROUP (ORDER BY place)").alias(f)
+             for f, c in _LISTS.items()]
+    orders = entries.groupBy("o_orderkey", "o_custkey").agg(*lists)
     cust = (t("customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
             .join(t("nation").select("n_nationkey", "n_name", "n_regionkey"),
                   F.col("c_nationkey") == F.col("n_nationkey"))
             .join(t("region").select("r_regionkey", "r_name"),
                   F.col("n_regionkey") == F.col("r_regionkey")))
-    joined = per_cust.join(cust, F.col("o_custkey") == F.col("c_custkey"))
-
-    def lst(field: str):
-        return F.array_join(F.transform("es", lambda x: x[field]), ";")
-
-    return joined.select(
-        "c_custkey",
-        F.regexp_replace("c_name", "#", " ").alias("Name"),
+    odd = F.col("c_custkey") % 11
+    blank = F.when(odd == 4, "  ").when(odd == 6, "-").otherwise(" ")
+    return orders.join(cust, F.col("o_custkey") == F.col("c_custkey")).select(
+        "o_orderkey",
+        F.replace(F.col("c_name"), F.lit("#"), blank).alias("Name"),
         F.concat(F.col("c_mktsegment"), F.lit(", "), F.col("c_custkey").cast("string"))
         .alias("Address"),
         F.concat(F.lit("City "), F.col("c_nationkey").cast("string")).alias("City"),
-        F.col("n_name").alias("Country"), F.col("r_name").alias("Region"),
-        lst("name").alias("ProductName"), lst("cat").alias("ProductCategory"),
-        lst("desc").alias("ProductCategoryDescription"),
-        lst("price").alias("ProductUnitPrice"), lst("qty").alias("QuantityOrdered"),
-        lst("date").alias("OrderDate"))
+        F.col("n_name").alias("Country"),
+        F.when(F.col("o_orderkey") % 13 == 5, "Elsewhere").otherwise(F.col("r_name")).alias("Region"),
+        *LIST_FIELDS)
 
 
 def write_wide_fixture(spark: SparkSession, sf_dir: str, out: str | None = None) -> str:
     """Write the packed lines as tab-separated text files, each with a
-    header line, in ``c_custkey`` order across and within files."""
+    header line, in ``o_orderkey`` order across and within files."""
     path = out or scratch_path(spark, "wide_fixture")
-    (packed_lines(spark, sf_dir).orderBy("c_custkey").select(*HEADER)
+    (packed_lines(spark, sf_dir).orderBy("o_orderkey").select(*HEADER)
      .write.mode("overwrite")
      .option("sep", "\t").option("header", True)
      .option("quoteAll", False).option("escapeQuotes", False)

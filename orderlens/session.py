@@ -12,9 +12,10 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings that matter at scale; all are standard Spark SQL options.
+# Defaults for what the submitted configuration leaves open; all are standard Spark options.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -24,28 +25,25 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
+LOCAL_CONF = {"spark.driver.memory": "16g", "spark.sql.shuffle.partitions": "8"}
 
 
 def build_session(master: str | None = None, app_name: str = "orderlens",
-                  shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
-    """Create (or get) a session with the engine's defaults.
-
-    ``master`` defaults to ``local[N]`` (N from ``BENCH_CPUS`` or 8), except
-    under spark-submit, where the submitted master is kept.
-    """
-    cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    builder = SparkSession.builder.appName(app_name)
-    launched_by_submit = "PYSPARK_GATEWAY_PORT" in os.environ
-    if master is None and not launched_by_submit:
-        master = f"local[{cpus}]"
-    if master:
-        builder = builder.master(master)
+    """Create (or get) a session.  A submitted master and submitted settings are kept; the
+    defaults fill what is not set, and ``extra`` is what the caller insists on.  Without any
+    master the session is ``local[8]``."""
+    submitted = SparkConf()
+    chosen = master or submitted.get("spark.master", None)
+    if chosen is None and "PYSPARK_GATEWAY_PORT" not in os.environ:
+        chosen = "local[8]"
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
-    conf.setdefault("spark.driver.memory", "16g")
-    if extra:
-        conf.update(extra)
+    if chosen and chosen.split("[")[0] == "local":
+        conf.update(LOCAL_CONF)
+    conf = {k: v for k, v in conf.items() if not submitted.contains(k)} | (extra or {})
+    builder = SparkSession.builder.appName(app_name)
+    if chosen:
+        builder = builder.master(chosen)
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -53,32 +51,25 @@ def build_session(master: str | None = None, app_name: str = "orderlens",
     return spark
 
 
-def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and intermediate tables.
+    """The shared folder for intermediate tables.
 
-    Reads ``spark.checkpoint.dir`` / the context's checkpoint dir.  When
-    neither is set and the session is local, a fresh temp folder is
-    created (tests and local benches); on a cluster that is an error.
+    Reads the context's checkpoint dir / ``spark.checkpoint.dir``.  When neither is set
+    a ``local[...]`` session gets a fresh temp folder (tests); on a cluster that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir() or conf_dir
-    if not _is_local(spark):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; point it at shared storage "
-            "(the engine cuts lineage there and never uses local temp dirs)")
-    local = tempfile.mkdtemp(prefix="orderlens-ckpt-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+    if not conf_dir:
+        if sc.master.split("[")[0] != "local":
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set; point it at shared storage "
+                "(the engine cuts lineage there and never uses local temp dirs)")
+        conf_dir = tempfile.mkdtemp(prefix="orderlens-ckpt-")
+    sc.setCheckpointDir(conf_dir)
+    return sc.getCheckpointDir() or conf_dir
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -87,43 +78,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def pin(df: DataFrame, name: str = "pinned") -> DataFrame:
-    """Cut lineage by writing the rows as a Parquet table in the shared
-    checkpoint folder and reading them back.
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the session's file system."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
 
-    Used where a value must not change if a lost executor forces a
-    recomputation (ids derived from partition positions).  A columnar
-    table is cheaper to write and re-read than an RDD checkpoint of rows.
+class Scratch:
+    """The intermediate tables of one run, in one shared folder that goes when the run ends::
+
+        with Scratch(spark) as scratch:
+            rows = scratch.pin(df, "rows")
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
 
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.folder = scratch_path(spark, "run")
 
-def bucket_count(spark: SparkSession) -> int:
-    """Buckets for ``pin_by_key`` (= ``spark.sql.shuffle.partitions``)."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    def pin(self, df: DataFrame, name: str = "pinned") -> DataFrame:
+        """Cut lineage: write the rows once as Parquet and read them back, so that a lost
+        executor cannot change values that depend on partition positions."""
+        path = f"{self.folder}/{name}-{uuid.uuid4().hex[:8]}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
+    def close(self) -> None:
+        delete_path(self.spark, self.folder)
 
-def pin_by_key(df: DataFrame, key: str, name: str = "pinned",
-               buckets: int | None = None) -> DataFrame:
-    """Like ``pin`` but written as a table bucketed by ``key`` in the
-    shared folder.
+    def __enter__(self) -> Scratch:
+        return self
 
-    Reading it back keeps the hash partitioning on ``key``, so later
-    per-key aggregations, windows and joins need no shuffle of these
-    rows.  Callers hash-partition ``df`` by ``key`` into ``buckets``
-    partitions first (one file per bucket).  A catalog that cannot take
-    the table falls back to ``pin``.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    table = f"orderlens_{name}_{uuid.uuid4().hex[:12]}"
-    buckets = buckets or bucket_count(spark)
-    try:
-        (df.write.mode("overwrite").bucketBy(buckets, key)
-         .option("path", path).saveAsTable(table))
-    except Exception:  # noqa: BLE001 - any catalog refusal: plain written table
-        return pin(df, name)
-    return spark.table(table)
+    def __exit__(self, *exc: object) -> None:
+        self.close()

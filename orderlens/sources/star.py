@@ -30,20 +30,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-_MODELS: dict[tuple[str, str], RetailModel] = {}
-
-
 def star_model(spark: SparkSession, sf_dir: str) -> RetailModel:
-    """The logical model over one star-schema folder (memoised per
-    application and folder: the relations are lazy, only their file
-    listings and schemas are reused)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _MODELS:
-        _MODELS[key] = _build_star_model(spark, sf_dir)
-    return _MODELS[key]
-
-
-def _build_star_model(spark: SparkSession, sf_dir: str) -> RetailModel:
+    """The logical model over one star-schema folder (lazy relations)."""
     t = lambda n: read_table(spark, sf_dir, n)
 
     region = t("region").select(
@@ -68,7 +56,7 @@ def _build_star_model(spark: SparkSession, sf_dir: str) -> RetailModel:
     lines = t("lineitem").select(
         F.col("l_orderkey").alias("OrderKey"),
         F.col("l_partkey").cast("bigint").alias("ProductID"),
-        F.col("l_quantity").cast("bigint").alias("QuantityOrdered"))
+        money.whole("l_quantity").alias("QuantityOrdered"))
     baskets = t("orders").select(
         F.col("o_orderkey").alias("OrderKey"),
         F.col("o_custkey").cast("bigint").alias("CustomerID"),

@@ -23,11 +23,12 @@ need instead of re-scanning and re-splitting the text.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.functions import text
-from orderlens.session import scratch_path
+from orderlens.operators.keys import dense_ids
+from orderlens.session import Scratch
 
 N_FIELDS = 11
 SCALAR_FIELDS = ("Name", "Address", "City", "Country", "Region")
@@ -35,15 +36,10 @@ LIST_FIELDS = ("ProductName", "ProductCategory", "ProductCategoryDescription",
                "ProductUnitPrice", "QuantityOrdered", "OrderDate")
 ORDER_KEY = ("file_idx", "block_start", "line_seq")
 
-# The header table (one row per input file) is collected and broadcast
-# only up to this many files; beyond it, it stays distributed and is joined.
-MAX_BROADCAST_FILES = 200_000
-
-
 # Fixed layout of the packed order key (bits per part, most significant
 # first): file rank, split start offset, row inside the split, list
-# position.  22 + 40 + 33 + 28 = 123 bits, inside decimal(38,0).
-FILE_BITS, BLOCK_BITS, ROW_BITS, POS_BITS = 22, 40, 33, 28
+# position.  25 + 40 + 33 + 28 = 126 bits, inside decimal(38,0).
+FILE_BITS, BLOCK_BITS, ROW_BITS, POS_BITS = 25, 40, 33, 28
 
 
 def _checked(c: Column, bits: int, what: str) -> Column:
@@ -93,15 +89,16 @@ def parse_lines(lines: DataFrame, sep: str = "\t") -> DataFrame:
     """Split lines into the eleven named text fields.  The six list fields
     stay unsplit here (they are split once, in ``explode_entries``).
 
-    ``n_fields`` keeps the real field count; lines with a count other
-    than 11 are flagged ``ok = false`` and go to the reject table.
+    ``n_fields`` keeps the real field count; fields behind the eleventh are
+    ignored, and shorter lines are flagged ``ok = false`` and go to the
+    reject table.
     """
     f = text.split_fields(F.col("line"), sep)
     names = SCALAR_FIELDS + LIST_FIELDS
     cols = [F.get(F.col("__f"), i).alias(name) for i, name in enumerate(names)]
     return (lines.withColumn("__f", f)
             .select("file_path", "block_start", "line_seq", F.size("__f").alias("n_fields"),
-                    (F.size("__f") == N_FIELDS).alias("ok"), *cols))
+                    (F.size("__f") >= N_FIELDS).alias("ok"), *cols))
 
 
 def read_wide(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
@@ -109,44 +106,21 @@ def read_wide(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
     return parse_lines(read_raw_lines(spark, path), sep)
 
 
-def stage_lines(parsed: DataFrame, name: str = "wide_lines") -> DataFrame:
-    """``stage_lines_bounded`` without the bound."""
-    return stage_lines_bounded(parsed, name)[0]
-
+def stage_lines(parsed: DataFrame, scratch: Scratch) -> DataFrame:
+    """Write the parsed lines once, then drop each file's header (its first
+    non-blank line) and replace the path by the file's rank ``file_idx``.
 
-def stage_lines_bounded(parsed: DataFrame, name: str = "wide_lines") -> tuple[DataFrame, int]:
-    """Write the parsed lines once to the shared scratch folder, then drop
-    each file's header (its first non-blank line) and replace the path by
-    the file's rank ``file_idx``.
-
-    The header positions are one row per input file, computed from the
-    staged table (three numeric columns) and brought to the driver: that
-    is bounded by the file listing the driver holds anyway.  Above
-    ``MAX_BROADCAST_FILES`` files they stay distributed and are joined.
-
-    Also returns an upper bound on the number of lines (the per-file line
-    counts summed; -1 when not collected), which bounds every table with
-    at most one row per line.
-    """
-    spark = parsed.sparkSession
-    out = scratch_path(spark, name)
-    parsed.write.mode("overwrite").parquet(out)
-    staged = spark.read.parquet(out)
-    firsts = (staged.groupBy("file_path")
-              .agg(F.min(F.struct("block_start", "line_seq")).alias("__hdr"),
-                   F.count(F.lit(1)).alias("__lines"))
-              .withColumn("file_idx", F.row_number().over(Window.orderBy("file_path")).cast("int")))
-    few = firsts.limit(MAX_BROADCAST_FILES + 1).collect()
-    bound = -1
-    if len(few) <= MAX_BROADCAST_FILES:
-        bound = sum(r["__lines"] for r in few)
-        firsts = F.broadcast(spark.createDataFrame(few, firsts.schema))
-    lines = (staged.join(firsts.drop("__lines"), "file_path")
-             .filter(F.struct("block_start", "line_seq") != F.col("__hdr"))
-             .drop("__hdr", "file_path")
-             .select(*ORDER_KEY, *[c for c in staged.columns if c not in ORDER_KEY
-                                   and c != "file_path"]))
-    return lines, bound
+    The header positions are one row per input file, ranked by path and joined."""
+    staged = scratch.pin(parsed, "wide_lines")
+    firsts = staged.groupBy("file_path").agg(
+        F.min(F.struct("block_start", "line_seq")).alias("__hdr"))
+    ranked = (dense_ids(firsts, ["file_path"], "file_idx", scratch)
+              .withColumn("file_idx", F.col("file_idx").cast("int")))
+    return (staged.join(ranked, "file_path")
+            .filter(F.struct("block_start", "line_seq") != F.col("__hdr"))
+            .drop("__hdr", "file_path")
+            .select(*ORDER_KEY, *[c for c in staged.columns if c not in ORDER_KEY
+                                  and c != "file_path"]))
 
 
 def explode_entries(lines: DataFrame) -> DataFrame:
@@ -168,13 +142,10 @@ def explode_entries(lines: DataFrame) -> DataFrame:
                     *[F.col("e." + c).alias(c) for c in LIST_FIELDS]))
 
 
-def stage_entries(lines: DataFrame, name: str = "wide_entries") -> DataFrame:
+def stage_entries(lines: DataFrame, scratch: Scratch) -> DataFrame:
     """Explode once and write the entries (columnar) for the category,
     product and order builders."""
-    spark = lines.sparkSession
-    out = scratch_path(spark, name)
-    explode_entries(lines).write.mode("overwrite").parquet(out)
-    return spark.read.parquet(out)
+    return scratch.pin(explode_entries(lines), "wide_entries")
 
 
 def rejected_lines(parsed: DataFrame) -> DataFrame:

@@ -15,12 +15,21 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from orderlens.session import build_session
 
-    s = build_session(master="local[4]", app_name="orderlens-tests", shuffle_partitions=4,
-                      extra={"spark.driver.memory": "4g"})
+    s = build_session(master="local[4]", app_name="orderlens-tests", extra={
+        "spark.driver.memory": "4g", "spark.sql.shuffle.partitions": "4",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="orderlens-test-shared-")})
     yield s
     s.stop()
 
 
+@pytest.fixture()
+def scratch(spark):
+    from orderlens.session import Scratch
+
+    with Scratch(spark) as s:
+        yield s
+
+
 @pytest.fixture()
 def workdir():
     """A fresh scratch folder per test (never reused, never cleared)."""

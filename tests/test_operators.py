@@ -12,13 +12,11 @@ from orderlens.operators.keys import dense_ids
 from orderlens.operators.replicate import replicate
 
 
-@pytest.mark.parametrize("small_limit", [0, 10_000])
-def test_dense_ids_both_paths(spark, small_limit):
+def test_dense_ids(spark, scratch):
     rnd = random.Random(7)
     rows = [(rnd.choice("abcde"), rnd.randint(0, 50), i) for i in range(3000)]
     df = spark.createDataFrame(rows, "k string, v int, tie long")
-    out = dense_ids(df, ["k", F.col("v").desc(), "tie"], "id", buckets=6,
-                    small_limit=small_limit).collect()
+    out = dense_ids(df, ["k", F.col("v").desc(), "tie"], "id", scratch, buckets=6).collect()
     got = {r.tie: r.id for r in out}
     want = {t: i + 1 for i, (_, _, t) in
             enumerate(sorted(rows, key=lambda r: (r[0], -r[1], r[2])))}
@@ -73,23 +71,6 @@ def test_quality_checks(spark):
     assert orphans == [("c->p", "3", 2)]
 
 
-@pytest.mark.parametrize("small_limit", [0, 10_000])
-def test_prefix_offsets_both_paths(spark, small_limit):
-    from orderlens.operators.keys import prefix_offsets
-
-    rnd = random.Random(11)
-    rows = [(i, rnd.randint(0, 9)) for i in range(2000)]
-    rnd.shuffle(rows)
-    df = spark.createDataFrame(rows, "k long, w long")
-    got = {r.k: r.off for r in prefix_offsets(df, ["k"], "w", "off", buckets=5,
-                                              small_limit=small_limit).collect()}
-    acc, want = 0, {}
-    for k, w in sorted(rows):
-        want[k] = acc
-        acc += w
-    assert got == want
-
-
 def test_golden_csv_reader(spark, workdir):
     import os
 
@@ -128,21 +109,3 @@ def test_packed_order_key_matches_struct_order(spark):
     with pytest.raises(Exception, match="order key overflow"):
         bad.select(packed_entry_order()).collect()
 
-
-def test_bounded_broadcast_only_under_the_bound(spark):
-    import contextlib
-    import io
-
-    from orderlens.operators.lookup import bounded_broadcast
-
-    big = spark.range(0, 1000).withColumnRenamed("id", "k")
-    small = spark.range(0, 10).withColumnRenamed("id", "k")
-
-    def hinted(df):
-        buf = io.StringIO()
-        with contextlib.redirect_stdout(buf):
-            df.explain(mode="extended")
-        return "broadcast" in buf.getvalue().lower().split("== analyzed logical plan ==")[0]
-
-    assert hinted(bounded_broadcast(small, max_rows=10))
-    assert not hinted(bounded_broadcast(big, max_rows=10))

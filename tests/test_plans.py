@@ -30,7 +30,19 @@ def test_top_k_uses_window_group_limit(model):
 
 def test_customer_filter_reaches_the_scan(model):
     text = plan_text(A.q01_customer_orders(model, "Customer#000000001"))
-    assert "EqualTo(o_custkey,1)" in text.replace(" ", "")
+    scan = next(x for x in text.split("\n\n") if "Scan parquet" in x and "o_custkey" in x)
+    assert "EqualTo(o_custkey" in scan.replace(" ", "") and "Subquery" in scan
+
+
+def test_no_job_runs_before_the_action(spark, model):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("lazy", "building q01 and q02")
+    try:
+        A.q01_customer_orders(model, "Customer#000000001")
+        A.q02_customer_total(model, "Customer#000000001")
+        assert not tracker.getJobIdsForGroup("lazy")
+    finally:
+        spark.sparkContext.setJobGroup("", "")
 
 
 def test_scans_are_pruned(model):
@@ -58,39 +70,40 @@ def test_month_rank_single_partition_only_after_aggregation(model):
     assert text.count("SinglePartition") == 1
 
 
-def test_first_occurrence_aggregations_hash_over_all_entries(spark):
+def test_first_occurrence_aggregations_hash_over_all_entries(spark, scratch):
     from orderlens.operators import dims
     from orderlens.plans.wide_fixture import write_wide_fixture
     from orderlens.sources.wide import read_wide, stage_entries, stage_lines
 
     from .conftest import SF_SMALL
 
-    lines = stage_lines(read_wide(spark, write_wide_fixture(spark, SF_SMALL)))
-    entries = stage_entries(lines)
-    category = dims.product_category_table(entries)
+    lines = stage_lines(read_wide(spark, write_wide_fixture(spark, SF_SMALL)), scratch)
+    entries = stage_entries(lines, scratch)
+    category = dims.product_category_table(entries, scratch)
     # product triples: hash aggregates only
-    assert "SortAggregate" not in plan_text(dims.product_table(entries, category))
+    assert "SortAggregate" not in plan_text(dims.product_table(entries, category, scratch))
     # category: the pass over all entries is a hash aggregate; the first-wins
     # pick sorts only the (category, description) pairs
     text = plan_text(category)
     assert "HashAggregate" in text
 
 
-def test_order_ids_reuse_the_line_bucketing(spark):
-    from orderlens.plans.normalize import normalize
-    from orderlens.plans.wide_fixture import write_wide_fixture
+
+def test_wide_fixture_never_gathers_a_customer(spark):
+    from orderlens.plans.wide_fixture import packed_lines
 
     from .conftest import SF_SMALL
 
-    n = normalize(spark, write_wide_fixture(spark, SF_SMALL))
-    # rebuild the id step lazily from the written entries: the plan of the
-    # written OrderDetail is a plain scan, so check the builder's own plan
-    from orderlens.operators import dims
-    from orderlens.operators.facts import order_detail_table
-    from orderlens.sources.wide import read_wide, stage_entries, stage_lines_bounded
-
-    lines, bound = stage_lines_bounded(read_wide(spark, write_wide_fixture(spark, SF_SMALL)))
-    fact = order_detail_table(lines, stage_entries(lines), dims.customer_lookup(n.customer),
-                              dims.product_lookup(n.product), True, bound)
-    text = plan_text(fact.order_detail)
-    assert "hashpartitioning(line_seq" not in text
+    text = plan_text(packed_lines(spark, SF_SMALL))
+    assert "collect_list" not in text and "Keys [2]: [o_orderkey" in text
+
+
+def test_normalized_totals_sum_quantities_before_the_product_join(spark):
+    from orderlens.plans.roundtrip import RoundTrip
+
+    from .conftest import SF_SMALL
+
+    trip = RoundTrip()
+    text = plan_text(A.q03_totals_by_customer(trip(spark, SF_SMALL).model()))
+    assert "Keys [2]: [CustomerID" in text and "sum(QuantityOrdered" in text
+    trip.close(spark)

@@ -1,11 +1,13 @@
 """Hand-written wide lines, one per edge case of the normalisation rules."""
 
+import glob
 import os
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from orderlens.functions import money
 from orderlens.plans import analytics as A
 from orderlens.plans.normalize import normalize
 from orderlens.sources.wide import ORDER_KEY, read_wide, stage_lines
@@ -14,7 +16,7 @@ from .conftest import write_wide
 
 
 def line(name, country="Norland", region="North", products="Bolt", cats="Hardware",
-         descs="Hand tools", prices="18.00", qtys="2", dates="20120814",
+         descs="Hand tools", prices="17.50", qtys="2", dates="20120814",
          address="Main Road  8", city="Northport"):
     return "\t".join([name, address, city, country, region, products, cats, descs, prices,
                       qtys, dates])
@@ -25,27 +27,27 @@ def base_rows():
     return [
         line("Lena Maria Holm", country="Sudland", region="South",
              products="Bolt;Nut", cats="Hardware;Fasteners", descs="Hand tools;Small parts",
-             prices="18.00;23.25", qtys="1;2", dates="20120101;20120301"),
+             prices="17.50;4.75", qtys="1;2", dates="20120101;20120301"),
         line("Kai Berg", country="Westland", region="West",
              products="Nut;Bolt;Nut", cats="Fasteners;Hardware;Fasteners",
-             descs="Small parts;Hand tools;Small parts", prices="23.25;18.00;23.25",
+             descs="Small parts;Hand tools;Small parts", prices="4.75;17.50;4.75",
              qtys="3;1;1", dates="20120105;20120110;20120301",
              address='Harbour St. 5, "rear"'),
         line("Solo", country="Sudland", region="South"),
         line("Rui  Costa", country="Midland", region="Middle"),
         line("Kai Berg", country="Westland", region="North",
-             products="Bolt", cats="Hardware", descs="Hand tools", prices="18.00",
+             products="Bolt", cats="Hardware", descs="Hand tools", prices="17.50",
              qtys="4", dates="20120201"),
         line("Tom Same", country="Sudland", region="South", products="Bolt;Bolt;Bolt",
              cats="Hardware;Hardware;Hardware", descs="Hand tools;Hand tools;Hand tools",
-             prices="18.00;18.00;18.00", qtys="1;1;1", dates="20120505;20120505;20120505"),
+             prices="17.50;17.50;17.50", qtys="1;1;1", dates="20120505;20120505;20120505"),
         line("Uno Order", country="Sudland", region="South"),
     ]
 
 
-def test_blank_lines_and_header_skipped(spark, workdir, base_rows):
+def test_blank_lines_and_header_skipped(spark, scratch, workdir, base_rows):
     path = write_wide(os.path.join(workdir, "in"), base_rows, blank_lines=True)
-    parsed = stage_lines(read_wide(spark, path))
+    parsed = stage_lines(read_wide(spark, path), scratch)
     assert parsed.count() == len(base_rows)
     assert parsed.filter(~F.col("ok")).count() == 0
     # file order restored by the line order key
@@ -53,11 +55,11 @@ def test_blank_lines_and_header_skipped(spark, workdir, base_rows):
     assert names == [r.split("\t")[0] for r in base_rows]
 
 
-def test_header_per_file_in_multi_file_input(spark, workdir, base_rows):
+def test_header_per_file_in_multi_file_input(spark, scratch, workdir, base_rows):
     d = os.path.join(workdir, "in")
     write_wide(os.path.join(d, "a"), base_rows[:3])
     write_wide(os.path.join(d, "b"), base_rows[3:])
-    parsed = stage_lines(read_wide(spark, f"{d}/*"))
+    parsed = stage_lines(read_wide(spark, f"{d}/*"), scratch)
     assert parsed.count() == len(base_rows)
     names = [r.Name for r in parsed.orderBy(*ORDER_KEY).collect()]
     assert names == [r.split("\t")[0] for r in base_rows]
@@ -151,7 +153,7 @@ def test_duplicate_price_text_makes_two_products(spark, workdir):
 
 def test_short_date_list_goes_to_rejects(spark, workdir):
     rows = [line("A B", products="Bolt;Bolt", cats="Hardware;Hardware",
-                 descs="Hand tools;Hand tools", prices="18.00;18.00", qtys="1;2",
+                 descs="Hand tools;Hand tools", prices="17.50;17.50", qtys="1;2",
                  dates="20120101")]
     n = normalize(spark, write_wide(os.path.join(workdir, "in"), rows),
                   out_dir=os.path.join(workdir, "out"))
@@ -171,31 +173,33 @@ def test_wrong_field_count_is_rejected(spark, workdir):
 def test_bad_values_strict_and_lenient(spark, workdir, bad):
     rows = [line("A B", **bad), line("C D")]
     path = write_wide(os.path.join(workdir, "in"), rows)
-    with pytest.raises((PySparkException, Exception)):
+    with pytest.raises(PySparkException, match="CAST_INVALID_INPUT|CANNOT_PARSE_TIMESTAMP|CAST"):
         normalize(spark, path, out_dir=os.path.join(workdir, "strict"), strict=True)
     n = normalize(spark, path, out_dir=os.path.join(workdir, "lenient"), strict=False)
     assert n.order_detail.count() == 1
     assert n.rejects.count() == 1
 
 
-def test_unknown_region_fails_strict_lookup(spark, workdir):
+def test_unknown_region_fails_strict_lookup(spark, scratch, workdir):
     from orderlens.operators import dims
 
-    lines = stage_lines(read_wide(spark, write_wide(os.path.join(workdir, "in"), [line("A B")])))
+    lines = stage_lines(read_wide(spark, write_wide(os.path.join(workdir, "in"), [line("A B")])),
+                        scratch)
     region = spark.createDataFrame([(1, "Elsewhere")], "RegionID long, Region string")
-    with pytest.raises(Exception, match="unknown region"):
-        dims.country_table(lines, region).collect()
+    with pytest.raises(PySparkException, match="unknown region"):
+        dims.country_table(lines, region, scratch).collect()
 
 
 def test_bad_price_strict_and_lenient(spark, workdir):
     rows = [line("A B", prices="abc"), line("C D", products="Nut", prices="2.50")]
     path = write_wide(os.path.join(workdir, "in"), rows)
-    with pytest.raises(Exception):
+    with pytest.raises(PySparkException, match="CAST_INVALID_INPUT"):
         normalize(spark, path, out_dir=os.path.join(workdir, "strict"), strict=True)
     n = normalize(spark, path, out_dir=os.path.join(workdir, "lenient"), strict=False)
     assert [r.ProductName for r in n.product.collect()] == ["Nut"]
     assert n.order_detail.count() == 1
-    assert [r.reason for r in n.rejects.collect()] == ["unknown product: Bolt"]
+    assert sorted(r.reason for r in n.rejects.collect()) == ["bad price: abc of Bolt",
+                                                             "unknown product: Bolt"]
 
 
 def test_bad_quantity_on_unmatched_line_does_not_fail_strict(spark, workdir):
@@ -206,3 +210,40 @@ def test_bad_quantity_on_unmatched_line_does_not_fail_strict(spark, workdir):
                   out_dir=os.path.join(workdir, "out"), strict=True)
     assert n.order_detail.count() == 1
     assert [r.reason for r in n.rejects.collect()] == ["unknown customer: Solo"]
+
+
+def test_fields_behind_the_eleventh_are_ignored(spark, workdir):
+    n = normalize(spark, write_wide(os.path.join(workdir, "in"), [line("A B") + "\tmore\tfields"]),
+                  out_dir=os.path.join(workdir, "out"))
+    assert (n.customer.count(), n.product.count(), n.order_detail.count()) == (1, 1, 1)
+    assert n.rejects.count() == 0
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_money_is_exact_or_fails(spark, workdir, ansi):
+    saved = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        n = normalize(spark, write_wide(os.path.join(workdir, "in"), [line("A B", prices="0.125", qtys="4")]),
+                      out_dir=os.path.join(workdir, "out"))
+        assert [r.Total for r in A.q03_totals_by_customer(n.model()).collect()] == [0.50]
+        big = normalize(spark, write_wide(os.path.join(workdir, "in2"), [line("A B", prices="1e13")]),
+                        out_dir=os.path.join(workdir, "out2"))
+        with pytest.raises(PySparkException, match="price not exact"):
+            A.q03_totals_by_customer(big.model()).collect()
+        with pytest.raises(PySparkException, match="quantity not exact"):
+            spark.createDataFrame([(1.5,)], "q double").select(money.whole("q")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", saved)
+
+
+def test_a_run_leaves_no_scratch_and_no_table(spark, workdir):
+    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    runs = lambda: sorted(os.path.basename(p) for p in glob.glob(f"{shared}/**/run-*", recursive=True))
+    before = runs()
+    normalize(spark, write_wide(os.path.join(workdir, "in"), [line("A B")]), out_dir=os.path.join(workdir, "out"))
+    with pytest.raises(PySparkException):
+        normalize(spark, write_wide(os.path.join(workdir, "in2"), [line("A B", qtys="x")]),
+                  out_dir=os.path.join(workdir, "out2"))
+    assert runs() == before
+    assert not spark.catalog.listTables()
