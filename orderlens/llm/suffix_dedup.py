@@ -22,7 +22,6 @@ Where a cut leaves part of a character, ``kept_text`` drops that part.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -84,6 +83,11 @@ def _slices(size: int) -> Iterator[tuple[int, int]]:
         yield at, min(size, at + SLICE + LENGTH - 1)
 
 
+def _inside(n: np.ndarray) -> np.ndarray:
+    """Which bytes of their contexts records with n windows use."""
+    return np.arange(CONTEXT)[None, :] < (n.astype(int) + LENGTH - 1)[:, None]
+
+
 def _records(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """Packed records of batches of documents, sorted by bucket and suffix."""
     heads: list[np.ndarray] = []
@@ -98,10 +102,12 @@ def _records(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
         edges = np.flatnonzero(np.diff(bucket, prepend=np.uint64(buckets + 1)))
         out, size = ([], []), 0
         for a, b in zip(edges, [*edges[1:], len(bucket)], strict=True):
-            blob = pa.compress(b"".join([np.ascontiguousarray(head[c][a:b]).tobytes() for c in _RECORD.names]) + row[a:b].tobytes(),
-                               codec="zstd", asbytes=True)
+            used = row[a:b][_inside(head["n"][a:b])]
+            raw = b"".join([*(np.ascontiguousarray(head[c][a:b]).tobytes() for c in _RECORD.names), used.tobytes()])
+            blob = int(b - a).to_bytes(8, "little") + len(raw).to_bytes(8, "little") + pa.compress(
+                raw, codec="zstd", asbytes=True)
             out[0].append(int(bucket[a]))
-            out[1].append(int(b - a).to_bytes(8, "little") + blob)
+            out[1].append(blob)
             if (size := size + len(blob)) > SLICE:
                 yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary())],
                                                  names=["bucket", "blob"])
@@ -134,7 +140,6 @@ def _records(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
         head["at"], head["n"] = cut - starts[own] + offsets[own], stop - cut
         padded = np.concatenate([raw, np.zeros(CONTEXT, np.uint8)])
         row = sliding_window_view(padded, CONTEXT)[cut]
-        row[np.arange(CONTEXT)[None, :] >= (head["n"].astype(int) + LENGTH - 1)[:, None]] = 0
         suffix = sliding_window_view(padded, 16)[anchor[run]].view(">u8").astype(np.uint64)
         bucket = (hashed[run] >> np.uint64(20)) % np.uint64(buckets)
         heads.append(head)
@@ -221,14 +226,16 @@ def _unpack(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The heads and contexts of packed records."""
     heads, rows = [], []
     for blob in blobs:
-        n = int.from_bytes(blob[:8], "little")
-        data = pa.decompress(blob[8:], decompressed_size=n * (_RECORD.itemsize + CONTEXT), codec="zstd", asbytes=True)
+        n, size = int.from_bytes(blob[:8], "little"), int.from_bytes(blob[8:16], "little")
+        data = pa.decompress(blob[16:], decompressed_size=size, codec="zstd", asbytes=True)
         head, at = np.empty(n, _RECORD), 0
         for c in _RECORD.names:
             head[c] = np.frombuffer(data, _RECORD[c], n, at)
             at += n * _RECORD[c].itemsize
         heads.append(head)
-        rows.append(np.frombuffer(data, np.uint8, n * CONTEXT, at).reshape(n, CONTEXT))
+        row = np.zeros((n, CONTEXT), np.uint8)
+        row[_inside(head["n"])] = np.frombuffer(data, np.uint8, size - at, at)
+        rows.append(row)
     return np.concatenate(heads), np.concatenate(rows)
 
 
@@ -308,7 +315,8 @@ def _covers(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Reco
 
     def flush() -> pa.RecordBatch:
         cover = np.concatenate(held)
-        bucket = np.mod(cover["doc"] ^ cover["tie"], buckets)
+        doc = cover["doc"]
+        bucket = np.mod(doc ^ (doc >> 7) ^ (doc >> 17) ^ cover["tie"], buckets)
         order = np.lexsort((cover["at"], cover["tie"], cover["doc"], bucket))
         cover, bucket = cover[order], bucket[order]
         edges = np.flatnonzero(np.diff(bucket, prepend=-1))
@@ -411,18 +419,14 @@ def _documents(batch: pa.RecordBatch, keep: list[int], columns: list[str], sizes
         names=[*columns, "n_bytes", "spans", "kept"])
 
 
-def _settle(df: DataFrame) -> None:
-    """Let Spark drop the shuffle files of steps whose results are written."""
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-
-
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` without column text, with n_bytes, spans (start, end of each maximal removed run, in
     bytes) and kept (the bytes that stay)."""
+    # Rows that share an id are told apart by their text.
+    shared = not docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").isEmpty()
     keyed = docs.withColumns({
         "__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long")),
-        "__tie": F.xxhash64("text")})
+        "__tie": F.xxhash64("text") if shared else F.lit(0).cast("long")})
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(64, total // BUCKET_BYTES)
     rows = keyed.select(F.col("__id").alias("id"), F.col("__tie").alias("tie"), "text")
@@ -430,10 +434,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     covers = (records.repartition("bucket").sortWithinPartitions("bucket")
               .mapInArrow(lambda b: _covers(b, buckets), "bucket long, n long, blob binary"))
     covers = scratch.materialise(covers, "covers")
-    _settle(docs)
 
     columns = [c for c in docs.columns if c not in ("text", "n_bytes", "spans", "kept")]
-    own = keyed.select(F.expr(f"pmod(__id ^ __tie, {buckets})").alias("__bucket"), F.lit(None).cast("long").alias("__n"),
+    own = keyed.select(F.expr(
+        f"pmod(__id ^ shiftright(__id, 7) ^ shiftright(__id, 17) ^ __tie, {buckets})").alias("__bucket"), F.lit(None).cast("long").alias("__n"),
                        F.lit(None).cast("binary").alias("__blob"), "__id", "__tie", "text",
                        *[F.col(f"`{c}`") for c in columns])
     fill = {f.name: f.dataType for f in own.schema}
