@@ -26,7 +26,6 @@ gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -186,12 +185,6 @@ def _apart(percent: int):
     return run
 
 
-def _settle(df: DataFrame) -> None:
-    """Let Spark drop the shuffle files of steps whose results are written."""
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-
-
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     marks = scratch.materialise(sketches(docs, words), "sketches")
@@ -203,12 +196,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         marks.select(F.col("doc_id").alias("id"), "n", "sig_a", "sig_b", "regs")
         .join(classes.select("id", "n", "sig_a", "sig_b"), ["id", "n", "sig_a", "sig_b"], "left_semi")
         .groupBy("id").agg(F.min("n").alias("n"), F.min("regs").alias("regs")), "nodes")
-    _settle(docs)
 
     keys = nodes.select("id", "regs").mapInArrow(_keys, "key long, id long")
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = scratch.materialise(keys.join(shared, "key"), "members")
-    _settle(docs)
 
     weight = members.groupBy("id").agg(F.sum("n").alias("weight"))
     weight = scratch.materialise(weight, "weights")
@@ -223,13 +214,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     linked = scratch.materialise(weight.select("id"), "candidates")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(linked, "id", "left_semi")
     sets = scratch.materialise(shingle_sets(texts, words), "sets")
-    _settle(docs)
 
     links = scratch.materialise(verified(stars, sets, percent), "links-1")
     first = components(links)
     labels = scratch.materialise(
         linked.join(first, "id", "left").select("id", F.coalesce("component", "id").alias("comp")), "labels")
-    _settle(docs)
 
     of_centre = labels.select(F.col("id").alias("centre"), F.col("comp").alias("gathering"))
     apart = (members.select("key", "id").join(labels, "id").groupBy("key")
@@ -247,7 +236,6 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     pairs = scratch.materialise(ordered.mapInArrow(_apart(percent), "a long, b long").distinct(), "pairs")
     more = verified(pairs, sets, percent)
     final = components(links.unionByName(more))
-    _settle(docs)
 
     named = (marks.select("doc_id", "n", "sig_a", "sig_b")
              .join(classes.select("id", "n", "sig_a", "sig_b"), ["n", "sig_a", "sig_b"], "left")

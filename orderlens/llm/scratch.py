@@ -33,15 +33,26 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialise(df: DataFrame, name: str, **options: object) -> DataFrame:
-    """Write ``df`` once and return the table."""
+#: Shuffle files go when the write that needed them has ended, not when the driver collects garbage.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def write(df: DataFrame, path: str, **options: object) -> None:
+    """Write ``df`` as Parquet; options by name, dots as two underscores."""
     spark = df.sparkSession
-    path = new_path(spark, name)
-    writer = df.write
-    for key, value in options.items():
-        writer = writer.option(key.replace("__", "."), value)
-    writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEAN_UP)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.options(**{k.replace("__", "."): v for k, v in options.items()}).parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once and return the table."""
+    path = new_path(df.sparkSession, name)
+    write(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def remove(df: DataFrame) -> None:

@@ -24,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import scratch
 from .encode import END_ID, encoder, in_turn
 
 #: Bytes of a row group and of a page.
@@ -71,11 +72,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str) -> None:
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                         F.xxhash64("text").alias("tie"))
             .repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text"))
-    (rows.mapInArrow(encode, _DDL).write
-     .option("parquet.writer.version", "v2").option("parquet.enable.dictionary", "true")
-     .option("parquet.block.size", ROW_GROUP_BYTES).option("parquet.page.size", PAGE_BYTES)
-     .option("parquet.page.write-checksum.enabled", "true")
-     .parquet(path))
+    scratch.write(rows.mapInArrow(encode, _DDL), path, parquet__writer__version="v2",
+                  parquet__enable__dictionary="true", parquet__block__size=ROW_GROUP_BYTES,
+                  parquet__page__size=PAGE_BYTES)
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame:
