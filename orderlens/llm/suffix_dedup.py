@@ -372,9 +372,8 @@ def _cut_out(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[
         cover = cover[np.lexsort((cover["tie"], cover["doc"]))]
         new = np.ones(len(cover), bool)
         new[1:] = (cover["doc"][1:] != cover["doc"][:-1]) | (cover["tie"][1:] != cover["tie"][:-1])
-        first = np.flatnonzero(new)
-        ranges = {(int(cover["doc"][a]), int(cover["tie"][a])): (a, b)
-                  for a, b in zip(first, [*first[1:], len(cover)], strict=True)}
+        edges = np.append(np.flatnonzero(new), len(cover))
+        ranges = {(int(cover["doc"][a]), int(cover["tie"][a])): (a, b) for a, b in zip(edges, edges[1:], strict=False)}
 
     for batch in batches:
         keep, sizes, spans, kept = [], [], [], []
