@@ -2,8 +2,8 @@
 
 Each distinct word shingle of a whole text falls into one of ``BANDS * ROWS`` buckets;
 a bucket keeps of its smallest hash the count of leading zeros and ten mantissa
-bits, in 16 bits.  Texts with equal sets are one node.  Nodes that agree on all
-registers of a band share a key.  A pair at the threshold of 0.8 misses all keys with a
+bits, in 16 bits.  Texts with equal sets are one node.  For banding, empty registers borrow
+from others.  Nodes that agree on all registers of a band share a key.  A pair at the threshold of 0.8 misses all keys with a
 probability of (1 - 0.8 ** ROWS) ** BANDS, about 2 in a million.
 
 Links are found without listing the pairs of a key:
@@ -42,6 +42,8 @@ REGISTERS = BANDS * ROWS
 #: The chance that two different smallest hashes leave the same register.
 COLLISION = 1 / 3 / 1024
 SIGMAS = 4.5
+#: Buckets that an empty register tries.
+_TURNS = 40
 #: Nodes of a gathering that one task compares with as many others.
 CHUNK = 4_096
 
@@ -58,11 +60,28 @@ def registers(hashes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
     return np.where(there, found, 0).astype(np.uint16).reshape(n, REGISTERS)
 
 
-def band_keys(sketches: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The keys of the bands, and which bands are not all empty."""
-    bands = sketches.reshape(len(sketches), BANDS, ROWS).astype(np.uint64)
+def filled(sketches: np.ndarray) -> np.ndarray:
+    """Sketches whose empty registers borrow from a bucket that the register's own sequence of
+    buckets reaches first, so that a small set fills all bands and one shared shingle makes no band equal."""
+    out, buckets = sketches.copy(), np.arange(REGISTERS)
+    for turn in range(_TURNS):
+        if (out > 0).all():
+            return out
+        source = (mix(np.arange(REGISTERS, dtype=np.uint64) + np.uint64(turn * REGISTERS + 1))
+                  % np.uint64(REGISTERS)).astype(np.int64)
+        out = np.where(out > 0, out, sketches[:, source])
+    # Sparse ones: the next bucket that has a register.
+    place = np.where(sketches > 0, buckets, 4 * REGISTERS)
+    after = np.minimum.accumulate(np.concatenate([place, place + REGISTERS], axis=1)[:, ::-1], axis=1)[:, ::-1]
+    nearest = after[:, :REGISTERS] % REGISTERS
+    return np.where(out > 0, out, np.take_along_axis(sketches, nearest, axis=1))
+
+
+def band_keys(sketches: np.ndarray) -> np.ndarray:
+    """The keys of the bands of sets that are not empty."""
+    bands = filled(sketches).reshape(len(sketches), BANDS, ROWS).astype(np.uint64)
     sums = (bands * powers(0xD6E8FEB86659FD93, ROWS + 1)[1:ROWS + 1]).sum(axis=2, dtype=np.uint64)
-    return mix(sums + mix(np.arange(1, BANDS + 1, dtype=np.uint64))), bands.any(axis=2)
+    return mix(sums + mix(np.arange(1, BANDS + 1, dtype=np.uint64)))
 
 
 def estimate(one: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -114,9 +133,9 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for a in range(0, len(batch), 2000):
             part = batch.slice(a, 2000)
             regs = np.frombuffer(b"".join(part.column("regs").to_pylist()), np.uint16).reshape(len(part), REGISTERS)
-            keys, there = band_keys(regs)
-            ids = np.broadcast_to(part.column("id").to_numpy()[:, None], keys.shape)
-            yield pa.RecordBatch.from_arrays([pa.array(keys[there].view(np.int64)), pa.array(ids[there])],
+            keys = band_keys(regs)
+            ids = np.repeat(part.column("id").to_numpy(), BANDS)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(ids)],
                                              names=["key", "id"])
 
 
