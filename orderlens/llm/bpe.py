@@ -139,12 +139,13 @@ class Bpe(PieceCache):
                 token = out.pop()
                 at -= len(lengths[token])
 
-    def learn_words(self, words: list[str]) -> None:
-        for w in words:
-            self.words[w] = self.encode_piece(" " + w)
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        (feed,) = self.encode_pieces(["\n"])
+        return [feed + x if w[0] == "\n" else x
+                for w, x in zip(words, self.encode_pieces([w.lstrip("\n") for w in words]), strict=True)]
 
-    def encode_piece(self, piece: str) -> bytes:
-        return np.array(self.ids(piece.encode()), "<u4").tobytes()
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        return [np.array(self.ids(p.encode()), "<u4").tobytes() for p in pieces]
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))

@@ -23,97 +23,101 @@ END_ID = 0
 
 _BLANK = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?:\s|\Z)")
-#: After letters these always begin a piece of their own.
-_STOPS = (".", ",")
+_STOP = re.compile(r"([.,])(?=\s)(?<=[^\W\d_].)")
+#: Marks of parts that no blank precedes: as they are, or after a line feed.
+_BARE, _FED = "\x01", "\x02"
 _is_none = partial(is_, None)
 
 
 def cut(text: str) -> list[str]:
-    """The text's parts, between which it has a blank; each later part begins a piece
-    with that blank."""
-    return _BLANK.split(text) if _ODD.search(text) else text.split(" ")
+    """The text's parts.  The first one is as it is; each later one begins a piece and had a
+    blank before it, if it has no mark.  A stop or comma between a letter and white space is a
+    part of its own, and so is what follows a line feed after a stop."""
+    marked = _STOP.sub(f" {_BARE}\\1", text).replace(f"{_BARE}.\n", f"{_BARE}. {_FED}")
+    return _BLANK.split(marked) if _ODD.search(marked) else marked.split(" ")
+
+
+def whole(part: str) -> str:
+    """A later part as it stood in the text."""
+    return part[1:] if part[0] == _BARE else "\n" + part[1:] if part[0] == _FED else " " + part
 
 
 class PieceCache:
     """Texts to the bytes of unsigned 32-bit little-endian ids, piece by piece.
 
-    A subclass says how new words (letters after a blank) and other pieces are encoded."""
+    A subclass says how new words and other pieces are encoded."""
 
     def __init__(self):
         import public_tokenizers
         import regex
 
         self.pieces = regex.compile(public_tokenizers.PATTERN).findall
-        self.words: dict[str, bytes] = {}  # by what follows a blank
+        self.known: dict[str, bytes] = {}  # by later parts
         self.older: dict[str, bytes] = {}  # the generation before
-        self.others: dict[str, bytes] = {}  # by other pieces, blank included
+        self.others: dict[str, bytes] = {}  # by pieces
 
-    def learn_words(self, words: list[str]) -> None:
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """The ids of each word: a blank or a line feed, then letters only."""
         raise TypeError("a subclass encodes")
 
-    def encode_piece(self, piece: str) -> bytes:
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece."""
         raise TypeError("a subclass encodes")
 
-    def _other(self, piece: str) -> bytes:
-        if (ids := self.others.get(piece)) is None:
-            ids = self.encode_piece(piece)
-            if len(piece) < 64:
-                self.others[piece] = ids
-        return ids
+    def _pieces(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts that are no single word."""
+        cuts = [self.pieces(t) for t in texts]
+        new = list({p for found in cuts for p in found}.difference(self.others))
+        long = {}
+        for piece, ids in zip(new, self.encode_pieces(new), strict=True):
+            (self.others if len(piece) < 64 else long)[piece] = ids
+        return [b"".join([self.others[p] if p in self.others else long[p] for p in found]) for found in cuts]
 
     def _learn(self, missing: set[str]) -> None:
-        """Put the ids of all these words into the cache."""
-        words, older, new, stopped, mixed, stems = self.words, self.older, [], [], {}, set()
+        """Put the ids of all these parts into the cache."""
+        known, older = self.known, self.older
+        new, mixed = [], []
         for w in missing:
             if w in older:
-                words[w] = older[w]
-            elif w.isalpha():
+                known[w] = older[w]
+            elif w.isalpha() or (w[0] == _FED and w[1:].isalpha()):
                 new.append(w)
-            elif w[-1:] in _STOPS and (stem := w[:-1]).isalpha():
-                stopped.append(w)
-                stems.add(stem)
             else:
-                mixed[w] = self.pieces(" " + w)
-                stems.update([x[1:] for x in mixed[w] if x[0] == " " and x[1:].isalpha()])
-        for w in stems:
-            if w in older:
-                words[w] = older[w]
-            elif w not in words and w not in missing:
-                new.append(w)
+                mixed.append(w)
         if new:
-            self.learn_words(new)
-        stops = {x: self._other(x) for x in _STOPS}
-        for w in stopped:
-            words[w] = words[w[:-1]] + stops[w[-1]]
-        for w, found in mixed.items():
-            words[w] = b"".join(map(self._ids, found))
-
-    def _ids(self, piece: str) -> bytes:
-        found = self.words.get(piece[1:]) if piece[0] == " " else None
-        return self._other(piece) if found is None else found
+            known.update(zip(new, self.encode_words(list(map(whole, new))), strict=True))
+        if mixed:
+            known.update(zip(mixed, self._pieces(list(map(whole, mixed))), strict=True))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
-        if len(self.words) > CACHE_WORDS:
-            self.older, self.words = self.words, {}
+        if len(self.known) > CACHE_WORDS:
+            self.older, self.known = self.known, {}
         if len(self.others) > CACHE_WORDS // 4:
             self.others.clear()
-        parts, found, missing = [], [], set()
-        get = self.words.get
+        cuts, found, heads, missing = [], [], [], set()
+        get = self.known.get
         for text in texts:
-            rest = cut(text)
-            got = list(map(get, rest))
-            got[0] = b"".join(map(self._ids, self.pieces(rest[0])))
+            if _BARE in text or _FED in text:  # the marks' own characters
+                cuts.append([])
+                found.append(self._pieces([text]))
+                continue
+            some = cut(text)
+            got = list(map(get, some))
+            got[0] = b""
+            heads.append(some[0])
             if None in got:
-                missing.update(compress(rest, map(_is_none, got)))
-            parts.append(rest)
+                missing.update(compress(some, map(_is_none, got)))
+            cuts.append(some)
             found.append(got)
         if missing:
             self._learn(missing)
-        words = self.words
-        for rest, got in zip(parts, found, strict=True):
-            for i in compress(range(len(got)), map(_is_none, got)):
-                got[i] = words[rest[i]]
+        known, first = self.known, iter(self._pieces(heads))
+        for some, got in zip(cuts, found, strict=True):
+            if some:
+                got[0] = next(first)
+            for i in compress(range(len(some)), map(_is_none, got)):
+                got[i] = known[some[i]]
         return list(map(b"".join, found))
 
 
@@ -131,19 +135,18 @@ class Encoder(PieceCache):
         #: Bytes of each token.
         self.lengths = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
 
-    def learn_words(self, words: list[str]) -> None:
+    def encode_words(self, words: list[str]) -> list[bytes]:
         """All words in one call; the ids are split again by the tokens' bytes."""
-        got = self.tokenizer.encode_batch_fast(["".join([" " + w for w in words])], add_special_tokens=False)
+        got = self.tokenizer.encode_batch_fast(["".join(words)], add_special_tokens=False)
         ids = np.array(got[0].ids, np.uint32)
-        ends = np.cumsum([len(w.encode()) + 1 for w in words])
-        at = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
-        data, start = ids.astype("<u4").tobytes(), 0
-        for word, end in zip(words, at.tolist(), strict=True):
-            self.words[word] = data[4 * start:4 * end]
-            start = end
-
-    def encode_piece(self, piece: str) -> bytes:
-        return np.array(self.tokenizer.encode_batch_fast([piece], add_special_tokens=False)[0].ids, "<u4").tobytes()
+        ends = np.cumsum([len(w.encode()) for w in words])
+        at = (4 * (np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1)).tolist()
+        data = ids.astype("<u4").tobytes()
+        return [data[a:b] for a, b in zip([0, *at], at, strict=False)]
+
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        return [np.array(x.ids, "<u4").tobytes()
+                for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
 
 _made: dict[str, Encoder] = {}
