@@ -1,59 +1,93 @@
 """Whole texts encoded with the tokenizers library, in bounded memory.
 
-A byte-level vocabulary splits text before it merges, and a blank that a
-non-blank follows always begins a new piece.  So a text is cut there, each
-distinct piece goes through the library once, and its ids are kept in a
-bounded cache; the ids of a text are those of its pieces in a row.
+A byte-level vocabulary splits text before it merges, and some places always
+are such a split: before a blank that a non-blank follows, and around a stop or
+comma between a letter and white space.  So a batch of texts is cut there, equal
+parts are found by their hashes, each distinct part goes through the library once, and its
+ids are kept in a bounded cache; the ids of a text are those of its parts in a row.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 from functools import partial
 from itertools import compress
 from operator import is_
 
 import numpy as np
 
-#: Words in each of the two generations of a worker's cache (it changes no result).
-CACHE_WORDS = 400_000
+from .words import mix, powers
+
+#: Parts in each of the two generations of a worker's cache (it changes no result).
+CACHE_PARTS = 400_000
+#: Characters of a text, or of a slice of a long one, that are encoded at a time.
+SLICE = 1 << 20
 #: The id that ends a document.
 END_ID = 0
 
-_BLANK = re.compile(r" (?=\S)")
-_ODD = re.compile(r" (?:\s|\Z)")
-_STOP = re.compile(r"([.,])(?=\s)(?<=[^\W\d_].)")
-#: Marks of parts that no blank precedes: as they are, or after a line feed.
-_BARE, _FED = "\x01", "\x02"
 _is_none = partial(is_, None)
+_BREAK = re.compile(r" (?=[A-Za-z])")
+
+
+def _table(*values: int) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(values)] = True
+    return out
+
+
+_WHITE = _table(*range(9, 14), 32)
+_MAYBE_WHITE = _table(*range(9, 14), *range(28, 33))  # what any library takes for white space
+_LETTER = _table(*range(65, 91), *range(97, 123))
+_STOP = _table(44, 46)
+_BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)  # odd, so each has an inverse modulo 2 ** 64
+_BYTES = np.random.default_rng(30).integers(1, 1 << 63, (2, 256), dtype=np.uint64)
+
+
+def cuts(raw: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where parts begin in texts that stand one after the other, each up to its end."""
+    starts = np.concatenate([[0], ends])[:-1]
+    starts, ends = starts[starts < ends], ends[starts < ends]  # empty texts have no part
+    white, odd = np.append(_WHITE[raw[1:]], True), np.append(_MAYBE_WHITE[raw[1:]], True)
+    white[ends - 1] = odd[ends - 1] = True
+    letter = np.concatenate([[False], _LETTER[raw[:-1]]])
+    letter[starts] = False
+    stop = np.flatnonzero(_STOP[raw] & white & letter)
+    first = np.zeros(len(raw) + 1, bool)
+    first[np.flatnonzero((raw == 32) & ~odd)] = True
+    first[stop] = first[stop + 1] = first[starts] = True
+    return np.flatnonzero(first[:-1])
 
 
-def cut(text: str) -> list[str]:
-    """The text's parts.  The first one is as it is; each later one begins a piece and had a
-    blank before it, if it has no mark.  A stop or comma between a letter and white space is a
-    part of its own, and so is what follows a line feed after a stop."""
-    marked = _STOP.sub(f" {_BARE}\\1", text).replace(f"{_BARE}.\n", f"{_BARE}. {_FED}")
-    return _BLANK.split(marked) if _ODD.search(marked) else marked.split(" ")
+def slices(text: str) -> Iterator[str]:
+    """A long text cut before blanks that a letter follows."""
+    at = 0
+    while len(text) - at > SLICE and (found := _BREAK.search(text, at + SLICE)):
+        yield text[at:found.start()]
+        at = found.start()
+    yield text[at:]
 
 
-def whole(part: str) -> str:
-    """A later part as it stood in the text."""
-    return part[1:] if part[0] == _BARE else "\n" + part[1:] if part[0] == _FED else " " + part
+def _hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int) -> np.ndarray:
+    n, base = len(raw), _BASES[which]
+    total = np.concatenate([np.zeros(1, np.uint64),
+                            np.cumsum(_BYTES[which][raw] * powers(base, n)[:n], dtype=np.uint64)])
+    return mix((total[ends] - total[starts]) * powers(pow(base, -1, 1 << 64), n)[starts])
 
 
 class PieceCache:
-    """Texts to the bytes of unsigned 32-bit little-endian ids, piece by piece.
+    """Texts to the bytes of unsigned 32-bit little-endian ids, part by part.
 
-    A subclass says how new words and other pieces are encoded."""
+    A subclass says how words and other pieces are encoded."""
 
     def __init__(self):
         import public_tokenizers
         import regex
 
         self.pieces = regex.compile(public_tokenizers.PATTERN).findall
-        self.known: dict[str, bytes] = {}  # by later parts
-        self.older: dict[str, bytes] = {}  # the generation before
+        self.known: dict[bytes, bytes] = {}  # by parts
+        self.older: dict[bytes, bytes] = {}  # the generation before
         self.others: dict[str, bytes] = {}  # by pieces
 
     def encode_words(self, words: list[str]) -> list[bytes]:
@@ -66,59 +100,76 @@ class PieceCache:
 
     def _pieces(self, texts: list[str]) -> list[bytes]:
         """The ids of texts that are no single word."""
-        cuts = [self.pieces(t) for t in texts]
-        new = list({p for found in cuts for p in found}.difference(self.others))
+        found = [self.pieces(t) for t in texts]
+        new = list({p for x in found for p in x}.difference(self.others))
         long = {}
         for piece, ids in zip(new, self.encode_pieces(new), strict=True):
             (self.others if len(piece) < 64 else long)[piece] = ids
-        return [b"".join([self.others[p] if p in self.others else long[p] for p in found]) for found in cuts]
-
-    def _learn(self, missing: set[str]) -> None:
-        """Put the ids of all these parts into the cache."""
-        known, older = self.known, self.older
-        new, mixed = [], []
-        for w in missing:
-            if w in older:
-                known[w] = older[w]
-            elif w.isalpha() or (w[0] == _FED and w[1:].isalpha()):
-                new.append(w)
+        return [b"".join([self.others[p] if p in self.others else long[p] for p in x]) for x in found]
+
+    def _learn(self, missing: list[bytes]) -> list[bytes]:
+        """The ids of distinct parts, which the cache takes up; empty where a part should not have been cut
+        off, as its blank is followed by white space beyond ASCII."""
+        older = self.older
+        out = [older.get(p) for p in missing]
+        new, words, mixed, others = [], [], [], []
+        for i in compress(range(len(out)), map(_is_none, out)):
+            text = missing[i].decode()
+            if text[0] in " \n" and text[1:].isalpha():
+                new.append(i)
+                words.append(text)
+            elif text[0] == " " and text[1:2] > "\x7f" and text[1].isspace():
+                out[i] = b""
             else:
-                mixed.append(w)
-        if new:
-            known.update(zip(new, self.encode_words(list(map(whole, new))), strict=True))
-        if mixed:
-            known.update(zip(mixed, self._pieces(list(map(whole, mixed))), strict=True))
+                mixed.append(i)
+                others.append(text)
+        for places, ids in ((new, self.encode_words(words) if words else []), (mixed, self._pieces(others))):
+            for i, x in zip(places, ids, strict=True):
+                out[i] = x
+        self.known.update(zip(missing, out, strict=True))
+        return out
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text."""
-        if len(self.known) > CACHE_WORDS:
+        """The ids of each text; a long one goes slice by slice."""
+        short = [t if len(t) <= SLICE else "" for t in texts]
+        out = self._encode(short)
+        for i, t in enumerate(texts):
+            if len(t) > SLICE:
+                out[i] = b"".join(self._encode([x])[0] if len(x) <= 2 * SLICE else self._pieces([x])[0]
+                                  for x in slices(t))
+        return out
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        if len(self.known) > CACHE_PARTS:
             self.older, self.known = self.known, {}
-        if len(self.others) > CACHE_WORDS // 4:
+        if len(self.others) > CACHE_PARTS // 4:
             self.others.clear()
-        cuts, found, heads, missing = [], [], [], set()
-        get = self.known.get
-        for text in texts:
-            if _BARE in text or _FED in text:  # the marks' own characters
-                cuts.append([])
-                found.append(self._pieces([text]))
-                continue
-            some = cut(text)
-            got = list(map(get, some))
-            got[0] = b""
-            heads.append(some[0])
-            if None in got:
-                missing.update(compress(some, map(_is_none, got)))
-            cuts.append(some)
-            found.append(got)
-        if missing:
-            self._learn(missing)
-        known, first = self.known, iter(self._pieces(heads))
-        for some, got in zip(cuts, found, strict=True):
-            if some:
-                got[0] = next(first)
-            for i in compress(range(len(some)), map(_is_none, got)):
-                got[i] = known[some[i]]
-        return list(map(b"".join, found))
+        each = [t.encode() for t in texts]
+        data = b"".join(each)
+        if not data:
+            return [b""] * len(texts)
+        raw, stops = np.frombuffer(data, np.uint8), np.cumsum([len(x) for x in each])
+        starts = cuts(raw, stops)
+        ends = np.append(starts[1:], len(raw))
+        hashes, check = (_hashes(raw, starts, ends, k) for k in (0, 1))
+        _, first, of = np.unique(hashes, return_index=True, return_inverse=True)
+        if (check[first][of] != check).any():  # two parts share a hash
+            return self._pieces(texts)
+        parts = [data[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+        ids = list(map(self.known.get, parts))
+        unknown = list(compress(range(len(ids)), map(_is_none, ids)))
+        for i, x in zip(unknown, self._learn([parts[i] for i in unknown]), strict=True):
+            ids[i] = x
+        sizes = np.array(list(map(len, ids)), np.int64) // 4
+        flat, at = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
+        n = sizes[of]
+        before = np.concatenate([[0], np.cumsum(n)])
+        packed = flat[np.repeat(at[of] - before[:-1], n) + np.arange(before[-1])].tobytes()
+        edges = (4 * before[np.searchsorted(starts, np.concatenate([[0], stops]))]).tolist()
+        out = [packed[a:b] for a, b in zip(edges, edges[1:], strict=False)]
+        for i in np.unique(np.searchsorted(stops, starts[sizes[of] == 0], "right")).tolist():  # cut at a wrong place
+            (out[i],) = self._pieces([texts[i]])
+        return out
 
 
 class Encoder(PieceCache):
@@ -159,7 +210,7 @@ def encoder(path: str) -> Encoder:
     return _made[path]
 
 
-def in_turn(texts: list[str], chars: int = 2 << 20):
+def in_turn(texts: list[str], chars: int = 1 << 20):
     """Index ranges of consecutive texts with about ``chars`` characters each."""
     start = held = 0
     for i, t in enumerate(texts):
