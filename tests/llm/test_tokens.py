@@ -48,8 +48,16 @@ def test_piecewise_encoding_is_the_librarys(texts, reference):
     assert [ids_of(x) for x in got] == [reference(t).ids for t in texts]
 
 
+def test_long_texts_go_slice_by_slice(texts, reference, monkeypatch):
+    monkeypatch.setattr(encode, "SLICE", 40)
+    long = " ".join(texts) + "y" * 500
+    assert "".join(encode.slices(long)) == long and len(list(encode.slices(long))) > 10
+    got = encode.Encoder(JSON)([long, "a short one", "x" * 300])
+    assert [ids_of(x) for x in got] == [reference(t).ids for t in (long, "a short one", "x" * 300)]
+
+
 def test_encoding_with_a_tiny_cache(texts, reference, monkeypatch):
-    monkeypatch.setattr(encode, "CACHE_WORDS", 3)
+    monkeypatch.setattr(encode, "CACHE_PARTS", 3)
     e = encode.Encoder(JSON)
     for _ in range(2):
         for t in texts[:60]:
