@@ -41,8 +41,9 @@ _WHITE = _table(*range(9, 14), 32)
 _MAYBE_WHITE = _table(*range(9, 14), *range(28, 33))  # what any library takes for white space
 _LETTER = _table(*range(65, 91), *range(97, 123))
 _STOP = _table(44, 46)
-_BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)  # odd, so each has an inverse modulo 2 ** 64
-_BYTES = np.random.default_rng(30).integers(1, 1 << 63, (2, 256), dtype=np.uint64)
+_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2 ** 64
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_BYTES = np.random.default_rng(30).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
 def cuts(raw: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -69,11 +70,19 @@ def slices(text: str) -> Iterator[str]:
     yield text[at:]
 
 
-def _hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int) -> np.ndarray:
-    n, base = len(raw), _BASES[which]
+def _hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    n = len(raw)
     total = np.concatenate([np.zeros(1, np.uint64),
-                            np.cumsum(_BYTES[which][raw] * powers(base, n)[:n], dtype=np.uint64)])
-    return mix((total[ends] - total[starts]) * powers(pow(base, -1, 1 << 64), n)[starts])
+                            np.cumsum(_BYTES[raw] * powers(_BASE, n)[:n], dtype=np.uint64)])
+    return mix((total[ends] - total[starts]) * powers(_INVERSE, n)[starts])
+
+
+def _edges(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A number made of the length and the first and last eight bytes of each part."""
+    words = np.ndarray((len(data) + 1,), "<u8", data + bytes(8), strides=(1,))
+    size = ends - starts
+    used = np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(8) * np.uint64(8) - np.uint64(8) * np.minimum(size, 8).astype(np.uint64))
+    return mix(words[starts] & used) + (words[np.maximum(ends - 8, starts)] & used) * np.uint64(_BASE) + size.astype(np.uint64)
 
 
 class PieceCache:
@@ -103,8 +112,14 @@ class PieceCache:
         found = [self.pieces(t) for t in texts]
         new = list({p for x in found for p in x}.difference(self.others))
         long = {}
-        for piece, ids in zip(new, self.encode_pieces(new), strict=True):
-            (self.others if len(piece) < 64 else long)[piece] = ids
+        spaced = [p for p in new if p[0] == " " and p[1:].isalpha()]
+        bare = [p for p in new if p.isalpha()]
+        rest = [p for p in new if not (p if p[0] != " " else p[1:]).isalpha()]
+        ids = self.encode_words([*spaced, *("\n" + p for p in bare)]) if spaced or bare else []
+        feed = len(self.encode_pieces(["\n"])[0]) if bare else 0
+        ids = [*ids[:len(spaced)], *(x[feed:] for x in ids[len(spaced):]), *self.encode_pieces(rest)]
+        for piece, x in zip([*spaced, *bare, *rest], ids, strict=True):
+            (self.others if len(piece) < 64 else long)[piece] = x
         return [b"".join([self.others[p] if p in self.others else long[p] for p in x]) for x in found]
 
     def _learn(self, missing: list[bytes]) -> list[bytes]:
@@ -151,8 +166,8 @@ class PieceCache:
         raw, stops = np.frombuffer(data, np.uint8), np.cumsum([len(x) for x in each])
         starts = cuts(raw, stops)
         ends = np.append(starts[1:], len(raw))
-        hashes, check = (_hashes(raw, starts, ends, k) for k in (0, 1))
-        _, first, of = np.unique(hashes, return_index=True, return_inverse=True)
+        check = _edges(data, starts, ends)
+        _, first, of = np.unique(_hashes(raw, starts, ends), return_index=True, return_inverse=True)
         if (check[first][of] != check).any():  # two parts share a hash
             return self._pieces(texts)
         parts = [data[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]

@@ -29,7 +29,7 @@ _powers: dict[int, np.ndarray] = {}
 def powers(base: int, n: int) -> np.ndarray:
     """base ** 0, 1, ... modulo 2 ** 64, at least n of them."""
     if base not in _powers or len(_powers[base]) < n:
-        size = 1 << max(16, n.bit_length())
+        size = max(1 << 16, n + n // 4)
         factors = np.full(size, base, np.uint64)
         factors[0] = 1
         _powers[base] = np.cumprod(factors, dtype=np.uint64)
