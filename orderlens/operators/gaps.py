@@ -30,30 +30,35 @@ from orderlens.operators.replicate import replicate
 
 
 def longest_gaps(day_counts: DataFrame, key: str = "CustomerID",
-                 date_col: str = "OrderDate", count_col: str = "n") -> DataFrame:
+                 date_col: str = "OrderDate", count_col: str = "n",
+                 names: DataFrame | None = None) -> DataFrame:
     """``day_counts``: rows ``(key, date, n)``, not necessarily distinct.
 
-    Returns ``(key, OrderDate, PreviousOrderDate, MaxDaysWithoutOrder)``.
+    Returns ``(key, OrderDate, PreviousOrderDate, MaxDaysWithoutOrder)`` and the columns of
+    ``names`` (one row per key), which is joined on the windows' partitioning.
 
-    Customers with several dates are ranked in one window pass and keep one row, still
-    partitioned by customer; customers with a single date never enter the window and
-    only their rows are replicated.
+    One aggregation and one window pass give every distinct-date row a number of output
+    copies (1 for the chosen gap row, n - 1 for a single-date customer, else 0).  Only rows
+    with more than one copy are spread and replicated; both branches read the same shuffle.
     """
     per_day = day_counts.groupBy(key, date_col).agg(F.sum(count_col).alias("__n"))
     by_key = Window.partitionBy(key)
     tagged = (per_day
               .withColumn("PreviousOrderDate", F.lag(date_col).over(by_key.orderBy(date_col)))
               .withColumn("__gap", dates.day_gap(F.col(date_col), F.col("PreviousOrderDate")))
-              .filter(F.col("__gap").isNotNull()))
-    best = F.row_number().over(by_key.orderBy(F.col("__gap").desc(), F.col(date_col).asc()))
-    several = tagged.withColumn("__best", best).filter(F.col("__best") == 1).select(
-        key, F.col(date_col).alias("OrderDate"), "PreviousOrderDate",
-        F.col("__gap").alias("MaxDaysWithoutOrder"))
-    single = (per_day.groupBy(key)
-              .agg(F.min(date_col).alias("OrderDate"), F.max(date_col).alias("PreviousOrderDate"),
-                   F.sum("__n").alias("__n"))
-              .filter((F.col("OrderDate") == F.col("PreviousOrderDate")) & (F.col("__n") > 1))
-              .select(key, "OrderDate", "PreviousOrderDate",
-                      F.lit(0.0).alias("MaxDaysWithoutOrder"), (F.col("__n") - 1).alias("__copies")))
-    return several.unionByName(
-        replicate(single, "__copies", spread_cols=[key]).drop("__copies"))
+              .withColumn("__dates", F.count(F.lit(1)).over(by_key)))
+    best = F.row_number().over(by_key.orderBy(F.col("__gap").desc_nulls_last(), F.col(date_col).asc()))
+    single = F.col("__dates") == 1
+    copies = (F.when(single, F.col("__n") - 1)
+              .when(F.col("__gap").isNotNull() & (best == 1), F.lit(1))
+              .otherwise(F.lit(0)))
+    chosen = tagged.withColumn("__copies", copies).filter(F.col("__copies") > 0).select(
+        key, F.col(date_col).alias("OrderDate"),
+        F.when(single, F.col(date_col)).otherwise(F.col("PreviousOrderDate"))
+        .alias("PreviousOrderDate"),
+        F.when(single, F.lit(0.0)).otherwise(F.col("__gap")).alias("MaxDaysWithoutOrder"),
+        "__copies")
+    if names is not None:
+        chosen = chosen.join(names, key)
+    many = replicate(chosen.filter(F.col("__copies") > 1), "__copies", spread_cols=[key])
+    return chosen.filter(F.col("__copies") == 1).unionByName(many).drop("__copies")

@@ -149,10 +149,9 @@ def q11_longest_order_gap(model: RetailModel) -> DataFrame:
     """Per customer, the earliest occurrence of the longest gap between
     consecutive orders (see ``operators.gaps``)."""
     counts = model.basket_sums(priced=False, n=F.lit(1))
-    gaps = longest_gaps(counts.select("CustomerID", "OrderDate", "n"))
     names = (model.customer.select("CustomerID", "FirstName", "LastName", "CountryID")
-             .join(model.country.select("CountryID", "Country"), "CountryID"))
-    return (gaps.join(names, "CustomerID")
+             .join(model.country.select("CountryID", "Country"), "CountryID").drop("CountryID"))
+    return (longest_gaps(counts.select("CustomerID", "OrderDate", "n"), names=names)
             .select("CustomerID", "FirstName", "LastName", "Country", "OrderDate",
                     "PreviousOrderDate", "MaxDaysWithoutOrder")
             .orderBy(F.col("MaxDaysWithoutOrder").desc(), F.col("CustomerID").desc()))
