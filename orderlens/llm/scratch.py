@@ -55,18 +55,6 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def remove(df: DataFrame) -> None:
-    """Delete the files of a table from ``materialise`` that nothing reads any more."""
-    spark = df.sparkSession
-    top = root(spark)
-    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
-    jvm = spark.sparkContext._jvm
-    for folder in folders:
-        if top.split(":", 1)[-1].lstrip("/") in folder:
-            path = jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def clear(spark: SparkSession) -> None:
     """Delete all intermediate tables of this application."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root(spark))
