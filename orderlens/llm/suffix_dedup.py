@@ -22,7 +22,6 @@ Where a cut leaves part of a character, ``kept_text`` drops that part.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
