@@ -21,7 +21,7 @@ import numpy as np
 from .words import mix, powers
 
 #: Parts in each of the two generations of a worker's cache (it changes no result).
-CACHE_PARTS = 400_000
+CACHE_PARTS = 250_000
 #: Characters of a text, or of a slice of a long one, that are encoded at a time.
 SLICE = 1 << 20
 #: The id that ends a document.

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import scratch
+from .memory import trimmed
 from .skew import hot_keys
 
 #: Bytes of a chunk.
@@ -107,7 +108,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """One row per document: uid, doc_id, n_bytes, text_sha256, fp_a, fp_b."""
     rows = docs.select(F.monotonically_increasing_id().alias("uid"),
                        F.col("doc_id").cast("long").alias("doc_id"), "text")
-    parts = rows.mapInArrow(_cut, _PARTS_DDL)
+    parts = rows.mapInArrow(trimmed(_cut), _PARTS_DDL)
     # Only chunks of long texts carry bytes through this shuffle.
     dealt = parts.repartition(F.col("uid"), F.col("seq"))
     hashed = dealt.mapInArrow(
@@ -156,7 +157,7 @@ def collisions(docs: DataFrame, groups: DataFrame, rows: int) -> DataFrame:
                   F.lit(0), F.coalesce("n_salts", F.lit(1)) - 1)).alias("salt")))
     pieces = (docs.select(F.monotonically_increasing_id().alias("uid"),
                           F.col("doc_id").cast("long").alias("doc_id"), "text")
-              .filter(F.length("text") > 0).mapInArrow(_chunks, _KEYED_DDL)
+              .filter(F.length("text") > 0).mapInArrow(trimmed(_chunks), _KEYED_DDL)
               .join(F.broadcast(hot), _KEY, "left")
               .withColumn("salt", F.expr("pmod(spread, coalesce(n_salts, 1))")))
     some = (pieces.join(shared, [*_KEY, "salt"], "left_semi")

@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .memory import trimmed
+
 UNDETERMINED = "und"
 #: Dimensions that trigrams are hashed to.
 DIMENSIONS = 8192
@@ -172,7 +174,7 @@ def fit(labelled: DataFrame) -> Model:
             [pa.array(np.arange(-1, DIMENSIONS), pa.int32()), pa.array(np.concatenate([[n], total]))], names=["slot", "n"])
 
     # Bounded: a row for each dimension.
-    df = {r["slot"]: r["n"] for r in rows.select("text").mapInArrow(frequencies, "slot int, n long")
+    df = {r["slot"]: r["n"] for r in rows.select("text").mapInArrow(trimmed(frequencies), "slot int, n long")
           .groupBy("slot").agg(F.sum("n").alias("n")).collect()}
     idf = np.log((1 + df[-1]) / (1 + np.array([df[i] for i in range(DIMENSIONS)]))).astype(np.float32) + 1
 
@@ -192,7 +194,7 @@ def fit(labelled: DataFrame) -> Model:
 
     # Bounded: SAMPLE_ROWS ids, and as many vectors; repeated ids give no more rows than that.
     sample = (rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "lang", "text")
-              .mapInArrow(sampled, "lang string, doc_id long, vector binary").limit(2 * SAMPLE_ROWS).collect())
+              .mapInArrow(trimmed(sampled), "lang string, doc_id long, vector binary").limit(2 * SAMPLE_ROWS).collect())
     names, centroids, reach = [], [], {}
     for lang in sorted(languages):
         own = sorted((r["doc_id"], bytes(r["vector"])) for r in sample if r["lang"] == lang)
@@ -223,7 +225,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     rows = docs.select(*[F.col(f"`{c}`") for c in kept])
     schema = (StructType(list(rows.schema)).add("lang_pred", "string").add("score", "double")
               .add("rejected", "boolean"))
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(trimmed(run), schema)
 
 
 def has_letter() -> Column:

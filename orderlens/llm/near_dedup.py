@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from . import scratch
 from .components import components
+from .memory import trimmed
 from .words import in_blocks, mix, powers, shingles
 
 BANDS, ROWS = 56, 7
@@ -125,7 +126,7 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
                      *(pa.array(s) for s in sums), pa.array([r.tobytes() for r in regs], pa.binary())],
                     names=["doc_id", "n", "sig_a", "sig_b", "regs"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _SKETCH)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(trimmed(run), _SKETCH)
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,7 +152,7 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
                     [batch.column("id")[a:b], pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes.view(np.int64)))],
                     names=["id", "set"])
 
-    return docs.select("id", "text").mapInArrow(run, "id long, set array<long>")
+    return docs.select("id", "text").mapInArrow(trimmed(run), "id long, set array<long>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -216,7 +217,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         .join(classes.select("id", "n", "sig_a", "sig_b"), ["id", "n", "sig_a", "sig_b"], "left_semi")
         .groupBy("id").agg(F.min("n").alias("n"), F.min("regs").alias("regs")), "nodes")
 
-    keys = nodes.select("id", "regs").mapInArrow(_keys, "key long, id long")
+    keys = nodes.select("id", "regs").mapInArrow(trimmed(_keys), "key long, id long")
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = scratch.materialise(keys.join(shared, "key"), "members")
 
@@ -252,7 +253,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
                       F.greatest("chunk", "other").alias("second")))
     full = placed.join(nodes.join(labels, "id"), "id")
     ordered = full.repartition("gathering", "first", "second").sortWithinPartitions("gathering", "first", "second", "id")
-    pairs = scratch.materialise(ordered.mapInArrow(_apart(percent), "a long, b long").distinct(), "pairs")
+    pairs = scratch.materialise(ordered.mapInArrow(trimmed(_apart(percent)), "a long, b long").distinct(), "pairs")
     more = verified(pairs, sets, percent)
     final = components(links.unionByName(more))
 

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from . import scratch
 from .encode import END_ID, encoder, in_turn
+from .memory import trimmed
 from .token_files import id_lists
 
 #: Ids of a window.
@@ -136,7 +137,7 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
                     schema=_SCHEMA)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return scratch.materialise(rows.mapInArrow(cut, _DDL), "pieces")
+    return scratch.materialise(rows.mapInArrow(trimmed(cut), _DDL), "pieces")
 
 
 _PLACED = ["part", "row", "doc_id", "start", "length", "doc_tokens", "ids_crc32", "sequence_id", "offset"]

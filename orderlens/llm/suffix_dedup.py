@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from . import scratch
+from .memory import trimmed
 from .words import mix, powers
 
 LENGTH, GRAM = 50, 12
@@ -428,9 +429,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(64, total // BUCKET_BYTES)
     rows = keyed.select(F.col("__id").alias("id"), F.col("__tie").alias("tie"), "text")
-    records = rows.mapInArrow(lambda b: _records(b, buckets), "bucket long, blob binary")
+    records = rows.mapInArrow(trimmed(lambda b: _records(b, buckets)), "bucket long, blob binary")
     covers = (records.repartition("bucket").sortWithinPartitions("bucket")
-              .mapInArrow(lambda b: _covers(b, buckets), "bucket long, n long, blob binary"))
+              .mapInArrow(trimmed(lambda b: _covers(b, buckets)), "bucket long, n long, blob binary"))
     covers = scratch.materialise(covers, "covers")
 
     columns = [c for c in docs.columns if c not in ("text", "n_bytes", "spans", "kept")]
@@ -445,7 +446,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
            .repartition("__bucket").sortWithinPartitions("__bucket", "__last").drop("__last"))
     schema = (StructType([f for f in docs.schema if f.name in columns]).add("n_bytes", "long")
               .add("spans", ArrayType(StructType().add("start", "long").add("end", "long"))).add("kept", "binary"))
-    return met.mapInArrow(lambda b: _cut_out(b, columns), schema)
+    return met.mapInArrow(trimmed(lambda b: _cut_out(b, columns)), schema)
 
 
 def digests(found: DataFrame) -> DataFrame:

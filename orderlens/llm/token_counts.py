@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .encode import encoder, in_turn
+from .memory import trimmed
 
 RULES = ("first", "last", "most", "share")
 
@@ -104,4 +105,4 @@ def token_counts(docs: DataFrame, tokenizer: str, fields: tuple[str, ...] = ("te
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         *[F.col(f"`{f}`").cast("string").alias(n) for f, n in zip(fields, names, strict=True)])
-            .mapInArrow(run, _DDL))
+            .mapInArrow(trimmed(run), _DDL))

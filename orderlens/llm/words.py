@@ -106,7 +106,7 @@ def shingles(texts: list[bytes], k: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes[new], owner[new]
 
 
-def in_blocks(texts: list[bytes], size: int = 2 << 20, most: int = 2_000):
+def in_blocks(texts: list[bytes], size: int = 1 << 20, most: int = 1_000):
     """Ranges of consecutive texts of about ``size`` bytes together."""
     start = held = 0
     for i, t in enumerate(texts):
