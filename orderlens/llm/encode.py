@@ -225,6 +225,11 @@ def encoder(path: str) -> Encoder:
     return _made[path]
 
 
+def forget() -> None:
+    """Drop this worker's encoder."""
+    _made.clear()
+
+
 def in_turn(texts: list[str], chars: int = 1 << 20):
     """Index ranges of consecutive texts with about ``chars`` characters each."""
     start = held = 0

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import sys
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,9 +11,12 @@ import pyarrow as pa
 Batches = Iterator[pa.RecordBatch]
 
 
-def trimmed(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
-    """``run``, after which the allocators return what they hold but do not use."""
+def trimmed(run: Callable[[Batches], Batches], encodes: bool = False) -> Callable[[Batches], Batches]:
+    """``run``, after which the allocators return what they hold but do not use.  A task that
+    does not encode texts drops the encoders that an earlier stage left in its worker."""
     def wrapped(batches: Batches) -> Batches:
+        if not encodes and "orderlens.llm.encode" in sys.modules:
+            sys.modules["orderlens.llm.encode"].forget()
         yield from run(batches)
         pa.default_memory_pool().release_unused()
         try:

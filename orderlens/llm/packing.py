@@ -137,7 +137,7 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
                     schema=_SCHEMA)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return scratch.materialise(rows.mapInArrow(trimmed(cut), _DDL), "pieces")
+    return scratch.materialise(rows.mapInArrow(trimmed(cut, encodes=True), _DDL), "pieces")
 
 
 _PLACED = ["part", "row", "doc_id", "start", "length", "doc_tokens", "ids_crc32", "sequence_id", "offset"]

@@ -105,4 +105,4 @@ def token_counts(docs: DataFrame, tokenizer: str, fields: tuple[str, ...] = ("te
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         *[F.col(f"`{f}`").cast("string").alias(n) for f, n in zip(fields, names, strict=True)])
-            .mapInArrow(trimmed(run), _DDL))
+            .mapInArrow(trimmed(run, encodes=True), _DDL))

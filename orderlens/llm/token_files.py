@@ -73,7 +73,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str) -> None:
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                         F.xxhash64("text").alias("tie"))
             .repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text"))
-    scratch.write(rows.mapInArrow(trimmed(encode), _DDL), path, parquet__writer__version="v2",
+    scratch.write(rows.mapInArrow(trimmed(encode, encodes=True), _DDL), path, parquet__writer__version="v2",
                   parquet__enable__dictionary="true", parquet__block__size=ROW_GROUP_BYTES,
                   parquet__page__size=PAGE_BYTES)
 
