@@ -7,7 +7,9 @@ anchor, so equal windows have equal anchors at equal places, whatever surrounds
 A record is an anchor with all windows it serves, 20 on average.
 
 Batches of documents give their records sorted by bucket (the anchor's hash) and suffix; a
-bucket meets in one task.  There, runs of records enter a family of levels: each level
+bucket meets in one task.  Anchors with so many records that a bucket would exceed ``MOST`` are
+left out there and brought to the smallest id of each context and window by aggregates
+(``_cover_hot``).  In a bucket's task, runs of records enter a family of levels: each level
 holds sorted windows with the smallest id each occurs in, and levels of equal size
 merge geometrically.  Then every run is merge-scanned against the levels, and a window whose
 entry has a smaller id is compared with it byte by byte.  What is covered goes, packed,
@@ -42,6 +44,8 @@ PLACES = LENGTH - GRAM + 1
 CONTEXT = LENGTH + PLACES - 1
 #: Text of a bucket; text that is searched for anchors at a time; records of a sorted batch.
 BUCKET_BYTES, SLICE, BATCH = 1 << 20, 1 << 20, 300_000
+#: Records of a bucket that one task takes at most (an average one has 50,000); places in a row of a hot context.
+MOST, TOGETHER = 400_000, 512
 #: Windows of a run that enters the levels; windows that are held at a time.
 RUN, HELD = 1 << 18, 4 << 20
 
@@ -88,37 +92,10 @@ def _inside(n: np.ndarray) -> np.ndarray:
     return np.arange(CONTEXT)[None, :] < (n.astype(int) + LENGTH - 1)[:, None]
 
 
-def _records(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Packed records of batches of documents, sorted by bucket and suffix."""
-    heads: list[np.ndarray] = []
-    rows: list[np.ndarray] = []
-    keys: list[np.ndarray] = []  # bucket, and the first bytes of the anchor's suffix as two numbers
-    held = 0
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        head, row, key = np.concatenate(heads), np.concatenate(rows), np.concatenate(keys)
-        order = np.lexsort((key[:, 2], key[:, 1], key[:, 0]))  # the suffix array of the batch, bucket by bucket
-        head, row, bucket = head[order], row[order], key[order, 0]
-        edges = np.flatnonzero(np.diff(bucket, prepend=np.uint64(buckets + 1)))
-        out, size = ([], []), 0
-        for a, b in zip(edges, [*edges[1:], len(bucket)], strict=True):
-            used = row[a:b][_inside(head["n"][a:b])]
-            raw = b"".join([*(np.ascontiguousarray(head[c][a:b]).tobytes() for c in _RECORD.names), used.tobytes()])
-            blob = int(b - a).to_bytes(8, "little") + len(raw).to_bytes(8, "little") + pa.compress(
-                raw, codec="zstd", asbytes=True)
-            out[0].append(int(bucket[a]))
-            out[1].append(blob)
-            if (size := size + len(blob)) > SLICE:
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary())],
-                                                 names=["bucket", "blob"])
-                out, size = ([], []), 0
-        if out[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary())],
-                                             names=["bucket", "blob"])
-
-    def add(docs: list[tuple[int, int, int, int]], data: bytes) -> None:
+def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of pieces of documents the bytes and the records: heads, where each begins, its anchor and the anchor's hash."""
+    def records(docs: list[tuple[int, int, int, int]], data: bytes) -> tuple:
         """docs: id, tie, offset of this slice in its text, and end of the slice in ``data``."""
-        nonlocal held
         raw = np.frombuffer(data, np.uint8)
         first, n, anchor, hashed = anchors(raw)
         ends = np.array([d[3] for d in docs])
@@ -138,14 +115,7 @@ def _records(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
         ids, ties, offsets = (np.array(x, np.int64) for x in list(zip(*docs, strict=True))[:3])
         head["doc"], head["tie"] = ids[own], ties[own]
         head["at"], head["n"] = cut - starts[own] + offsets[own], stop - cut
-        padded = np.concatenate([raw, np.zeros(CONTEXT, np.uint8)])
-        row = sliding_window_view(padded, CONTEXT)[cut]
-        suffix = sliding_window_view(padded, 16)[anchor[run]].view(">u8").astype(np.uint64)
-        bucket = (hashed[run] >> np.uint64(20)) % np.uint64(buckets)
-        heads.append(head)
-        rows.append(row)
-        keys.append(np.column_stack([bucket, suffix]))
-        held += len(head)
+        return raw, head, cut, anchor[run], hashed[run]
 
     for batch in batches:
         texts = batch.column("text").cast(pa.binary())
@@ -161,13 +131,109 @@ def _records(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
                 size += b - a
                 some.append((doc, tie, a, size))
                 if size >= SLICE:
-                    add(some, b"".join(parts))
+                    yield records(some, b"".join(parts))
                     some, parts, size = [], [], 0
-                    if held >= BATCH:
-                        yield from flush()
-                        heads, rows, keys, held = [], [], [], 0
         if some:
-            add(some, b"".join(parts))
+            yield records(some, b"".join(parts))
+
+
+def _bucket(hashed: np.ndarray, buckets: int) -> np.ndarray:
+    return ((hashed >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+
+
+@dataclass(frozen=True)
+class Hot:
+    """What has more records than a task may hold: anchors' hashes, and whole buckets."""
+
+    anchors: np.ndarray
+    buckets: np.ndarray
+
+    def holds(self, hashed: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+        return np.isin(hashed, self.anchors) | np.isin(bucket, self.buckets)
+
+
+NONE_HOT = Hot(np.empty(0, np.uint64), np.empty(0, np.int64))
+
+
+def _bucket_counts(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """The records of each bucket."""
+    total = np.zeros(buckets, np.int64)
+    for _, _, _, _, hashed in _found(batches):
+        bucket, n = np.unique(_bucket(hashed, buckets), return_counts=True)
+        total[bucket] += n
+    there = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(there, pa.int64()), pa.array(total[there], pa.int64())], names=["bucket", "n"])
+
+
+def _anchor_counts(batches: Iterator[pa.RecordBatch], buckets: int, large: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The records of each anchor in large buckets, piece by piece."""
+    for _, _, _, _, hashed in _found(batches):
+        anchor, n = np.unique(hashed[np.isin(_bucket(hashed, buckets), large)], return_counts=True)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(_bucket(anchor, buckets)), pa.array(anchor.view(np.int64)), pa.array(n, pa.int64())],
+            names=["bucket", "anchor", "n"])
+
+
+def _hot(rows: DataFrame, buckets: int) -> Hot:
+    """What the tasks of buckets leave out, so that none has more than ``MOST`` records.  Bounded: of
+    ``MOST`` records at most one bucket, and of a quarter as many one anchor."""
+    large = {r["bucket"]: r["n"] for r in rows.mapInArrow(
+        trimmed(lambda b: _bucket_counts(b, buckets)), "bucket long, n long")
+        .groupBy("bucket").agg(F.sum("n").alias("n")).filter(F.col("n") > MOST).collect()}
+    if not large:
+        return NONE_HOT
+    which = np.array(sorted(large), np.int64)
+    found = (rows.mapInArrow(trimmed(lambda b: _anchor_counts(b, buckets, which)), "bucket long, anchor long, n long")
+             .groupBy("bucket", "anchor").agg(F.sum("n").alias("n")).filter(F.col("n") > MOST // 4).collect())
+    for r in found:
+        large[r["bucket"]] -= r["n"]
+    return Hot(np.array(sorted(r["anchor"] for r in found), np.int64).view(np.uint64),
+               np.array(sorted(b for b, n in large.items() if n > MOST), np.int64))
+
+
+def _contexts(raw: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    return sliding_window_view(np.concatenate([raw, np.zeros(CONTEXT, np.uint8)]), CONTEXT)[cut]
+
+
+def _records(batches: Iterator[pa.RecordBatch], buckets: int, hot: Hot = NONE_HOT) -> Iterator[pa.RecordBatch]:
+    """Packed records of batches of documents, sorted by bucket and suffix, without the hot ones."""
+    heads: list[np.ndarray] = []
+    rows: list[np.ndarray] = []
+    keys: list[np.ndarray] = []  # bucket, and the first bytes of the anchor's suffix as two numbers
+    held = 0
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        head, row, key = np.concatenate(heads), np.concatenate(rows), np.concatenate(keys)
+        order = np.lexsort((key[:, 2], key[:, 1], key[:, 0]))  # the suffix array of the batch, bucket by bucket
+        head, row, bucket = head[order], row[order], key[order, 0]
+        edges = np.flatnonzero(np.diff(bucket, prepend=np.uint64(buckets + 1)))
+        out, size = ([], []), 0
+        for a, b in zip(edges, [*edges[1:], len(bucket)], strict=True):
+            used = row[a:b][_inside(head["n"][a:b])]
+            raw = b"".join([*(np.ascontiguousarray(head[c][a:b]).tobytes() for c in _RECORD.names), used.tobytes()])
+            blob = int(b - a).to_bytes(8, "little") + len(raw).to_bytes(8, "little") + pa.compress(
+                raw, codec="zstd", asbytes=True)
+            out[0].append(int(bucket[a]))
+            out[1].append(blob)
+            if (size := size + len(blob)) > SLICE:
+                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary())],
+                                                 names=["bucket", "blob"])
+                out, size = ([], []), 0
+        if out[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary())],
+                                             names=["bucket", "blob"])
+
+    for raw, head, cut, anchor, hashed in _found(batches):
+        bucket = _bucket(hashed, buckets)
+        own = np.flatnonzero(~hot.holds(hashed, bucket))
+        padded = np.concatenate([raw, np.zeros(CONTEXT, np.uint8)])
+        for a in range(0, len(own), BATCH):  # a text of few distinct bytes has an anchor at each
+            some = own[a:a + BATCH]
+            suffix = sliding_window_view(padded, 16)[anchor[some]].view(">u8").astype(np.uint64)
+            heads.append(head[some])
+            rows.append(_contexts(raw, cut[some]))
+            keys.append(np.column_stack([bucket[some].astype(np.uint64), suffix]))
+            held += len(some)
             if held >= BATCH:
                 yield from flush()
                 heads, rows, keys, held = [], [], [], 0
@@ -175,6 +241,86 @@ def _records(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
         yield from flush()
 
 
+def _hot_records(batches: Iterator[pa.RecordBatch], buckets: int, hot: Hot) -> Iterator[pa.RecordBatch]:
+    """Hot records: rows of a context with the smallest and the largest id there, and up to ``TOGETHER``
+    places (documents, ties and offsets one after the other)."""
+    heads: list[np.ndarray] = []
+    rows: list[np.ndarray] = []
+    held = 0
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        head, row = np.concatenate(heads), np.concatenate(rows)
+        key = np.column_stack([head["n"], np.where(_inside(head["n"]), row, 0)]).astype(np.uint8).view(f"V{CONTEXT + 1}")[:, 0]
+        order = np.argsort(key, kind="stable")
+        head, row, key = head[order], row[order], key[order]
+        edges = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
+        parts = [(a, min(a + TOGETHER, end)) for start, end in zip(edges, edges[1:], strict=False)
+                 for a in range(start, end, TOGETHER)]
+        for at in range(0, len(parts), 1_000):
+            some = parts[at:at + 1_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([row[a, :int(head["n"][a]) + LENGTH - 1].tobytes() for a, _ in some], pa.binary()),
+                 pa.array([int(head["doc"][a:b].min()) for a, b in some], pa.int64()),
+                 pa.array([int(head["doc"][a:b].max()) for a, b in some], pa.int64()),
+                 pa.array([b"".join(np.ascontiguousarray(head[c][a:b]).tobytes() for c in ("doc", "tie", "at"))
+                           for a, b in some], pa.binary())], names=["context", "least", "most", "places"])
+
+    for raw, head, cut, _, hashed in _found(batches):
+        own = np.flatnonzero(hot.holds(hashed, _bucket(hashed, buckets)))
+        for a in range(0, len(own), BATCH):
+            some = own[a:a + BATCH]
+            heads.append(head[some])
+            rows.append(_contexts(raw, cut[some]))
+            held += len(some)
+            if held >= BATCH:
+                yield from flush()
+                heads, rows, held = [], [], 0
+    if held:
+        yield from flush()
+
+
+def _hot_covers(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """What is covered of hot records, which come with the smallest id of each repeated window."""
+    held: list[np.ndarray] = []
+    size = 0
+    for batch in batches:
+        for places, firsts in zip(batch.column("places").to_pylist(), batch.column("firsts").to_pylist(), strict=True):
+            doc, tie, at = np.frombuffer(places, np.int64).reshape(3, -1)
+            mask = np.zeros((len(doc), PLACES), bool)
+            for f in firsts:
+                mask[:, f["place"]] = f["least"] < doc
+            cover = _runs(mask, doc, tie, at)
+            if len(cover):
+                held.append(cover)
+                size += len(cover)
+            if size > BATCH:
+                yield _packed_covers(held, buckets)
+                held, size = [], 0
+    if held:
+        yield _packed_covers(held, buckets)
+
+
+def _cover_hot(rows: DataFrame, buckets: int, hot: Hot) -> DataFrame:
+    """The covers of hot records.  Each context, then each window, is brought to its smallest id by
+    aggregates that combine before the shuffle; the result meets the places again by joins that
+    may be broadcast or split, so no task holds a context's places or a window's contexts."""
+    places = scratch.materialise(rows.mapInArrow(
+        trimmed(lambda b: _hot_records(b, buckets, hot)), "context binary, least long, most long, places binary"), "hot")
+    contexts = scratch.materialise(
+        places.groupBy("context").agg(F.min("least").alias("least"), F.max("most").alias("most")), "contexts")
+    windows = contexts.select("context", "least", "most", F.posexplode(F.expr(
+        f"transform(sequence(1, octet_length(context) - {LENGTH - 1}), i -> substring(context, i, {LENGTH}))"
+        )).alias("place", "window"))
+    first = scratch.materialise(
+        windows.groupBy("window").agg(F.min("least").alias("least"), F.max("most").alias("most"))
+        .filter("least < most").select("window", "least"), "windows")
+    found = scratch.materialise(
+        windows.select("context", "place", "window").join(first, "window")
+        .groupBy("context").agg(F.collect_list(F.struct("place", "least")).alias("firsts")), "firsts")  # PLACES at most
+    return (places.join(found, "context").select("places", "firsts")
+            .mapInArrow(trimmed(lambda b: _hot_covers(b, buckets)), "bucket long, n long, blob binary"))
+
+
 @dataclass
 class Level:
     """Sorted windows, each with the smallest id it occurs in and where its bytes are."""
@@ -309,39 +455,52 @@ def _grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int,
         yield now, held
 
 
+def _runs(mask: np.ndarray, doc: np.ndarray, tie: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Runs of covered windows of records."""
+    edge = np.diff(np.pad(mask, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+    record, start = np.nonzero(edge == 1)
+    _, stop = np.nonzero(edge == -1)
+    cover = np.empty(len(record), _COVER)
+    cover["doc"], cover["tie"] = doc[record], tie[record]
+    cover["at"], cover["n"] = at[record] + start, stop - start
+    return cover
+
+
+def _packed_covers(held: list[np.ndarray], buckets: int) -> pa.RecordBatch:
+    cover = np.concatenate(held)
+    cover = cover[np.lexsort((cover["at"], cover["tie"], cover["doc"]))]
+    # Runs that go on in the next record are one.
+    new = np.ones(len(cover), bool)
+    new[1:] = ((cover["doc"][1:] != cover["doc"][:-1]) | (cover["tie"][1:] != cover["tie"][:-1])
+               | (cover["at"][1:] != (cover["at"] + cover["n"])[:-1]))
+    first = np.flatnonzero(new)
+    n = np.add.reduceat(cover["n"], first)
+    cover = cover[first]
+    cover["n"] = n
+    bucket = np.mod(cover["doc"] ^ (cover["doc"] >> 7) ^ (cover["doc"] >> 17) ^ cover["tie"], buckets)
+    order = np.argsort(bucket, kind="stable")
+    cover, bucket = cover[order], bucket[order]
+    edges = np.flatnonzero(np.diff(bucket, prepend=-1))
+    blobs = [pa.compress(b"".join([np.ascontiguousarray(cover[c][a:b]).tobytes() for c in _COVER.names]), codec="zstd", asbytes=True)
+             for a, b in zip(edges, [*edges[1:], len(bucket)], strict=True)]
+    sizes = np.diff(np.append(edges, len(bucket)))
+    return pa.RecordBatch.from_arrays([pa.array(bucket[edges]), pa.array(sizes, pa.int64()), pa.array(blobs, pa.binary())],
+                                      names=["bucket", "n", "blob"])
+
+
 def _covers(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """What is covered, packed by the bucket of its document."""
     held: list[np.ndarray] = []
-
-    def flush() -> pa.RecordBatch:
-        cover = np.concatenate(held)
-        doc = cover["doc"]
-        bucket = np.mod(doc ^ (doc >> 7) ^ (doc >> 17) ^ cover["tie"], buckets)
-        order = np.lexsort((cover["at"], cover["tie"], cover["doc"], bucket))
-        cover, bucket = cover[order], bucket[order]
-        edges = np.flatnonzero(np.diff(bucket, prepend=-1))
-        blobs = [pa.compress(b"".join([np.ascontiguousarray(cover[c][a:b]).tobytes() for c in _COVER.names]), codec="zstd", asbytes=True)
-                 for a, b in zip(edges, [*edges[1:], len(bucket)], strict=True)]
-        sizes = np.diff(np.append(edges, len(bucket)))
-        return pa.RecordBatch.from_arrays([pa.array(bucket[edges]), pa.array(sizes, pa.int64()), pa.array(blobs, pa.binary())],
-                                          names=["bucket", "n", "blob"])
-
     for _, group in _grouped(batches, "bucket"):
         head, rows = _unpack([r["blob"] for r in group])
-        mask = np.pad(_covered(head, rows), ((0, 0), (1, 1))).astype(np.int8)
-        edge = np.diff(mask, axis=1)
-        record, start = np.nonzero(edge == 1)
-        _, stop = np.nonzero(edge == -1)
-        cover = np.empty(len(record), _COVER)
-        cover["doc"], cover["tie"] = head["doc"][record], head["tie"][record]
-        cover["at"], cover["n"] = head["at"][record] + start, stop - start
+        cover = _runs(_covered(head, rows), head["doc"], head["tie"], head["at"])
         if len(cover):
             held.append(cover)
         if sum(map(len, held)) > BATCH:
-            yield flush()
+            yield _packed_covers(held, buckets)
             held = []
     if held:
-        yield flush()
+        yield _packed_covers(held, buckets)
 
 
 def _spans(at: np.ndarray, n: np.ndarray) -> list[tuple[int, int]]:
@@ -429,9 +588,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(64, total // BUCKET_BYTES)
     rows = keyed.select(F.col("__id").alias("id"), F.col("__tie").alias("tie"), "text")
-    records = rows.mapInArrow(trimmed(lambda b: _records(b, buckets)), "bucket long, blob binary")
+    hot = _hot(rows, buckets) if total > MOST else NONE_HOT
+    records = rows.mapInArrow(trimmed(lambda b: _records(b, buckets, hot)), "bucket long, blob binary")
     covers = (records.repartition("bucket").sortWithinPartitions("bucket")
               .mapInArrow(trimmed(lambda b: _covers(b, buckets)), "bucket long, n long, blob binary"))
+    if len(hot.anchors) or len(hot.buckets):
+        covers = covers.unionByName(_cover_hot(rows, buckets, hot))
     covers = scratch.materialise(covers, "covers")
 
     columns = [c for c in docs.columns if c not in ("text", "n_bytes", "spans", "kept")]

@@ -246,6 +246,32 @@ def passage_rows():
     return rows
 
 
+@pytest.mark.parametrize("most,together", [(6, 3), (60, 512)])
+def test_no_task_holds_a_hot_passage(spark, passage_rows, monkeypatch, most, together):
+    import pyarrow as pa
+
+    rows = [*passage_rows, *((2000 + i, passage_rows[0][1] or "z" * 70) for i in range(40)), (3000, "a" * 3000), (1, "ab" * 500)]
+    table = pa.record_batch([pa.array([i or 0 for i, _ in rows]), pa.array([0] * len(rows)), pa.array([t for _, t in rows])],
+                            names=["id", "tie", "text"])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    monkeypatch.setattr(suffix_dedup, "MOST", most)
+    hot = suffix_dedup._hot(docs.selectExpr("coalesce(doc_id, 0) AS id", "0L AS tie", "text"), 64)
+    assert len(hot.anchors) and (len(hot.buckets) or most > 6)
+    held = {}
+    for batch in suffix_dedup._records(iter([table]), 64, hot):
+        for r in batch.to_pylist():
+            held[r["bucket"]] = held.get(r["bucket"], 0) + int.from_bytes(r["blob"][:8], "little")
+    assert held and max(held.values()) <= most
+    # The rows that a context's places take are bounded, too, and nothing is lost.
+    monkeypatch.setattr(suffix_dedup, "TOGETHER", together)
+    places = [r for b in suffix_dedup._hot_records(iter([table]), 64, hot) for r in b.to_pylist()]
+    assert max(len(r["places"]) for r in places) <= 24 * together
+    records = sum(len(head) for _, head, *_ in suffix_dedup._found(iter([table])))
+    assert sum(len(r["places"]) // 24 for r in places) + sum(held.values()) == records
+    got = suffix_dedup.digests(suffix_dedup.remove_repeats(docs)).collect()
+    assert sorted(map(tuple, got), key=str) == repeats_by_hand(rows)
+
+
 def test_anchors_depend_on_the_window_alone(passage_rows):
     text = "".join(t or "" for _, t in passage_rows).encode()
     raw = np.frombuffer(text, np.uint8)
