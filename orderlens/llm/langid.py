@@ -6,8 +6,9 @@ normalised to length one.  For each language the vectors of a bounded,
 hash-ordered sample of labelled rows are clustered by spherical k-means into several
 centroids; document frequencies are counted over all labelled rows.  A text
 gets the language of the centroid with the largest cosine.  Its distance to
-it, one minus the cosine, decides on rejection: farther than any labelled sample row
-of that language was from its centroids, by a margin, is rejected.
+it, one minus the cosine, decides on rejection.  Every fourth sample row makes no centroid: it
+and pieces of it tell how far texts of that language and about as many different trigrams are
+from its centroids, at most (of pieces a high quantile); farther by a margin is rejected.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0
 and rejected; a null label or id never trains; a row's label and source are never
@@ -37,8 +38,11 @@ DIMENSIONS = 8192
 SAMPLE_ROWS = 1_600
 #: Centroids of a language.
 CENTROIDS = 3
-#: What a distance may exceed the sample's largest by, as short texts lie farther out; at LIMIT all is rejected.
-MARGIN, LIMIT = 0.4, 0.95
+#: Which part of the way from the largest distance of texts of its kind to one a distance may go; at LIMIT
+#: all is rejected.  The largest of pieces is this quantile.
+MARGIN, LIMIT, QUANTILE = 0.65, 0.95, 0.98
+#: One sample row of so many is kept from the centroids; languages with fewer such rows than ALONE share their limits.
+KEPT, ALONE = 4, 20
 #: Languages that a model can hold.
 LANGUAGES = 250
 
@@ -112,21 +116,37 @@ def vectors(texts: list[str], idf: np.ndarray) -> np.ndarray:
     return out / np.where(norm == 0, 1, norm)
 
 
+def _kinds(found: np.ndarray) -> np.ndarray:
+    """The kind of each vector: half octaves of the number of different trigrams."""
+    return (2 * np.log2(np.maximum((found > 0).sum(axis=1), 1))).astype(np.int64)
+
+
+KINDS = int(2 * np.log2(DIMENSIONS)) + 1
+
+
+def _pieces(text: str) -> list[str]:
+    """A text, and pieces of it from its start and its middle."""
+    sizes = [int(2 ** (k / 2)) for k in range(2, 2 * max(1, len(text)).bit_length()) if int(2 ** (k / 2)) < len(text)]
+    return [text, *(text[:n] for n in sizes), *(text[len(text) // 2:][:n] for n in sizes if 2 * n < len(text))]
+
+
 @dataclass(frozen=True)
 class Model:
     idf: np.ndarray
     languages: tuple[str, ...]  # of each centroid
     centroids: np.ndarray
-    reach: dict[str, float]  # the largest distance that is not rejected
+    reach: dict[str, np.ndarray]  # the largest distance that is not rejected, by the text's kind
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[bool]]:
         known = [bool(t) and _LETTER.search(t) is not None for t in texts]
-        cosines = vectors([t if k else "" for t, k in zip(texts, known, strict=True)], self.idf) @ self.centroids.T
+        found = vectors([t if k else "" for t, k in zip(texts, known, strict=True)], self.idf)
+        kinds = _kinds(found)
+        cosines = found @ self.centroids.T
         best = np.argmax(np.round(cosines, 6), axis=1)
         score = np.clip(np.round(cosines[np.arange(len(texts)), best].astype(float), 6), 0, 1)
         found = [self.languages[b] if k else UNDETERMINED for b, k in zip(best, known, strict=True)]
         return (found, [float(s) if k else 0.0 for s, k in zip(score, known, strict=True)],
-                [not k or 1 - s > self.reach[x] for x, s, k in zip(found, score, known, strict=True)])
+                [not k or bool(1 - s > self.reach[x][kind]) for x, s, k, kind in zip(found, score, known, kinds, strict=True)])
 
 
 def _kmeans(rows: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -181,7 +201,8 @@ def fit(labelled: DataFrame) -> Model:
     each = SAMPLE_ROWS // len(languages)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (rows.select("doc_id", "lang").withColumn("nth", F.row_number().over(order))
-              .filter(F.col("nth") <= each).select("doc_id").distinct())
+              .filter(F.col("nth") <= each).groupBy("doc_id").agg(F.min("nth").alias("nth")))
+    fitted, kept = chosen.filter(F.col("nth") % KEPT != 0), chosen.filter(F.col("nth") % KEPT == 0)
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -193,9 +214,9 @@ def fit(labelled: DataFrame) -> Model:
                     names=["lang", "doc_id", "vector"])
 
     # Bounded: SAMPLE_ROWS ids, and as many vectors; repeated ids give no more rows than that.
-    sample = (rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "lang", "text")
+    sample = (rows.join(F.broadcast(fitted), "doc_id").select("doc_id", "lang", "text")
               .mapInArrow(trimmed(sampled), "lang string, doc_id long, vector binary").limit(2 * SAMPLE_ROWS).collect())
-    names, centroids, reach = [], [], {}
+    names, centroids = [], []
     for lang in sorted(languages):
         own = sorted((r["doc_id"], bytes(r["vector"])) for r in sample if r["lang"] == lang)
         if not own:
@@ -204,8 +225,51 @@ def fit(labelled: DataFrame) -> Model:
         found = _kmeans(matrix, CENTROIDS)
         names += [lang] * len(found)
         centroids.append(found)
-        reach[lang] = min(LIMIT, float((1 - (matrix @ found.T).max(axis=1)).max()) + MARGIN)
-    return Model(idf, tuple(names), np.concatenate(centroids).astype(np.float32), reach)
+    model = Model(idf, tuple(names), np.concatenate(centroids).astype(np.float32), {})
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                own = model.centroids[[x == lang for x in model.languages]]
+                texts = [t for t in _pieces(text) if _LETTER.search(t)]
+                for a, b in _each(texts):
+                    found = vectors(texts[a:b], idf)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * (b - a)), pa.array(_kinds(found)), pa.array([int(i == 0) for i in range(a, b)]),
+                         pa.array((1 - (found @ own.T).max(axis=1)).astype(float))], names=["lang", "kind", "whole", "far"])
+
+    # Bounded: a row for each language and kind.
+    far = (rows.join(F.broadcast(kept), "doc_id").filter(F.col("lang").isin(sorted(set(names)))).select("lang", "text")
+           .mapInArrow(trimmed(judged), "lang string, kind long, whole long, far double")
+           .groupBy("lang", "kind").agg(
+               F.greatest(F.max(F.when(F.col("whole") == 1, F.col("far"))),
+                          F.percentile(F.when(F.col("whole") == 0, F.col("far")), F.lit(QUANTILE))).alias("far"),
+               F.sum("whole").alias("n")).collect())
+    return Model(idf, model.languages, model.centroids, _reach(
+        sorted(set(names)), [(r["lang"], r["kind"], r["far"], r["n"]) for r in far]))
+
+
+def _reach(languages: list[str], far: list[tuple[str, int, float, int]]) -> dict[str, np.ndarray]:
+    """Limits by language and kind, of the largest distance and the whole texts of each.  A kind's limit
+    is no smaller than that of longer texts; kinds shorter than all that were seen have LIMIT."""
+    largest = {x: np.full(KINDS, -1.0) for x in languages}
+    rows = dict.fromkeys(languages, 0)
+    for lang, kind, distance, n in far:
+        largest[lang][kind] = max(largest[lang][kind], distance)
+        rows[lang] += n
+    shared = np.max([*largest.values()], axis=0)
+    reach = {}
+    for lang in languages:
+        own = largest[lang] if rows[lang] >= ALONE else shared
+        seen = np.flatnonzero(own >= 0)
+        limits = np.full(KINDS, LIMIT)
+        if len(seen):
+            limits = np.maximum.accumulate(own[::-1])[::-1]
+            limits[seen[-1]:] = own[seen[-1]]
+            limits = np.minimum(limits + MARGIN * (1 - limits), LIMIT)
+            limits[:seen[0]] = LIMIT
+        reach[lang] = limits
+    return reach
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:

@@ -192,6 +192,23 @@ def test_odd_texts(spark):
         langid.fit(train.limit(0))
 
 
+@pytest.mark.parametrize("left_out", [None, "de", "en", "es", "fr"])
+def test_unknown_languages_go_and_known_stay(spark, left_out):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    known = docs.filter(F.lit(left_out is None) | (F.col("lang") != F.lit(left_out or "")))
+    model = langid.fit(known.filter(~langid.held_out()))
+    stay = langid.predict(known.filter(langid.held_out()), model)
+    assert stay.count() > 80 and stay.filter("rejected").count() == 0
+    if left_out:
+        out = langid.predict(docs.filter(F.col("lang") == left_out), model)
+        assert out.filter("rejected").count() >= 0.9 * out.count() > 90
+    rnd = random.Random(11)
+    odd = ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(2_500)),
+           "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja "
+           "omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä. " * 3]
+    assert model.predict(odd)[2] == [True, True]
+
+
 def test_counts_do_not_cross_texts():
     texts = ["abc", "", "DEF ghi", "é!!x", "z"]
     together = langid.counts(texts)
