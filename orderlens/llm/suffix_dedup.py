@@ -1,7 +1,7 @@
-"""Repeated passages found with a logarithmic family of sparse suffix arrays.
+"""Repeated passages found by hash-sorted windows at content-defined anchors, instead of suffix arrays.
 
 Each byte that a string of ``LENGTH`` bytes covers which also starts in a document with a
-smaller id is removed.  Instead of all suffixes those at anchors are indexed: in every
+smaller id is removed.  Windows are grouped by anchors: in every
 window of ``LENGTH`` bytes the ``GRAM`` bytes with the smallest hash are the window's
 anchor, so equal windows have equal anchors at equal places, whatever surrounds them.
 A record is an anchor with all windows it serves, 20 on average.
@@ -11,7 +11,7 @@ bucket meets in one task.  Anchors with so many records that a bucket would exce
 left out there and brought to the smallest id of each context and window by aggregates
 (``_cover_hot``).  In a bucket's task, runs of records enter a family of levels: each level
 holds sorted windows with the smallest id each occurs in, and levels of equal size
-merge geometrically.  Then every run is merge-scanned against the levels, and a window whose
+merge geometrically.  Then every run is looked up in the levels by binary search, and a window whose
 entry has a smaller id is compared with it byte by byte.  What is covered goes, packed,
 to its document's bucket, where it meets the text.  The buckets' number grows with the
 text, so that each has about ``BUCKET_BYTES`` of it.
@@ -204,7 +204,7 @@ def _records(batches: Iterator[pa.RecordBatch], buckets: int, hot: Hot = NONE_HO
 
     def flush() -> Iterator[pa.RecordBatch]:
         head, row, key = np.concatenate(heads), np.concatenate(rows), np.concatenate(keys)
-        order = np.lexsort((key[:, 2], key[:, 1], key[:, 0]))  # the suffix array of the batch, bucket by bucket
+        order = np.lexsort((key[:, 2], key[:, 1], key[:, 0]))  # like suffixes side by side compress better
         head, row, bucket = head[order], row[order], key[order, 0]
         edges = np.flatnonzero(np.diff(bucket, prepend=np.uint64(buckets + 1)))
         out, size = ([], []), 0
