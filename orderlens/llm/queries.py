@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, exact_dedup, langid, near_dedup, packing, scratch, suffix_dedup, token_counts, token_files
+from . import (ann, bpe, chat, exact_dedup, langid, lexical_rank, near_dedup, packing, scratch, suffix_dedup,
+               token_counts, token_files)
 from .ship import ship
 
 BPE_JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -72,6 +73,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digests(suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_rank.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_files": op2_token_files,
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_token_counts": op9_token_counts,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_lexical_search": op11_lexical_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -110,4 +116,32 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(chars) AS BIGINT) AS formatted_chars
 FROM f GROUP BY conv_id""",
+    "op11_lexical_search": r"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+d AS (SELECT r, len(terms) AS n FROM t WHERE len(terms) > 0),
+c AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM d),
+p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM t) GROUP BY ALL),
+f AS (SELECT term, count(*) AS df FROM p GROUP BY term),
+q AS (
+  SELECT item_id, term, count(*) AS q FROM (
+    SELECT item_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark WHERE item_id IS NOT NULL)
+  GROUP BY ALL),
+s AS (
+  SELECT item_id, p.r,
+    sum(q * floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT
+        * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // total))))::BIGINT AS score
+  FROM q JOIN f USING (term) JOIN p USING (term) JOIN d ON d.r = p.r CROSS JOIN c
+  GROUP BY item_id, p.r),
+o AS (
+  SELECT item_id, doc_id, score,
+    row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+  FROM s JOIN t ON t.r = s.r WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM o WHERE rank <= 20""",
 }
