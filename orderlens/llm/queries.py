@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ann, bpe, chat, exact_dedup, langid, lexical_rank, near_dedup, packing, scratch, suffix_dedup,
-               token_counts, token_files)
+from . import (ann, bpe, chat, exact_dedup, langid, lattice_lm, lexical_rank, near_dedup, packing, scratch,
+               suffix_dedup, token_counts, token_files)
 from .ship import ship
 
 BPE_JSON = public_tokenizers.path("byte_bpe_50k.json")
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +78,10 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_rank.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=20)
 
 
+def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.scores(_table(spark, sf_dir, "documents"), PIECES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_files": op2_token_files,
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_lexical_search": op11_lexical_search,
+    "op12_lm_scoring": op12_lm_scoring,
 }
 
 ORACLE_SQL: dict[str, str] = {
