@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ann, bpe, chat, exact_dedup, langid, lattice_lm, lexical_rank, near_dedup, packing, scratch,
+from . import (align, ann, bpe, chat, exact_dedup, langid, lattice_lm, lexical_rank, near_dedup, packing, scratch,
                suffix_dedup, token_counts, token_files)
 from .ship import ship
 
@@ -82,6 +82,10 @@ def op12_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.scores(_table(spark, sf_dir, "documents"), PIECES)
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.alignments(_table(spark, sf_dir, "documents"), BPE_JSON, PIECES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_token_files": op2_token_files,
@@ -95,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_suffix_dedup": op10_suffix_dedup,
     "op11_lexical_search": op11_lexical_search,
     "op12_lm_scoring": op12_lm_scoring,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE_SQL: dict[str, str] = {
