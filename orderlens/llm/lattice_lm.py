@@ -53,6 +53,8 @@ ZIPF, PRIOR = 2.7, 1_000.0
 END = 1e-3
 #: Bytes of text of a block, about, and bytes of a text that are split at a time.
 BLOCK, SLICE = 16 << 20, 4 << 20
+#: Words whose values a task packs at a time.
+HELD = 1 << 20
 #: Bytes of a word, and of words together, whose lattices are computed at a time.
 PART, TOGETHER = 4_096, 1 << 17
 
@@ -264,7 +266,7 @@ def _blocked(n: int):
                 places = np.fromiter(map(index.__getitem__, found), np.int64, len(found))
                 counts = np.fromiter(found.values(), np.int64, len(found))
                 order = np.argsort(places)
-                docs.append((doc, out, of, int(counts.sum()), places[order], counts[order]))
+                docs.append((doc, out, of, int(counts.sum()), places[order].astype(np.int32), counts[order].astype(np.uint32)))
                 held += len(data) + 100
                 if held >= BLOCK:
                     yield from flush(name(), index, docs)
@@ -320,6 +322,38 @@ def _scored(pieces: list[bytes], logs: np.ndarray, tokens: np.ndarray, distinct:
     return run
 
 
+def _packed_back(n: int):
+    """Words' values to rows with the values of many words of a block: places, counts and log probabilities, packed."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        size = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            block, place, c, logs = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.lexsort((place, block))
+            block, place, c, logs = block[order], place[order].astype("<i4"), c[order].astype("<i8"), logs[order]
+            ends = [*(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
+            parts = list(zip([0, *ends], ends, strict=False))
+            for at in range(0, len(parts), 256):
+                some = parts[at:at + 256]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(block[[a for a, _ in some]]),
+                     *(pa.array([x[a:b].tobytes() for a, b in some], pa.binary()) for x in (place, c, logs))],
+                    names=["block", "place", "c", "logs"])
+
+        for batch in batches:
+            held.append((batch.column("block").to_numpy(), batch.column("place").to_numpy(), batch.column("c").to_numpy(),
+                         np.frombuffer(b"".join(batch.column("logs").to_pylist()), "<f4").reshape(-1, n)))
+            size += len(batch)
+            if size >= HELD:
+                yield from flush()
+                held, size = [], 0
+        if held:
+            yield from flush()
+
+    return run
+
+
 def _summed(shares: np.ndarray, ends: np.ndarray, n_end: int, total: int, distinct: int):
     """Rows by block, words first, to one row per document."""
     n = len(shares)
@@ -332,14 +366,13 @@ def _summed(shares: np.ndarray, ends: np.ndarray, n_end: int, total: int, distin
             if first:
                 parts, logs, counts = [], np.zeros((0, n)), np.zeros(0, np.int64)
             if part.column("kind")[0].as_py() == 0:
-                parts.append((part.column("place").to_numpy(), part.column("c").to_numpy(),
-                              np.frombuffer(b"".join(part.column("logs").to_pylist()), "<f4").reshape(-1, n)))
+                parts.extend(zip(*(part.column(c).to_pylist() for c in ("place", "c", "logs")), strict=True))
                 continue
             if parts:
-                place = np.concatenate([p for p, _, _ in parts])
+                place, c, found = (np.frombuffer(b"".join(x), t)
+                                   for x, t in zip(zip(*parts, strict=True), ("<i4", "<i8", "<f4"), strict=True))
                 logs, counts = np.empty((len(place), n)), np.empty(len(place), np.int64)
-                counts[place] = np.concatenate([c for _, c, _ in parts])
-                logs[place] = np.concatenate([x for _, _, x in parts])
+                counts[place], logs[place] = c, found.reshape(-1, n)
                 parts = []
             gain = np.log10(counts + 1)
             known, base, score = [], [], []
@@ -405,13 +438,14 @@ def scores(docs: DataFrame, path: str, label: str = "lang") -> DataFrame:
     scored = scratch.materialise(
         totals.mapInArrow(trimmed(_scored(pieces, np.log(shares), tokens, distinct)), "word string, c long, logs binary"),
         "word-scores")
-    back = (words.select("block", "place", "word").join(scored, "word")
+    back = (words.select("block", "place", "word").join(scored, "word").select("block", "place", "c", "logs")
+            .mapInArrow(trimmed(_packed_back(n)), "block long, place binary, c binary, logs binary")
             .select("block", F.lit(0).alias("kind"), "place", "c", "logs", F.lit(None).cast("long").alias("doc_id"),
                     F.lit(None).cast("boolean").alias("held_out"), F.lit(None).cast("long").alias("n_words"),
                     F.lit(None).cast("binary").alias("places"), F.lit(None).cast("binary").alias("counts")))
-    own = blocks.filter("kind = 1").select(
-        "block", "kind", "place", F.lit(None).cast("long").alias("c"), F.lit(None).cast("binary").alias("logs"),
-        "doc_id", "held_out", "n_words", "places", "counts")
+    none = F.lit(None).cast("binary")
+    own = blocks.filter("kind = 1").select("block", "kind", none.alias("place"), none.alias("c"), none.alias("logs"),
+                                           "doc_id", "held_out", "n_words", "places", "counts")
     whole = tokens / np.maximum(tokens + distinct, 1)
     ending = np.log(whole * n_ends / np.maximum(tokens, 1) + (1 - whole) * end)
     run = _summed(np.log((n_ends + 1) / (n_ends + 1).sum()), ending, int(n_ends.sum()), int(tokens.sum()),
