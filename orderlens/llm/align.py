@@ -46,7 +46,7 @@ SHARDS, BRANCHES = 1 << 10, 8
 #: Bytes of text of a block, and characters of a text that are aligned at a time, about.
 BLOCK, SLICE = 16 << 20, 1 << 20
 #: Parts that a task keeps aligned.
-KNOWN = 200_000
+KNOWN = 1_000_000
 #: Pairs that a task holds before it passes their union on.
 HELD = 1 << 21
 
@@ -72,37 +72,19 @@ def byte_alphabet() -> dict[str, int]:
     return out
 
 
-class Part:
-    """A part's numbers of tokens, groups and links; its groups as text; its links as packed pairs."""
-
-    __slots__ = ("groups", "n_a", "n_b", "n_groups", "pairs")
-
-    def __init__(self, a: list[int], b: list[int], size_a: list[int], size_b: list[int]):
-        self.n_a, self.n_b = len(a), len(b)
-        pairs, groups = [], []
-        i = j = first_a = first_b = 0
-        end_a, end_b = size_a[a[0]], size_b[b[0]]
-        while True:
-            pairs.append(a[i] << 32 | b[j])
-            if end_a == end_b:
-                groups.append(f"{','.join(map(str, a[first_a:i + 1]))}|{','.join(map(str, b[first_b:j + 1]))}")
-                first_a, first_b = i, j = i + 1, j + 1
-                if i == len(a):
-                    break
-                end_a += size_a[a[i]]
-                end_b += size_b[b[j]]
-            elif end_a < end_b:
-                i += 1
-                end_a += size_a[a[i]]
-            else:
-                j += 1
-                end_b += size_b[b[j]]
-        self.n_groups, self.groups = len(groups), ";".join(groups)
-        self.pairs = np.array(pairs, np.int64).tobytes()
+def _grown(values: np.ndarray, size: int) -> np.ndarray:
+    """An array with room for so many values."""
+    if size <= len(values):
+        return values
+    out = np.zeros(max(size, 2 * len(values)), values.dtype)
+    out[:len(values)] = values
+    return out
 
 
 class Aligner:
-    """Aligns parts of texts; None for one whose tokens do not give its bytes."""
+    """Parts of texts aligned, each once.  Part i has ``n_a[i]``, ``n_b[i]`` tokens (-1 where the tokens do
+    not give its bytes), ``n_groups[i]`` groups with the text ``groups[i]``, and the links
+    ``pairs[first[i]:first[i + 1]]``."""
 
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
@@ -119,24 +101,130 @@ class Aligner:
             raise ValueError("a piece holds a blank behind another character: parts cannot be cut at blanks")
         self.bytes_b = [bytes([int(n[3:5], 16)]) if self.b.is_byte(i) else n.replace("▁", " ").encode()
                         for i, n in enumerate(names)]
-        self.size_a, self.size_b = [len(x) for x in self.bytes_a], [len(x) for x in self.bytes_b]
-        self.known: dict[str, Part | None] = {}
-
-    def learn(self, parts: set[str]) -> dict[str, Part | None]:
+        self.blank = self.b.piece_to_id("▁")
+        self.size_a = np.array([len(x) for x in self.bytes_a], np.int64)
+        self.size_b = np.array([len(x) for x in self.bytes_b], np.int64)
+        # Ids as text, each with what may follow it: "," or, as the last of its side, "|" or ";".
+        self.named = [f"{i}{c}" for n, last in ((len(self.bytes_a), "|"), (len(names), ";")) for c in ("," + last)
+                      for i in range(n)]
+        self.named_size = np.array([len(x) for x in self.named], np.int64)
+        self.forget()
+
+    def forget(self) -> None:
+        self.index: dict[str, int] = {}
+        self.groups: list[str] = []
+        self.n_a, self.n_b, self.n_groups, self.first, self.used = (np.zeros(1 << 12, np.int64) for _ in range(5))
+        self.pairs = np.zeros(1 << 14, np.int64)
+
+    def prune(self) -> None:
+        """Forget all parts but those used most often since they were learned, half of KNOWN at most."""
+        used = self.used[:len(self.index)]
+        keep = np.sort(np.argsort(used, kind="stable")[-KNOWN // 2:])
+        keep = keep[used[keep] > 1]
+        parts, groups = list(self.index), self.groups
+        old = [x[keep] for x in (self.n_a, self.n_b, self.n_groups, self.used)]
+        n_links, (pairs, _) = self.first[keep + 1] - self.first[keep], self.links(keep)
+        self.forget()
+        self._add([parts[i] for i in keep.tolist()], *old[:3], n_links, pairs, [groups[i] for i in keep.tolist()])
+        self.used[:len(keep)] = old[3] // 2
+
+    def learn(self, parts: set[str]) -> None:
         """Have these parts aligned."""
-        if len(self.known) > KNOWN:
-            self.known = {}
-        new = list(parts.difference(self.known))
-        if new:
-            spaced = [" " + p for p in new]
-            encoded = self.a.encode_batch_fast(spaced, add_special_tokens=False)
-            for part, text, x, b in zip(new, spaced, encoded, self.b.encode(new, num_threads=1), strict=True):
-                a, data = x.ids, text.encode()
-                if not b:  # nothing behind the blank: a text of its own only if empty
-                    b = [self.b.piece_to_id("▁")]
-                same = (b"".join([self.bytes_a[i] for i in a]) == data and b"".join([self.bytes_b[i] for i in b]) == data)
-                self.known[part] = Part(a, b, self.size_a, self.size_b) if same else None
-        return self.known
+        new = parts.difference(self.index)
+        plain = [p for p in new if p and not (p[0].isspace() or p[-1].isspace() or "▁" in p)]
+        if plain:
+            # Neither vocabulary has a token over the blank between two such parts: all go as one text.
+            text = " ".join(plain)
+            a = np.array(self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, np.int64)
+            b = np.array(self.b.encode(text, num_threads=1), np.int64)
+            ends = np.cumsum([len(p.encode()) + 1 for p in plain])
+            of_a, of_b = (np.searchsorted(np.cumsum(size[i]), ends) + 1 for size, i in ((self.size_a, a), (self.size_b, b)))
+            data = (" " + text).encode()
+            if all(b"".join([spelt[i] for i in ids.tolist()]) == data and (np.cumsum(size[ids])[of - 1] == ends).all()
+                   for spelt, size, ids, of in ((self.bytes_a, self.size_a, a, of_a), (self.bytes_b, self.size_b, b, of_b))):
+                self._take(plain, a, np.diff(of_a, prepend=0), b, np.diff(of_b, prepend=0))
+        odd = list(new.difference(self.index))
+        encoded = [x.ids for x in self.a.encode_batch_fast([" " + p for p in odd], add_special_tokens=False)]
+        # An empty part is the blank alone.
+        pieces = [x or [self.blank] for x in self.b.encode(odd, num_threads=1)] if odd else []
+        good = []
+        for part, a, b in zip(odd, encoded, pieces, strict=True):
+            data = (" " + part).encode()
+            if b"".join([self.bytes_a[i] for i in a]) == data == b"".join([self.bytes_b[i] for i in b]):
+                good.append((part, a, b))
+            else:
+                self._add([part], *(np.array([-1], np.int64) for _ in range(3)), np.zeros(1, np.int64),
+                          np.zeros(0, np.int64), [""])
+        if good:
+            self._take([p for p, _, _ in good], np.array([i for _, x, _ in good for i in x], np.int64),
+                       np.array([len(x) for _, x, _ in good]), np.array([i for _, _, x in good for i in x], np.int64),
+                       np.array([len(x) for _, _, x in good]))
+
+    def _take(self, parts: list[str], a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> None:
+        """Align parts whose tokens stand one after the other."""
+        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        ends = np.union1d(ends_a, ends_b)  # up to each of them one A and one B token overlap
+        pairs = a[np.searchsorted(ends_a, ends)] << 32 | b[np.searchsorted(ends_b, ends)]
+        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        part_ends = ends_a[np.cumsum(n_a) - 1]
+        n_links = np.diff(np.searchsorted(ends, part_ends, "right"), prepend=0)
+        n_groups = np.diff(np.searchsorted(common, part_ends, "right"), prepend=0)
+        # The groups' text: A's ids of a group, then B's, each with its mark.
+        size_a, size_b = len(self.bytes_a), len(self.bytes_b)
+        group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
+        last_a, last_b = common[group_a] == ends_a, common[group_b] == ends_b
+        mark = np.concatenate([a + size_a * last_a, 2 * size_a + b + size_b * last_b])
+        order = np.lexsort((np.concatenate([np.zeros(len(a), np.int8), np.ones(len(b), np.int8)]),
+                            np.concatenate([group_a, group_b])))
+        mark = mark[order]
+        text = "".join([self.named[i] for i in mark.tolist()])
+        stops = np.cumsum(self.named_size[mark])[np.cumsum(n_a + n_b) - 1].tolist()
+        self._add(parts, n_a, n_b, n_groups, n_links, pairs,
+                  [text[x:y - 1] for x, y in zip([0, *stops], stops, strict=False)])
+
+    def _add(self, parts: list[str], n_a: np.ndarray, n_b: np.ndarray, n_groups: np.ndarray, n_links: np.ndarray,
+             pairs: np.ndarray, groups: list[str]) -> None:
+        at, m = len(self.index), len(parts)
+        start = int(self.first[at])
+        self.n_a, self.n_b, self.n_groups, self.first, self.used = (
+            _grown(x, at + m + 1) for x in (self.n_a, self.n_b, self.n_groups, self.first, self.used))
+        self.n_a[at:at + m], self.n_b[at:at + m], self.n_groups[at:at + m] = n_a, n_b, n_groups
+        self.first[at + 1:at + m + 1] = start + np.cumsum(n_links)
+        self.pairs = _grown(self.pairs, start + len(pairs))
+        self.pairs[start:start + len(pairs)] = pairs
+        self.groups.extend(groups)
+        self.index.update(zip(parts, range(at, at + m), strict=True))
+
+    def links(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The links of parts one after the other, and where each part's begin."""
+        n = self.first[at + 1] - self.first[at]
+        before = np.cumsum(n) - n
+        return self.pairs[np.repeat(self.first[at] - before, n) + np.arange(int(n.sum()))], before
+
+
+_made: dict[tuple[str, str], Aligner] = {}
+
+
+def aligner_of(path_a: str, path_b: str) -> Aligner:
+    """This worker's aligner; its vocabularies stay from one task to the next."""
+    if (path_a, path_b) not in _made:
+        _made[path_a, path_b] = Aligner(path_a, path_b)
+    return _made[path_a, path_b]
+
+
+def _chunks(texts: list[str | None]) -> Iterator[tuple[list[int], list[list[str]]]]:
+    """Parts of the texts, some megabytes of text at a time: the text's place and the parts of each slice."""
+    places, some, held = [], [], 0
+    for i, text in enumerate(texts):
+        for parts in slices(text) if text else ():
+            places.append(i)
+            some.append(parts)
+            held += sum(map(len, parts)) if len(text) > SLICE else len(text)
+            if held >= SLICE:
+                yield places, some
+                places, some, held = [], [], 0
+    if some:
+        yield places, some
 
 
 class MinimalHash:
@@ -223,7 +311,7 @@ def _first_pass(path_a: str, path_b: str):
     columns, types = ["block", "kind", "shard", "keys", "counts", "doc_id", "text"], [_L, _I, _I, _B, _B, _L, _S]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, aligner = BlockNames(), Aligner(path_a, path_b)
+        name, aligner = BlockNames(), aligner_of(path_a, path_b)
         block, pairs, held = name(), [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -232,27 +320,28 @@ def _first_pass(path_a: str, path_b: str):
                                                None, None) for shard, some in _by_shard(keys)])
 
         for batch in batches:
-            own = 0  # rows of the batch before the block's first
-            texts, ids = batch.column("text"), batch.column("doc_id")
-            for i in range(len(batch)):
-                text, found = texts[i].as_py(), []
-                for parts in slices(text) if text else ():
-                    known = aligner.learn(distinct := set(parts))
-                    some = [known[p] for p in distinct]
-                    if None in some:
-                        found = []
-                        break
-                    found.append(np.unique(_i64(b"".join([p.pairs for p in some]))))
-                if found:
-                    pairs.append(found[0] if len(found) == 1 else np.unique(np.concatenate(found)))
-                held += len(text or "") + 100
-                if held >= BLOCK or i + 1 == len(batch):
-                    for a in range(own, i + 1, 500):
-                        m = min(a + 500, i + 1) - a
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(m, block)), pa.array(np.ones(m, np.int32)), pa.nulls(m, _I), pa.nulls(m, _B),
-                             pa.nulls(m, _B), ids[a:a + m], texts[a:a + m]], names=columns)
-                    own = i + 1
+            for a, b in _ranges(batch.column("text")):
+                texts = batch.column("text")[a:b].to_pylist()
+                own: list[list[np.ndarray]] = [[] for _ in texts]
+                void = set()
+                for places, some in _chunks(texts):
+                    if len(aligner.index) > KNOWN:
+                        aligner.prune()
+                    some = [set(parts) for parts in some]
+                    aligner.learn(set().union(*some))
+                    for i, parts in zip(places, some, strict=True):
+                        at = np.fromiter(map(aligner.index.__getitem__, parts), np.int64, len(parts))
+                        aligner.used[at] += 1
+                        if (aligner.n_a[at] < 0).any():
+                            void.add(i)
+                        own[i].append(np.unique(aligner.links(at)[0]))
+                pairs.extend(x[0] if len(x) == 1 else np.unique(np.concatenate(x))
+                             for i, x in enumerate(own) if x and i not in void)
+                m = b - a
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(m, block)), pa.array(np.ones(m, np.int32)), pa.nulls(m, _I), pa.nulls(m, _B),
+                     pa.nulls(m, _B), batch.column("doc_id")[a:b], batch.column("text")[a:b]], names=columns)
+                held += sum(len(t or "") + 100 for t in texts)
                 if held >= BLOCK:
                     if pairs:
                         yield from flush()
@@ -263,6 +352,18 @@ def _first_pass(path_a: str, path_b: str):
     return run
 
 
+def _ranges(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive texts with about SLICE bytes each."""
+    start = held = 0
+    for i in range(len(texts)):
+        held += texts[i].as_buffer().size if texts[i].is_valid else 0
+        if held >= SLICE:
+            yield start, i + 1
+            start, held = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
+
+
 def _unions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of keys to fewer, with each key of a shard once among about HELD keys."""
     held, n = {}, 0
@@ -383,39 +484,28 @@ def _second_pass(path_a: str, path_b: str, most: np.ndarray):
     types = [_L] * 7 + [_S]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(path_a, path_b)
+        aligner = aligner_of(path_a, path_b)
         held: list = []
         keys = counts = np.zeros(0, np.int64)
-        index: dict[str, int] = {}
-        groups: list[str] = []
-        numbers = np.zeros((1024, 6), np.int64)
-
-        def learn(parts: set[str]) -> bool:
-            """Have the parts' numbers in the block's tables; False if one has no tokens."""
-            nonlocal numbers
-            new = list(parts.difference(index))
-            known = aligner.learn(set(new))
-            found = [known[p] for p in new]
-            if None in found:
-                return False
-            if new:
-                pairs = _i64(b"".join([p.pairs for p in found]))
-                n = counts[np.searchsorted(keys, pairs)]
-                sizes = np.array([len(p.pairs) // 8 for p in found], np.int64)
-                at = np.cumsum(sizes) - sizes
-                rows = np.stack([np.array([p.n_a for p in found]), np.array([p.n_b for p in found]),
-                                 np.array([p.n_groups for p in found]), sizes,
-                                 np.add.reduceat((n == most[pairs >> 32]).astype(np.int64), at), np.add.reduceat(n, at)], axis=1)
-                while len(index) + len(new) > len(numbers):
-                    numbers = np.concatenate([numbers, np.zeros_like(numbers)])
-                numbers[len(index):len(index) + len(new)] = rows
-                groups.extend(p.groups for p in found)
-                index.update(zip(new, range(len(index), len(index) + len(new)), strict=True))
-            return True
+        # Of each part the links with the highest count of their A id, and the sum of counts; -1: not looked up.
+        best = total = np.zeros(0, np.int64)
+
+        def look_up(at: np.ndarray) -> None:
+            nonlocal best, total
+            if len(best) < len(aligner.index):
+                more = np.full(max(len(aligner.index), 2 * len(best)) - len(best), -1, np.int64)
+                best, total = np.concatenate([best, more]), np.concatenate([total, more])
+            at = at[(best[at] < 0) & (aligner.n_a[at] >= 0)]
+            if len(at):
+                pairs, starts = aligner.links(at)
+                n = counts[np.minimum(np.searchsorted(keys, pairs), len(keys) - 1)]
+                best[at] = np.add.reduceat((n == most[pairs >> 32]).astype(np.int64), starts)
+                total[at] = np.add.reduceat(n, starts)
 
         for _, first, part in by_block(batches):
             if first:
-                held, keys, counts, index, groups = [], np.zeros(0, np.int64), np.zeros(0, np.int64), {}, []
+                held, keys, counts = [], np.zeros(1, np.int64), np.zeros(1, np.int64)
+                best[:] = -1
             if part.column("kind")[0].as_py() == 0:
                 held.extend(zip(part.column("keys").to_pylist(), part.column("counts").to_pylist(), strict=True))
                 continue
@@ -423,19 +513,31 @@ def _second_pass(path_a: str, path_b: str, most: np.ndarray):
                 keys, counts = _i64(b"".join(k for k, _ in held)), _i64(b"".join(c for _, c in held))
                 order = np.argsort(keys)
                 keys, counts, held = keys[order], counts[order], []
-            out = []
-            for doc, value in zip(part.column("doc_id"), part.column("text"), strict=True):
-                text, sums, digest, sep = value.as_py(), np.zeros(6, np.int64), hashlib.sha256(), ""
-                for parts in slices(text) if text else ():
-                    if not learn(set(parts)):
-                        sums[:] = 0
-                        break
-                    at = [index[p] for p in parts]
-                    sums += numbers[at].sum(axis=0)
-                    digest.update((sep + ";".join([groups[i] for i in at])).encode())
-                    sep = ";"
-                out.append((doc.as_py(), *sums.tolist(), digest.hexdigest() if sums[0] else ""))
-            yield from _rows(names, types, out, 10_000)
+            for a, b in _ranges(part.column("text")):
+                ids, texts = part.column("doc_id")[a:b].to_pylist(), part.column("text")[a:b].to_pylist()
+                sums, digests, void = np.zeros((b - a, 6), np.int64), [None] * (b - a), set()
+                for places, some in _chunks(texts):
+                    if len(aligner.index) > KNOWN:
+                        aligner.prune()
+                        best = total = np.zeros(0, np.int64)
+                    aligner.learn(distinct := set().union(*some))
+                    look_up(np.fromiter(map(aligner.index.__getitem__, distinct), np.int64, len(distinct)))
+                    for i, parts in zip(places, some, strict=True):
+                        at = list(map(aligner.index.__getitem__, parts))
+                        text = ";".join([aligner.groups[x] for x in at])
+                        at = np.array(at, np.int64)
+                        aligner.used[at] += 1
+                        if (aligner.n_a[at] < 0).any():
+                            void.add(i)
+                        sums[i] += [aligner.n_a[at].sum(), aligner.n_b[at].sum(), aligner.n_groups[at].sum(),
+                                    (aligner.first[at + 1] - aligner.first[at]).sum(), best[at].sum(), total[at].sum()]
+                        if digests[i] is None:
+                            digests[i] = hashlib.sha256(text.encode())
+                        else:
+                            digests[i].update((";" + text).encode())
+                out = [(doc, *([0] * 6), "") if i in void or d is None else (doc, *row, d.hexdigest())
+                       for i, (doc, row, d) in enumerate(zip(ids, sums.tolist(), digests, strict=True))]
+                yield from _rows(names, types, out, 10_000)
 
     return run
 

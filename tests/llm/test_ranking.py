@@ -296,6 +296,21 @@ def test_alignments_are_the_libraries(spark, monkeypatch, block):
     assert got == aligned_by_hand(rows)
 
 
+def test_pruned_parts_stay_aligned(monkeypatch):
+    monkeypatch.setattr(align, "KNOWN", 6)
+    aligner = align.Aligner(queries.BPE_JSON, queries.PIECES)
+    words = [f"w{i}" for i in range(20)] + ["a▁b", "über"]
+    aligner.learn(set(words))
+    want = {p: (aligner.n_a[i], aligner.n_groups[i], aligner.groups[i], aligner.links(np.array([i]))[0].tolist())
+            for p, i in aligner.index.items()}
+    aligner.used[[aligner.index[w] for w in ("w3", "über", "w7")]] = 5
+    aligner.prune()
+    assert set(aligner.index) == {"w3", "über", "w7"}
+    aligner.learn(set(words))
+    assert {p: (aligner.n_a[i], aligner.n_groups[i], aligner.groups[i], aligner.links(np.array([i]))[0].tolist())
+            for p, i in aligner.index.items()} == want
+
+
 def test_minimal_hash():
     rnd = np.random.default_rng(4)
     for n in (0, 1, 2, 1_000, 50_000):
