@@ -46,7 +46,7 @@ SHARDS, BRANCHES = 1 << 10, 8
 #: Bytes of text of a block, and characters of a text that are aligned at a time, about.
 BLOCK, SLICE = 16 << 20, 1 << 20
 #: Parts that a task keeps aligned.
-KNOWN = 1_000_000
+KNOWN = 500_000
 #: Pairs that a task holds before it passes their union on.
 HELD = 1 << 21
 
@@ -93,6 +93,7 @@ class Aligner:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
+        self.exact_a = self.a.normalizer is None
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         of = byte_alphabet()
         self.bytes_a = [bytes(of.get(c, 32) for c in self.a.id_to_token(i) or "") for i in range(self.a.get_vocab_size())]
@@ -140,8 +141,11 @@ class Aligner:
             ends = np.cumsum([len(p.encode()) + 1 for p in plain])
             of_a, of_b = (np.searchsorted(np.cumsum(size[i]), ends) + 1 for size, i in ((self.size_a, a), (self.size_b, b)))
             data = (" " + text).encode()
-            if all(b"".join([spelt[i] for i in ids.tolist()]) == data and (np.cumsum(size[ids])[of - 1] == ends).all()
-                   for spelt, size, ids, of in ((self.bytes_a, self.size_a, a, of_a), (self.bytes_b, self.size_b, b, of_b))):
+            # A spells every byte; with a normaliser it might not, nor does B where it changes a character.
+            if (self.exact_a or b"".join([self.bytes_a[i] for i in a.tolist()]) == data) \
+                    and b"".join([self.bytes_b[i] for i in b.tolist()]) == data \
+                    and all((np.cumsum(size[ids])[of - 1] == ends).all()
+                            for size, ids, of in ((self.size_a, a, of_a), (self.size_b, b, of_b))):
                 self._take(plain, a, np.diff(of_a, prepend=0), b, np.diff(of_b, prepend=0))
         odd = list(new.difference(self.index))
         encoded = [x.ids for x in self.a.encode_batch_fast([" " + p for p in odd], add_special_tokens=False)]
@@ -212,6 +216,12 @@ def aligner_of(path_a: str, path_b: str) -> Aligner:
     return _made[path_a, path_b]
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct ones of some hundred numbers, sorted."""
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])[:len(values)]]
+
+
 def _chunks(texts: list[str | None]) -> Iterator[tuple[list[int], list[list[str]]]]:
     """Parts of the texts, some megabytes of text at a time: the text's place and the parts of each slice."""
     places, some, held = [], [], 0
@@ -334,7 +344,7 @@ def _first_pass(path_a: str, path_b: str):
                         aligner.used[at] += 1
                         if (aligner.n_a[at] < 0).any():
                             void.add(i)
-                        own[i].append(np.unique(aligner.links(at)[0]))
+                        own[i].append(_distinct(aligner.links(at)[0]))
                 pairs.extend(x[0] if len(x) == 1 else np.unique(np.concatenate(x))
                              for i, x in enumerate(own) if x and i not in void)
                 m = b - a
