@@ -31,6 +31,7 @@ entry AS (
   SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS Day, CAST(l_quantity AS BIGINT) AS Qty,
          row_number() OVER (PARTITION BY o_orderkey
                             ORDER BY l_linenumber, l_partkey, l_quantity) AS pos,
+         count(*) OVER (PARTITION BY o_orderkey) AS n,
          p_name || ' ' || lpad(CAST(p_partkey AS VARCHAR), 8, '0') AS PName, p_type AS Cat,
          CAST(round(p_retailprice * 100) AS BIGINT)
            + CASE WHEN o_orderkey % 17 = 3 THEN 100 ELSE 0 END AS Cents
@@ -65,7 +66,8 @@ Product_t AS (
   SELECT CAST(row_number() OVER (ORDER BY PName, seen) AS BIGINT) AS ProductID, PName AS ProductName,
          Cents / 100.0 AS ProductUnitPrice, ProductCategoryID
   FROM (SELECT PName, Cat, Cents, min(o_orderkey * 1000 + pos) AS seen FROM entry
-        WHERE o_orderkey IN (SELECT o_orderkey FROM wide) GROUP BY ALL)
+        WHERE o_orderkey IN (SELECT o_orderkey FROM wide)
+          AND NOT (o_orderkey % 23 = 9 AND n > 1 AND pos = n) GROUP BY ALL)
        JOIN Category_t ON ProductCategory = Cat),
 CustomerName AS (
   SELECT FirstName || ' ' || LastName AS Name, max(CustomerID) AS CustomerID FROM Customer_t GROUP BY 1),
@@ -74,7 +76,8 @@ OrderDetail_t AS (
   SELECT CAST(row_number() OVER (ORDER BY o_orderkey, pos) AS BIGINT) AS OrderID, CustomerID, ProductID,
          Day AS OrderDate, Qty AS QuantityOrdered
   FROM entry JOIN wide USING (o_orderkey) JOIN CustomerName ON Name = Raw
-       JOIN ProductKey ON ProductName = PName)"""
+       JOIN ProductKey ON ProductName = PName
+  WHERE NOT (o_orderkey % 29 = 11 AND n > 1 AND pos = n))"""
 
 NORMALIZED = TABLES + """,
 fact AS (
@@ -215,7 +218,24 @@ def normalized(first_n: int) -> dict[str, str]:
         "n11_order_detail": every("OrderDetail"),
         "n12_rejects": _tables_sql(
             "SELECT 'unknown customer: ' || Raw AS reason, count(*) AS n FROM wide "
-            "WHERE NOT EXISTS (SELECT 1 FROM CustomerName WHERE Name = Raw) GROUP BY Raw"),
+            "WHERE NOT EXISTS (SELECT 1 FROM CustomerName WHERE Name = Raw) GROUP BY Raw "
+            "UNION ALL "
+            "SELECT CASE WHEN ProductID IS NULL THEN 'unknown product: ' || PName ELSE 'missing or bad date' END, count(*) "
+            "FROM entry JOIN wide USING (o_orderkey) JOIN CustomerName ON Name = Raw "
+            "LEFT JOIN ProductKey ON ProductName = PName "
+            "WHERE ProductID IS NULL OR (o_orderkey % 29 = 11 AND entry.n > 1 AND pos = entry.n) GROUP BY 1"),
+        "s5_published_rows": _tables_sql(" UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {of}" for t, of in _TABLE_OF.items())),
+        "s8_csv_rejects": _tables_sql(
+            "SELECT 'Product' AS table_name, CAST(ProductID AS VARCHAR) || ',' "
+            "|| CASE WHEN contains(ProductName, ',') THEN '\"' || ProductName || '\"' ELSE ProductName END "
+            "|| ',n/a,' || CAST(ProductCategoryID AS VARCHAR) AS line, 'ProductUnitPrice' AS bad_columns "
+            "FROM Product_t WHERE ProductID % 37 = 5"),
+        "w4_order_rank": "SELECT o_orderkey, o_totalprice, RANK() OVER (ORDER BY o_totalprice DESC) AS TotalRank FROM orders",
+        "w1_order_rank_in_status": "SELECT o_orderkey, o_orderstatus, o_totalprice, "
+                                   "RANK() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC) AS StatusRank FROM orders",
+        "w3_customer_rank_in_quarter": f"WITH {STAR}{_QUARTER_SUMS} SELECT Quarter, Year, CustomerID, Total, "
+                                       "RANK() OVER (PARTITION BY Quarter, Year ORDER BY Total DESC) AS CustomerRank FROM quarter_sum",
         "a10_count": _tables_sql("SELECT count(*) AS n FROM OrderDetail_t"),
         "o4_first_n": _tables_sql(f"SELECT * FROM OrderDetail_t WHERE OrderID <= {first_n}"),
         "s8_golden_csv": every("Product"),

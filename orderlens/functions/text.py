@@ -34,6 +34,18 @@ def split_list(value: Column, sep: str = ";") -> Column:
     return F.split(value, _regex_quote(sep), -1)
 
 
+def list_size(value: Column, sep: str = ";") -> Column:
+    """The number of elements of a packed list, without splitting it."""
+    return F.length(value) - F.length(F.replace(value, F.lit(sep), F.lit(""))) + 1
+
+
+def list_chunks(value: Column, size: int, sep: str = ";") -> Column:
+    """A packed list cut into packed lists of ``size`` elements, the last one shorter."""
+    one = f"[^{_regex_quote(sep)}]*+{_regex_quote(sep)}"
+    cut = F.regexp_extract_all(F.concat(value, F.lit(sep)), F.lit(f"(?:{one}){{1,{size}}}"), F.lit(0))
+    return F.transform(cut, lambda c: F.substring(c, F.lit(1), F.length(c) - 1))
+
+
 def first_token(name: Column) -> Column:
     """First whitespace-separated token of a name ('' when there is none)."""
     parts = F.split(F.trim(F.regexp_replace(name, r"(?U)\s+", " ")), " ", 2)

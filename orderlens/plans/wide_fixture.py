@@ -23,6 +23,14 @@ Fixed value rules of the fixture (not reference values)::
                                o_orderkey % 17 = 3: 1 more                      two prices
     QuantityOrdered            l_quantity as whole number text
     OrderDate                  date_format(o_orderdate, 'yyyyMMdd')
+
+Uneven lists, in orders of two entries or more::
+
+    o_orderkey % 23 = 9        the last price is missing
+    o_orderkey % 29 = 11       the last date is missing
+    o_orderkey % 31 = 3        one more quantity, 7
+
+and a line of white space only behind the line of each order with o_orderkey % 19 = 7.
 """
 
 from __future__ import annotations
@@ -63,7 +71,13 @@ def packed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     # An order has a handful of lines, whatever the size of the data.
     lists = [F.expr(f"listagg({c}, ';') WITHIN GROUP (ORDER BY place)").alias(f)
              for f, c in _LISTS.items()]
-    orders = entries.groupBy("o_orderkey", "o_custkey").agg(*lists)
+    orders = entries.groupBy("o_orderkey", "o_custkey").agg(*lists, F.count(F.lit(1)).alias("n"))
+    uneven = lambda c, m, r, to: F.when((F.col("n") > 1) & (F.col("o_orderkey") % m == r), to).otherwise(c)
+    short = lambda c: F.regexp_replace(c, ";[^;]*$", "")
+    orders = orders.withColumns({
+        "ProductUnitPrice": uneven(F.col("ProductUnitPrice"), 23, 9, short("ProductUnitPrice")),
+        "OrderDate": uneven(F.col("OrderDate"), 29, 11, short("OrderDate")),
+        "QuantityOrdered": uneven(F.col("QuantityOrdered"), 31, 3, F.concat("QuantityOrdered", F.lit(";7")))})
     cust = (t("customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
             .join(t("nation").select("n_nationkey", "n_name", "n_regionkey"),
                   F.col("c_nationkey") == F.col("n_nationkey"))
@@ -86,7 +100,11 @@ def write_wide_fixture(spark: SparkSession, sf_dir: str, out: str | None = None)
     """Write the packed lines as tab-separated text files, each with a
     header line, in ``o_orderkey`` order across and within files."""
     path = out or scratch_path(spark, "wide_fixture")
-    (packed_lines(spark, sf_dir).orderBy("o_orderkey").select(*HEADER)
+    # Empty fields make a line of tabs, which is a blank line.
+    blank = F.when(F.col("o_orderkey") % 19 == 7, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    lines = packed_lines(spark, sf_dir).withColumn("blank", F.explode(blank))
+    (lines.orderBy("o_orderkey", "blank")
+     .select(*[F.when(F.col("blank"), F.lit("")).otherwise(F.col(c)).alias(c) for c in HEADER])
      .write.mode("overwrite")
      .option("sep", "\t").option("header", True)
      .option("quoteAll", False).option("escapeQuotes", False)

@@ -19,6 +19,10 @@ written as Parquet in the shared scratch folder (``stage_lines``) and the
 six lists are split and exploded once into an entries table
 (``stage_entries``); the table builders then read only the columns they
 need instead of re-scanning and re-splitting the text.
+
+A line may hold a third of all entries.  Only the scan sees it as one text: its lists
+are cut into chunks of ``CHUNK`` aligned entries, which are dealt to all tasks and split
+there, so no row ever holds more than one chunk's entries.
 """
 
 from __future__ import annotations
@@ -36,6 +40,9 @@ LIST_FIELDS = ("ProductName", "ProductCategory", "ProductCategoryDescription",
                "ProductUnitPrice", "QuantityOrdered", "OrderDate")
 ORDER_KEY = ("file_idx", "block_start", "line_seq")
 
+#: Entries of a list that one row may hold; longer lists are cut into chunks of so many.
+CHUNK = 256
+
 # Fixed layout of the packed order key (bits per part, most significant
 # first): file rank, split start offset, row inside the split, list
 # position.  25 + 40 + 33 + 28 = 126 bits, inside decimal(38,0).
@@ -51,6 +58,13 @@ def _dec(c: Column) -> Column:
     return c.cast("decimal(38,0)")
 
 
+def packed_place() -> Column:
+    """``(block_start, line_seq)`` order inside a file as one decimal(38,0)."""
+    row = F.col("line_seq").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    b = _dec(_checked(F.col("block_start"), BLOCK_BITS, "split offset"))
+    return b * _dec(F.lit(1 << ROW_BITS)) + _dec(row)
+
+
 def packed_line_order() -> Column:
     """``(file_idx, block_start, line_seq)`` order as one decimal(38,0).
 
@@ -60,10 +74,8 @@ def packed_line_order() -> Column:
     once the file and split are in front.  A single decimal lets ``min``
     run as a hash aggregate (a struct ``min`` needs a sort aggregate).
     """
-    row = F.col("line_seq").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
     f = _dec(_checked(F.col("file_idx").cast("bigint"), FILE_BITS, "file rank"))
-    b = _dec(_checked(F.col("block_start"), BLOCK_BITS, "split offset"))
-    return (f * _dec(F.lit(1 << BLOCK_BITS)) + b) * _dec(F.lit(1 << ROW_BITS)) + _dec(row)
+    return f * _dec(F.lit(1 << BLOCK_BITS)) * _dec(F.lit(1 << ROW_BITS)) + packed_place()
 
 
 def packed_entry_order() -> Column:
@@ -87,7 +99,9 @@ def read_raw_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_lines(lines: DataFrame, sep: str = "\t") -> DataFrame:
     """Split lines into the eleven named text fields.  The six list fields
-    stay unsplit here (they are split once, in ``explode_entries``).
+    stay unsplit here (they are split once, in ``explode_entries``); ``n_entries``
+    is the length of the longest and ``n_triples`` that of the shortest of the
+    name, category and price lists (the product zip stops there).
 
     ``n_fields`` keeps the real field count; fields behind the eleventh are
     ignored, and shorter lines are flagged ``ok = false`` and go to the
@@ -96,9 +110,13 @@ def parse_lines(lines: DataFrame, sep: str = "\t") -> DataFrame:
     f = text.split_fields(F.col("line"), sep)
     names = SCALAR_FIELDS + LIST_FIELDS
     cols = [F.get(F.col("__f"), i).alias(name) for i, name in enumerate(names)]
+    entries = {c: text.list_size(F.get(F.col("__f"), names.index(c))) for c in LIST_FIELDS}
     return (lines.withColumn("__f", f)
             .select("file_path", "block_start", "line_seq", F.size("__f").alias("n_fields"),
-                    (F.size("__f") >= N_FIELDS).alias("ok"), *cols))
+                    (F.size("__f") >= N_FIELDS).alias("ok"), *cols,
+                    F.greatest(*entries.values()).alias("n_entries"),
+                    F.least(*[entries[c] for c in ("ProductName", "ProductCategory", "ProductUnitPrice")])
+                    .alias("n_triples")))
 
 
 def read_wide(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
@@ -112,33 +130,41 @@ def stage_lines(parsed: DataFrame, scratch: Scratch) -> DataFrame:
 
     The header positions are one row per input file, ranked by path and joined."""
     staged = scratch.pin(parsed, "wide_lines")
-    firsts = staged.groupBy("file_path").agg(
-        F.min(F.struct("block_start", "line_seq")).alias("__hdr"))
+    firsts = staged.groupBy("file_path").agg(F.min(packed_place()).alias("__hdr"))
     ranked = (dense_ids(firsts, ["file_path"], "file_idx", scratch)
               .withColumn("file_idx", F.col("file_idx").cast("int")))
     return (staged.join(ranked, "file_path")
-            .filter(F.struct("block_start", "line_seq") != F.col("__hdr"))
+            .filter(packed_place() != F.col("__hdr"))
             .drop("__hdr", "file_path")
             .select(*ORDER_KEY, *[c for c in staged.columns if c not in ORDER_KEY
                                   and c != "file_path"]))
 
 
+def list_chunks(lines: DataFrame) -> DataFrame:
+    """The lists of lines in chunks of ``CHUNK`` aligned entries: a row per chunk with its number
+    ``chunk`` and its piece of each list, NULL behind a list's end.  The chunks are dealt by line
+    and number, so one line's are spread over the tasks."""
+    pieces = F.arrays_zip(*[text.list_chunks(F.col(c), CHUNK).alias(c) for c in LIST_FIELDS])
+    return (lines.select(*ORDER_KEY, "n_triples", F.posexplode(pieces).alias("chunk", "e"))
+            .select(*ORDER_KEY, "n_triples", "chunk", *[F.col("e." + c).alias(c) for c in LIST_FIELDS])
+            .repartition(*ORDER_KEY, "chunk"))
+
+
 def explode_entries(lines: DataFrame) -> DataFrame:
     """One row per list position of every ``ok`` line: the six list values
     at that position (NULL where a list is shorter), the position, and
-    ``n_triples`` = the shortest of the name/category/price lists (the
-    product zip stops there).  The lists are zipped before exploding, so a
-    row carries only its own entry, never whole lists.
+    ``n_triples``.  The lists are zipped before exploding, so a row carries only its
+    own entry; lists of more than ``CHUNK`` entries are cut into chunks before that.
     """
-    lists = lines.filter(F.col("ok")).select(
-        *ORDER_KEY, *[text.split_list(F.col(c)).alias(c) for c in LIST_FIELDS])
-    z = F.arrays_zip(*[F.col(c) for c in LIST_FIELDS])
-    n_triples = F.least(F.size("ProductName"), F.size("ProductCategory"),
-                        F.size("ProductUnitPrice"))
-    return (lists
-            .select(*ORDER_KEY, n_triples.alias("n_triples"),
-                    F.posexplode(z).alias("pos", "e"))
-            .select(*ORDER_KEY, "pos", "n_triples",
+    ok = lines.filter(F.col("ok"))
+    whole = ok.filter(F.col("n_entries") <= CHUNK).select(
+        *ORDER_KEY, "n_triples", F.lit(0).alias("chunk"), *LIST_FIELDS)
+    parts = whole.unionByName(list_chunks(ok.filter(F.col("n_entries") > CHUNK)))
+    none = F.array().cast("array<string>")
+    z = F.arrays_zip(*[F.coalesce(text.split_list(F.col(c)), none).alias(c) for c in LIST_FIELDS])
+    return (parts
+            .select(*ORDER_KEY, "n_triples", "chunk", F.posexplode(z).alias("place", "e"))
+            .select(*ORDER_KEY, (F.col("chunk") * CHUNK + F.col("place")).alias("pos"), "n_triples",
                     *[F.col("e." + c).alias(c) for c in LIST_FIELDS]))
 
 
