@@ -6,15 +6,24 @@ rows with the maximum gap and, among them, the earliest date.  Several
 rows on one date make gaps of 0, so a customer whose orders are all on
 one day yields ``n - 1`` identical rows with gap 0.
 
-Scalable form: rows are first reduced to distinct ``(customer, date)``
-with a row count (partial aggregation, so a hot customer collapses
-map-side).  The window then runs over at most one row per calendar day
-per customer, which bounds every window partition by the date range:
-
-* customers with >= 2 distinct dates: the first row of each later date
-  has the gap to the previous distinct date, every other row has 0, so
-  the answer is the single distinct-date row ranked first by
-  (gap desc, date asc);
+Scalable form: a summary of a span of days that merges with the next one's,
+
+    first day, last day, longest gap inside, the day that ends it, number of rows,
+
+so no window is needed and no customer's rows are sorted:
+
+1. rows are reduced to (customer, span of ``SPAN`` days): the days as bits of one
+   number, or-ed together, and the number of rows.  Both are hash aggregates that
+   combine before the shuffle, so a hot customer collapses map-side;
+2. a span's bits give its summary;
+3. a customer's summaries, no more than the calendar has spans, are folded in the order
+   of time: between two spans lies the gap from the last day of one to the first
+   of the next.  Of equal gaps the earliest stays.
+
+Then
+
+* customers with >= 2 distinct dates have the summary's gap, as one row: the
+  first row of a later date has the gap to the date before, all other rows 0;
 * customers with exactly one date and n >= 2 rows: ``n - 1`` rows
   ``(d, d, 0.0)``, produced by the chunked ``replicate``;
 * customers with one row: absent.
@@ -22,12 +31,44 @@ per customer, which bounds every window partition by the date range:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.functions import dates
 from orderlens.operators.replicate import replicate
 
+#: Days of a span: the bits of a long without its sign.
+SPAN = 63
+_SUMMARY = "struct<first:int,last:int,gap:int,until:int,n:bigint>"
+
+
+def _longer(gap: Column, until: Column, than: Column) -> Column:
+    """(gap, until) if it is longer than an earlier one, else that."""
+    return F.when(gap > than["gap"], F.struct(gap.alias("gap"), until.alias("until"))).otherwise(
+        F.struct(than["gap"].alias("gap"), than["until"].alias("until")))
+
+
+def span_summary(bits: Column, start: Column, n: Column) -> Column:
+    """The summary of the days ``start + i`` of the set bits i."""
+    days = F.transform(F.filter(F.sequence(F.lit(0), F.lit(SPAN - 1)),
+                                lambda i: F.call_function("getbit", bits, i) == 1), lambda i: (start + i).cast("int"))
+
+    def step(acc: Column, day: Column) -> Column:
+        best = _longer(day - acc["last"], day, acc)
+        return F.struct(acc["first"].alias("first"), day.alias("last"), best["gap"].alias("gap"),
+                        best["until"].alias("until"), acc["n"].alias("n")).cast(_SUMMARY)
+
+    begin = F.struct(F.get(days, 0).alias("first"), F.get(days, 0).alias("last"), F.lit(0).alias("gap"),
+                     F.get(days, 0).alias("until"), n.alias("n")).cast(_SUMMARY)
+    return F.aggregate(days, begin, step)
+
+
+def merged(one: Column, later: Column) -> Column:
+    """The summary of two spans, the second behind the first."""
+    best = _longer(later["gap"], later["until"],
+                   _longer(later["first"] - one["last"], later["first"], one))
+    return F.struct(one["first"].alias("first"), later["last"].alias("last"), best["gap"].alias("gap"),
+                    best["until"].alias("until"), (one["n"] + later["n"]).alias("n")).cast(_SUMMARY)
+
 
 def longest_gaps(day_counts: DataFrame, key: str = "CustomerID",
                  date_col: str = "OrderDate", count_col: str = "n",
@@ -37,27 +78,23 @@ def longest_gaps(day_counts: DataFrame, key: str = "CustomerID",
     Returns ``(key, OrderDate, PreviousOrderDate, MaxDaysWithoutOrder)`` and the columns of
     ``names`` (one row per key), which is joined on the windows' partitioning.
 
-    One aggregation and one window pass give every distinct-date row a number of output
-    copies (1 for the chosen gap row, n - 1 for a single-date customer, else 0).  Only rows
-    with more than one copy are spread and replicated; both branches read the same shuffle.
+    Only rows with more than one copy are spread and replicated; both branches read the
+    same shuffle.  Rows without a date have no gap and count for nothing.
     """
-    per_day = day_counts.groupBy(key, date_col).agg(F.sum(count_col).alias("__n"))
-    by_key = Window.partitionBy(key)
-    tagged = (per_day
-              .withColumn("PreviousOrderDate", F.lag(date_col).over(by_key.orderBy(date_col)))
-              .withColumn("__gap", dates.day_gap(F.col(date_col), F.col("PreviousOrderDate")))
-              .withColumn("__dates", F.count(F.lit(1)).over(by_key)))
-    best = F.row_number().over(by_key.orderBy(F.col("__gap").desc_nulls_last(), F.col(date_col).asc()))
-    single = F.col("__dates") == 1
-    copies = (F.when(single, F.col("__n") - 1)
-              .when(F.col("__gap").isNotNull() & (best == 1), F.lit(1))
-              .otherwise(F.lit(0)))
-    chosen = tagged.withColumn("__copies", copies).filter(F.col("__copies") > 0).select(
-        key, F.col(date_col).alias("OrderDate"),
-        F.when(single, F.col(date_col)).otherwise(F.col("PreviousOrderDate"))
-        .alias("PreviousOrderDate"),
-        F.when(single, F.lit(0.0)).otherwise(F.col("__gap")).alias("MaxDaysWithoutOrder"),
-        "__copies")
+    day = F.unix_date(date_col)
+    spans = (day_counts.filter(F.col(date_col).isNotNull())
+             .groupBy(key, F.floor(day / SPAN).cast("int").alias("__span"))
+             .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(day, F.lit(SPAN)))).alias("__bits"),
+                  F.sum(count_col).cast("bigint").alias("__n")))
+    summary = span_summary(F.col("__bits"), F.col("__span") * SPAN, F.col("__n"))
+    lists = spans.select(key, summary.alias("__s")).groupBy(key).agg(F.array_sort(F.collect_list("__s")).alias("__all"))
+    whole = lists.select(key, F.aggregate(F.slice("__all", 2, F.size("__all")), F.get("__all", 0), merged).alias("__s"))
+    single = F.col("__s.first") == F.col("__s.last")
+    chosen = whole.withColumn("__copies", F.when(single, F.col("__s.n") - 1).otherwise(F.lit(1))).filter(
+        F.col("__copies") > 0).select(
+        key, F.date_from_unix_date("__s.until").alias("OrderDate"),
+        F.date_from_unix_date(F.col("__s.until") - F.col("__s.gap")).alias("PreviousOrderDate"),
+        F.col("__s.gap").cast("double").alias("MaxDaysWithoutOrder"), "__copies")
     if names is not None:
         chosen = chosen.join(names, key)
     many = replicate(chosen.filter(F.col("__copies") > 1), "__copies", spread_cols=[key])
