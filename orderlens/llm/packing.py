@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from . import scratch
 from .encode import END_ID, encoder, in_turn
@@ -143,9 +144,11 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
 _PLACED = ["part", "row", "doc_id", "start", "length", "doc_tokens", "ids_crc32", "sequence_id", "offset"]
 
 
-def place(cut: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Of pieces the sequence_id and offset; the ids are not read for it."""
-    narrow = cut.drop("ids")
+def place(cut: DataFrame, window: int = WINDOW, carried: tuple[str, ...] = ()) -> DataFrame:
+    """Of pieces the sequence_id and offset, with the columns ``carried``; the ids are not read
+    for it unless they are among these."""
+    names = [*_PLACED[:-2], *carried, *_PLACED[-2:]]
+    narrow = cut.select(*_PLACED[:-2], "local", *carried)
     counts = scratch.materialise(narrow.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
     # Bounded: a row for each length up to the window's.
     sizes = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
@@ -167,12 +170,11 @@ def place(cut: DataFrame, window: int = WINDOW) -> DataFrame:
                 nth = rank[own] - first_rank
                 sequence[own], offset[own] = first + nth // each, used + nth % each * size
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in _PLACED[:-2]), pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())],
-                names=_PLACED)
+                [*(batch.column(c) for c in names[:-2]), pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())],
+                names=names)
 
-    return ranked.select(*_PLACED[:-2], "rank").mapInArrow(
-        seat, "part int, row long, doc_id long, start long, length long, doc_tokens long, ids_crc32 long, "
-              "sequence_id long, offset long")
+    schema = StructType([ranked.schema[c] for c in names[:-2]]).add("sequence_id", "long").add("offset", "long")
+    return ranked.select(*names[:-2], "rank").mapInArrow(seat, schema)
 
 
 def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
@@ -186,7 +188,8 @@ def sequences(docs: DataFrame, tokenizer: str, window: int = WINDOW, pad_id: int
     """The packed sequences: sequence_id, input_ids (padded to the window, except where their number is a
     power of two), n_tokens, doc_ids, offsets (where each document's piece begins)."""
     cut = pieces(docs, tokenizer, window)
-    whole = place(cut, window).join(cut.select("part", "row", "ids"), ["part", "row"])
+    # The ids go with their pieces, so they are shuffled once, by sequence.
+    whole = place(cut, window, ("ids",))
     # A sequence has no more than ``window`` pieces.
     rows = whole.groupBy("sequence_id").agg(
         F.array_sort(F.collect_list(F.struct("offset", "doc_id", "start", "ids"))).alias("p"))
