@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import scratch
+from .columns import carrying
 from .memory import trimmed
 from .skew import hot_keys
 
@@ -187,6 +188,7 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
         (F.col("uid") == F.col("best.uid")).alias("kept"), "text_sha256", "uid")
 
 
+@carrying("doc_id", "text")
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns kept."""
     kept = exact_duplicates(docs).filter("kept").select(

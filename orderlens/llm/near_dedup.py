@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import scratch
+from .columns import carrying
 from .components import components
 from .memory import trimmed
 from .words import in_blocks, mix, powers, shingles
@@ -266,6 +267,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
                         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+@carrying("doc_id", "text")
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one document of each component, all columns kept."""
     gone = near_duplicates(docs, words, percent).filter("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()

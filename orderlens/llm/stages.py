@@ -7,6 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import exact_dedup, langid, near_dedup, packing, suffix_dedup
+from .columns import carrying
 from .ship import ship
 
 #: Shingles and similarity of near-duplicates.
@@ -20,8 +21,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     train = docs.filter(~langid.held_out())
     if train.filter("doc_id IS NOT NULL AND lang IS NOT NULL").filter(langid.has_letter()).isEmpty():
         return docs
-    found = langid.predict(docs, langid.fit(train))
-    return found.filter("NOT rejected").select(*docs.columns)
+    return _known_language(docs, langid.fit(train))
+
+
+@carrying("doc_id", "text", "lang")
+def _known_language(docs: DataFrame, model: object) -> DataFrame:
+    return langid.predict(docs, model).filter("NOT rejected").select(*docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

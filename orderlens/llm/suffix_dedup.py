@@ -6,7 +6,11 @@ window of ``LENGTH`` bytes the ``GRAM`` bytes with the smallest hash are the win
 anchor, so equal windows have equal anchors at equal places, whatever surrounds them.
 A record is an anchor with all windows it serves, 20 on average.
 
-Batches of documents give their records sorted by bucket (the anchor's hash) and suffix; a
+First the anchors' hashes alone are shuffled and sorted: an anchor that occurs once has no
+window that occurs twice, so only records whose anchor occurs again are made, by a second
+scan of documents that have met their repeated anchors (``_repeated``, ``_met``).
+
+Batches of documents give these records sorted by bucket (the anchor's hash) and suffix; a
 bucket meets in one task.  Anchors with so many records that a bucket would exceed ``MOST`` are
 left out there and brought to the smallest id of each context and window by aggregates
 (``_cover_hot``).  In a bucket's task, runs of records enter a family of levels: each level
@@ -30,11 +34,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from . import scratch
+from .blocks import by_block
+from .columns import carrying
 from .memory import trimmed
 from .words import mix, powers
 
@@ -155,42 +161,140 @@ class Hot:
 NONE_HOT = Hot(np.empty(0, np.uint64), np.empty(0, np.int64))
 
 
-def _bucket_counts(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """The records of each bucket."""
-    total = np.zeros(buckets, np.int64)
-    for _, _, _, _, hashed in _found(batches):
-        bucket, n = np.unique(_bucket(hashed, buckets), return_counts=True)
-        total[bucket] += n
-    there = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(there, pa.int64()), pa.array(total[there], pa.int64())], names=["bucket", "n"])
+def _document_bucket(doc: np.ndarray, tie: np.ndarray, buckets: int) -> np.ndarray:
+    return np.mod(doc ^ (doc >> 7) ^ (doc >> 17) ^ tie, buckets)
+
 
+def _bucket_of(buckets: int) -> Column:
+    """The same of columns id and tie."""
+    return F.expr(f"pmod(id ^ shiftright(id, 7) ^ shiftright(id, 17) ^ tie, {buckets})")
 
-def _anchor_counts(batches: Iterator[pa.RecordBatch], buckets: int, large: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """The records of each anchor in large buckets, piece by piece."""
-    for _, _, _, _, hashed in _found(batches):
-        anchor, n = np.unique(hashed[np.isin(_bucket(hashed, buckets), large)], return_counts=True)
+
+def _anchor_rows(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """The anchor's hash and the document's bucket of each record."""
+    for _, head, _, _, hashed in _found(batches):
         yield pa.RecordBatch.from_arrays(
-            [pa.array(_bucket(anchor, buckets)), pa.array(anchor.view(np.int64)), pa.array(n, pa.int64())],
-            names=["bucket", "anchor", "n"])
+            [pa.array(hashed.view(np.int64)), pa.array(_document_bucket(head["doc"], head["tie"], buckets))],
+            names=["anchor", "bucket"])
+
+
+def _repeated(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by anchor what occurs twice or more.  Kind 0: anchors packed by the documents'
+    bucket; kind 1: a bucket of anchors with its number of records; kind 2: an anchor with more than
+    a quarter of ``MOST`` records.  Whatever an anchor's number of records, one row is held back."""
+    names = ["kind", "bucket", "anchor", "n", "blob"]
+    totals: list[tuple[np.ndarray, np.ndarray]] = []
+    anchor, bucket = np.zeros(0, np.int64), np.zeros(0, np.int64)  # the row held back
+    run, held, size = 0, [], 0  # records of its anchor before it
+
+    def rows(kind: int, where: np.ndarray, **given: pa.Array) -> pa.RecordBatch:
+        n = len(where)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(n, kind, np.int32)), pa.array(where), given.get("anchor", pa.nulls(n, pa.int64())),
+             given.get("n", pa.nulls(n, pa.int64())), given.get("blob", pa.nulls(n, pa.binary()))], names=names)
+
+    def packed() -> Iterator[pa.RecordBatch]:
+        anchors_, where = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(where, kind="stable")
+        anchors_, where = anchors_[order], where[order]
+        edges = np.flatnonzero(np.diff(where, prepend=-1)).tolist()
+        parts = list(zip(edges, [*edges[1:], len(where)], strict=True))
+        for at in range(0, len(parts), 512):
+            some = parts[at:at + 512]
+            yield rows(0, where[[x for x, _ in some]],
+                       blob=pa.array([anchors_[x:y].tobytes() for x, y in some], pa.binary()))
+
+    def summed() -> pa.RecordBatch:
+        where, counts = (np.concatenate(x) for x in zip(*totals, strict=True))
+        totals.clear()
+        there, of = np.unique(where, return_inverse=True)
+        sums = np.zeros(len(there), np.int64)
+        np.add.at(sums, of, counts)
+        return rows(1, there, n=pa.array(sums))
+
+    def ended(values: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        own = counts > 1
+        totals.append((_bucket(values[own].view(np.uint64), buckets), counts[own]))
+        if sum(len(x) for x, _ in totals) >= BATCH:
+            yield summed()
+        if (large := counts > MOST // 4).any():
+            yield rows(2, _bucket(values[large].view(np.uint64), buckets), anchor=pa.array(values[large]),
+                       n=pa.array(counts[large]))
+
+    for batch in batches:
+        if not len(batch):
+            continue
+        more = batch.column("anchor").to_numpy()
+        anchor, bucket = np.concatenate([anchor, more]), np.concatenate([bucket, batch.column("bucket").to_numpy()])
+        first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+        counts = np.diff(first, append=len(anchor))
+        again = np.repeat(counts > 1, counts)
+        if run:
+            again[:counts[0]] = True
+        again[-1] = False  # not known yet
+        if again.any():
+            held.append((anchor[again], bucket[again]))
+            size += int(again.sum())
+        counts[0] += run
+        yield from ended(anchor[first[:-1]], counts[:-1])
+        run, anchor, bucket = int(counts[-1]) - 1, anchor[-1:], bucket[-1:]
+        if size >= BATCH:
+            yield from packed()
+            held, size = [], 0
+    if len(anchor):
+        if run:
+            held.append((anchor, bucket))
+        yield from ended(anchor, np.array([run + 1]))
+    if held:
+        yield from packed()
+    if totals:
+        yield summed()
 
 
-def _hot(rows: DataFrame, buckets: int) -> Hot:
+def _hot(repeated: DataFrame) -> Hot:
     """What the tasks of buckets leave out, so that none has more than ``MOST`` records.  Bounded: of
     ``MOST`` records at most one bucket, and of a quarter as many one anchor."""
-    large = {r["bucket"]: r["n"] for r in rows.mapInArrow(
-        trimmed(lambda b: _bucket_counts(b, buckets)), "bucket long, n long")
-        .groupBy("bucket").agg(F.sum("n").alias("n")).filter(F.col("n") > MOST).collect()}
+    large = {r["bucket"]: r["n"] for r in repeated.filter("kind = 1").groupBy("bucket").agg(F.sum("n").alias("n"))
+             .filter(F.col("n") > MOST).collect()}
     if not large:
         return NONE_HOT
-    which = np.array(sorted(large), np.int64)
-    found = (rows.mapInArrow(trimmed(lambda b: _anchor_counts(b, buckets, which)), "bucket long, anchor long, n long")
-             .groupBy("bucket", "anchor").agg(F.sum("n").alias("n")).filter(F.col("n") > MOST // 4).collect())
+    found = [r for r in repeated.filter("kind = 2").select("bucket", "anchor", "n").collect() if r["bucket"] in large]
     for r in found:
         large[r["bucket"]] -= r["n"]
     return Hot(np.array(sorted(r["anchor"] for r in found), np.int64).view(np.uint64),
                np.array(sorted(b for b, n in large.items() if n > MOST), np.int64))
 
 
+def _met(repeated: DataFrame, rows: DataFrame, buckets: int) -> DataFrame:
+    """Documents behind the repeated anchors of their bucket."""
+    none = {c: F.lit(None).cast(t).alias(c) for c, t in (("blob", "binary"), ("id", "long"), ("tie", "long"), ("text", "string"))}
+    lists = repeated.filter("kind = 0").select(
+        F.col("bucket").alias("block"), "kind", "blob", none["id"], none["tie"], none["text"])
+    own = rows.select(_bucket_of(buckets).alias("block"), F.lit(1).alias("kind"), none["blob"], "id", "tie", "text")
+    return lists.unionByName(own).repartition("block").sortWithinPartitions("block", "kind")
+
+
+def _found_again(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Like ``_found``, of documents that come behind their bucket's repeated anchors: the records with these."""
+    lists: list[bytes] = []
+    known = np.zeros(0, np.int64)
+    for _, first, part in by_block(batches):
+        if first:
+            lists, known = [], np.zeros(0, np.int64)
+        if part.column("kind")[0].as_py() == 0:
+            lists.extend(part.column("blob").to_pylist())
+            continue
+        if lists:
+            known, lists = np.unique(np.frombuffer(b"".join(lists), np.int64)), []
+        if not len(known):
+            continue
+        for raw, head, cut, anchor, hashed in _found([part]):
+            values = hashed.view(np.int64)
+            keep = np.flatnonzero(known[np.minimum(np.searchsorted(known, values), len(known) - 1)] == values)
+            if len(keep):
+                yield raw, head[keep], cut[keep], anchor[keep], hashed[keep]
+
+
 def _contexts(raw: np.ndarray, cut: np.ndarray) -> np.ndarray:
     return sliding_window_view(np.concatenate([raw, np.zeros(CONTEXT, np.uint8)]), CONTEXT)[cut]
 
@@ -223,7 +327,7 @@ def _records(batches: Iterator[pa.RecordBatch], buckets: int, hot: Hot = NONE_HO
             yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary())],
                                              names=["bucket", "blob"])
 
-    for raw, head, cut, anchor, hashed in _found(batches):
+    for raw, head, cut, anchor, hashed in _found_again(batches):
         bucket = _bucket(hashed, buckets)
         own = np.flatnonzero(~hot.holds(hashed, bucket))
         padded = np.concatenate([raw, np.zeros(CONTEXT, np.uint8)])
@@ -265,7 +369,7 @@ def _hot_records(batches: Iterator[pa.RecordBatch], buckets: int, hot: Hot) -> I
                  pa.array([b"".join(np.ascontiguousarray(head[c][a:b]).tobytes() for c in ("doc", "tie", "at"))
                            for a, b in some], pa.binary())], names=["context", "least", "most", "places"])
 
-    for raw, head, cut, _, hashed in _found(batches):
+    for raw, head, cut, _, hashed in _found_again(batches):
         own = np.flatnonzero(hot.holds(hashed, _bucket(hashed, buckets)))
         for a in range(0, len(own), BATCH):
             some = own[a:a + BATCH]
@@ -477,7 +581,7 @@ def _packed_covers(held: list[np.ndarray], buckets: int) -> pa.RecordBatch:
     n = np.add.reduceat(cover["n"], first)
     cover = cover[first]
     cover["n"] = n
-    bucket = np.mod(cover["doc"] ^ (cover["doc"] >> 7) ^ (cover["doc"] >> 17) ^ cover["tie"], buckets)
+    bucket = _document_bucket(cover["doc"], cover["tie"], buckets)
     order = np.argsort(bucket, kind="stable")
     cover, bucket = cover[order], bucket[order]
     edges = np.flatnonzero(np.diff(bucket, prepend=-1))
@@ -588,12 +692,18 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(64, total // BUCKET_BYTES)
     rows = keyed.select(F.col("__id").alias("id"), F.col("__tie").alias("tie"), "text")
-    hot = _hot(rows, buckets) if total > MOST else NONE_HOT
-    records = rows.mapInArrow(trimmed(lambda b: _records(b, buckets, hot)), "bucket long, blob binary")
+    repeated = scratch.materialise(
+        rows.mapInArrow(trimmed(lambda b: _anchor_rows(b, buckets)), "anchor long, bucket long")
+        .repartition("anchor").sortWithinPartitions("anchor")
+        .mapInArrow(trimmed(lambda b: _repeated(b, buckets)), "kind int, bucket long, anchor long, n long, blob binary"),
+        "repeated-anchors")
+    hot = _hot(repeated)
+    again = _met(repeated, rows, buckets)
+    records = again.mapInArrow(trimmed(lambda b: _records(b, buckets, hot)), "bucket long, blob binary")
     covers = (records.repartition("bucket").sortWithinPartitions("bucket")
               .mapInArrow(trimmed(lambda b: _covers(b, buckets)), "bucket long, n long, blob binary"))
     if len(hot.anchors) or len(hot.buckets):
-        covers = covers.unionByName(_cover_hot(rows, buckets, hot))
+        covers = covers.unionByName(_cover_hot(again, buckets, hot))
     covers = scratch.materialise(covers, "covers")
 
     columns = [c for c in docs.columns if c not in ("text", "n_bytes", "spans", "kept")]
@@ -618,6 +728,7 @@ def digests(found: DataFrame) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@carrying("doc_id", "text", "n_chars")
 def kept_text(docs: DataFrame) -> DataFrame:
     """``docs`` with each text's bytes that stay, as text; n_chars, where there is one, counts it anew."""
     found = remove_repeats(docs).drop("spans", "n_bytes")

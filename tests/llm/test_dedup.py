@@ -246,27 +246,78 @@ def passage_rows():
     return rows
 
 
-@pytest.mark.parametrize("most,together", [(6, 3), (60, 512)])
+def with_repeated_anchors(table, buckets, cut=7):
+    """What a task of records reads, from documents (id, tie, text); and the rows of repeated anchors."""
+    import pyarrow as pa
+
+    rows = pa.Table.from_batches(suffix_dedup._anchor_rows(iter([table]), buckets)).sort_by("anchor").combine_chunks()
+    pieces = [b for a in range(0, len(rows), cut) for b in rows.slice(a, cut).to_batches()]
+    repeated = [r for b in suffix_dedup._repeated(iter(pieces), buckets) for r in b.to_pylist()]
+    ids, ties = (table.column(c).to_numpy() for c in ("id", "tie"))
+    out = [(r["bucket"], 0, r["blob"], None, None, None) for r in repeated if r["kind"] == 0]
+    out += [(b, 1, None, *r.values()) for b, r in
+            zip(suffix_dedup._document_bucket(ids, ties, buckets).tolist(), table.to_pylist(), strict=True)]
+    out.sort(key=lambda r: r[:2])
+    names = ["block", "kind", "blob", "id", "tie", "text"]
+    types = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.string()]
+    met = pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
+    return met, repeated
+
+
+def test_repeated_anchors_are_those_that_occur_again(passage_rows, monkeypatch):
+    import collections
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(suffix_dedup, "MOST", 40)
+    monkeypatch.setattr(suffix_dedup, "BATCH", 50)
+    rows = [*passage_rows, *((2000 + i, "z" * 70) for i in range(40))]
+    table = pa.record_batch([pa.array([i or 0 for i, _ in rows]), pa.array([0] * len(rows)), pa.array([t for _, t in rows])],
+                            names=["id", "tie", "text"])
+    all_ = [r for b in suffix_dedup._anchor_rows(iter([table]), 64) for r in b.to_pylist()]
+    n = collections.Counter(r["anchor"] for r in all_)
+    for cut in (1, 2, 7, 10_000):
+        _, repeated = with_repeated_anchors(table, 64, cut)
+        got = collections.Counter((r["bucket"], a) for r in repeated if r["kind"] == 0 for a in np.frombuffer(r["blob"], np.int64))
+        assert got == collections.Counter((r["bucket"], r["anchor"]) for r in all_ if n[r["anchor"]] > 1)
+        sums = collections.Counter()
+        for r in repeated:
+            if r["kind"] == 1:
+                sums[r["bucket"]] += r["n"]
+        want = collections.Counter()
+        for a, k in n.items():
+            if k > 1:
+                want[int(suffix_dedup._bucket(np.array([a]).view(np.uint64), 64)[0])] += k
+        assert sums == want
+        assert {(r["anchor"], r["n"]) for r in repeated if r["kind"] == 2} == {(a, k) for a, k in n.items() if k > 10}
+
+
+@pytest.mark.parametrize("most,together", [(8, 3), (60, 512)])
 def test_no_task_holds_a_hot_passage(spark, passage_rows, monkeypatch, most, together):
     import pyarrow as pa
 
     rows = [*passage_rows, *((2000 + i, passage_rows[0][1] or "z" * 70) for i in range(40)), (3000, "a" * 3000), (1, "ab" * 500)]
+    rnd = random.Random(4)
+    twice = ["".join(rnd.choice("abcdefgh ") for _ in range(200)) for _ in range(60)]
+    rows += [(4000 + i, t) for i, t in enumerate(twice * 2)]
     table = pa.record_batch([pa.array([i or 0 for i, _ in rows]), pa.array([0] * len(rows)), pa.array([t for _, t in rows])],
                             names=["id", "tie", "text"])
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     monkeypatch.setattr(suffix_dedup, "MOST", most)
-    hot = suffix_dedup._hot(docs.selectExpr("coalesce(doc_id, 0) AS id", "0L AS tie", "text"), 64)
-    assert len(hot.anchors) and (len(hot.buckets) or most > 6)
+    met, repeated = with_repeated_anchors(table, 64)
+    hot = suffix_dedup._hot(spark.createDataFrame([tuple(r.values()) for r in repeated],
+                                                  "kind int, bucket long, anchor long, n long, blob binary"))
+    assert len(hot.anchors) and (len(hot.buckets) or most > 8)
     held = {}
-    for batch in suffix_dedup._records(iter([table]), 64, hot):
+    for batch in suffix_dedup._records(iter([met]), 64, hot):
         for r in batch.to_pylist():
             held[r["bucket"]] = held.get(r["bucket"], 0) + int.from_bytes(r["blob"][:8], "little")
     assert held and max(held.values()) <= most
     # The rows that a context's places take are bounded, too, and nothing is lost.
     monkeypatch.setattr(suffix_dedup, "TOGETHER", together)
-    places = [r for b in suffix_dedup._hot_records(iter([table]), 64, hot) for r in b.to_pylist()]
+    places = [r for b in suffix_dedup._hot_records(iter([met]), 64, hot) for r in b.to_pylist()]
     assert max(len(r["places"]) for r in places) <= 24 * together
-    records = sum(len(head) for _, head, *_ in suffix_dedup._found(iter([table])))
+    records = sum(len(head) for _, head, *_ in suffix_dedup._found_again(iter([met])))
     assert sum(len(r["places"]) // 24 for r in places) + sum(held.values()) == records
     got = suffix_dedup.digests(suffix_dedup.remove_repeats(docs)).collect()
     assert sorted(map(tuple, got), key=str) == repeats_by_hand(rows)
@@ -298,7 +349,8 @@ def test_repeated_passages(spark, passage_rows, monkeypatch, slice_, batch, held
         table = pa.record_batch([pa.array([key(i) for i, _ in rows]), pa.array([hash(t) for _, t in rows]),
                                  pa.array([t for _, t in rows])], names=["id", "tie", "text"])
         blobs = {}
-        for b in module._records(iter([table]), 3):
+        met, _ = with_repeated_anchors(table, 3)
+        for b in module._records(iter([met]), 3):
             for k, x in zip(b.column("bucket").to_pylist(), b.column("blob").to_pylist(), strict=True):
                 blobs.setdefault(k, []).append(x)
         covers = {}
@@ -361,3 +413,41 @@ def test_op3_oracle_over_a_whole_table(spark):
     rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
     got = queries.op3_exact_dedup(spark, sf).collect()
     assert sorted(map(tuple, got)) == sorted(duck([tuple(r) for r in rows], queries.ORACLE_SQL["op3_exact_dedup"]))
+
+
+def _odd(spark, rows, ddl, **extra):
+    """Documents with columns whose names the operators use inside, with dots, and with nulls."""
+    df = spark.createDataFrame(rows, ddl)
+    for c in ("kept", "n_bytes", "spans", "__id", "__sum", "__sha", "__gone", "__tie", "__bucket", "score", "lang_pred",
+              "rejected", "component_id", "id", "a.b", "__rest"):
+        df = df.withColumn(c, F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")))
+    return df.withColumn("nothing", F.lit(None).cast("int")).withColumns(extra)
+
+
+def test_stages_keep_extra_columns(spark):
+    from orderlens.llm import stages
+
+    passage = "a passage that several of the documents share, some fifty bytes and more of it. "
+    de, en = "der hund und die katze gehen nach hause ", "the dog and the cat are going home now "
+    rows = [(i, (de if i % 2 else en) * 4 + f"number {i} and more words {i * i} to tell it apart", "de" if i % 2 else "en")
+            for i in range(40)]
+    rows += [(50, rows[0][1], "en"), (51, rows[0][1], "en"), (52, passage + rows[1][1], None), (53, rows[2][1] + " " + passage, None),
+             (54, None, None), (55, "", None)]
+    docs = _odd(spark, rows, "doc_id long, text string, lang string").withColumn("n_chars", F.lit(5).cast("int"))
+    texts = {i: t for i, t, _ in rows}
+    for name, stage in stages.STAGES[:-1]:
+        got = stage(spark, docs, "")
+        assert got.columns == docs.columns and got.schema.fieldNames() == docs.schema.fieldNames(), name
+        assert {f.name: f.dataType for f in got.schema} == {f.name: f.dataType for f in docs.schema}
+        kept = got.collect()
+        assert kept
+        for r in kept:
+            assert all(r[c] == f"{c} of {r.doc_id}" for c in ("kept", "n_bytes", "spans", "__id", "__sum", "score", "lang_pred",
+                                                               "rejected", "component_id", "id", "a.b", "__rest")), (name, r)
+            assert r["nothing"] is None
+            if name != "suffix_dedup":
+                assert r.text == texts[r.doc_id] and r.n_chars == 5
+            else:
+                assert r.n_chars == len(r.text)
+    packed = stages.STAGES[-1][1](spark, docs, "")
+    assert "sequence_id" in packed.columns and packed.count() > 0
