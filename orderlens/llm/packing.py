@@ -189,14 +189,42 @@ def sequences(docs: DataFrame, tokenizer: str, window: int = WINDOW, pad_id: int
     power of two), n_tokens, doc_ids, offsets (where each document's piece begins)."""
     cut = pieces(docs, tokenizer, window)
     # The ids go with their pieces, so they are shuffled once, by sequence.
-    whole = place(cut, window, ("ids",))
-    # A sequence has no more than ``window`` pieces.
-    rows = whole.groupBy("sequence_id").agg(
-        F.array_sort(F.collect_list(F.struct("offset", "doc_id", "start", "ids"))).alias("p"))
-    ids = F.flatten(F.col("p.ids"))
-    n = F.size(ids)
-    exact = F.bit_count(n.cast("long")) == 1
-    return rows.select(
-        "sequence_id", F.when(exact, ids).otherwise(
-            F.concat(ids, F.array_repeat(F.lit(pad_id), F.lit(window) - n))).alias("input_ids"),
-        n.cast("long").alias("n_tokens"), F.col("p.doc_id").alias("doc_ids"), F.col("p.offset").alias("offsets"))
+    rows = place(cut, window, ("ids",)).select("sequence_id", "offset", "doc_id", "ids")
+    return (rows.repartition("sequence_id").sortWithinPartitions("sequence_id", "offset")
+            .mapInArrow(trimmed(lambda b: _joined(b, window, pad_id)), _SEQUENCES))
+
+
+_SEQUENCES = "sequence_id long, input_ids array<int>, n_tokens long, doc_ids array<long>, offsets array<long>"
+
+
+def _joined(batches: Iterator[pa.RecordBatch], window: int, pad_id: int) -> Iterator[pa.RecordBatch]:
+    """Pieces sorted by (sequence, offset) to sequences; at most one is held from a batch to the next."""
+    def sequences_of(rows: pa.RecordBatch) -> pa.RecordBatch:
+        ids, sequence = rows.column("ids"), rows.column("sequence_id").to_numpy()
+        first = np.flatnonzero(np.diff(sequence, prepend=sequence[0] - 1))
+        values, ends = ids.flatten().to_numpy(), np.cumsum(ids.value_lengths().to_numpy())
+        stops = ends[np.append(first[1:], len(rows)) - 1].astype(np.int64)
+        n = np.diff(stops, prepend=0)
+        size = np.where(n & (n - 1), window, n)  # a power of two is not padded
+        starts = np.cumsum(size) - size
+        out = np.full(int(size.sum()), pad_id, np.int32)
+        out[np.repeat(starts - (stops - n), n) + np.arange(len(values))] = values
+        offsets = pa.array(np.append(first, len(rows)).astype(np.int32))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(sequence[first]), pa.ListArray.from_arrays(pa.array(np.append(starts, size.sum()).astype(np.int32)), pa.array(out)),
+             pa.array(n), *(pa.ListArray.from_arrays(offsets, rows.column(c)) for c in ("doc_id", "offset"))],
+            names=["sequence_id", "input_ids", "n_tokens", "doc_ids", "offsets"])
+
+    held = None
+    for batch in batches:
+        for a in range(0, len(batch), 2_000):
+            rows = batch.slice(a, 2_000)
+            if held is not None:
+                rows = pa.concat_batches([held, rows])
+            sequence = rows.column("sequence_id").to_numpy()
+            cut = int(np.searchsorted(sequence, sequence[-1]))
+            if cut:
+                yield sequences_of(rows.slice(0, cut))
+            held = rows.slice(cut)
+    if held is not None:
+        yield sequences_of(held)
