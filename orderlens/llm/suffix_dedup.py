@@ -4,11 +4,13 @@ Each byte that a string of ``LENGTH`` bytes covers which also starts in a docume
 smaller id is removed.  Windows are grouped by anchors: in every
 window of ``LENGTH`` bytes the ``GRAM`` bytes with the smallest hash are the window's
 anchor, so equal windows have equal anchors at equal places, whatever surrounds them.
-A record is an anchor with all windows it serves, 20 on average.
+A record is an anchor with all windows it serves, 16 on average.
 
 First the anchors' hashes alone are shuffled and sorted: an anchor that occurs once has no
 window that occurs twice, so only records whose anchor occurs again are made, by a second
-scan of documents that have met their repeated anchors (``_repeated``, ``_met``).
+scan of documents that have met their repeated anchors (``_repeated``, ``_met``).  An anchor that
+a task meets twice needs no answer: the task sends one row for all its records, so a passage that
+a third of all documents share is one row from each batch.
 
 Batches of documents give these records sorted by bucket (the anchor's hash) and suffix; a
 bucket meets in one task.  Anchors with so many records that a bucket would exceed ``MOST`` are
@@ -44,7 +46,7 @@ from .columns import carrying
 from .memory import trimmed
 from .words import mix, powers
 
-LENGTH, GRAM = 50, 12
+LENGTH, GRAM = 50, 20
 #: Anchors that a window can have, and bytes of a record's windows together.
 PLACES = LENGTH - GRAM + 1
 CONTEXT = LENGTH + PLACES - 1
@@ -52,6 +54,8 @@ CONTEXT = LENGTH + PLACES - 1
 BUCKET_BYTES, SLICE, BATCH = 1 << 20, 1 << 20, 300_000
 #: Records of a bucket that one task takes at most (an average one has 50,000); places in a row of a hot context.
 MOST, TOGETHER = 400_000, 512
+#: Records that a task combines by anchor at a time.
+COMBINED = 1 << 20
 #: Windows of a run that enters the levels; windows that are held at a time.
 RUN, HELD = 1 << 18, 4 << 20
 
@@ -71,7 +75,7 @@ def _hashes(raw: np.ndarray, length: int) -> np.ndarray:
 
 def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of the windows of ``raw`` (``LENGTH`` bytes at least), in runs with the same anchor: the
-    first window of each run, how many windows it has, its anchor and the anchor's hash."""
+    first window of each run, how many windows it has, its anchor and 48 bits of the anchor's hash."""
     grams = _hashes(raw, GRAM)
     place = np.arange(len(grams), dtype=np.uint64)
     low = np.uint64((1 << 24) - 1)
@@ -84,7 +88,7 @@ def anchors(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
         least = np.minimum(least[:step - PLACES], least[PLACES - step:])
     anchor = (least & low).astype(np.int64)
     first = np.flatnonzero(np.diff(anchor, prepend=-1))
-    return first, np.diff(first, append=len(anchor)), anchor[first], grams[anchor[first]]
+    return first, np.diff(first, append=len(anchor)), anchor[first], grams[anchor[first]] >> np.uint64(16)
 
 
 def _slices(size: int) -> Iterator[tuple[int, int]]:
@@ -170,21 +174,61 @@ def _bucket_of(buckets: int) -> Column:
     return F.expr(f"pmod(id ^ shiftright(id, 7) ^ shiftright(id, 17) ^ tie, {buckets})")
 
 
+def _lists(anchor: np.ndarray, bucket: np.ndarray) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """Anchors packed by bucket, some buckets at a time."""
+    order = np.argsort(bucket, kind="stable")
+    anchor, bucket = anchor[order], bucket[order]
+    edges = np.flatnonzero(np.diff(bucket, prepend=-1)).tolist()
+    parts = list(zip(edges, [*edges[1:], len(bucket)], strict=True))
+    for at in range(0, len(parts), 512):
+        some = parts[at:at + 512]
+        yield bucket[[x for x, _ in some]], [anchor[x:y].tobytes() for x, y in some]
+
+
 def _anchor_rows(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """The anchor's hash and the document's bucket of each record."""
+    """Kind 1: an anchor (key) with its number of records n in a batch and, where it is one, its document's
+    bucket.  Kind 0: anchors known to occur twice, packed by their documents' bucket (key)."""
+    names = ["kind", "key", "bucket", "n", "blob"]
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        anchor, bucket = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(anchor, kind="stable")
+        anchor, bucket = anchor[order], bucket[order]
+        first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+        n = np.diff(first, append=len(anchor))
+        for at in range(0, len(first), 100_000):
+            some = slice(at, at + 100_000)
+            m = len(first[some])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.ones(m, np.int32)), pa.array(anchor[first[some]]),
+                 pa.array(np.where(n[some] > 1, 0, bucket[first[some]])), pa.array(n[some]), pa.nulls(m, pa.binary())], names=names)
+        again = np.repeat(n > 1, n)
+        if again.any():
+            for where, blobs in _lists(anchor[again], bucket[again]):
+                m = len(where)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.zeros(m, np.int32)), pa.array(where), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int64()),
+                     pa.array(blobs, pa.binary())], names=names)
+
     for _, head, _, _, hashed in _found(batches):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(hashed.view(np.int64)), pa.array(_document_bucket(head["doc"], head["tie"], buckets))],
-            names=["anchor", "bucket"])
+        held.append((hashed.view(np.int64), _document_bucket(head["doc"], head["tie"], buckets)))
+        size += len(hashed)
+        if size >= COMBINED:
+            yield from flush()
+            held, size = [], 0
+    if size:
+        yield from flush()
 
 
 def _repeated(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by anchor what occurs twice or more.  Kind 0: anchors packed by the documents'
-    bucket; kind 1: a bucket of anchors with its number of records; kind 2: an anchor with more than
-    a quarter of ``MOST`` records.  Whatever an anchor's number of records, one row is held back."""
+    """Of rows of ``_anchor_rows`` sorted by (kind, key) what occurs twice or more.  Kind 0: anchors packed by the
+    documents' bucket; kind 1: a bucket of anchors with its number of records; kind 2: an anchor with
+    more than a quarter of ``MOST`` records.  Whatever an anchor's number of rows, one is held back."""
     names = ["kind", "bucket", "anchor", "n", "blob"]
     totals: list[tuple[np.ndarray, np.ndarray]] = []
-    anchor, bucket = np.zeros(0, np.int64), np.zeros(0, np.int64)  # the row held back
+    anchor, bucket, n = (np.zeros(0, np.int64) for _ in range(3))  # the row held back
     run, held, size = 0, [], 0  # records of its anchor before it
 
     def rows(kind: int, where: np.ndarray, **given: pa.Array) -> pa.RecordBatch:
@@ -194,15 +238,8 @@ def _repeated(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Re
              given.get("n", pa.nulls(n, pa.int64())), given.get("blob", pa.nulls(n, pa.binary()))], names=names)
 
     def packed() -> Iterator[pa.RecordBatch]:
-        anchors_, where = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.argsort(where, kind="stable")
-        anchors_, where = anchors_[order], where[order]
-        edges = np.flatnonzero(np.diff(where, prepend=-1)).tolist()
-        parts = list(zip(edges, [*edges[1:], len(where)], strict=True))
-        for at in range(0, len(parts), 512):
-            some = parts[at:at + 512]
-            yield rows(0, where[[x for x, _ in some]],
-                       blob=pa.array([anchors_[x:y].tobytes() for x, y in some], pa.binary()))
+        for where, blobs in _lists(*(np.concatenate(x) for x in zip(*held, strict=True))):
+            yield rows(0, where, blob=pa.array(blobs, pa.binary()))
 
     def summed() -> pa.RecordBatch:
         where, counts = (np.concatenate(x) for x in zip(*totals, strict=True))
@@ -222,29 +259,30 @@ def _repeated(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Re
                        n=pa.array(counts[large]))
 
     for batch in batches:
-        if not len(batch):
+        lists = int(np.searchsorted(batch.column("kind").to_numpy(), 1))
+        if lists:
+            yield rows(0, batch.column("key")[:lists].to_numpy(), blob=batch.column("blob")[:lists])
+        if lists == len(batch):
             continue
-        more = batch.column("anchor").to_numpy()
-        anchor, bucket = np.concatenate([anchor, more]), np.concatenate([bucket, batch.column("bucket").to_numpy()])
+        anchor, bucket, n = (np.concatenate([x, batch.column(c)[lists:].to_numpy()])
+                             for x, c in ((anchor, "key"), (bucket, "bucket"), (n, "n")))
         first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-        counts = np.diff(first, append=len(anchor))
-        again = np.repeat(counts > 1, counts)
-        if run:
-            again[:counts[0]] = True
+        counts, sizes = np.add.reduceat(n, first), np.diff(first, append=len(anchor))
+        counts[0] += run
+        again = np.repeat(counts > 1, sizes) & (n == 1)
         again[-1] = False  # not known yet
         if again.any():
             held.append((anchor[again], bucket[again]))
             size += int(again.sum())
-        counts[0] += run
         yield from ended(anchor[first[:-1]], counts[:-1])
-        run, anchor, bucket = int(counts[-1]) - 1, anchor[-1:], bucket[-1:]
+        run, anchor, bucket, n = int(counts[-1] - n[-1]), anchor[-1:], bucket[-1:], n[-1:]
         if size >= BATCH:
             yield from packed()
             held, size = [], 0
     if len(anchor):
-        if run:
+        if run and n[0] == 1:
             held.append((anchor, bucket))
-        yield from ended(anchor, np.array([run + 1]))
+        yield from ended(anchor, n + run)
     if held:
         yield from packed()
     if totals:
@@ -693,8 +731,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     buckets = max(64, total // BUCKET_BYTES)
     rows = keyed.select(F.col("__id").alias("id"), F.col("__tie").alias("tie"), "text")
     repeated = scratch.materialise(
-        rows.mapInArrow(trimmed(lambda b: _anchor_rows(b, buckets)), "anchor long, bucket long")
-        .repartition("anchor").sortWithinPartitions("anchor")
+        rows.mapInArrow(trimmed(lambda b: _anchor_rows(b, buckets)), "kind int, key long, bucket long, n long, blob binary")
+        .repartition("kind", "key").sortWithinPartitions("kind", "key")
         .mapInArrow(trimmed(lambda b: _repeated(b, buckets)), "kind int, bucket long, anchor long, n long, blob binary"),
         "repeated-anchors")
     hot = _hot(repeated)

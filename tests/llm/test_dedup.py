@@ -250,7 +250,9 @@ def with_repeated_anchors(table, buckets, cut=7):
     """What a task of records reads, from documents (id, tie, text); and the rows of repeated anchors."""
     import pyarrow as pa
 
-    rows = pa.Table.from_batches(suffix_dedup._anchor_rows(iter([table]), buckets)).sort_by("anchor").combine_chunks()
+    halves = [table.slice(0, len(table) // 2), table.slice(len(table) // 2)]  # two tasks
+    found = [b for t in halves for b in suffix_dedup._anchor_rows(iter([t]), buckets)]
+    rows = pa.Table.from_batches(found).sort_by([("kind", "ascending"), ("key", "ascending")]).combine_chunks()
     pieces = [b for a in range(0, len(rows), cut) for b in rows.slice(a, cut).to_batches()]
     repeated = [r for b in suffix_dedup._repeated(iter(pieces), buckets) for r in b.to_pylist()]
     ids, ties = (table.column(c).to_numpy() for c in ("id", "tie"))
@@ -274,9 +276,11 @@ def test_repeated_anchors_are_those_that_occur_again(passage_rows, monkeypatch):
     rows = [*passage_rows, *((2000 + i, "z" * 70) for i in range(40))]
     table = pa.record_batch([pa.array([i or 0 for i, _ in rows]), pa.array([0] * len(rows)), pa.array([t for _, t in rows])],
                             names=["id", "tie", "text"])
-    all_ = [r for b in suffix_dedup._anchor_rows(iter([table]), 64) for r in b.to_pylist()]
+    all_ = [{"anchor": a, "bucket": b} for _, head, _, _, hashed in suffix_dedup._found(iter([table])) for a, b in
+            zip(hashed.view(np.int64).tolist(), suffix_dedup._document_bucket(head["doc"], head["tie"], 64).tolist(), strict=True)]
     n = collections.Counter(r["anchor"] for r in all_)
-    for cut in (1, 2, 7, 10_000):
+    for cut, combined in ((1, 1 << 20), (2, 100), (7, 1), (10_000, 1 << 20)):
+        monkeypatch.setattr(suffix_dedup, "COMBINED", combined)
         _, repeated = with_repeated_anchors(table, 64, cut)
         got = collections.Counter((r["bucket"], a) for r in repeated if r["kind"] == 0 for a in np.frombuffer(r["blob"], np.int64))
         assert got == collections.Counter((r["bucket"], r["anchor"]) for r in all_ if n[r["anchor"]] > 1)
