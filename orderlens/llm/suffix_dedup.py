@@ -655,8 +655,9 @@ def _spans(at: np.ndarray, n: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(start[first].tolist(), stop[np.append(first[1:], len(start)) - 1].tolist(), strict=True))
 
 
-def _cut_out(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[pa.RecordBatch]:
-    """Each document with the bytes that stay; its bucket's covers come first."""
+def _cut_out(batches: Iterator[pa.RecordBatch], columns: list[str], as_text: bool) -> Iterator[pa.RecordBatch]:
+    """Each document with the bytes that stay, or as text with the characters that stay whole; its bucket's
+    covers come first."""
     bucket, cover, ranges = None, None, {}
     packed: list[tuple[int, bytes]] = []
 
@@ -703,25 +704,31 @@ def _cut_out(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[
             kept.append(b"".join(parts))
             held += len(kept[-1])
             if held > SLICE:
-                yield _documents(batch, keep, columns, sizes, spans, kept)
+                yield _documents(batch, keep, columns, sizes, spans, kept, as_text)
                 keep, sizes, spans, kept, held = [], [], [], [], 0
         if keep:
-            yield _documents(batch, keep, columns, sizes, spans, kept)
+            yield _documents(batch, keep, columns, sizes, spans, kept, as_text)
 
 
 _SPAN = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def _documents(batch: pa.RecordBatch, keep: list[int], columns: list[str], sizes: list[int], spans: list, kept: list[bytes]) -> pa.RecordBatch:
+def _documents(batch: pa.RecordBatch, keep: list[int], columns: list[str], sizes: list[int], spans: list, kept: list[bytes],
+               as_text: bool) -> pa.RecordBatch:
     own = batch.take(pa.array(keep))
+    stay = pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
     return pa.RecordBatch.from_arrays(
-        [*(own.column(c) for c in columns), pa.array(sizes, pa.int64()), pa.array(spans, _SPAN), pa.array(kept, pa.binary())],
+        [*(own.column(c) for c in columns), pa.array(sizes, pa.int64()), pa.array(spans, _SPAN), stay],
         names=[*columns, "n_bytes", "spans", "kept"])
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` without column text, with n_bytes, spans (start, end of each maximal removed run, in
     bytes) and kept (the bytes that stay)."""
+    return _without_repeats(docs, as_text=False)
+
+
+def _without_repeats(docs: DataFrame, as_text: bool) -> DataFrame:
     # Rows that share an id are told apart by their text.
     shared = not docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").isEmpty()
     keyed = docs.withColumns({
@@ -755,8 +762,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     met = (packed.unionByName(own).withColumn("__last", F.col("__blob").isNull())
            .repartition("__bucket").sortWithinPartitions("__bucket", "__last").drop("__last"))
     schema = (StructType([f for f in docs.schema if f.name in columns]).add("n_bytes", "long")
-              .add("spans", ArrayType(StructType().add("start", "long").add("end", "long"))).add("kept", "binary"))
-    return met.mapInArrow(trimmed(lambda b: _cut_out(b, columns)), schema)
+              .add("spans", ArrayType(StructType().add("start", "long").add("end", "long"))).add("kept", "string" if as_text else "binary"))
+    return met.mapInArrow(trimmed(lambda b: _cut_out(b, columns, as_text)), schema)
 
 
 def digests(found: DataFrame) -> DataFrame:
@@ -769,17 +776,7 @@ def digests(found: DataFrame) -> DataFrame:
 @carrying("doc_id", "text", "n_chars")
 def kept_text(docs: DataFrame) -> DataFrame:
     """``docs`` with each text's bytes that stay, as text; n_chars, where there is one, counts it anew."""
-    found = remove_repeats(docs).drop("spans", "n_bytes")
-    others = [c for c in found.columns if c != "kept"]
-
-    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [x.decode("utf-8", "ignore") for x in batch.column("kept").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), pa.array(texts, pa.string())],
-                                             names=[*others, "text"])
-
-    schema = StructType([f for f in found.schema if f.name in others]).add("text", "string")
-    out = found.mapInArrow(decode, schema)
+    out = _without_repeats(docs, as_text=True).drop("spans", "n_bytes").withColumnRenamed("kept", "text")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
