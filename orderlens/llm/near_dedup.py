@@ -20,8 +20,9 @@ intersects the full shingle sets.  Large gatherings are cut into chunks that mee
 
 Defined results: a null or empty text, or one without words, has no shingle and no
 link; fewer words than a shingle has are one shingle; a row without an id
-has no component and is kept; rows that repeat an id are one node; an empty table
-gives an empty result; other columns are ignored.
+has no component and is kept; rows that repeat an id are nodes of their own where their
+sets differ, and may have different components; an empty table gives an empty result; other
+columns are ignored.  Nodes are named by a row that has their set, components by their smallest doc_id.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -105,29 +107,38 @@ def plausible(one: np.ndarray, size: int, many: np.ndarray, sizes: np.ndarray, p
     return (found >= t - SIGMAS * error) & (np.minimum(size, sizes) >= t * np.maximum(size, sizes) - 1e-9)
 
 
-_SKETCH = "doc_id long, n long, sig_a long, sig_b long, regs binary"
+_SKETCH = "uid long, doc_id long, tie long, n long, sig_a long, sig_b long, regs binary"
+
+
+def fingerprints(hashes: np.ndarray, owner: np.ndarray, n: int) -> list[np.ndarray]:
+    """Of each of n sets, which come sorted by owner, the size and a 128-bit fingerprint."""
+    starts, ends = (np.searchsorted(owner, np.arange(n), side) for side in ("left", "right"))
+    out = [(ends - starts).astype(np.int64)]
+    for h in (hashes, mix(hashes ^ np.uint64(0x2545F4914F6CDD1D))):
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h, dtype=np.uint64)])
+        out.append((total[ends] - total[starts]).view(np.int64))
+    return out
 
 
 def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n (distinct shingles), a 128-bit fingerprint of the set, and its sketch."""
+    """uid (of the row), doc_id, tie (a hash of the text), n (distinct shingles), a 128-bit fingerprint
+    of the set, and its sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 33
         for batch in batches:
             texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
             for a, b in in_blocks(texts):
                 hashes, owner = shingles(texts[a:b], words)
-                sums = []
-                for h in (hashes, mix(hashes ^ np.uint64(0x2545F4914F6CDD1D))):
-                    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h, dtype=np.uint64)])
-                    ends = np.searchsorted(owner, np.arange(b - a), "right")
-                    starts = np.searchsorted(owner, np.arange(b - a), "left")
-                    sums.append((total[ends] - total[starts]).view(np.int64))
                 regs = registers(hashes, owner, b - a)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id")[a:b], pa.array(np.bincount(owner, minlength=b - a).astype(np.int64)),
-                     *(pa.array(s) for s in sums), pa.array([r.tobytes() for r in regs], pa.binary())],
-                    names=["doc_id", "n", "sig_a", "sig_b", "regs"])
+                    [pa.array(np.arange(row, row + b - a)), batch.column("doc_id")[a:b], batch.column("tie")[a:b],
+                     *(pa.array(x) for x in fingerprints(hashes, owner, b - a)),
+                     pa.array([r.tobytes() for r in regs], pa.binary())],
+                    names=["uid", "doc_id", "tie", "n", "sig_a", "sig_b", "regs"])
+                row += b - a
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(trimmed(run), _SKETCH)
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), "text")
+            .mapInArrow(trimmed(run), _SKETCH))
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,18 +153,22 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """id and set (the hashes of the distinct shingles)."""
+    """id and set (the hashes of the distinct shingles) of texts with the fingerprint n, sig_a, sig_b."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            want = [batch.column(c).to_numpy() for c in ("n", "sig_a", "sig_b")]
             for a, b in in_blocks(texts):
                 hashes, owner = shingles(texts[a:b], words)
-                offsets = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=b - a))]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
+                found = fingerprints(hashes, owner, b - a)
+                same = np.logical_and.reduce([x == w[a:b] for x, w in zip(found, want, strict=True)])
+                offsets = np.concatenate([[0], np.cumsum(found[0])]).astype(np.int32)
+                rows = pa.RecordBatch.from_arrays(
                     [batch.column("id")[a:b], pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes.view(np.int64)))],
                     names=["id", "set"])
+                yield rows if same.all() else rows.filter(pa.array(same))
 
-    return docs.select("id", "text").mapInArrow(trimmed(run), "id long, set array<long>")
+    return docs.select("id", "n", "sig_a", "sig_b", "text").mapInArrow(trimmed(run), "id long, set array<long>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -208,15 +223,18 @@ def _apart(percent: int):
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
+    return _judged(docs, words, percent).drop("tie", "component")
+
+
+def _judged(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """One row per document: doc_id, tie, component (null without words), n_shingles, component_id, kept."""
     marks = scratch.materialise(sketches(docs, words), "sketches")
-    # Equal sets are one node, named by the smallest id.
+    # Equal sets are one node, named by one of its rows.
     classes = (marks.filter("n > 0 AND doc_id IS NOT NULL").groupBy("n", "sig_a", "sig_b")
-               .agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies")))
+               .agg(F.min("uid").alias("id"), F.min("doc_id").alias("least")))
     classes = scratch.materialise(classes, "classes")
     nodes = scratch.materialise(
-        marks.select(F.col("doc_id").alias("id"), "n", "sig_a", "sig_b", "regs")
-        .join(classes.select("id", "n", "sig_a", "sig_b"), ["id", "n", "sig_a", "sig_b"], "left_semi")
-        .groupBy("id").agg(F.min("n").alias("n"), F.min("regs").alias("regs")), "nodes")
+        marks.select(F.col("uid").alias("id"), "n", "regs").join(classes.select("id"), "id", "left_semi"), "nodes")
 
     keys = nodes.select("id", "regs").mapInArrow(trimmed(_keys), "key long, id long")
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -233,7 +251,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     stars = scratch.materialise(stars, "stars")
 
     linked = scratch.materialise(weight.select("id"), "candidates")
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(linked, "id", "left_semi")
+    # A node's text is that of its smallest doc_id, or one of them: the one with its fingerprint.
+    texts = docs.select(F.col("doc_id").cast("long").alias("least"), "text").join(classes.join(linked, "id", "left_semi"), "least")
     sets = scratch.materialise(shingle_sets(texts, words), "sets")
 
     links = scratch.materialise(verified(stars, sets, percent), "links-1")
@@ -258,17 +277,23 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     more = verified(pairs, sets, percent)
     final = components(links.unionByName(more))
 
-    named = (marks.select("doc_id", "n", "sig_a", "sig_b")
-             .join(classes.select("id", "n", "sig_a", "sig_b"), ["n", "sig_a", "sig_b"], "left")
-             .join(final, "id", "left"))
+    least = final.join(classes.select("id", "least"), "id").groupBy("component").agg(F.min("least").alias("component_id"))
+    names = final.join(least, "component").select("id", "component", "component_id")
+    named = (marks.select("doc_id", "tie", "n", "sig_a", "sig_b")
+             .join(classes.join(names, "id", "left"), ["n", "sig_a", "sig_b"], "left"))
     component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(
-        F.coalesce("component", "id", "doc_id"))
-    return named.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
+        F.coalesce("component_id", "least", "doc_id"))
+    return named.select("doc_id", "tie", F.coalesce("component", "id").alias("component"), F.col("n").alias("n_shingles"), component.alias("component_id"),
                         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 @carrying("doc_id", "text")
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each component, all columns kept."""
-    gone = near_duplicates(docs, words, percent).filter("NOT kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti").select(*docs.columns)
+    """``docs`` with one document of each component, all columns kept.  Where different texts of a component
+    share its smallest doc_id, the one whose hash is smallest stays; equal rows stay or go together."""
+    judged = scratch.materialise(_judged(docs, words, percent).filter("doc_id IS NOT NULL"), "judged")
+    alone = F.when(F.col("n_shingles") == 0, F.col("tie"))  # a text without words is a group of its own
+    stay = (judged.filter("kept").groupBy("doc_id", "component", alone.alias("alone")).agg(F.min("tie").alias("tie"))
+            .select("doc_id", "tie"))
+    gone = judged.select("doc_id", "tie").join(stay, ["doc_id", "tie"], "left_anti").distinct()
+    return (docs.withColumn("tie", F.xxhash64("text")).join(gone, ["doc_id", "tie"], "left_anti").select(*docs.columns))

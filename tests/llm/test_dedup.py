@@ -455,3 +455,28 @@ def test_stages_keep_extra_columns(spark):
                 assert r.n_chars == len(r.text)
     packed = stages.STAGES[-1][1](spark, docs, "")
     assert "sequence_id" in packed.columns and packed.count() > 0
+
+
+def test_rows_that_share_an_id_are_linked_each(spark):
+    rnd = random.Random(12)
+    make = lambda: " ".join(rnd.choice(["ka", "lo", "mi", "nu", "re", "so", "ti"]) + str(rnd.randint(0, 99)) for _ in range(60))
+    rows, want = [], {}
+    for i in range(30):
+        one, two = make(), make()
+        rows += [(i, one), (i, two), (1000 + i, one + " x"), (2000 + i, two + " y")]
+        want |= {1000 + i: i, 2000 + i: i}
+    rows += [(5000, None), (5000, "!"), (None, rows[0][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = near_dedup.near_duplicates(docs).collect()
+    assert len(got) == len(rows)
+    assert {r.doc_id: r.component_id for r in got if r.doc_id in want} == want
+    assert all(r.kept == (r.doc_id is None or r.doc_id == r.component_id) for r in got)
+    left = sorted((r.doc_id is not None, r.doc_id or 0, r.text or "") for r in near_dedup.drop_near_duplicates(docs).collect())
+    assert left == sorted((i is not None, i or 0, t or "") for i, t in rows if i is None or i < 1000 or i == 5000)
+
+
+def test_near_copies_that_share_an_id_leave_one(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(3, text), (3, text + " x"), (7, text + " y"), (9, "something else entirely here now")]
+    left = near_dedup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in left) == [3, 9]
