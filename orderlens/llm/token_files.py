@@ -91,11 +91,30 @@ def read_documents(spark: SparkSession, path: str, doc_ids: list[int] | None = N
     meta = rows.drop("ids")
     if doc_ids is not None:
         rows = rows.filter(F.col("doc_id").isin(doc_ids))
-    out = _with_start(rows, meta)
-    if token_range is not None:
-        first, last = token_range
-        out = out.filter((F.col("start") < last) & (F.col("start") + F.col("n_tokens") > first))
-    return out
+    if token_range is None:
+        return _with_start(rows, meta)
+    first, last = token_range
+    edges = _edges(meta, first, last)
+    if edges is None:
+        return _with_start(rows, meta).limit(0)
+    (low, low_start), (high, high_start) = edges
+    # Stored columns only, so the scan gets these filters and reads the pages that hold the range.
+    some = rows.filter((F.col("part") >= low) & (F.col("part") <= high)
+                       & ((F.col("part") > low) | (F.col("part_start") >= low_start))
+                       & ((F.col("part") < high) | (F.col("part_start") < high_start)))
+    return _with_start(some, meta).filter((F.col("start") < last) & (F.col("start") + F.col("n_tokens") > first))
+
+
+def _edges(meta: DataFrame, first: int, last: int) -> tuple[tuple[int, int], tuple[int, int]] | None:
+    """Where a range of the token stream begins and ends: (part, the first stored start there that it can
+    touch) and (part, the stored start there that is behind it).  Two rows, whatever the files' number."""
+    starts = _with_start(meta.withColumn("stored", F.col("part_start")), meta)
+    place = F.struct("part", "stored")
+    found = (starts.filter((F.col("start") < last) & (F.col("start") + F.col("n_tokens") > first))
+             .agg(F.min(place).alias("a"), F.max(place).alias("b")).first())
+    if found["a"] is None:
+        return None
+    return tuple(found["a"]), (found["b"]["part"], found["b"]["stored"] + 1)
 
 
 def _with_start(rows: DataFrame, meta: DataFrame) -> DataFrame:

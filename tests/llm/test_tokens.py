@@ -131,6 +131,18 @@ def test_token_files_round_trip(spark, reference):
     assert sorted(r.doc_id for r in some.collect()) == [3, 5]
     assert {r.start for r in some.collect()} <= {r.start for r in got}
     first = got[2]
+    # Any range gives the documents that touch it, and the scan of the ids gets it as pushed filters.
+    every = token_files.read_metadata(spark, path).collect()
+    total = max(r.start + r.n_tokens for r in every)
+    for a, b in ((0, 1), (total - 1, total), (total // 3, total // 2), (0, total), (total, total + 5), (5, 5)):
+        ranged = token_files.read_documents(spark, path, token_range=(a, b))
+        assert sorted((r.start, len(r.ids)) for r in ranged.collect()) == sorted(
+            (r.start, r.n_tokens) for r in every if r.start < b and r.start + r.n_tokens > a)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    plan = token_files.read_documents(spark, path, token_range=(total // 3, total // 2))._jdf.queryExecution().toString()
+    scan = next(x for x in plan.splitlines() if "FileScan" in x and "ids#" in x and "PushedFilters" in x)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(part," in scan and "LessThan(part_start," in scan
     part = token_files.read_documents(spark, path, token_range=(first.start, first.start + 1)).collect()
     assert first.start in {r.start for r in part} and len(part) == 1
     meta = token_files.read_metadata(spark, path)
