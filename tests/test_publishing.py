@@ -211,3 +211,21 @@ def test_gaps_across_spans(spark):
             (4, None, 2), (5, base, 1), (5, None, 1)]
     got = sorted(tuple(r) for r in gaps.longest_gaps(spark.createDataFrame(rows, "CustomerID long, OrderDate date, n long")).collect())
     assert got == [(1, base + dt.timedelta(200), base, 200.0), *[(2, base, base, 0.0)] * 3]
+
+
+# ---- layout
+
+def test_order_detail_is_clustered_by_customer(spark, workdir):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = [line("Hot One", 400)] + [line(f"N M{i}", 4) for i in range(60)]
+        out = N.normalize(spark, write_wide(f"{workdir}/in", rows), f"{workdir}/out")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = out.order_detail.groupBy(F.input_file_name().alias("f")).agg(
+        F.min("CustomerID").alias("low"), F.max("CustomerID").alias("high"), F.count(F.lit(1)).alias("n")).orderBy("low", "high").collect()
+    assert len(files) > 2
+    assert all(a.high <= b.low for a, b in zip(files, files[1:], strict=False))
+    hot = out.customer.filter("FirstName = 'Hot'").first().CustomerID
+    assert sum(f.low <= hot <= f.high for f in files) > 1  # the hot customer is divided
+    assert out.order_detail.agg(F.count_distinct("OrderID"), F.max("OrderID")).first()[:] == (640, 640)
