@@ -38,36 +38,34 @@ from orderlens.operators.replicate import replicate
 
 #: Days of a span: the bits of a long without its sign.
 SPAN = 63
-_SUMMARY = "struct<first:int,last:int,gap:int,until:int,n:bigint>"
+#: The longest gap is kept with the day that ends it, negated: the greater of two is the longer, then the earlier.
+_SUMMARY = "struct<first:int,last:int,best:struct<gap:int,ends:int>,n:bigint>"
 
 
-def _longer(gap: Column, until: Column, than: Column) -> Column:
-    """(gap, until) if it is longer than an earlier one, else that."""
-    return F.when(gap > than["gap"], F.struct(gap.alias("gap"), until.alias("until"))).otherwise(
-        F.struct(than["gap"].alias("gap"), than["until"].alias("until")))
+def _gap(days: Column, until: Column) -> Column:
+    return F.struct(days.cast("int").alias("gap"), (-until).cast("int").alias("ends"))
 
 
 def span_summary(bits: Column, start: Column, n: Column) -> Column:
     """The summary of the days ``start + i`` of the set bits i."""
-    days = F.transform(F.filter(F.sequence(F.lit(0), F.lit(SPAN - 1)),
-                                lambda i: F.call_function("getbit", bits, i) == 1), lambda i: (start + i).cast("int"))
+    # The runs of zeros from the lowest bit on: before the first day, between days, behind the last (empty).
+    zeros = F.reverse(F.split(F.bin(bits), "1"))
 
-    def step(acc: Column, day: Column) -> Column:
-        best = _longer(day - acc["last"], day, acc)
-        return F.struct(acc["first"].alias("first"), day.alias("last"), best["gap"].alias("gap"),
-                        best["until"].alias("until"), acc["n"].alias("n")).cast(_SUMMARY)
+    def step(acc: Column, run: Column) -> Column:
+        day = acc["last"] + F.length(run) + 1
+        return F.struct(acc["first"].alias("first"), day.alias("last"),
+                        F.greatest(acc["best"], _gap(F.length(run) + 1, day)).alias("best"), acc["n"].alias("n")).cast(_SUMMARY)
 
-    begin = F.struct(F.get(days, 0).alias("first"), F.get(days, 0).alias("last"), F.lit(0).alias("gap"),
-                     F.get(days, 0).alias("until"), n.alias("n")).cast(_SUMMARY)
-    return F.aggregate(days, begin, step)
+    first = start + F.length(F.get(zeros, 0))
+    begin = F.struct(first.alias("first"), first.alias("last"), _gap(F.lit(0), first).alias("best"), n.alias("n")).cast(_SUMMARY)
+    return F.aggregate(F.slice(zeros, 2, F.bit_count(bits) - 1), begin, step)
 
 
 def merged(one: Column, later: Column) -> Column:
     """The summary of two spans, the second behind the first."""
-    best = _longer(later["gap"], later["until"],
-                   _longer(later["first"] - one["last"], later["first"], one))
-    return F.struct(one["first"].alias("first"), later["last"].alias("last"), best["gap"].alias("gap"),
-                    best["until"].alias("until"), (one["n"] + later["n"]).alias("n")).cast(_SUMMARY)
+    best = F.greatest(one["best"], _gap(later["first"] - one["last"], later["first"]), later["best"])
+    return F.struct(one["first"].alias("first"), later["last"].alias("last"), best.alias("best"),
+                    (one["n"] + later["n"]).alias("n")).cast(_SUMMARY)
 
 
 def longest_gaps(day_counts: DataFrame, key: str = "CustomerID",
@@ -92,9 +90,9 @@ def longest_gaps(day_counts: DataFrame, key: str = "CustomerID",
     single = F.col("__s.first") == F.col("__s.last")
     chosen = whole.withColumn("__copies", F.when(single, F.col("__s.n") - 1).otherwise(F.lit(1))).filter(
         F.col("__copies") > 0).select(
-        key, F.date_from_unix_date("__s.until").alias("OrderDate"),
-        F.date_from_unix_date(F.col("__s.until") - F.col("__s.gap")).alias("PreviousOrderDate"),
-        F.col("__s.gap").cast("double").alias("MaxDaysWithoutOrder"), "__copies")
+        key, F.date_from_unix_date(-F.col("__s.best.ends")).alias("OrderDate"),
+        F.date_from_unix_date(-F.col("__s.best.ends") - F.col("__s.best.gap")).alias("PreviousOrderDate"),
+        F.col("__s.best.gap").cast("double").alias("MaxDaysWithoutOrder"), "__copies")
     if names is not None:
         chosen = chosen.join(names, key)
     many = replicate(chosen.filter(F.col("__copies") > 1), "__copies", spread_cols=[key])

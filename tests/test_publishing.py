@@ -190,7 +190,7 @@ def test_summaries_merge_in_any_grouping(spark):
     sums = [tuple(r.x) for r in found]
     pairs = [(b - a, b) for a, b in zip(days, days[1:], strict=False)]
     longest = max(g for g, _ in pairs)
-    want = (days[0], days[-1], longest, min(u for g, u in pairs if g == longest), len(days))
+    want = (days[0], days[-1], (longest, -min(u for g, u in pairs if g == longest)), len(days))
 
     def join(one, two):
         df = spark.createDataFrame([(one, two)], f"a {gaps._SUMMARY}, b {gaps._SUMMARY}")
