@@ -132,15 +132,15 @@ class Aligner:
     def learn(self, parts: set[str]) -> None:
         """Have these parts aligned."""
         new = parts.difference(self.index)
-        plain = [p for p in new if p and not (p[0].isspace() or p[-1].isspace() or "▁" in p)]
+        plain = [p for p in new if p and not (p[0].isspace() or p[-1].isspace() or " " in p or "▁" in p)]
         if plain:
             # Neither vocabulary has a token over the blank between two such parts: all go as one text.
             text = " ".join(plain)
             a = np.array(self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids, np.int64)
             b = np.array(self.b.encode(text, num_threads=1), np.int64)
-            ends = np.cumsum([len(p.encode()) + 1 for p in plain])
-            of_a, of_b = (np.searchsorted(np.cumsum(size[i]), ends) + 1 for size, i in ((self.size_a, a), (self.size_b, b)))
             data = (" " + text).encode()
+            ends = np.append(np.flatnonzero(np.frombuffer(data, np.uint8) == 32)[1:], len(data))  # blanks stand between parts
+            of_a, of_b = (np.searchsorted(np.cumsum(size[i]), ends) + 1 for size, i in ((self.size_a, a), (self.size_b, b)))
             # A spells every byte; with a normaliser it might not, nor does B where it changes a character.
             if (self.exact_a or b"".join([self.bytes_a[i] for i in a.tolist()]) == data) \
                     and b"".join([self.bytes_b[i] for i in b.tolist()]) == data \
@@ -167,7 +167,7 @@ class Aligner:
     def _take(self, parts: list[str], a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> None:
         """Align parts whose tokens stand one after the other."""
         ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
-        ends = np.union1d(ends_a, ends_b)  # up to each of them one A and one B token overlap
+        ends = _distinct(np.concatenate([ends_a, ends_b]), "stable")  # up to each of them one A and one B token overlap
         pairs = a[np.searchsorted(ends_a, ends)] << 32 | b[np.searchsorted(ends_b, ends)]
         common = np.intersect1d(ends_a, ends_b, assume_unique=True)
         part_ends = ends_a[np.cumsum(n_a) - 1]
@@ -216,9 +216,9 @@ def aligner_of(path_a: str, path_b: str) -> Aligner:
     return _made[path_a, path_b]
 
 
-def _distinct(values: np.ndarray) -> np.ndarray:
-    """The distinct ones of some hundred numbers, sorted."""
-    values = np.sort(values)
+def _distinct(values: np.ndarray, kind: str | None = None) -> np.ndarray:
+    """The distinct ones of some numbers, sorted; "stable" merges sorted runs."""
+    values = np.sort(values, kind=kind)
     return values[np.concatenate([[True], values[1:] != values[:-1]])[:len(values)]]
 
 
