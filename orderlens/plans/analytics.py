@@ -33,7 +33,7 @@ def _customer_rows(model: RetailModel, customer_id) -> DataFrame:
     """Order lines of one customer: ``ProductID, QuantityOrdered, CustomerID, OrderDate``."""
     if model.baskets is None:
         return model.lines.filter(F.col("CustomerID") == customer_id)
-    return model.lines.join(model.baskets.filter(F.col("CustomerID") == customer_id), "OrderKey")
+    return model.lines.join(model.baskets.filter(F.col("CustomerID") == customer_id), list(model.basket_keys))
 
 
 def q01_customer_orders(model: RetailModel, customer_name: str) -> DataFrame:

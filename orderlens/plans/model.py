@@ -38,6 +38,8 @@ class RetailModel:
     lines: DataFrame
     baskets: DataFrame | None = None
     product_category: DataFrame | None = None
+    #: What lines and baskets are joined by (see ``layout``, where orders may have parts).
+    basket_keys: tuple[str, ...] = ("OrderKey",)
 
     # ------------------------------------------------------------------
     # OrderDetail views
@@ -48,7 +50,7 @@ class RetailModel:
         cols = ["CustomerID", "ProductID", "OrderDate", "QuantityOrdered"]
         if self.baskets is None:
             return self.lines.select(*cols)
-        return self.lines.join(self.baskets, "OrderKey").select(*cols)
+        return self.lines.join(self.baskets, list(self.basket_keys)).select(*cols)
 
     def priced_lines(self) -> DataFrame:
         """Lines joined to Product with the exact line total.
@@ -56,12 +58,14 @@ class RetailModel:
         Product grows with the data, so no broadcast is forced: the
         planner broadcasts it only under ``autoBroadcastJoinThreshold``
         (AQE re-checks the real size at run time) and sort-merges beyond.
+        Lines that carry their price (see ``layout``) need no join.
         """
-        prod = self.product.select("ProductID", "ProductName", "ProductUnitPrice")
-        return (self.lines.join(prod, "ProductID")
-                .withColumn("LineTotal",
-                            money.line_total(F.col("ProductUnitPrice"),
-                                             F.col("QuantityOrdered"))))
+        if "LinePrice" in self.lines.columns:
+            priced, price = self.lines.filter("HasProduct"), F.col("LinePrice")
+        else:
+            prod = self.product.select("ProductID", "ProductName", "ProductUnitPrice")
+            priced, price = self.lines.join(prod, "ProductID"), F.col("ProductUnitPrice")
+        return priced.withColumn("LineTotal", money.line_total(price, F.col("QuantityOrdered")))
 
     def basket_sums(self, priced: bool = True, **measures: Column) -> DataFrame:
         """Per-basket sums of line-level measures, with the basket's
@@ -75,9 +79,9 @@ class RetailModel:
         if self.baskets is None:
             return src.select("CustomerID", "OrderDate",
                               *[e.alias(k) for k, e in measures.items()])
-        per_basket = src.groupBy("OrderKey").agg(
+        per_basket = src.groupBy(*self.basket_keys).agg(
             *[F.sum(e).alias(k) for k, e in measures.items()])
-        return (per_basket.join(self.baskets, "OrderKey")
+        return (per_basket.join(self.baskets, list(self.basket_keys))
                 .select("CustomerID", "OrderDate", *measures.keys()))
 
     def totals(self, **period: Column) -> DataFrame:
