@@ -13,6 +13,9 @@ all copies of a chunk are equal, the smallest is also the largest, and both
 are kept by partial aggregation, so no group is ever gathered.  A
 fingerprint whose texts differ (a collision) is split by the texts' SHA-256.
 
+Only texts that may have a copy are moved: a bitmap of fixed size, made of the texts
+whose fingerprint others share, is looked up in the scan.
+
 Defined results: a null text counts as empty; empty texts are equal to each
 other; null ids sort before all others; of rows that repeat an id and its
 text one stays; an empty table gives an empty result; other columns are
@@ -25,7 +28,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import scratch
@@ -35,6 +38,9 @@ from .skew import hot_keys
 
 #: Bytes of a chunk.
 CHUNK = 1 << 16
+#: Bits of the bitmap that lets texts pass which share no fingerprint; one that is held by chance changes
+#: no result.
+SHARED_BITS = 1 << 26
 #: The moduli: fixed primes below 2 ** 62.
 PRIMES = (3649569658711240703, 3425262418145465951)
 
@@ -168,32 +174,84 @@ def collisions(docs: DataFrame, groups: DataFrame, rows: int) -> DataFrame:
             .filter(F.col("least") != F.col("most")).select(*_KEY).distinct())
 
 
-def exact_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, uid.
+def shared_bits(marks: DataFrame, groups: DataFrame) -> DataFrame:
+    """``(bucket, bits)``: a bitmap of SHARED_BITS bits in which the texts are set whose fingerprint others
+    share.  It has SHARED_BITS / 32,768 rows of 4 KB at most, whatever the input, and so may be broadcast."""
+    found = marks.join(groups, _KEY, "left_semi").select(_place(F.col("text_sha256")).alias("place"))
+    return (found.groupBy(F.bitmap_bucket_number("place").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")))
 
-    The row with the largest doc_id of equal texts stays.
-    """
+
+def _place(sha: Column) -> Column:
+    return F.pmod(F.xxhash64(sha), F.lit(SHARED_BITS)) + 1
+
+
+def split_shared(docs: DataFrame, bits: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with ``__sha``: the rows whose text is certainly no copy, and those that may share it."""
+    place = _place(F.col("__sha"))
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.expr("substring(__bits.bits, cast(__at div 8 as int) + 1, 1)")), 16, 10).cast("long")
+    marked = (docs.withColumn("__sha", F.sha2(F.coalesce("text", F.lit("")), 256))
+              .withColumn("__at", at).withColumn("__bucket", F.bitmap_bucket_number(place))
+              .join(F.broadcast(bits.select(F.col("bucket").alias("__bucket"), F.struct("bits").alias("__bits"))),
+                    "__bucket", "left")
+              .withColumn("__may", F.coalesce(F.getbit(byte, F.col("__at") % 8) == 1, F.lit(False))))
+    own = [*docs.columns, "__sha"]
+    return marked.filter(~F.col("__may")).select(*own), marked.filter("__may").select(*own)
+
+
+def _judged(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """The result of ``exact_duplicates``, the bitmap of texts that may be shared, and the number of rows."""
     marks = scratch.materialise(fingerprints(docs), "fingerprints")
+    rows = marks.count()
     groups = marks.groupBy(*_KEY).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
     groups = scratch.materialise(groups, "fingerprint-groups")
-    differ = scratch.materialise(collisions(docs, groups, marks.count()), "collisions")
+    bits = scratch.materialise(shared_bits(marks, groups), "shared-texts")
+    _, may = split_shared(docs.select("doc_id", "text"), bits)
+    differ = scratch.materialise(collisions(may, groups, rows), "collisions")
     keyed = (marks.join(differ.withColumn("differs", F.lit(True)), _KEY, "left")
              .withColumn("variant", F.when(F.col("differs"), F.col("text_sha256")).otherwise(F.lit("")))
              .drop("differs"))
     key = [*_KEY, "variant"]
-    best = keyed.groupBy(*key).agg(
-        F.max(F.struct("doc_id", "uid")).alias("best"), F.count(F.lit(1)).alias("group_size"))
-    return keyed.join(best, key).select(
-        "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
-        (F.col("uid") == F.col("best.uid")).alias("kept"), "text_sha256", "uid")
+    best = scratch.materialise(
+        keyed.groupBy(*key).agg(F.max(F.struct("doc_id", "uid")).alias("best"),
+                                F.count(F.lit(1)).alias("group_size")).filter("group_size > 1"), "best")
+    # The few largest groups are looked up where their rows are; only rows of other groups are joined by a shuffle.
+    hot = hot_keys(best, rows, "group_size").drop("n_salts")
+    rest = keyed.join(F.broadcast(hot.select(*key)), key, "left_anti")
+    joined = keyed.join(F.broadcast(hot), key).unionByName(
+        rest.join(best.join(F.broadcast(hot.select(*key)), key, "left_anti"), key, "left"),
+        allowMissingColumns=True)
+    return joined.select(
+        "doc_id", F.when(F.col("best").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+        F.coalesce(F.col("uid") == F.col("best.uid"), F.lit(True)).alias("kept"), "text_sha256", "uid"), bits, rows
+
+
+def exact_duplicates(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, uid.
+
+    The row with the largest doc_id of equal texts stays.
+    """
+    return _judged(docs)[0]
 
 
 @carrying("doc_id", "text")
 def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
-    """``docs`` with one row of each group of equal texts, all columns kept."""
-    kept = exact_duplicates(docs).filter("kept").select(
-        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    rows = docs.withColumn("__sum", F.sha2(F.coalesce("text", F.lit("")), 256))
-    return (rows.join(kept, (rows["__sum"] == kept["__sha"])
-                      & rows["doc_id"].eqNullSafe(kept["__id"]))
-            .dropDuplicates(["__id", "__sha"]).select(*docs.columns))
+    """``docs`` with one row of each group of equal texts, all columns kept.
+
+    Texts that no other shares are not shuffled, and copies in the largest groups go before the shuffle."""
+    judged, bits, n_rows = _judged(docs)
+    kept = scratch.materialise(judged.filter("kept AND group_size > 1").select(
+        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__kept_sha"), "group_size"), "kept-copies")
+    single, may = split_shared(docs, bits)
+
+    def without_copies(rows: DataFrame, stays: DataFrame) -> DataFrame:
+        met = rows.join(stays, F.col("__sha") == F.col("__kept_sha"), "left")
+        return (met.filter(F.col("__kept_sha").isNull() | F.col("doc_id").eqNullSafe(F.col("__id")))
+                .drop("__kept_sha", "__id"))
+
+    stays = kept.drop("group_size")
+    hot = hot_keys(kept, n_rows, "group_size").drop("group_size", "n_salts")
+    chosen = without_copies(without_copies(may, F.broadcast(hot)), stays).dropDuplicates(["doc_id", "__sha"])
+    return single.unionByName(chosen).select(*docs.columns)

@@ -62,6 +62,34 @@ def test_exact_duplicates_of_repeated_and_null_ids(spark):
     assert exact_dedup.drop_exact_duplicates(frame(spark, [])).count() == 0
 
 
+def test_large_groups_of_copies_go_before_the_shuffle(spark, monkeypatch):
+    rows = [*((i % 30, "hot") for i in range(90)), *((i, "warm") for i in range(200, 204)),
+            (None, "hot"), (None, "lone"), (None, "nobody"), (None, "nobody"), (300, None), (301, "")]
+    for least in (1, 10, 1_000):
+        monkeypatch.setattr(skew, "HOT_ROWS", least)
+        kept = exact_dedup.drop_exact_duplicates(frame(spark, rows)).collect()
+        assert sorted((r.doc_id or 0, r.text or "") for r in kept) == [
+            (0, "lone"), (0, "nobody"), (29, "hot"), (203, "warm"), (301, "")]
+        got = exact_dedup.exact_duplicates(frame(spark, rows)).collect()
+        assert {(r.keep_id, r.group_size) for r in got} == {(29, 91), (203, 4), (None, 1), (None, 2), (301, 2)}
+        assert len(got) == len(rows) and sum(r.kept for r in got) == 5
+
+
+@pytest.mark.parametrize("size", [1 << 26, 1 << 15])
+def test_only_texts_that_may_be_shared_are_moved(spark, monkeypatch, size):
+    monkeypatch.setattr(exact_dedup, "SHARED_BITS", size)
+    rows = [(i, f"text {i % 900}") for i in range(1_000)]
+    docs = frame(spark, rows)
+    marks = exact_dedup.fingerprints(docs)
+    groups = marks.groupBy(*exact_dedup._KEY).agg(F.count(F.lit(1)).alias("n_rows")).filter("n_rows > 1")
+    bits = exact_dedup.shared_bits(marks, groups)
+    assert bits.count() <= size // 32_768
+    single, may = (x.select("text").collect() for x in exact_dedup.split_shared(docs, bits))
+    shared = {f"text {i}" for i in range(100)}
+    assert len(single) + len(may) == len(rows) and not shared & {r.text for r in single}
+    assert sum(r.text in shared for r in may) == 200 and len(may) <= 210
+
+
 def test_colliding_fingerprints_are_told_apart(spark, monkeypatch):
     # The moduli come from the driver with the function, so tasks see these, too.
     monkeypatch.setattr(exact_dedup, "PRIMES", (1, 1))
