@@ -13,8 +13,9 @@ all copies of a chunk are equal, the smallest is also the largest, and both
 are kept by partial aggregation, so no group is ever gathered.  A
 fingerprint whose texts differ (a collision) is split by the texts' SHA-256.
 
-Only texts that may have a copy are moved: a bitmap of fixed size, made of the texts
-whose fingerprint others share, is looked up in the scan.
+Apart from the chunks of long texts, which other tasks hash, only texts that may have
+a copy are moved: a bitmap of fixed size, made of the texts whose fingerprint others
+share, is looked up in the scan.
 
 Defined results: a null text counts as empty; empty texts are equal to each
 other; null ids sort before all others; of rows that repeat an id and its
