@@ -47,7 +47,11 @@ def order_detail_table(lines: DataFrame, entries: DataFrame, customers: DataFram
                           F.col("QuantityOrdered").alias("QtyText"),
                           F.col("OrderDate").alias("DateText"))
     lk = products.withColumnRenamed("ProductName", "__pn")
-    known = (ents.join(lk, F.col("Product") == F.col("__pn"), "left").drop("__pn")
+    # Behind the product join only unknown names are carried on, not every entry's.
+    known = (ents.join(lk, F.col("Product") == F.col("__pn"), "left")
+             .select(*ORDER_KEY, "pos", "ProductID", "QtyText", "DateText",
+                     F.col("Product").isNotNull().alias("listed"),
+                     F.when(F.col("ProductID").isNull(), F.col("Product")).alias("Unknown"))
              .join(line_customer, "line_seq"))
 
     qty = (F.col("QtyText").cast("bigint") if strict
@@ -56,11 +60,10 @@ def order_detail_table(lines: DataFrame, entries: DataFrame, customers: DataFram
                   dates.parse_compact_date(F.col("DateText"), strict))
     # The quantity test comes first so every quantity of a matched line is
     # parsed (strict mode raises on a bad one, even beyond the products).
-    status = (F.when(qty.isNull() & F.col("Product").isNotNull(),
-                     F.lit("missing or bad quantity"))
-              .when(F.col("Product").isNull(), F.lit("extra"))
+    status = (F.when(qty.isNull() & F.col("listed"), F.lit("missing or bad quantity"))
+              .when(~F.col("listed"), F.lit("extra"))
               .when(F.col("ProductID").isNull(),
-                    F.concat(F.lit("unknown product: "), F.col("Product")))
+                    F.concat(F.lit("unknown product: "), F.col("Unknown")))
               .when(date.isNull(), F.lit("missing or bad date"))
               .otherwise(F.lit("ok")))
     flagged = scratch.pin(known.select(*ORDER_KEY, "pos", "CustomerID", "ProductID",

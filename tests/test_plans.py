@@ -1,7 +1,11 @@
 """Physical-plan properties the design relies on (checked on sf0.01)."""
 
 import contextlib
+import datetime
+import glob
+import gzip
 import io
+import re
 
 import pytest
 
@@ -107,3 +111,71 @@ def test_normalized_totals_sum_quantities_before_the_product_join(spark):
     text = plan_text(A.q03_totals_by_customer(trip(spark, SF_SMALL).model()))
     assert "Keys [2]: [CustomerID" in text and "sum(QuantityOrdered" in text
     trip.close(spark)
+
+
+def _small_star(spark, folder):
+    """Two orders of a customer whose row is repeated, one of them out of file order; an order of another
+    customer; an order without lines and one without a customer."""
+    tables = {
+        "region": ("r_regionkey int, r_name string", [(1, "EAST")]),
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(7, "FAR", 1)]),
+        "customer": ("c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+                     [(1, "C#1", 7, "S"), (1, "C#1b", 7, "T"), (2, "C#2", 7, "S")]),
+        "part": ("p_partkey bigint, p_name string, p_type string, p_retailprice double",
+                 [(5, "nut", "METAL", 1.5), (6, None, None, 2.0)]),
+        "orders": ("o_orderkey bigint, o_custkey bigint, o_orderdate date",
+                   [(k, c, datetime.date(2020, 1, k)) for k, c in ((9, 2), (4, 1), (2, 1), (8, 1), (5, None))]),
+        "lineitem": ("l_orderkey bigint, l_partkey bigint, l_linenumber int, l_quantity double",
+                     [(9, 5, 1, 1.0), (4, 6, 2, 3.0), (4, 5, 1, 2.0), (2, 5, 1, 4.0), (5, 5, 1, 1.0), (None, 5, 1, 1.0)])}
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_wide_fixture_shuffles_orders_once_and_no_packed_text(spark, workdir):
+    from orderlens.plans.wide_fixture import packed_lines
+
+    _small_star(spark, workdir)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan_text(packed_lines(spark, workdir))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # The lists are made where the one range shuffle of the orders put them, and go nowhere.
+    assert text.count("rangepartitioning(o_orderkey") == 1
+    assert not re.search(r"hashpartitioning\(o_orderkey#\w+, (o_custkey|owner)", text)
+
+
+def test_wide_fixture_lines(spark, workdir):
+    from orderlens.plans.wide_fixture import SORTED_GROUPS, write_wide_fixture
+
+    _small_star(spark, workdir)
+    before = spark.conf.get(SORTED_GROUPS)
+    path = write_wide_fixture(spark, workdir, f"{workdir}/wide")
+    assert spark.conf.get(SORTED_GROUPS) == before
+    files = sorted(glob.glob(f"{path}/part-*"))
+    assert files and all(f.endswith(".gz") for f in files)
+    lines = [x.split("\t") for f in files for x in gzip.open(f, "rt").read().splitlines()[1:]]
+    assert [sorted(x[0] for x in lines[i:i + 2]) for i in (0, 2)] == [["C 1", "C 1b"]] * 2
+    two, four = ["nut 00000005", "METAL", "Parts of type METAL", "1.50", "4", "20200102"], [
+        "nut 00000005;00000006", "METAL", "Parts of type METAL", "1.50;2.00", "2;3", "20200104;20200104"]
+    assert [x[5:] for x in lines[:4]] == [two, two, four, four]
+    assert [x[0] for x in lines[4:]] == ["C 2"]
+
+
+def test_entries_carry_no_product_name_behind_the_product_join(spark, scratch, workdir):
+    from orderlens.operators.facts import order_detail_table
+    from orderlens.sources.wide import read_wide, stage_entries, stage_lines
+
+    from .conftest import write_wide
+
+    row = "A B\ta\tc\tN\tR\tp;q;\tc;c\td;d\t1;2\t3;4;5;6\t20200101;20200102;20200103"
+    lines = stage_lines(read_wide(spark, write_wide(f"{workdir}/in", [row])), scratch)
+    customers = spark.createDataFrame([("A B", 1)], "Name string, CustomerID long")
+    products = spark.createDataFrame([("p", 1)], "ProductName string, ProductID long")
+    seen = []
+    pin = scratch.pin
+    scratch.pin = lambda df, name="pinned": (seen.append(plan_text(df)) if name == "order_entries" else None, pin(df, name))[1]
+    fact = order_detail_table(lines, stage_entries(lines, scratch), customers, products, scratch)
+    assert "Unknown" in seen[0] and "listed" in seen[0]
+    assert fact.order_detail.count() == 1
+    assert sorted((r.pos, r.reason) for r in fact.rejects.collect()) == [(1, "unknown product: q"), (2, "unknown product: ")]
