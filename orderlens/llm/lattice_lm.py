@@ -33,6 +33,7 @@ import math
 import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -104,8 +105,8 @@ class Lattice:
         """Of words behind a blank each, all pieces found: piece, start, end; and of each word its
         first place and the place behind it, where word i has places of its own."""
         ends = np.cumsum([len(w) + 2 for w in words])
-        found = list(self.automaton.iter("".join(" " + w.decode("latin-1") for w in words)))
-        at = np.array(found, np.int64).reshape(-1, 2)
+        found = self.automaton.iter("".join(" " + w.decode("latin-1") for w in words))
+        at = np.fromiter(chain.from_iterable(found), np.int64).reshape(-1, 2)
         # Word i has one place more than bytes, so places are shifted by i.
         word = np.searchsorted(np.cumsum([len(w) + 1 for w in words]), at[:, 0], "right")
         end, piece = at[:, 0] + 1 + word, at[:, 1]
@@ -116,7 +117,9 @@ class Lattice:
         """Edges by the distance of ``place`` from their word's start, the least first: the edges, where
         each place's edges begin among them, and these places."""
         step = place - start[word]
-        order = np.lexsort((place, step))
+        # Edges come by word, so a stable sort of the distances keeps the edges of a place together; short
+        # integers are sorted by their digits.
+        order = np.argsort(step.astype(np.int16) if len(step) and step.max() < 1 << 15 else step, kind="stable")
         bounds = np.concatenate([[0], np.flatnonzero(np.diff(step[order])) + 1, [len(order)]])
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             some = order[a:b]

@@ -254,3 +254,25 @@ def test_pipeline_of_odd_tables(spark):
         table.count()
     ship.ship(spark)
     assert stages.SIMILARITY == 80
+
+
+def test_expected_pieces_without_a_sort_by_two_keys(monkeypatch):
+    from orderlens.llm.lattice_lm import Lattice
+
+    def refused(*args, **kwargs):
+        raise AssertionError("edges come by word")
+
+    monkeypatch.setattr(np, "lexsort", refused)
+    p = {b" ": 0.2, b"a": 0.3, b"b": 0.1, b"ab": 0.25, b" a": 0.15}
+    lattice = Lattice(list(p), np.log(np.array([list(p.values())])))
+    words = [b"ab", b"b", b"aab", b"ab"]
+    ways = {b"ab": [[b" ", b"a", b"b"], [b" ", b"ab"], [b" a", b"b"]], b"b": [[b" ", b"b"]],
+            b"aab": [[b" ", b"a", b"a", b"b"], [b" ", b"a", b"ab"], [b" a", b"a", b"b"], [b" a", b"ab"]]}
+    expected = dict.fromkeys(p, 0.0)
+    for w in words:
+        chance = [float(np.prod([p[x] for x in way])) for way in ways[w]]
+        for way, c in zip(ways[w], chance, strict=True):
+            for x in way:
+                expected[x] += c / sum(chance)
+    assert np.allclose(lattice.expected(words, 0), list(expected.values()))
+    assert np.allclose(np.exp(lattice.totals([b"ab"])[0, 0]), 0.2 * 0.3 * 0.1 + 0.2 * 0.25 + 0.15 * 0.1)
