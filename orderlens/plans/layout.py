@@ -58,12 +58,14 @@ class Layout:
     source: RetailModel
 
     def _table(self, name: str, schema: StructType) -> DataFrame:
-        """The bucketed files of a folder, declared to this session's catalog."""
+        """The bucketed files of a folder, declared to this session's catalog until they are resolved."""
         table, keys = f"orderlens_{name}_{uuid.uuid4().hex[:12]}", ", ".join(KEYS)
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
         self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY ({keys}) "
                        f"SORTED BY ({keys}) INTO {self.buckets} BUCKETS LOCATION '{self.folder}/{name}'")
-        return self.spark.table(table)
+        rows = self.spark.table(table)
+        self.spark.sql(f"DROP TABLE {table}")  # the files stay, and so do the buckets that rows knows
+        return rows
 
     def model(self) -> RetailModel:
         """The source's model with its lines and baskets read from the layout."""

@@ -86,3 +86,11 @@ def test_empty_tables(spark):
     layout = write_layout(odd_model(spark, [], []), buckets=2)
     assert layout.model().lines.count() == 0 and layout.model().basket_sums(t=F.col("LineTotal")).count() == 0
     layout.delete()
+
+
+def test_reading_a_layout_leaves_no_table(spark):
+    layout = write_layout(odd_model(spark, [(7, 1, 1)], [(7, 1)]), buckets=2)
+    model = layout.model()
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("orderlens_")]
+    assert rows(model.basket_sums(t=F.col("QuantityOrdered")).select("CustomerID", "t")) == [(1, 1)]
+    layout.delete()
