@@ -8,13 +8,14 @@ follows a non-blank, and has white space neither before it nor behind it on both
 parts are aligned once for a task.  Then, in two passes:
 
 1. Documents are dealt to blocks and aligned; a block lists its distinct pairs of ids with the number of its
-   documents that hold each.  Pairs are spread by hash over ``SHARDS`` shards, so a shard has at most
+   documents that hold each, and of each document the places of its pairs among these.  Pairs are spread by hash over ``SHARDS`` shards, so a shard has at most
    (size of A) * (size of B) / SHARDS of them, about, whatever the corpus.
 2. A shard's distinct pairs, brought together by a tree of unions, get a minimal perfect hash
    (``MinimalHash``).  Blocks add their numbers to dense vectors indexed by it, ``BRANCHES`` vectors for a
    shard, which are then summed: a tree again.
 3. Each block looks its pairs up, by the hash and with the stored key compared.
-4. The second pass aligns each document again, with the pairs' counts of its block at hand.
+4. The second pass adds up each document's links, with the pairs' counts of its block at hand; no text is
+   moved or aligned again.
 
 Only the highest count of each A id reaches the driver: a number for each entry of the vocabulary.
 
@@ -44,7 +45,7 @@ from .words import mix
 #: Shards of the pairs, and vectors of a shard that blocks add to.
 SHARDS, BRANCHES = 1 << 10, 8
 #: Bytes of text of a block, and characters of a text that are aligned at a time, about.
-BLOCK, SLICE = 16 << 20, 1 << 20
+BLOCK, SLICE = 8 << 20, 1 << 20
 #: Parts that a task keeps aligned.
 KNOWN = 500_000
 #: Pairs that a task holds before it passes their union on.
@@ -210,12 +211,17 @@ _made: dict[tuple[str, str], Aligner] = {}
 
 
 def aligner_of(path_a: str, path_b: str) -> Aligner:
-    """This worker's aligner; its vocabularies stay from one task to the next."""
+    """This worker's aligner; it stays from one task to the next of its stage."""
     if (path_a, path_b) not in _made:
         _made[path_a, path_b] = Aligner(path_a, path_b)
     return _made[path_a, path_b]
 
 
+def forget() -> None:
+    """Drop this worker's aligner."""
+    _made.clear()
+
+
 def _distinct(values: np.ndarray, kind: str | None = None) -> np.ndarray:
     """The distinct ones of some numbers, sorted; "stable" merges sorted runs."""
     values = np.sort(values, kind=kind)
@@ -314,54 +320,83 @@ def _rows(names: list[str], types: list[pa.DataType], rows: list[tuple], at_once
 
 
 _L, _I, _B, _S = pa.int64(), pa.int32(), pa.binary(), pa.string()
+#: What the first pass knows of a document.
+_SUMS = ("n_a", "n_b", "n_groups", "n_links", "groups_sha256")
 
 
 def _first_pass(path_a: str, path_b: str):
-    """Documents to the rows of blocks: kind 0 has pairs with numbers of documents by shard, kind 1 the texts."""
-    columns, types = ["block", "kind", "shard", "keys", "counts", "doc_id", "text"], [_L, _I, _I, _B, _B, _L, _S]
+    """Documents to the rows of blocks: kind 0 has pairs with numbers of documents by shard; kind 1 a document's
+    sums and its links: places among the block's pairs, in order (keys, as differences), and how often each."""
+    columns = ["block", "kind", "shard", "keys", "counts", "doc_id", *_SUMS]
+    types = [_L, _I, _I, _B, _B, _L, *[_L] * 4, _S]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, aligner = BlockNames(), aligner_of(path_a, path_b)
-        block, pairs, held = name(), [], 0
+        docs, pairs, times, held = [], [], [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            keys, counts = np.unique(np.concatenate(pairs), return_counts=True)
+            block = name()
+            keys, of, counts = np.unique(np.concatenate(pairs), return_inverse=True, return_counts=True)
             yield from _rows(columns, types, [(block, 0, shard, keys[some].tobytes(), counts[some].astype("<i8").tobytes(),
-                                               None, None) for shard, some in _by_shard(keys)])
+                                               None, *[None] * 5) for shard, some in _by_shard(keys)])
+            sizes = np.array([len(x) for x in pairs], np.int64)
+            starts, ends = (np.cumsum(sizes) - sizes).tolist(), np.cumsum(sizes).tolist()
+            for at in range(0, len(docs), 256):
+                yield from _rows(columns, types, [
+                    (block, 1, None, np.diff(of[x:y], prepend=0).astype("<i4").tobytes(), n.astype("<i4").tobytes(), *doc)
+                    for x, y, n, doc in zip(starts[at:at + 256], ends[at:at + 256], times[at:at + 256],
+                                            docs[at:at + 256], strict=True)])
 
         for batch in batches:
             for a, b in _ranges(batch.column("text")):
-                texts = batch.column("text")[a:b].to_pylist()
-                own: list[list[np.ndarray]] = [[] for _ in texts]
-                void = set()
+                ids, texts = batch.column("doc_id")[a:b].to_pylist(), batch.column("text")[a:b].to_pylist()
+                own: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in texts]
+                sums, digests, void = np.zeros((b - a, 4), np.int64), [None] * (b - a), set()
                 for places, some in _chunks(texts):
                     if len(aligner.index) > KNOWN:
                         aligner.prune()
-                    some = [set(parts) for parts in some]
                     aligner.learn(set().union(*some))
                     for i, parts in zip(places, some, strict=True):
-                        at = np.fromiter(map(aligner.index.__getitem__, parts), np.int64, len(parts))
+                        at = list(map(aligner.index.__getitem__, parts))
+                        text = ";".join([aligner.groups[x] for x in at])
+                        at = np.array(at, np.int64)
                         aligner.used[at] += 1
                         if (aligner.n_a[at] < 0).any():
                             void.add(i)
-                        own[i].append(_distinct(aligner.links(at)[0]))
-                pairs.extend(x[0] if len(x) == 1 else np.unique(np.concatenate(x))
-                             for i, x in enumerate(own) if x and i not in void)
-                m = b - a
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(m, block)), pa.array(np.ones(m, np.int32)), pa.nulls(m, _I), pa.nulls(m, _B),
-                     pa.nulls(m, _B), batch.column("doc_id")[a:b], batch.column("text")[a:b]], names=columns)
+                        links = np.sort(aligner.links(at)[0])
+                        sums[i] += [aligner.n_a[at].sum(), aligner.n_b[at].sum(), aligner.n_groups[at].sum(), len(links)]
+                        first = np.flatnonzero(np.concatenate([[True], links[1:] != links[:-1]])[:len(links)])
+                        own[i].append((links[first], np.diff(first, append=len(links))))
+                        if digests[i] is None:
+                            digests[i] = hashlib.sha256(text.encode())
+                        else:
+                            digests[i].update((";" + text).encode())
+                for i, (doc, row, d) in enumerate(zip(ids, sums.tolist(), digests, strict=True)):
+                    there = i not in void and d is not None
+                    docs.append((doc, *row, d.hexdigest()) if there else (doc, 0, 0, 0, 0, ""))
+                    keys, n = _added(own[i]) if there else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+                    pairs.append(keys)
+                    times.append(n)
                 held += sum(len(t or "") + 100 for t in texts)
                 if held >= BLOCK:
-                    if pairs:
-                        yield from flush()
-                    block, pairs, held = name(), [], 0
-        if pairs:
+                    yield from flush()
+                    docs, pairs, times, held = [], [], [], 0
+        if docs:
             yield from flush()
 
     return run
 
 
+def _added(slices: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Of a text's slices the distinct pairs, and how often they are linked in all."""
+    if len(slices) == 1:
+        return slices[0]
+    keys, of = np.unique(np.concatenate([k for k, _ in slices]), return_inverse=True)
+    sums = np.zeros(len(keys), np.int64)
+    np.add.at(sums, of, np.concatenate([n for _, n in slices]))
+    return keys, sums
+
+
 def _ranges(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive texts with about SLICE bytes each."""
     start = held = 0
@@ -488,34 +523,16 @@ def _looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from _rows(["block", "keys", "counts"], [_L, _B, _B], out)
 
 
-def _second_pass(path_a: str, path_b: str, most: np.ndarray):
-    """Sorted by (block, kind), counts before texts: each document aligned again, with its counts."""
-    names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
-    types = [_L] * 7 + [_S]
+def _second_pass(most: np.ndarray):
+    """Sorted by (block, kind), the pairs' counts before documents: each document's links with their counts."""
+    names = ["doc_id", *_SUMS[:4], "n_best", "count_sum", _SUMS[4]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = aligner_of(path_a, path_b)
         held: list = []
-        keys = counts = np.zeros(0, np.int64)
-        # Of each part the links with the highest count of their A id, and the sum of counts; -1: not looked up.
-        best = total = np.zeros(0, np.int64)
-
-        def look_up(at: np.ndarray) -> None:
-            nonlocal best, total
-            if len(best) < len(aligner.index):
-                more = np.full(max(len(aligner.index), 2 * len(best)) - len(best), -1, np.int64)
-                best, total = np.concatenate([best, more]), np.concatenate([total, more])
-            at = at[(best[at] < 0) & (aligner.n_a[at] >= 0)]
-            if len(at):
-                pairs, starts = aligner.links(at)
-                n = counts[np.minimum(np.searchsorted(keys, pairs), len(keys) - 1)]
-                best[at] = np.add.reduceat((n == most[pairs >> 32]).astype(np.int64), starts)
-                total[at] = np.add.reduceat(n, starts)
-
+        counts, best = np.zeros(0, np.int64), np.zeros(0, bool)
         for _, first, part in by_block(batches):
             if first:
-                held, keys, counts = [], np.zeros(1, np.int64), np.zeros(1, np.int64)
-                best[:] = -1
+                held, counts, best = [], np.zeros(0, np.int64), np.zeros(0, bool)
             if part.column("kind")[0].as_py() == 0:
                 held.extend(zip(part.column("keys").to_pylist(), part.column("counts").to_pylist(), strict=True))
                 continue
@@ -523,31 +540,14 @@ def _second_pass(path_a: str, path_b: str, most: np.ndarray):
                 keys, counts = _i64(b"".join(k for k, _ in held)), _i64(b"".join(c for _, c in held))
                 order = np.argsort(keys)
                 keys, counts, held = keys[order], counts[order], []
-            for a, b in _ranges(part.column("text")):
-                ids, texts = part.column("doc_id")[a:b].to_pylist(), part.column("text")[a:b].to_pylist()
-                sums, digests, void = np.zeros((b - a, 6), np.int64), [None] * (b - a), set()
-                for places, some in _chunks(texts):
-                    if len(aligner.index) > KNOWN:
-                        aligner.prune()
-                        best = total = np.zeros(0, np.int64)
-                    aligner.learn(distinct := set().union(*some))
-                    look_up(np.fromiter(map(aligner.index.__getitem__, distinct), np.int64, len(distinct)))
-                    for i, parts in zip(places, some, strict=True):
-                        at = list(map(aligner.index.__getitem__, parts))
-                        text = ";".join([aligner.groups[x] for x in at])
-                        at = np.array(at, np.int64)
-                        aligner.used[at] += 1
-                        if (aligner.n_a[at] < 0).any():
-                            void.add(i)
-                        sums[i] += [aligner.n_a[at].sum(), aligner.n_b[at].sum(), aligner.n_groups[at].sum(),
-                                    (aligner.first[at + 1] - aligner.first[at]).sum(), best[at].sum(), total[at].sum()]
-                        if digests[i] is None:
-                            digests[i] = hashlib.sha256(text.encode())
-                        else:
-                            digests[i].update((";" + text).encode())
-                out = [(doc, *([0] * 6), "") if i in void or d is None else (doc, *row, d.hexdigest())
-                       for i, (doc, row, d) in enumerate(zip(ids, sums.tolist(), digests, strict=True))]
-                yield from _rows(names, types, out, 10_000)
+                best = counts == most[keys >> 32]
+            n_best, total = np.zeros(len(part), np.int64), np.zeros(len(part), np.int64)
+            for i, (places, times) in enumerate(zip(part.column("keys"), part.column("counts"), strict=True)):
+                at, n = (np.frombuffer(x.as_buffer(), "<i4").astype(np.int64) for x in (places, times))
+                at = np.cumsum(at)
+                n_best[i], total[i] = n[best[at]].sum(), (n * counts[at]).sum()
+            yield pa.RecordBatch.from_arrays(
+                [*(part.column(c) for c in names[:5]), pa.array(n_best), pa.array(total), part.column(names[-1])], names=names)
 
     return run
 
@@ -557,11 +557,12 @@ def alignments(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     count_sum (over links, of the documents that hold the pair linked), groups_sha256."""
     spark = docs.sparkSession
     none = {c: F.lit(None).cast(t) for c, t in (("hash", "binary"), ("counts", "binary"), ("block", "long"),
-                                                ("keys", "binary"), ("doc_id", "long"), ("text", "string"))}
+                                                ("keys", "binary"))}
+    own = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
     blocks = scratch.materialise(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
             trimmed(_first_pass(path_a, path_b), encodes=True),
-            "block long, kind int, shard int, keys binary, counts binary, doc_id long, text string"), "pair-blocks")
+            f"block long, kind int, shard int, keys binary, counts binary, {own}"), "pair-blocks")
     pairs = blocks.filter("kind = 0").select("block", "shard", "keys", "counts",
                                              F.expr(f"cast(pmod(xxhash64(block), {BRANCHES}) as int)").alias("branch"))
 
@@ -597,10 +598,10 @@ def alignments(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                                       none["counts"].alias("counts")))
             .repartition("shard", "branch").sortWithinPartitions("shard", "branch", "kind")
             .mapInArrow(trimmed(_looked_up), "block long, keys binary, counts binary"))
-    both = (back.select("block", F.lit(0).alias("kind"), "keys", "counts", none["doc_id"].alias("doc_id"), none["text"].alias("text"))
-            .unionByName(blocks.filter("kind = 1").select("block", "kind", none["keys"].alias("keys"),
-                                                          none["counts"].alias("counts"), "doc_id", "text")))
+    both = (back.select("block", F.lit(0).alias("kind"), "keys", "counts")
+            .unionByName(blocks.filter("kind = 1").select("block", "kind", "keys", "counts", "doc_id", *_SUMS),
+                         allowMissingColumns=True))
     return (both.repartition("block").sortWithinPartitions("block", "kind")
-            .mapInArrow(trimmed(_second_pass(path_a, path_b, most), encodes=True),
+            .mapInArrow(trimmed(_second_pass(most)),
                         "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, "
                         "groups_sha256 string"))

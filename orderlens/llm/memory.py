@@ -13,10 +13,11 @@ Batches = Iterator[pa.RecordBatch]
 
 def trimmed(run: Callable[[Batches], Batches], encodes: bool = False) -> Callable[[Batches], Batches]:
     """``run``, after which the allocators return what they hold but do not use.  A task that
-    does not encode texts drops the encoders that an earlier stage left in its worker."""
+    does not encode texts drops the encoders and aligners that an earlier stage left in its worker."""
     def wrapped(batches: Batches) -> Batches:
-        if not encodes and "orderlens.llm.encode" in sys.modules:
-            sys.modules["orderlens.llm.encode"].forget()
+        for module in ("orderlens.llm.encode", "orderlens.llm.align"):
+            if not encodes and module in sys.modules:
+                sys.modules[module].forget()
         yield from run(batches)
         pa.default_memory_pool().release_unused()
         try:

@@ -8,12 +8,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from orderlens.llm import align, lattice_lm, lexical_rank, queries, scratch
+from orderlens.llm import align, lattice_lm, lexical_rank, memory, queries, scratch
 
 DOCS = "doc_id long, text string"
 WORDS = ["the", "on", "Haus", "mañana", "été", "a", "ing", "tion", "x1", "über", "over", "lap", "日本", "zz-top"]
@@ -296,6 +297,29 @@ def test_alignments_are_the_libraries(spark, monkeypatch, block):
     assert got == aligned_by_hand(rows)
 
 
+def test_documents_are_aligned_once(monkeypatch):
+    """The first pass leaves sums and places of links; no text goes on to be aligned again."""
+    monkeypatch.setattr(align, "SLICE", 40)
+    rows = [(7, " ".join(t for t in TEXTS if t and t.isascii()) * 2), (8, None), (None, "the lap the")]
+    batch = pa.RecordBatch.from_pylist([{"doc_id": d, "text": t} for d, t in rows],
+                                       pa.schema([("doc_id", pa.int64()), ("text", pa.string())]))
+    out = [r for b in align._first_pass(queries.BPE_JSON, queries.PIECES)(iter([batch])) for r in b.to_pylist()]
+    align.forget()
+    docs = {r["doc_id"]: r for r in out if r["kind"] == 1}
+    assert "text" not in out[0] and set(docs) == {7, 8, None} and len({r["block"] for r in out}) == 1
+    keys = np.sort(np.concatenate([np.frombuffer(r["keys"], "<i8") for r in out if r["kind"] == 0]))
+    for d, _, _, _, n_links, _, _, digest in aligned_by_hand(rows):
+        places, times = (np.frombuffer(docs[d][c], "<i4") for c in ("keys", "counts"))
+        assert (docs[d]["n_links"], docs[d]["groups_sha256"], times.sum()) == (n_links, digest, n_links)
+        assert len(set(keys[np.cumsum(places)].tolist())) == len(places)
+
+
+def test_tasks_that_do_not_align_drop_the_aligner():
+    align.aligner_of(queries.BPE_JSON, queries.PIECES)
+    assert list(memory.trimmed(lambda b: b, encodes=True)(iter([1]))) == [1] and align._made
+    assert list(memory.trimmed(lambda b: b)(iter([1]))) == [1] and not align._made
+
+
 def test_pruned_parts_stay_aligned(monkeypatch):
     monkeypatch.setattr(align, "KNOWN", 6)
     aligner = align.Aligner(queries.BPE_JSON, queries.PIECES)
