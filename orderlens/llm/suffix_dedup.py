@@ -51,13 +51,13 @@ LENGTH, GRAM = 50, 20
 PLACES = LENGTH - GRAM + 1
 CONTEXT = LENGTH + PLACES - 1
 #: Text of a bucket; text that is searched for anchors at a time; records of a sorted batch.
-BUCKET_BYTES, SLICE, BATCH = 1 << 20, 1 << 20, 300_000
+BUCKET_BYTES, SLICE, BATCH = 1 << 20, 1 << 19, 200_000
 #: Records of a bucket that one task takes at most (an average one has 50,000); places in a row of a hot context.
 MOST, TOGETHER = 400_000, 512
 #: Records that a task combines by anchor at a time.
 COMBINED = 1 << 20
 #: Windows of a run that enters the levels; windows that are held at a time.
-RUN, HELD = 1 << 18, 4 << 20
+RUN, HELD = 1 << 18, 2 << 20
 
 _BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 _BYTES = np.random.default_rng(50).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -97,6 +97,13 @@ def _slices(size: int) -> Iterator[tuple[int, int]]:
         yield at, min(size, at + SLICE + LENGTH - 1)
 
 
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    """The parts as one array; the list lets go of them, so they are not held twice."""
+    out = np.concatenate(parts)
+    parts.clear()
+    return out
+
+
 def _inside(n: np.ndarray) -> np.ndarray:
     """Which bytes of their contexts records with n windows use."""
     return np.arange(CONTEXT)[None, :] < (n.astype(int) + LENGTH - 1)[:, None]
@@ -194,6 +201,7 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa
 
     def flush() -> Iterator[pa.RecordBatch]:
         anchor, bucket = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
         order = np.argsort(anchor, kind="stable")
         anchor, bucket = anchor[order], bucket[order]
         first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
@@ -217,7 +225,7 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa
         size += len(hashed)
         if size >= COMBINED:
             yield from flush()
-            held, size = [], 0
+            size = 0
     if size:
         yield from flush()
 
@@ -345,7 +353,7 @@ def _records(batches: Iterator[pa.RecordBatch], buckets: int, hot: Hot = NONE_HO
     held = 0
 
     def flush() -> Iterator[pa.RecordBatch]:
-        head, row, key = np.concatenate(heads), np.concatenate(rows), np.concatenate(keys)
+        head, row, key = (_joined(x) for x in (heads, rows, keys))
         order = np.lexsort((key[:, 2], key[:, 1], key[:, 0]))  # like suffixes side by side compress better
         head, row, bucket = head[order], row[order], key[order, 0]
         edges = np.flatnonzero(np.diff(bucket, prepend=np.uint64(buckets + 1)))
@@ -378,7 +386,7 @@ def _records(batches: Iterator[pa.RecordBatch], buckets: int, hot: Hot = NONE_HO
             held += len(some)
             if held >= BATCH:
                 yield from flush()
-                heads, rows, keys, held = [], [], [], 0
+                held = 0
     if held:
         yield from flush()
 
@@ -391,7 +399,7 @@ def _hot_records(batches: Iterator[pa.RecordBatch], buckets: int, hot: Hot) -> I
     held = 0
 
     def flush() -> Iterator[pa.RecordBatch]:
-        head, row = np.concatenate(heads), np.concatenate(rows)
+        head, row = _joined(heads), _joined(rows)
         key = np.column_stack([head["n"], np.where(_inside(head["n"]), row, 0)]).astype(np.uint8).view(f"V{CONTEXT + 1}")[:, 0]
         order = np.argsort(key, kind="stable")
         head, row, key = head[order], row[order], key[order]
@@ -416,7 +424,7 @@ def _hot_records(batches: Iterator[pa.RecordBatch], buckets: int, hot: Hot) -> I
             held += len(some)
             if held >= BATCH:
                 yield from flush()
-                heads, rows, held = [], [], 0
+                held = 0
     if held:
         yield from flush()
 

@@ -508,3 +508,26 @@ def test_near_copies_that_share_an_id_leave_one(spark):
     rows = [(3, text), (3, text + " x"), (7, text + " y"), (9, "something else entirely here now")]
     left = near_dedup.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(r.doc_id for r in left) == [3, 9]
+
+
+def test_records_hold_little_memory(monkeypatch):
+    """A task sorts its records in batches that are let go of as they are packed."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rnd = np.random.default_rng(6)
+    letters = np.frombuffer(b"abcdefghijklmnopqrst      ", np.uint8)
+    texts = [letters[rnd.integers(0, len(letters), 40_000)].tobytes().decode() for _ in range(200)]
+    table = pa.record_batch([pa.array(range(200)), pa.array([0] * 200), pa.array(texts)], names=["id", "tie", "text"])
+    found = suffix_dedup._found
+    monkeypatch.setattr(suffix_dedup, "_found_again", lambda batches: found(batches))  # all anchors occur again
+    records = 0
+    tracemalloc.start()
+    try:
+        for batch in suffix_dedup._records(iter([table]), 64):
+            records += sum(int.from_bytes(x[:8], "little") for x in batch.column("blob").to_pylist())
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert records > 400_000 and peak < 90 << 20
