@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from . import scratch
 from .columns import carrying
-from .components import components
+from .components import components, roots
 from .memory import trimmed
 from .words import in_blocks, mix, powers, shingles
 
@@ -91,9 +91,11 @@ def band_keys(sketches: np.ndarray) -> np.ndarray:
 def estimate(one: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The similarity of a sketch to each of others, without what chance collisions add; and the
     registers that it rests on."""
-    equal = ((many == one) & (one > 0)).sum(axis=1)
-    either = ((many > 0) | (one > 0)).sum(axis=1)
-    by_chance = COLLISION * ((many > 0) & (one > 0) & (many != one)).sum(axis=1)
+    there, some = one > 0, many > 0
+    equal, both, all_some = (x.sum(axis=1, dtype=np.uint16).astype(np.int64)
+                             for x in ((many == one) & there, some & there, some))
+    either = all_some + there.sum() - both
+    by_chance = COLLISION * (both - equal)
     return np.clip((equal - by_chance) / np.maximum(either - by_chance, 1), 0, 1), either
 
 
@@ -172,24 +174,24 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those pairs (a, b) whose full sets have the similarity."""
+    """Those pairs (a, b; other columns stay) whose full sets have the similarity."""
     left, right = (sets.select(F.col("id").alias(c), F.col("set").alias(f"set_{c}")) for c in "ab")
     both = pairs.join(right, "b").join(left, "a")
     common = F.size(F.array_intersect("set_a", "set_b"))
     return (both.withColumn("common", common)
             .filter(F.col("common") * 100 >= percent * (F.size("set_a") + F.size("set_b") - F.col("common")))
-            .select("a", "b").distinct())
+            .select(*pairs.columns).distinct())
 
 
 def _apart(percent: int):
-    """Pairs of different components that could be links, of gatherings that come sorted by
-    (component, first chunk, second chunk)."""
+    """Pairs of different components that could be links, with these components, of gatherings that come
+    sorted by (component, first chunk, second chunk)."""
     def compare(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         first, second, chunk, ids, comps, sizes, regs = zip(*rows, strict=True)
         matrix = np.frombuffer(b"".join(regs), np.uint16).reshape(len(rows), REGISTERS)
         ids, comps, sizes, chunk = (np.array(x, np.int64) for x in (ids, comps, sizes, chunk))
         same = first[0] == second[0]
-        out_a, out_b = [], []
+        out = []
         for i in range(len(rows)):
             if not same and chunk[i] != first[0]:
                 continue
@@ -198,11 +200,12 @@ def _apart(percent: int):
             for at in range(0, len(others), 4096):
                 some = others[at:at + 4096]
                 hit = some[plausible(matrix[i], int(sizes[i]), matrix[some], sizes[some], percent)]
-                out_a.append(np.maximum(ids[hit], ids[i]))
-                out_b.append(np.minimum(ids[hit], ids[i]))
-        if out_a:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))],
-                                             names=["a", "b"])
+                above = ids[hit] > ids[i]
+                out.append([np.where(above, ids[hit], ids[i]), np.where(above, ids[i], ids[hit]),
+                            np.where(above, comps[hit], comps[i]), np.where(above, comps[i], comps[hit])])
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)],
+                                             names=["a", "b", "comp_a", "comp_b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []  # two chunks at most
@@ -244,19 +247,19 @@ def _judged(docs: DataFrame, words: int, percent: int) -> DataFrame:
     weight = scratch.materialise(weight, "weights")
     centres = members.join(weight, "id").groupBy("key").agg(F.max(F.struct("weight", (-F.col("id")).alias("neg"))).alias("c"))
     centres = scratch.materialise(centres.select("key", (-F.col("c.neg")).alias("centre")), "centres")
-    stars = (members.select("key", "id").join(centres, "key").filter("id <> centre").groupBy("id", "centre")
+    # Each node has one centre, of more weight or, at the same weight, a smaller id: no path returns.
+    stars = (members.select("key", "id").join(centres, "key").filter("id <> centre").repartition("id").groupBy("id", "centre")
              .agg(F.count(F.lit(1)).alias("n")).groupBy("id")
              .agg(F.max(F.struct("n", (-F.col("centre")).alias("neg"))).alias("c"))
-             .select(F.greatest("id", -F.col("c.neg")).alias("a"), F.least("id", -F.col("c.neg")).alias("b")).distinct())
+             .select(F.col("id").alias("a"), (-F.col("c.neg")).alias("b")))
     stars = scratch.materialise(stars, "stars")
 
-    linked = scratch.materialise(weight.select("id"), "candidates")
+    linked = weight.select("id")
     # A node's text is that of its smallest doc_id, or one of them: the one with its fingerprint.
     texts = docs.select(F.col("doc_id").cast("long").alias("least"), "text").join(classes.join(linked, "id", "left_semi"), "least")
     sets = scratch.materialise(shingle_sets(texts, words), "sets")
 
-    links = scratch.materialise(verified(stars, sets, percent), "links-1")
-    first = components(links)
+    first = roots(verified(stars, sets, percent))
     labels = scratch.materialise(
         linked.join(first, "id", "left").select("id", F.coalesce("component", "id").alias("comp")), "labels")
 
@@ -273,10 +276,12 @@ def _judged(docs: DataFrame, words: int, percent: int) -> DataFrame:
                       F.greatest("chunk", "other").alias("second")))
     full = placed.join(nodes.join(labels, "id"), "id")
     ordered = full.repartition("gathering", "first", "second").sortWithinPartitions("gathering", "first", "second", "id")
-    pairs = scratch.materialise(ordered.mapInArrow(trimmed(_apart(percent)), "a long, b long").distinct(), "pairs")
-    more = verified(pairs, sets, percent)
-    final = components(links.unionByName(more))
+    pairs = scratch.materialise(ordered.mapInArrow(trimmed(_apart(percent)), "a long, b long, comp_a long, comp_b long")
+                                .distinct(), "pairs")
+    more = components(verified(pairs, sets, percent).select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")))
 
+    final = (labels.withColumnRenamed("comp", "first").join(more.withColumnRenamed("id", "first"), "first", "left")
+             .select("id", F.coalesce("component", "first").alias("component")))
     least = final.join(classes.select("id", "least"), "id").groupBy("component").agg(F.min("least").alias("component_id"))
     names = final.join(least, "component").select("id", "component", "component_id")
     named = (marks.select("doc_id", "tie", "n", "sig_a", "sig_b")

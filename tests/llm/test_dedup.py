@@ -233,6 +233,41 @@ def test_components(spark):
                                                           if any(x in p and p[0] != p[1] for p in links)}
 
 
+def test_components_stop_when_stars_are_left(spark, monkeypatch):
+    written = []
+    write = components.scratch.materialise
+    monkeypatch.setattr(components.scratch, "materialise", lambda df, name: written.append(name) or write(df, name))
+    links = [(i, 1000 + i % 7) for i in range(1007, 1200)] + [(5000, 4000), (4000, 4000), (5000, 4000)]
+    got = components.components(spark.createDataFrame(links, "a long, b long"))
+    assert {r.id: r.component for r in got.collect()} == {x: b for a, b in links for x in (a, b)}
+    assert len(written) == 1  # nothing to do but to see that these are stars
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_roots(spark):
+    rnd = random.Random(11)
+    parent = {i: rnd.choice([i - 1, rnd.randrange(max(1, i - 40), i)]) + 0 for i in range(2, 400) if i % 50}
+    last = {}
+    for i in sorted(parent):
+        last[i] = last.get(parent[i], parent[i])
+    got = components.roots(spark.createDataFrame(list(parent.items()), "a long, b long"))
+    assert sorted((r.id, r.component) for r in got.collect()) == sorted(last.items())
+    assert components.roots(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_near_duplicates_write_few_tables(spark, monkeypatch):
+    """Near copies of one text, and chains of them, need a bounded number of written tables."""
+    written = []
+    write = near_dedup.scratch.materialise
+    monkeypatch.setattr(near_dedup.scratch, "materialise", lambda df, name: written.append(name) or write(df, name))
+    base = [f"w{i}" for i in range(200)]
+    rows = [(d, " ".join([*base[:-1], f"end{d}"])) for d in range(100, 140)] + [(d, f"other text {d} on its own") for d in range(20)]
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(
+        spark.createDataFrame(rows, "doc_id long, text string"), 4).collect()}
+    assert got == {d: min(d, 100) for d, _ in rows}
+    assert written.count("links") == 1 and len(written) <= 15  # before: 6 of links, 19 in all
+
+
 # -- passages --------------------------------------------------------------
 
 def repeats_by_hand(rows):
