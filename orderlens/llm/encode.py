@@ -40,6 +40,8 @@ def _table(*values: int) -> np.ndarray:
 _WHITE = _table(*range(9, 14), 32)
 _MAYBE_WHITE = _table(*range(9, 14), *range(28, 33))  # what any library takes for white space
 _LETTER = _table(*range(65, 91), *range(97, 123))
+#: What makes a letter of Latin-1 (not the signs of multiplication and division) after the byte 0xC3.
+_LATIN = _table(*(b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)))
 _STOP = _table(44, 46)
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2 ** 64
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -154,6 +156,17 @@ class PieceCache:
                                   for x in slices(t))
         return out
 
+    def _distinct(self, data: bytes, keys: np.ndarray, check: np.ndarray, starts: np.ndarray, ends: np.ndarray
+                  ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and of each of the distinct parts where its own begin there and their number."""
+        parts = [data[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        ids = list(map(self.known.get, parts))
+        unknown = list(compress(range(len(ids)), map(_is_none, ids)))
+        for i, x in zip(unknown, self._learn([parts[i] for i in unknown]), strict=True):
+            ids[i] = x
+        sizes = np.array(list(map(len, ids)), np.int64) // 4
+        return np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes, sizes
+
     def _encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > CACHE_PARTS:
             self.older, self.known = self.known, {}
@@ -167,16 +180,10 @@ class PieceCache:
         starts = cuts(raw, stops)
         ends = np.append(starts[1:], len(raw))
         check = _edges(data, starts, ends)
-        _, first, of = np.unique(_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+        keys, first, of = np.unique(_hashes(raw, starts, ends), return_index=True, return_inverse=True)
         if (check[first][of] != check).any():  # two parts share a hash
             return self._pieces(texts)
-        parts = [data[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-        ids = list(map(self.known.get, parts))
-        unknown = list(compress(range(len(ids)), map(_is_none, ids)))
-        for i, x in zip(unknown, self._learn([parts[i] for i in unknown]), strict=True):
-            ids[i] = x
-        sizes = np.array(list(map(len, ids)), np.int64) // 4
-        flat, at = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
+        flat, at, sizes = self._distinct(data, keys, check[first], starts[first], ends[first])
         n = sizes[of]
         before = np.concatenate([[0], np.cumsum(n)])
         packed = flat[np.repeat(at[of] - before[:-1], n) + np.arange(before[-1])].tobytes()
@@ -187,6 +194,42 @@ class PieceCache:
         return out
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of ranges, one after the other."""
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
+
+
+class Words:
+    """Ids of words by the words' hashes, which are sorted; arrays, so no word is an object of its own."""
+
+    def __init__(self):
+        self.keys, self.check = np.empty(0, np.uint64), np.empty(0, np.uint64)
+        self.at, self.sizes, self.flat = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
+
+    def find(self, keys: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """The place of each word, -1 if it is not there."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        place = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where((self.keys[place] == keys) & (self.check[place] == check), place, -1)
+
+    def add(self, keys: np.ndarray, check: np.ndarray, sizes: np.ndarray, flat: np.ndarray) -> None:
+        """Take up words, sorted by hash, in place of others with the same hash."""
+        at = len(self.flat) + np.cumsum(sizes) - sizes
+        place = np.searchsorted(self.keys, keys)
+        stay = np.ones(len(self.keys) + 1, bool)
+        stay[place[np.append(self.keys, np.uint64(0))[place] == keys]] = False
+        stay = stay[:-1]
+        place -= np.concatenate([[0], np.cumsum(~stay)])[place]
+        for name, new in (("keys", keys), ("check", check), ("at", at), ("sizes", sizes)):
+            setattr(self, name, np.insert(getattr(self, name)[stay], place, new))
+        self.flat = np.concatenate([self.flat, flat])
+
+    def ids(self, places: np.ndarray) -> np.ndarray:
+        return self.flat[_ranges(self.at[places], self.sizes[places])]
+
+
 class Encoder(PieceCache):
     """Encodes with the tokenizers library."""
 
@@ -200,13 +243,51 @@ class Encoder(PieceCache):
         size = self.tokenizer.get_vocab_size()
         #: Bytes of each token.
         self.lengths = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
+        self.plain, self.plain_before = Words(), Words()  # two generations: a blank, then letters of Latin-1
+
+    def _distinct(self, data: bytes, keys: np.ndarray, check: np.ndarray, starts: np.ndarray, ends: np.ndarray
+                  ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        raw = np.frombuffer(data, np.uint8)
+        letter = _LETTER[raw]
+        pair = (raw[:-1] == 0xC3) & _LATIN[raw[1:]]
+        letter[:-1] |= pair
+        letter[1:] |= pair
+        letters = np.concatenate([[0], np.cumsum(letter)])
+        plain = (raw[starts] == 32) & (ends - starts > 1) & (letters[ends] - letters[starts] == ends - starts - 1)
+        own, others = np.flatnonzero(plain), np.flatnonzero(~plain)
+        at, sizes = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64)
+        flat, at[others], sizes[others] = super()._distinct(data, keys[others], check[others], starts[others], ends[others])
+        places = self._plain_words(raw, keys[own], check[own], starts[own], ends[own])
+        at[own], sizes[own] = self.plain.at[places] + len(flat), self.plain.sizes[places]
+        return np.concatenate([flat, self.plain.flat]), at, sizes
+
+    def _plain_words(self, raw: np.ndarray, keys: np.ndarray, check: np.ndarray, starts: np.ndarray, ends: np.ndarray
+                     ) -> np.ndarray:
+        """The places of distinct words in ``plain``, which takes up those that it does not have."""
+        if len(self.plain.keys) > CACHE_PARTS:
+            self.plain_before, self.plain = self.plain, Words()
+        missing = np.flatnonzero(self.plain.find(keys, check) < 0)
+        found = self.plain_before.find(keys[missing], check[missing])
+        again, new = missing[found >= 0], missing[found < 0]
+        if len(again):
+            places = found[found >= 0]
+            self.plain.add(keys[again], check[again], self.plain_before.sizes[places], self.plain_before.ids(places))
+        if len(new):
+            sizes = ends[new] - starts[new]
+            ids, stops = self._joined(raw[_ranges(starts[new], sizes)].tobytes().decode(), np.cumsum(sizes))
+            self.plain.add(keys[new], check[new], np.diff(stops, prepend=0), ids)
+        return self.plain.find(keys, check)
+
+    def _joined(self, text: str, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words that stand one after the other, each up to its end in bytes, and where those of each end."""
+        got = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        ids = np.array(got[0].ids, np.uint32)
+        return ids, np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         """All words in one call; the ids are split again by the tokens' bytes."""
-        got = self.tokenizer.encode_batch_fast(["".join(words)], add_special_tokens=False)
-        ids = np.array(got[0].ids, np.uint32)
-        ends = np.cumsum([len(w.encode()) for w in words])
-        at = (4 * (np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1)).tolist()
+        ids, stops = self._joined("".join(words), np.cumsum([len(w.encode()) for w in words]))
+        at = (4 * stops).tolist()
         data = ids.astype("<u4").tobytes()
         return [data[a:b] for a, b in zip([0, *at], at, strict=False)]
 

@@ -64,6 +64,32 @@ def test_encoding_with_a_tiny_cache(texts, reference, monkeypatch):
             assert ids_of(e([t])[0]) == reference(t).ids
 
 
+def test_plain_words_make_no_objects(reference, monkeypatch):
+    rnd = random.Random(5)
+    made = [" ".join("".join(rnd.choice("abcdeéßÀÿ") for _ in range(rnd.randint(1, 9))) for _ in range(200)) for _ in range(20)]
+    made += ["a × b ÷ c ×d ÷é", " é\u0301a ñ\u00a0x", "é è", "\u00c3\u0097 Ã× ã·"]
+    e = encode.Encoder(JSON)
+    for cache in (encode.CACHE_PARTS, 30):
+        monkeypatch.setattr(encode, "CACHE_PARTS", cache)
+        for _ in range(2):
+            for a in range(0, len(made), 3):
+                assert [ids_of(x) for x in e(made[a:a + 3])] == [reference(t).ids for t in made[a:a + 3]]
+    e = encode.Encoder(JSON)
+    e(made[:1])
+    assert len(e.known) <= 1  # the first word, which has no blank
+
+
+def test_words_with_one_hash_are_told_apart(reference, monkeypatch):
+    real = encode._hashes
+    monkeypatch.setattr(encode, "_hashes", lambda *a: real(*a) % np.uint64(61))
+    made = [f"x {w}" for w in "one two three four five six seven eight nine ten eleven twelve a b c d e f g h".split()]
+    e = encode.Encoder(JSON)
+    for _ in range(2):
+        for t in made * 3:
+            assert ids_of(e([t])[0]) == reference(t).ids
+    assert (np.diff(e.plain.keys.astype(np.int64)) > 0).all()
+
+
 def test_bpe_is_tiktokens(texts):
     codec = bpe.Bpe(RANKS)
     enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=codec.ranks, special_tokens={})
