@@ -26,7 +26,10 @@ from orderlens.functions import dates
 from orderlens.operators.keys import dense_ids
 from orderlens.operators.lookup import lenient_join, missing_keys
 from orderlens.session import Scratch
-from orderlens.sources.wide import ORDER_KEY
+from orderlens.sources.wide import ORDER_KEY, explode_parts, list_parts
+
+#: The lists that a row of OrderDetail is made of.
+_LISTS = ("ProductName", "QuantityOrdered", "OrderDate")
 
 
 @dataclass(frozen=True)
@@ -37,22 +40,23 @@ class FactResult:
 
 def order_detail_table(lines: DataFrame, entries: DataFrame, customers: DataFrame,
                        products: DataFrame, scratch: Scratch, strict: bool = True) -> FactResult:
-    """N11.  ``lines``/``entries``: staged wide lines and their exploded
-    entries; ``customers`` = N6 lookup (Name, CustomerID); ``products`` =
-    N10 lookup (ProductName, ProductID)."""
-    ok = lines.filter(F.col("ok")).select("line_seq", F.col("Name").alias("RawName"))
-    line_customer = lenient_join(ok, "RawName", customers, "Name", "CustomerID").select(
-        "line_seq", "CustomerID")
-    ents = entries.select(*ORDER_KEY, "pos", F.col("ProductName").alias("Product"),
-                          F.col("QuantityOrdered").alias("QtyText"),
-                          F.col("OrderDate").alias("DateText"))
+    """N11.  ``lines``: staged wide lines; ``customers`` = N6 lookup (Name, CustomerID);
+    ``products`` = N10 lookup (ProductName, ProductID).
+
+    A line meets its customer while it is a row of packed lists, and those three lists are split
+    behind that join: joined afterwards, every entry would be shuffled by its line.  So the
+    staged ``entries``, which other builders read, are not needed here."""
+    parts = list_parts(lines, ["Name"], _LISTS).withColumnRenamed("Name", "RawName")
+    owned = lenient_join(parts, "RawName", customers, "Name", "CustomerID")
+    ents = explode_parts(owned, ["CustomerID"], _LISTS).select(
+        *ORDER_KEY, "pos", "CustomerID", F.col("ProductName").alias("Product"),
+        F.col("QuantityOrdered").alias("QtyText"), F.col("OrderDate").alias("DateText"))
     lk = products.withColumnRenamed("ProductName", "__pn")
     # Behind the product join only unknown names are carried on, not every entry's.
     known = (ents.join(lk, F.col("Product") == F.col("__pn"), "left")
-             .select(*ORDER_KEY, "pos", "ProductID", "QtyText", "DateText",
+             .select(*ORDER_KEY, "pos", "CustomerID", "ProductID", "QtyText", "DateText",
                      F.col("Product").isNotNull().alias("listed"),
-                     F.when(F.col("ProductID").isNull(), F.col("Product")).alias("Unknown"))
-             .join(line_customer, "line_seq"))
+                     F.when(F.col("ProductID").isNull(), F.col("Product")).alias("Unknown")))
 
     qty = (F.col("QtyText").cast("bigint") if strict
            else F.expr("try_cast(QtyText AS bigint)"))

@@ -25,7 +25,8 @@ Then
 * customers with >= 2 distinct dates have the summary's gap, as one row: the
   first row of a later date has the gap to the date before, all other rows 0;
 * customers with exactly one date and n >= 2 rows: ``n - 1`` rows
-  ``(d, d, 0.0)``, produced by the chunked ``replicate``;
+  ``(d, d, 0.0)``, produced by the chunked ``replicate``, which takes the rows of all customers
+  (one each, few next to the orders), so that what is before it runs once;
 * customers with one row: absent.
 """
 
@@ -76,8 +77,7 @@ def longest_gaps(day_counts: DataFrame, key: str = "CustomerID",
     Returns ``(key, OrderDate, PreviousOrderDate, MaxDaysWithoutOrder)`` and the columns of
     ``names`` (one row per key), which is joined on the windows' partitioning.
 
-    Only rows with more than one copy are spread and replicated; both branches read the
-    same shuffle.  Rows without a date have no gap and count for nothing.
+    Rows without a date have no gap and count for nothing.
     """
     day = F.unix_date(date_col)
     spans = (day_counts.filter(F.col(date_col).isNotNull())
@@ -95,5 +95,4 @@ def longest_gaps(day_counts: DataFrame, key: str = "CustomerID",
         F.col("__s.best.gap").cast("double").alias("MaxDaysWithoutOrder"), "__copies")
     if names is not None:
         chosen = chosen.join(names, key)
-    many = replicate(chosen.filter(F.col("__copies") > 1), "__copies", spread_cols=[key])
-    return chosen.filter(F.col("__copies") == 1).unionByName(many).drop("__copies")
+    return replicate(chosen, "__copies", spread_cols=[key]).drop("__copies")

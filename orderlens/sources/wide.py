@@ -27,6 +27,8 @@ there, so no row ever holds more than one chunk's entries.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -140,32 +142,40 @@ def stage_lines(parsed: DataFrame, scratch: Scratch) -> DataFrame:
                                   and c != "file_path"]))
 
 
-def list_chunks(lines: DataFrame) -> DataFrame:
+def list_chunks(lines: DataFrame, keep: Sequence[str] = ("n_triples",), lists: Sequence[str] = LIST_FIELDS) -> DataFrame:
     """The lists of lines in chunks of ``CHUNK`` aligned entries: a row per chunk with its number
     ``chunk`` and its piece of each list, NULL behind a list's end.  The chunks are dealt by line
     and number, so one line's are spread over the tasks."""
-    pieces = F.arrays_zip(*[text.list_chunks(F.col(c), CHUNK).alias(c) for c in LIST_FIELDS])
-    return (lines.select(*ORDER_KEY, "n_triples", F.posexplode(pieces).alias("chunk", "e"))
-            .select(*ORDER_KEY, "n_triples", "chunk", *[F.col("e." + c).alias(c) for c in LIST_FIELDS])
+    pieces = F.arrays_zip(*[text.list_chunks(F.col(c), CHUNK).alias(c) for c in lists])
+    return (lines.select(*ORDER_KEY, *keep, F.posexplode(pieces).alias("chunk", "e"))
+            .select(*ORDER_KEY, *keep, "chunk", *[F.col("e." + c).alias(c) for c in lists])
             .repartition(*ORDER_KEY, "chunk"))
 
 
+def list_parts(lines: DataFrame, keep: Sequence[str] = ("n_triples",), lists: Sequence[str] = LIST_FIELDS) -> DataFrame:
+    """The lists of the ``ok`` lines, whole or in chunks: no row holds more than ``CHUNK`` entries."""
+    ok = lines.filter(F.col("ok"))
+    whole = ok.filter(F.col("n_entries") <= CHUNK).select(*ORDER_KEY, *keep, F.lit(0).alias("chunk"), *lists)
+    return whole.unionByName(list_chunks(ok.filter(F.col("n_entries") > CHUNK), keep, lists))
+
+
+def explode_parts(parts: DataFrame, keep: Sequence[str] = ("n_triples",), lists: Sequence[str] = LIST_FIELDS) -> DataFrame:
+    """One row per list position of such parts, with the position in the whole line."""
+    none = F.array().cast("array<string>")
+    z = F.arrays_zip(*[F.coalesce(text.split_list(F.col(c)), none).alias(c) for c in lists])
+    return (parts
+            .select(*ORDER_KEY, *keep, "chunk", F.posexplode(z).alias("place", "e"))
+            .select(*ORDER_KEY, (F.col("chunk") * CHUNK + F.col("place")).alias("pos"), *keep,
+                    *[F.col("e." + c).alias(c) for c in lists]))
+
+
 def explode_entries(lines: DataFrame) -> DataFrame:
     """One row per list position of every ``ok`` line: the six list values
     at that position (NULL where a list is shorter), the position, and
     ``n_triples``.  The lists are zipped before exploding, so a row carries only its
     own entry; lists of more than ``CHUNK`` entries are cut into chunks before that.
     """
-    ok = lines.filter(F.col("ok"))
-    whole = ok.filter(F.col("n_entries") <= CHUNK).select(
-        *ORDER_KEY, "n_triples", F.lit(0).alias("chunk"), *LIST_FIELDS)
-    parts = whole.unionByName(list_chunks(ok.filter(F.col("n_entries") > CHUNK)))
-    none = F.array().cast("array<string>")
-    z = F.arrays_zip(*[F.coalesce(text.split_list(F.col(c)), none).alias(c) for c in LIST_FIELDS])
-    return (parts
-            .select(*ORDER_KEY, "n_triples", "chunk", F.posexplode(z).alias("place", "e"))
-            .select(*ORDER_KEY, (F.col("chunk") * CHUNK + F.col("place")).alias("pos"), "n_triples",
-                    *[F.col("e." + c).alias(c) for c in LIST_FIELDS]))
+    return explode_parts(list_parts(lines))
 
 
 def stage_entries(lines: DataFrame, scratch: Scratch) -> DataFrame:

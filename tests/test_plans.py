@@ -179,3 +179,50 @@ def test_entries_carry_no_product_name_behind_the_product_join(spark, scratch, w
     assert "Unknown" in seen[0] and "listed" in seen[0]
     assert fact.order_detail.count() == 1
     assert sorted((r.pos, r.reason) for r in fact.rejects.collect()) == [(1, "unknown product: q"), (2, "unknown product: ")]
+
+
+def test_entries_are_not_shuffled_by_their_line(spark, scratch, workdir):
+    """A line meets its customer before its lists are split, long lists in chunks, too."""
+    from orderlens.operators.facts import order_detail_table
+    from orderlens.sources.wide import CHUNK, read_wide, stage_entries, stage_lines
+
+    from .conftest import write_wide
+
+    n = 2 * CHUNK + 3
+    long = ["p"] * n, ["c"] * n, ["d"] * n, ["1"] * n, [str(i) for i in range(n)], ["20200101"] * (n - 1)
+    rows = ["A B\ta\tc\tN\tR\tp;q\tc;c\td;d\t1;2\t3;4\t20200101;20200102", "No Body\ta\tc\tN\tR\tp\tc\td\t1\tbad\t20200101",
+            "A B\ta\tc\tN\tR\t" + "\t".join(";".join(x) for x in long)]
+    lines = stage_lines(read_wide(spark, write_wide(f"{workdir}/in", rows)), scratch)
+    customers = spark.createDataFrame([("A B", 1)], "Name string, CustomerID long")
+    products = spark.createDataFrame([("p", 1)], "ProductName string, ProductID long")
+    seen = []
+    pin = scratch.pin
+    scratch.pin = lambda df, name="pinned": (seen.append(plan_text(df)) if name == "order_entries" else None, pin(df, name))[1]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = order_detail_table(lines, stage_entries(lines, scratch), customers, products, scratch)
+        got = fact.order_detail.orderBy("OrderID").collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(Product" in seen[0] and "hashpartitioning(line_seq" not in seen[0]
+    assert [(r.OrderID, r.CustomerID, r.QuantityOrdered) for r in got] == [(1, 1, 3)] + [(i + 2, 1, i) for i in range(n - 1)]
+    assert sorted((r.pos, r.reason) for r in fact.rejects.collect()) == [
+        (-1, "unknown customer: No Body"), (1, "unknown product: q"), (n - 1, "missing or bad date")]
+
+
+def test_longest_gaps_read_the_orders_and_names_once(spark):
+    from orderlens.operators.gaps import longest_gaps
+
+    day = datetime.date(2020, 1, 1)
+    rows = [(1, day, 3), (2, day, 1), (2, day + datetime.timedelta(100), 2), (3, day, 1), (1, None, 5)]
+    counts = spark.createDataFrame(rows, "CustomerID long, OrderDate date, n long")
+    names = spark.createDataFrame([(i, f"c{i}") for i in (1, 2, 3)], "CustomerID long, Name string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        gaps = longest_gaps(counts, names=names)
+        text = plan_text(gaps)
+        got = sorted((r.CustomerID, r.Name, r.MaxDaysWithoutOrder) for r in gaps.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Union" not in text and len(re.findall(r"Scan ExistingRDD\s*\[CustomerID|Scan ExistingRDD \(\d+\)", text)) <= 2
+    assert got == [(1, "c1", 0.0), (1, "c1", 0.0), (2, "c2", 100.0)]
