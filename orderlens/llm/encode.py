@@ -15,11 +15,15 @@ from collections.abc import Iterator
 from functools import partial
 from itertools import compress
 from operator import is_
+from typing import TYPE_CHECKING
 
 import numpy as np
 
 from .words import mix, powers
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 #: Parts in each of the two generations of a worker's cache (it changes no result).
 CACHE_PARTS = 250_000
 #: Characters of a text, or of a slice of a long one, that are encoded at a time.
@@ -31,10 +35,24 @@ _is_none = partial(is_, None)
 _BREAK = re.compile(r" (?=[A-Za-z])")
 
 
-def _table(*values: int) -> np.ndarray:
-    out = np.zeros(256, bool)
-    out[list(values)] = True
-    return out
+def _table(*values: int) -> bytes:
+    return bytes(i in values for i in range(256))
+
+
+def _marks(raw: np.ndarray, table: bytes) -> np.ndarray:
+    """Which bytes are in a table.  Much faster than an index of bytes into an array."""
+    return np.frombuffer(raw.tobytes().translate(table), bool)
+
+
+def _same(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, where one of each is, and of each key its place among the distinct ones (what
+    ``np.unique`` gives with a slower, stable sort)."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.append(True, ordered[1:] != ordered[:-1])
+    of = np.empty(len(keys), np.int64)
+    of[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], of
 
 
 _WHITE = _table(*range(9, 14), 32)
@@ -43,6 +61,8 @@ _LETTER = _table(*range(65, 91), *range(97, 123))
 #: What makes a letter of Latin-1 (not the signs of multiplication and division) after the byte 0xC3.
 _LATIN = _table(*(b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)))
 _STOP = _table(44, 46)
+#: The characters by which a byte-level vocabulary spells bytes that are no visible character of Latin-1.
+_SPELLED = {b: chr(256 + i) for i, b in enumerate([*range(33), *range(127, 161), 173])}
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2 ** 64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTES = np.random.default_rng(30).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -52,11 +72,11 @@ def cuts(raw: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Where parts begin in texts that stand one after the other, each up to its end."""
     starts = np.concatenate([[0], ends])[:-1]
     starts, ends = starts[starts < ends], ends[starts < ends]  # empty texts have no part
-    white, odd = np.append(_WHITE[raw[1:]], True), np.append(_MAYBE_WHITE[raw[1:]], True)
+    white, odd = np.append(_marks(raw, _WHITE)[1:], True), np.append(_marks(raw, _MAYBE_WHITE)[1:], True)
     white[ends - 1] = odd[ends - 1] = True
-    letter = np.concatenate([[False], _LETTER[raw[:-1]]])
+    letter = np.append(False, _marks(raw, _LETTER)[:-1])
     letter[starts] = False
-    stop = np.flatnonzero(_STOP[raw] & white & letter)
+    stop = np.flatnonzero(_marks(raw, _STOP) & white & letter)
     first = np.zeros(len(raw) + 1, bool)
     first[np.flatnonzero((raw == 32) & ~odd)] = True
     first[stop] = first[stop + 1] = first[starts] = True
@@ -72,11 +92,10 @@ def slices(text: str) -> Iterator[str]:
     yield text[at:]
 
 
-def _hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def _hashes(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The hash of each part; a part ends where the next one begins."""
     n = len(raw)
-    total = np.concatenate([np.zeros(1, np.uint64),
-                            np.cumsum(_BYTES[raw] * powers(_BASE, n)[:n], dtype=np.uint64)])
-    return mix((total[ends] - total[starts]) * powers(_INVERSE, n)[starts])
+    return mix(np.add.reduceat(_BYTES[raw] * powers(_BASE, n)[:n], starts) * powers(_INVERSE, n)[starts])
 
 
 def _edges(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -180,7 +199,7 @@ class PieceCache:
         starts = cuts(raw, stops)
         ends = np.append(starts[1:], len(raw))
         check = _edges(data, starts, ends)
-        keys, first, of = np.unique(_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+        keys, first, of = _same(_hashes(raw, starts))
         if (check[first][of] != check).any():  # two parts share a hash
             return self._pieces(texts)
         flat, at, sizes = self._distinct(data, keys, check[first], starts[first], ends[first])
@@ -235,11 +254,15 @@ class Encoder(PieceCache):
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import Split
 
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        #: The same model for plain words that are spelled byte by byte already, where a blank begins each.
+        self.plain_tokenizer = Tokenizer(self.tokenizer.model)
+        self.plain_tokenizer.pre_tokenizer = Split(_SPELLED[32], "merged_with_next")
         size = self.tokenizer.get_vocab_size()
         #: Bytes of each token.
         self.lengths = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
@@ -248,11 +271,11 @@ class Encoder(PieceCache):
     def _distinct(self, data: bytes, keys: np.ndarray, check: np.ndarray, starts: np.ndarray, ends: np.ndarray
                   ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         raw = np.frombuffer(data, np.uint8)
-        letter = _LETTER[raw]
-        pair = (raw[:-1] == 0xC3) & _LATIN[raw[1:]]
+        letter = _marks(raw, _LETTER).copy()
+        pair = (raw[:-1] == 0xC3) & _marks(raw, _LATIN)[1:]
         letter[:-1] |= pair
         letter[1:] |= pair
-        letters = np.concatenate([[0], np.cumsum(letter)])
+        letters = np.append(0, np.cumsum(letter, dtype=np.int32))
         plain = (raw[starts] == 32) & (ends - starts > 1) & (letters[ends] - letters[starts] == ends - starts - 1)
         own, others = np.flatnonzero(plain), np.flatnonzero(~plain)
         at, sizes = np.empty(len(keys), np.int64), np.empty(len(keys), np.int64)
@@ -274,19 +297,20 @@ class Encoder(PieceCache):
             self.plain.add(keys[again], check[again], self.plain_before.sizes[places], self.plain_before.ids(places))
         if len(new):
             sizes = ends[new] - starts[new]
-            ids, stops = self._joined(raw[_ranges(starts[new], sizes)].tobytes().decode(), np.cumsum(sizes))
+            text = raw[_ranges(starts[new], sizes)].tobytes().decode("latin-1").translate(_SPELLED)
+            ids, stops = self._joined(text, np.cumsum(sizes), self.plain_tokenizer)
             self.plain.add(keys[new], check[new], np.diff(stops, prepend=0), ids)
         return self.plain.find(keys, check)
 
-    def _joined(self, text: str, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _joined(self, text: str, ends: np.ndarray, tokenizer: Tokenizer) -> tuple[np.ndarray, np.ndarray]:
         """The ids of words that stand one after the other, each up to its end in bytes, and where those of each end."""
-        got = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        got = tokenizer.encode_batch_fast([text], add_special_tokens=False)
         ids = np.array(got[0].ids, np.uint32)
         return ids, np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         """All words in one call; the ids are split again by the tokens' bytes."""
-        ids, stops = self._joined("".join(words), np.cumsum([len(w.encode()) for w in words]))
+        ids, stops = self._joined("".join(words), np.cumsum([len(w.encode()) for w in words]), self.tokenizer)
         at = (4 * stops).tolist()
         data = ids.astype("<u4").tobytes()
         return [data[a:b] for a, b in zip([0, *at], at, strict=False)]
